@@ -67,3 +67,18 @@ def notify_report(clean: DataFrame, materialize: bool = True) -> dict[str, DataF
         "top10_province": top10_province(base),
         "hourly_totals": hourly_totals(base),
     }
+
+
+def top_province_by_day(clean: DataFrame, n: int = 10) -> DataFrame:
+    """M4 per day: ``day, rank, province, success_rate, orders``.
+
+    Ranked after the (day, province) aggregate, so each window partition holds
+    at most one row per province.
+    """
+    from pyspark.sql import Window
+
+    s = rollup(clean, ["day", "province"], ["success"])
+    w = Window.partitionBy("day").orderBy(F.col("orders").desc(), F.col("province").asc())
+    ranked = s.select("day", F.row_number().over(w).cast("bigint").alias("rank"), "province",
+                      ratio("success", "orders").alias("success_rate"), "orders")
+    return ranked.where(F.col("rank") <= n)

@@ -1,4 +1,122 @@
-"""Streaming query keys (filled in by the streaming jobs)."""
+"""Streaming query keys: each stages the derived message log as files in the
+shared work folder, runs a Structured Streaming job over them to the end
+(``availableNow``) and returns the job's output table.
 
-STREAM_QUERIES: dict = {}
-STREAM_ORACLE: dict = {}
+The oracle of a running-total job is the batch SQL of the same KPI: after the
+whole input has streamed through, the running totals must equal it exactly.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from chargepulse.operators import clean as C
+from chargepulse.plans import notify as N, topup as T
+from chargepulse.plans.catalog import ORACLE, dim, rlog, tlog
+from chargepulse.session import work_dir
+from chargepulse.sources.files import read_lines_stream, stage_lines
+from chargepulse.streaming.jobs import per_batch, raw_to_files, run_to_end, running_totals
+from chargepulse.streaming.sinks import read_batches, read_current
+
+TIMEOUT = 1800
+
+
+def _split(lines: DataFrame, parts: int) -> DataFrame:
+    return lines.withColumn("part", (F.abs(F.xxhash64("value")) % parts).cast("string"))
+
+
+def _stage_by_day(lines: DataFrame, path: str) -> str:
+    day = F.substring(F.get_json_object("value", "$.requestId"), 1, 8)
+    return stage_lines(lines.withColumn("day", day), path, by="day")
+
+
+def _notify_stream(spark, sf_dir, src, per_trigger):
+    return C.clean_notify(read_lines_stream(spark, src, per_trigger), dim(spark, sf_dir))
+
+
+def _running(kpi, keys, log, clean, files=6, per_trigger=2):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = work_dir(spark, "running")
+        stage_lines(log(spark, sf_dir), f"{root}/source", files=files)
+        stream = clean(spark, sf_dir, read_lines_stream(spark, f"{root}/source", per_trigger))
+        agg_schema = kpi(stream).schema
+        run_to_end(running_totals(stream, kpi, f"{root}/totals", f"{root}/checkpoint"), TIMEOUT)
+        return read_current(spark, f"{root}/totals", keys, agg_schema)
+    return q
+
+
+def _clean_notify_stream(spark, sf_dir, lines):
+    return C.clean_notify(lines, dim(spark, sf_dir))
+
+
+def _clean_topup_stream(spark, sf_dir, lines):
+    return C.clean_topup(lines)
+
+
+def q_stream_read_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 + S9 + T1/T5: the log replayed file by file, parsed, appended to a file sink."""
+    root = work_dir(spark, "read-log")
+    stage_lines(rlog(spark, sf_dir), f"{root}/source", files=4)
+    parsed = C.parse_notify(read_lines_stream(spark, f"{root}/source", max_files_per_trigger=1))
+    out = parsed.select(F.col("requestId").alias("request_id"),
+                        F.col("serviceName").alias("service_name"))
+    run_to_end(raw_to_files(out, f"{root}/out", f"{root}/checkpoint"), TIMEOUT)
+    return spark.read.parquet(f"{root}/out")
+
+
+def q_stream_batch_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-10 provinces of every micro-batch (one day per batch), kept per batch."""
+    root = work_dir(spark, "batch-top10")
+    _stage_by_day(rlog(spark, sf_dir), f"{root}/source")
+    stream = _notify_stream(spark, sf_dir, f"{root}/source", 1)
+    run_to_end(per_batch(stream, {"top10_province": N.top_province_by_day},
+                         f"{root}/out", f"{root}/checkpoint"), TIMEOUT)
+    return read_batches(spark, f"{root}/out", "top10_province").drop("batch_id")
+
+
+def q_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stop after half the input, add the rest, restart from the checkpoint."""
+    root = work_dir(spark, "resume")
+    lines = _split(rlog(spark, sf_dir), 2)
+    src, ckpt, totals = f"{root}/source", f"{root}/checkpoint", f"{root}/totals"
+    schema = None
+    for part in ("0", "1"):
+        stage_lines(lines.where(F.col("part") == part).select("value"), f"{src}/part{part}", files=3)
+        stream = _notify_stream(spark, sf_dir, f"{src}/*", 2)
+        schema = N.daily_totals(stream).schema
+        run_to_end(running_totals(stream, N.daily_totals, totals, ckpt), TIMEOUT)
+    return read_current(spark, totals, ["day"], schema)
+
+
+STREAM_QUERIES = {
+    "stream_read_log": q_stream_read_log,
+    "stream_daily_totals": _running(N.daily_totals, ["day"], rlog, _clean_notify_stream),
+    "stream_minute_orders": _running(N.minute_orders, ["minute"], rlog, _clean_notify_stream),
+    "stream_month_phone_avg": _running(T.month_phone_avg, ["month", "phone"], tlog,
+                                       _clean_topup_stream),
+    "stream_batch_top10": q_stream_batch_top10,
+    "stream_resume": q_stream_resume,
+}
+
+_RID = "strftime(e.ts, '%Y%m%d%H%M%S%g') || lpad(CAST(e.event_id AS VARCHAR), 15, '0')"
+_NAME = ("CASE WHEN e.event_type IN ('purchase','error') AND e.event_id % 7 = 0 THEN 'RECHARGENOTIFYREQ' "
+         "WHEN e.event_type IN ('purchase','error') THEN 'reChargeNotifyReq' "
+         "WHEN e.event_type IN ('signup','click') THEN 'sendRechargeReq' ELSE 'makeNewOrder' END")
+
+STREAM_ORACLE = {
+    "stream_read_log": f"SELECT {_RID} AS request_id, {_NAME} AS service_name FROM events e",
+    "stream_daily_totals": ORACLE["daily_totals"],
+    "stream_minute_orders": ORACLE["minute_orders"],
+    "stream_month_phone_avg": ORACLE["month_phone_avg"],
+    "stream_resume": ORACLE["daily_totals"],
+    "stream_batch_top10": """WITH c AS (
+  SELECT e.ts, n.n_name AS province, (e.event_type <> 'error' AND e.event_id % 5 <> 0) AS ok
+  FROM events e JOIN nation n ON n.n_nationkey = e.user_id % 25
+  WHERE e.event_type IN ('purchase','error') AND e.event_id % 11 <> 0),
+s AS (SELECT strftime(ts, '%Y%m%d') AS day, province, count(*) AS orders,
+             CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS success_rate
+      FROM c GROUP BY 1, 2),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY day ORDER BY orders DESC, province ASC) AS BIGINT) AS rank
+      FROM s)
+SELECT day, rank, province, success_rate, orders FROM r WHERE rank <= 10""",
+}
