@@ -32,11 +32,19 @@ def parse_json(log: DataFrame, fields, value_col: str = "value", keep_value: boo
     Adds ``bad_json``: true for NULL records, non-JSON text and JSON that is not
     an object.  Only the fields a later step uses survive column pruning, so the
     parser reads just those.
+
+    The parsed struct is exploded with ``inline`` (a Generate node): a later
+    filter on the parsed fields cannot be pushed below it, so the optimizer never
+    substitutes ``from_json`` into a predicate -- each message is parsed exactly
+    once, where it is (after any repartition), not once per predicate term.
     """
     msg = F.from_json(F.col(value_col), message_schema(fields),
                       {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
-    cols: list[Column] = [msg.getField(f).alias(f) for f in fields]
-    bad = msg.isNull() | msg.getField(CORRUPT).isNotNull()
+    keep = [F.col(value_col)] if keep_value else []
+    out = log.select(*keep, F.inline(F.array(msg)))
+    bad = F.col(value_col).isNull() | F.col(CORRUPT).isNotNull() if keep_value else \
+        F.col(CORRUPT).isNotNull() | F.col("_null_value")
     if keep_value:
-        cols = [F.col(value_col)] + cols
-    return log.select(*cols, bad.alias("bad_json"))
+        return out.select(*keep, *[F.col(f) for f in fields], bad.alias("bad_json"))
+    out = log.select(F.col(value_col).isNull().alias("_null_value"), F.inline(F.array(msg)))
+    return out.select(*[F.col(f) for f in fields], bad.alias("bad_json"))

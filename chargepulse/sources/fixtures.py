@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from chargepulse.operators.spread import spread
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -53,7 +55,8 @@ def recharge_log(events: DataFrame) -> DataFrame:
         _fmt(F.col("ts")).alias("startReqTime"),
         _fmt(stop).alias("endReqTime"),
     )
-    return events.select(F.to_json(msg).alias("value"))
+    src = spread(events.select("event_id", "ts", "user_id", "event_type", "value"))
+    return src.select(F.to_json(msg).alias("value"))
 
 
 def topup_log(orders: DataFrame) -> DataFrame:
@@ -63,7 +66,8 @@ def topup_log(orders: DataFrame) -> DataFrame:
         F.floor("o_totalprice").cast("bigint").cast("string").alias("money"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("date"),
     )
-    return orders.select(F.to_json(msg).alias("value"))
+    src = spread(orders.select("o_custkey", "o_totalprice", "o_orderdate"))
+    return src.select(F.to_json(msg).alias("value"))
 
 
 def province_lines(nation: DataFrame) -> DataFrame:
