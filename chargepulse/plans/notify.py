@@ -8,6 +8,7 @@ from chargepulse.functions.times import prefix
 from chargepulse.functions.values import ratio
 from chargepulse.operators.topn import top_n
 from chargepulse.plans.rollup import rollup
+from chargepulse.session import checkpoint_root
 
 
 def daily_totals(clean: DataFrame) -> DataFrame:
@@ -59,6 +60,7 @@ def notify_report(clean: DataFrame, materialize: bool = True) -> dict[str, DataF
     """
     base = notify_base(clean)
     if materialize:
+        checkpoint_root(clean.sparkSession)
         base = base.checkpoint(eager=True)
     return {
         "daily_totals": daily_totals(base),

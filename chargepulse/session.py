@@ -48,7 +48,7 @@ def use_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def _checkpoint_root(spark: SparkSession) -> str:
+def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         jdir = spark.sparkContext.getCheckpointDir()
@@ -62,7 +62,7 @@ def _checkpoint_root(spark: SparkSession) -> str:
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one run, under the cluster's shared checkpoint dir."""
-    root = _checkpoint_root(spark).rstrip("/")
+    root = checkpoint_root(spark).rstrip("/")
     path = f"{root}/chargepulse/{name}-{uuid.uuid4().hex[:12]}"
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)

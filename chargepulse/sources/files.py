@@ -8,26 +8,20 @@ from pyspark.sql.types import StringType, StructField, StructType
 LINE_SCHEMA = StructType([StructField("value", StringType())])
 
 
-def stage_lines(lines: DataFrame, path: str, by: str | None = None, files: int | None = None) -> str:
-    """Write ``value`` lines as text files under ``path``.
+def stage_lines(lines: DataFrame, path: str, files: int | None = None) -> str:
+    """Write ``value`` lines as text files under ``path`` (``files`` even splits).
 
-    With ``by``, one sub-folder per value of that column (``by=value/part-*``),
-    one file each: a file stream with ``maxFilesPerTrigger=1`` then reads one
-    bucket per micro-batch.  The writer shuffles by ``by`` so each folder is
-    written by one task.
+    The split is round-robin, so no value of any column can concentrate the
+    write in one task.
     """
-    if by:
-        lines.repartition(by).write.mode("overwrite").partitionBy(by).text(path)
-    else:
-        (lines.repartition(files) if files else lines).write.mode("overwrite").text(path)
+    (lines.repartition(files) if files else lines).select("value").write.mode("overwrite").text(path)
     return path
 
 
-def read_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                      partition_col: str | None = None) -> DataFrame:
+def read_lines_stream(spark: SparkSession, path: str,
+                      max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming ``value STRING`` over text files (S6's feeder as a file source)."""
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = r.load(path)
-    return df if partition_col else df.select("value")
+    return r.load(path).select("value")
