@@ -10,26 +10,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Result types: counts and milliseconds are BIGINT, money DECIMAL(18,2).
-_CAST = {"orders": "bigint", "success": "bigint", "costtime": "bigint", "ms": "bigint",
-         "money": "decimal(18,2)", "should_money": "decimal(18,2)", "fee": "decimal(18,2)"}
-
-
-def vector_sum(df: DataFrame, keys, measures, count_as: str | None = "orders",
+def vector_sum(df: DataFrame, keys, measures, count_as: str = "orders",
                names: dict[str, str] | None = None) -> DataFrame:
     """A1/A2/A3: ``keys`` + ``count(*)`` (as ``count_as``) + ``sum(m)`` for each measure.
 
     Sums of money keep DECIMAL(18,2); counts and milliseconds are BIGINT.
     ``names`` renames output measures (``{"success": "successes"}``).
     """
-    names = names or {}
-    aggs = []
-    if count_as:
-        aggs.append(F.count(F.lit(1)).alias(count_as))
-    for m in measures:
-        out = names.get(m, m)
-        aggs.append(F.sum(m).cast(_CAST.get(m, "bigint")).alias(out))
-    return df.groupBy(*keys).agg(*aggs)
+    from chargepulse.plans.rollup import rollup
+
+    out = rollup(df, keys, measures, orders_as=count_as)
+    for old, new in (names or {}).items():
+        out = out.withColumnRenamed(old, new)
+    return out
 
 
 def with_failures(df: DataFrame, orders: str = "orders", success: str = "success") -> DataFrame:

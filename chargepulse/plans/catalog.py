@@ -16,9 +16,7 @@ from chargepulse.functions.messages import NOTIFY_FIELDS, parse_json
 from chargepulse.functions.times import elapsed_ms, prefix
 from chargepulse.operators import clean as C
 from chargepulse.operators.aggregate import vector_sum
-from chargepulse.operators.gates import (
-    notify_business_gate, notify_interface_gate, notify_ods_gate, request_gate,
-)
+from chargepulse.operators.gates import notify_business_gate, notify_ods_gate, request_gate
 from chargepulse.operators.topn import sort_desc
 from chargepulse.plans import notify as N, request as R, topup as T
 from chargepulse.session import use_utc
@@ -209,10 +207,6 @@ QUERIES: dict[str, Query] = {
     "offset_ledger_json": q_offset_ledger_json,
 }
 
-# Kept for callers that want the interface-gate predicate itself.
-interface_gate = notify_interface_gate
-
-
 # ------------------------------------------------------------- oracles -----
 
 _RID = "strftime(e.ts, '%Y%m%d%H%M%S%g') || lpad(CAST(e.event_id AS VARCHAR), 15, '0')"

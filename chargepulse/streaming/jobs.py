@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from chargepulse.plans.rollup import with_event_bucket
 from chargepulse.streaming.sinks import ChangelogUpsert, PerBatchWriter
 
 
@@ -26,9 +27,18 @@ def _trigger(writer, trigger: str | None):
 
 
 def running_totals(clean_stream: DataFrame, kpi: Callable[[DataFrame], DataFrame], sink_path: str,
-                   checkpoint: str, trigger: str | None = None,
-                   name: str | None = None) -> StreamingQuery:
-    """T4: ``kpi(clean_stream)`` kept as running totals (update mode + changelog sink)."""
+                   checkpoint: str, trigger: str | None = None, name: str | None = None,
+                   watermark: tuple[str, str, str] | None = None) -> StreamingQuery:
+    """T4: ``kpi(clean_stream)`` kept as running totals (update mode + changelog sink).
+
+    Without ``watermark`` (the default, as in the reference) every key stays in
+    state forever and a late message still adds to its own bucket.  With
+    ``watermark=(time_key, pattern, delay)``, e.g. ``("minute", "yyyyMMddHHmm",
+    "2 hours")``, buckets older than ``delay`` are evicted and later rows for
+    them are dropped.
+    """
+    if watermark:
+        clean_stream = with_event_bucket(clean_stream, *watermark)
     agg = kpi(clean_stream)
     w = (agg.writeStream.outputMode("update")
          .foreachBatch(ChangelogUpsert(sink_path))

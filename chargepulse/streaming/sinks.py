@@ -9,7 +9,7 @@ batch that is replayed after its outputs but before its offsets were stored.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 BATCH_COL = "batch_id"
 
@@ -122,5 +122,3 @@ def write_jdbc(df: DataFrame, options: dict[str, str], mode: str = "append") ->
     """Write rows to a relational table (append, or overwrite with ``truncate``)."""
     df.write.format("jdbc").options(**options).mode(mode).save()
 
-
-EMPTY_BATCH_SCHEMA = StructType([StructField(BATCH_COL, LongType())])

@@ -63,3 +63,50 @@ def test_rollup_properties(spark):
     assert rows(rep["daily_totals"]) == rows(day)
     assert rows(rep["top10_province"]) == rows(N.top10_province(clean))
     assert rows(rep["province_hour_failures"]) == rows(N.province_hour_failures(clean))
+
+
+def _running_query(spark, lines_by_file, kpi, keys, watermark=None, per_trigger=1):
+    from chargepulse.operators.clean import clean_notify
+    from chargepulse.plans.catalog import dim
+    from chargepulse.sources.files import read_lines_stream
+    from chargepulse.streaming.jobs import run_to_end, running_totals
+    root = work_dir(spark, "test-running")
+    for i, vals in enumerate(lines_by_file):
+        spark.createDataFrame([(v,) for v in vals], "value string").coalesce(1) \
+            .write.mode("overwrite").text(f"{root}/src/f{i}")
+        stream = clean_notify(read_lines_stream(spark, f"{root}/src/*", per_trigger), dim(spark, SF001))
+        schema = kpi(stream).schema
+        run_to_end(running_totals(stream, kpi, f"{root}/out", f"{root}/ck", watermark=watermark), 600)
+    return rows(read_current(spark, f"{root}/out", keys, schema))
+
+
+def _msg(minute_digits, rid_tail="000000000000001"):
+    import json
+    t = minute_digits + "00000"
+    return json.dumps({"serviceName": "reChargeNotifyReq", "interFacRst": "0000", "bussinessRst": "0000",
+                       "provinceCode": "1", "chargefee": "1.00", "requestId": t + rid_tail,
+                       "receiveNotifyTime": t})
+
+
+def test_watermark_evicts_and_drops_late_rows(spark):
+    early, late = "202401010000", "202401011000"
+    files = [[_msg(early)], [_msg(late)], [_msg(early)]]    # the third arrives 10 h late
+    no_wm = _running_query(spark, files, N.minute_orders, ["minute"])
+    assert no_wm == [(early, 2), (late, 1)]                  # reference behaviour: late row still counts
+    wm = _running_query(spark, files, N.minute_orders, ["minute"],
+                        watermark=("minute", "yyyyMMddHHmm", "1 hour"))
+    assert wm == [(early, 1), (late, 1)]
+
+
+def test_per_batch_top10_of_one_batch_equals_batch_query(spark):
+    from chargepulse.plans.catalog import notify_clean
+    from chargepulse.sources.files import read_lines_stream, stage_lines
+    from chargepulse.streaming.jobs import per_batch, run_to_end
+    from chargepulse.operators.clean import clean_notify
+    from chargepulse.plans.catalog import dim, rlog
+    root = work_dir(spark, "test-top10")
+    stage_lines(rlog(spark, SF001), f"{root}/src", files=1)
+    stream = clean_notify(read_lines_stream(spark, f"{root}/src"), dim(spark, SF001))
+    run_to_end(per_batch(stream, {"top10": N.top10_province}, f"{root}/out", f"{root}/ck"), 600)
+    got = rows(read_batches(spark, f"{root}/out", "top10").drop("batch_id"))
+    assert got == rows(N.top10_province(notify_clean(spark, SF001)))
