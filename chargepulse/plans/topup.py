@@ -16,11 +16,13 @@ def topup_daily_money(clean: DataFrame) -> DataFrame:
 def month_phone_avg(clean: DataFrame) -> DataFrame:
     """``month, phone, orders, avg_money, avg_trunc, counter_key``.
 
-    One average over all top-ups of the key (the reference added per-batch
+    Input: clean rows, or partial sums carrying ``orders``.  One average over
+    all top-ups of the key (the reference added per-batch
     averages, a sum of averages).  ``avg_trunc`` truncates toward zero.
     """
+    orders = F.sum("orders") if "orders" in clean.columns else F.count(F.lit(1))
     s = clean.groupBy("month", "phone").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("money").cast("bigint").alias("total"))
+        orders.cast("bigint").alias("orders"), F.sum("money").cast("bigint").alias("total"))
     avg = F.col("total").cast("double") / F.col("orders").cast("double")
     return s.select("month", "phone", "orders", avg.alias("avg_money"),
                     trunc_long(avg).alias("avg_trunc"),

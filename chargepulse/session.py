@@ -26,17 +26,32 @@ DEFAULTS = {
 def get_session(master: str | None = None, app: str = "chargepulse",
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:
-    """Build (or reuse) a session with this library's defaults."""
-    b = SparkSession.builder.appName(app)
-    if master:
-        b = b.master(master)
-    conf = dict(DEFAULTS)
+    """Build (or reuse) a session.
+
+    :data:`DEFAULTS` fill only the keys the cluster left unset (spark-defaults,
+    submit arguments); ``shuffle_partitions`` and ``extra`` are explicit and win.
+    """
+    from pyspark import SparkConf
+
+    wanted = dict(extra or {})
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
-        b = b.config(k, v)
-    spark = b.getOrCreate()
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    active = SparkSession.getActiveSession()
+    if active is None:
+        conf = SparkConf()          # carries spark-defaults and submit arguments
+        for k, v in DEFAULTS.items():
+            if not conf.contains(k):
+                conf.set(k, v)
+        for k, v in wanted.items():
+            conf.set(k, v)
+        b = SparkSession.builder.appName(app).config(conf=conf)
+        if master:
+            b = b.master(master)
+        spark = b.getOrCreate()
+    else:
+        spark = active
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     use_utc(spark)
     return spark

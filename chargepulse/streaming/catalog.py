@@ -15,6 +15,7 @@ from chargepulse.plans import notify as N, topup as T
 from chargepulse.plans.catalog import ORACLE, dim, rlog, tlog
 from chargepulse.session import work_dir
 from chargepulse.sources.files import read_lines_stream, stage_lines
+from chargepulse.streaming import apps as A
 from chargepulse.streaming.jobs import per_batch, raw_to_files, run_to_end, running_totals
 from chargepulse.streaming.sinks import read_batches, read_current
 
@@ -94,6 +95,18 @@ def q_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_current(spark, totals, ["day"], schema)
 
 
+def _app(start, results, pick, log, with_dim=True):
+    """Run a whole streaming app over the staged log; return one of its KPIs."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = work_dir(spark, "app")
+        stage_lines(log(spark, sf_dir), f"{root}/source", files=6)
+        stream = read_lines_stream(spark, f"{root}/source", 2)
+        args = (stream, dim(spark, sf_dir)) if with_dim else (stream,)
+        run_to_end(start(*args, f"{root}/out", f"{root}/checkpoint", trigger=None), TIMEOUT)
+        return results(spark, f"{root}/out")[pick]
+    return q
+
+
 STREAM_QUERIES = {
     "stream_read_log": q_stream_read_log,
     "stream_daily_totals": _running(N.daily_totals, ["day"], rlog, _clean_notify_stream),
@@ -102,6 +115,10 @@ STREAM_QUERIES = {
                                        _clean_topup_stream),
     "stream_batch_top10": q_stream_batch_top10,
     "stream_resume": q_stream_resume,
+    "stream_notify_app": _app(A.notify_app, A.notify_results, "province_hour_failures", rlog),
+    "stream_request_app": _app(A.request_app, A.request_results, "province_minute", rlog),
+    "stream_topup_app": _app(A.topup_app, A.topup_results, "phone_mean_monthly", tlog,
+                             with_dim=False),
 }
 
 _RID = "strftime(e.ts, '%Y%m%d%H%M%S%g') || lpad(CAST(e.event_id AS VARCHAR), 15, '0')"
@@ -115,6 +132,9 @@ STREAM_ORACLE = {
     "stream_minute_orders": ORACLE["minute_orders"],
     "stream_month_phone_avg": ORACLE["month_phone_avg"],
     "stream_resume": ORACLE["daily_totals"],
+    "stream_notify_app": ORACLE["province_hour_failures"],
+    "stream_request_app": ORACLE["province_minute"],
+    "stream_topup_app": ORACLE["phone_mean_monthly"],
     "stream_batch_top10": """WITH c AS (
   SELECT e.ts, n.n_name AS province, (e.event_type <> 'error' AND e.event_id % 5 <> 0) AS ok
   FROM events e JOIN nation n ON n.n_nationkey = e.user_id % 25
