@@ -50,6 +50,58 @@ class _AppBatch:
             rows.unpersist()
 
 
+# --------------------------------------------------------------- compaction --
+
+def _latest_snapshot(spark: SparkSession, root: str):
+    from chargepulse.streaming.sinks import _exists
+    path = f"{root}/snapshots"
+    if not _exists(spark, path):
+        return None
+    snaps = spark.read.parquet(path)
+    upto = snaps.agg(F.max("upto")).first()[0]
+    return upto, snaps.where(F.col("upto") == upto).drop("upto")
+
+
+def compact(spark: SparkSession, root: str, upto: int) -> int:
+    """Fold the partials of batches ``<= upto`` (and the previous snapshot) into
+    a snapshot ``snapshots/upto=<upto>``; readers then scan only the snapshot and
+    the partials of later batches (pruned on ``batch_id``).
+
+    ``upto`` must be a committed batch.  Re-running the same compaction rewrites
+    the same snapshot.
+    """
+    root = root.rstrip("/")
+    prev = _latest_snapshot(spark, root)
+    lo = -1 if prev is None else prev[0]
+    if prev is not None and upto <= lo:
+        return lo
+    parts = spark.read.parquet(f"{root}/partials")
+    new = parts.where((F.col(BATCH_COL) > lo) & (F.col(BATCH_COL) <= upto)).drop(BATCH_COL)
+    base = new if prev is None else prev[1].unionByName(new)
+    measures = [c for c in ("orders", "money", "success", "costtime") if c in base.columns]
+    grain = [c for c in base.columns if c not in measures]
+    snap = base.groupBy(*grain).agg(*[F.sum(m).cast(base.schema[m].dataType).alias(m)
+                                      for m in measures])
+    snap.write.mode("overwrite").parquet(f"{root}/snapshots/upto={upto}")
+    return upto
+
+
+def read_partials(spark: SparkSession, root: str) -> DataFrame:
+    """Newest snapshot (``batch_id`` NULL) plus the partials of later batches."""
+    root = root.rstrip("/")
+    parts = spark.read.parquet(f"{root}/partials")
+    snap = _latest_snapshot(spark, root)
+    if snap is None:
+        return parts
+    upto, s = snap
+    return s.withColumn(BATCH_COL, F.lit(None).cast("bigint")) \
+        .unionByName(parts.where(F.col(BATCH_COL) > upto))
+
+
+def _batches(p: DataFrame) -> DataFrame:
+    return p.where(F.col(BATCH_COL).isNotNull())
+
+
 def _start(log_stream: DataFrame, body: _AppBatch, checkpoint: str,
            trigger: str | None) -> StreamingQuery:
     w = log_stream.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
@@ -82,8 +134,8 @@ def _top_per_batch(s: DataFrame, n: int, by: str, tie: str) -> DataFrame:
 
 def notify_results(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Running M1, M2 and per-batch M3-M5 (plus their running forms)."""
-    p = _with_times(spark.read.parquet(f"{root.rstrip('/')}/partials"))
-    per_batch_top10 = rollup(p, [BATCH_COL, "province"], ["success"]).select(
+    p = _with_times(read_partials(spark, root))
+    per_batch_top10 = rollup(_batches(p), [BATCH_COL, "province"], ["success"]).select(
         BATCH_COL, "province", (F.col("success") / F.col("orders")).alias("success_rate"), "orders")
     return {
         "daily_totals": N.daily_totals(p),
@@ -91,11 +143,11 @@ def notify_results(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         "province_hour_failures": N.province_hour_failures(p),
         "top10_province": N.top10_province(p),
         "hourly_totals": N.hourly_totals(p),
-        "batch_province_hour_failures": rollup(p, [BATCH_COL, "province", "hour"], ["success"])
+        "batch_province_hour_failures": rollup(_batches(p), [BATCH_COL, "province", "hour"], ["success"])
         .select(BATCH_COL, "province", "hour",
                 (F.col("orders") - F.col("success")).cast("bigint").alias("failures")),
         "batch_top10_province": _top_per_batch(per_batch_top10, 10, "orders", "province"),
-        "batch_hourly_totals": rollup(p, [BATCH_COL, "hour"], ["money"]),
+        "batch_hourly_totals": rollup(_batches(p), [BATCH_COL, "hour"], ["money"]),
     }
 
 
@@ -112,8 +164,8 @@ def request_app(log_stream: DataFrame, dim: DataFrame, root: str, checkpoint: st
 
 
 def request_results(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    p = _with_times(spark.read.parquet(f"{root.rstrip('/')}/partials"))
-    fails = rollup(p, [BATCH_COL, "province"], ["success"]).select(
+    p = _with_times(read_partials(spark, root))
+    fails = rollup(_batches(p), [BATCH_COL, "province"], ["success"]).select(
         BATCH_COL, "province", (F.col("orders") - F.col("success")).cast("bigint").alias("failures"),
         ((F.col("orders") - F.col("success")) / F.col("orders")).alias("failure_rate"))
     return {
@@ -138,7 +190,7 @@ def topup_app(log_stream: DataFrame, root: str, checkpoint: str,
 
 
 def topup_results(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    p = spark.read.parquet(f"{root.rstrip('/')}/partials")
+    p = read_partials(spark, root)
     return {
         "topup_daily_money": T.topup_daily_money(p),
         "month_phone_avg": T.month_phone_avg(p),

@@ -82,3 +82,22 @@ def test_app_batch_replay_is_idempotent(spark):
     body(batch, 0)
     res = A.notify_results(spark, root)
     assert rows(res["daily_totals"]) == rows(QUERIES["daily_totals"](spark, SF001))
+
+
+def test_compaction_keeps_results(spark):
+    out = _run(spark, A.topup_app, tlog, with_dim=False)
+    before = {k: rows(v) for k, v in A.topup_results(spark, out).items()}
+    assert A.compact(spark, out, 0) == 0
+    assert A.compact(spark, out, 1) == 1
+    assert A.compact(spark, out, 1) == 1          # idempotent
+    after = {k: rows(v) for k, v in A.topup_results(spark, out).items()}
+    assert after == before
+    snap = spark.read.parquet(f"{out}/snapshots")
+    assert sorted(r.upto for r in snap.select("upto").distinct().collect()) == [0, 1]
+
+
+def test_compaction_notify_per_batch_excludes_snapshot(spark, notify_out):
+    A.compact(spark, notify_out, 0)
+    res = A.notify_results(spark, notify_out)
+    assert rows(res["daily_totals"]) == rows(QUERIES["daily_totals"](spark, SF001))
+    assert res["batch_hourly_totals"].where("batch_id IS NULL").count() == 0
