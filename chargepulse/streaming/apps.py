@@ -173,6 +173,8 @@ def request_results(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         "province_minute": R.province_minute(p),
         "province_hour": R.province_hour(p),
         "batch_top3_failure_province": _top_per_batch(fails, 3, "failures", "province"),
+        "batch_province_minute": rollup(_batches(p), [BATCH_COL, "minute", "province"], ["money"]),
+        "batch_province_hour": rollup(_batches(p), [BATCH_COL, "hour", "province"], ["money"]),
     }
 
 

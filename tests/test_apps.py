@@ -65,6 +65,10 @@ def test_request_app_equals_batch(spark):
     res = A.request_results(spark, out)
     for k in ("top3_failure_province", "province_minute", "province_hour"):
         assert rows(res[k]) == rows(QUERIES[k](spark, SF001)), k
+    b = res["batch_province_hour"].groupBy("hour", "province").agg(
+        F.sum("orders").cast("bigint").alias("orders"), F.sum("money").cast("decimal(18,2)").alias("money"))
+    assert rows(b) == rows(QUERIES["province_hour"](spark, SF001))
+    assert res["batch_top3_failure_province"].groupBy("batch_id").count().where("count > 3").count() == 0
 
 
 def test_topup_app_equals_batch(spark):
