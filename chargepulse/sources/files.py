@@ -18,6 +18,23 @@ def stage_lines(lines: DataFrame, path: str, files: int | None = None) -> str:
     return path
 
 
+def count_files(spark: SparkSession, path: str) -> int:
+    """Number of data files (``part-*``) under ``path``."""
+    jvm = spark.sparkContext._jvm
+    glob = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/part-*")
+    fs = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(glob)
+    return 0 if found is None else len(found)
+
+
+def stage_in_batches(spark: SparkSession, lines: DataFrame, path: str, batches: int) -> int:
+    """Write ``lines`` with their own partitioning (the file count grows with the
+    data) and return the ``maxFilesPerTrigger`` that replays them in ``batches``
+    micro-batches."""
+    stage_lines(lines, path)
+    return max(1, -(-count_files(spark, path) // batches))
+
+
 def read_lines_stream(spark: SparkSession, path: str,
                       max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming ``value STRING`` over text files (S6's feeder as a file source)."""

@@ -14,7 +14,7 @@ from chargepulse.operators import clean as C
 from chargepulse.plans import notify as N, topup as T
 from chargepulse.plans.catalog import ORACLE, dim, rlog, tlog
 from chargepulse.session import work_dir
-from chargepulse.sources.files import read_lines_stream, stage_lines
+from chargepulse.sources.files import read_lines_stream, stage_in_batches
 from chargepulse.streaming import apps as A
 from chargepulse.streaming.jobs import per_batch, raw_to_files, run_to_end, running_totals
 from chargepulse.streaming.sinks import read_batches, read_current
@@ -30,10 +30,10 @@ def _notify_stream(spark, sf_dir, src, per_trigger):
     return C.clean_notify(read_lines_stream(spark, src, per_trigger), dim(spark, sf_dir))
 
 
-def _running(kpi, keys, log, clean, files=6, per_trigger=2):
+def _running(kpi, keys, log, clean, batches=3):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = work_dir(spark, "running")
-        stage_lines(log(spark, sf_dir), f"{root}/source", files=files)
+        per_trigger = stage_in_batches(spark, log(spark, sf_dir), f"{root}/source", batches)
         stream = clean(spark, sf_dir, read_lines_stream(spark, f"{root}/source", per_trigger))
         agg_schema = kpi(stream).schema
         run_to_end(running_totals(stream, kpi, f"{root}/totals", f"{root}/checkpoint"), TIMEOUT)
@@ -52,8 +52,8 @@ def _clean_topup_stream(spark, sf_dir, lines):
 def q_stream_read_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S6 + S9 + T1/T5: the log replayed file by file, parsed, appended to a file sink."""
     root = work_dir(spark, "read-log")
-    stage_lines(rlog(spark, sf_dir), f"{root}/source", files=4)
-    parsed = C.parse_notify(read_lines_stream(spark, f"{root}/source", max_files_per_trigger=1))
+    per_trigger = stage_in_batches(spark, rlog(spark, sf_dir), f"{root}/source", 4)
+    parsed = C.parse_notify(read_lines_stream(spark, f"{root}/source", per_trigger))
     out = parsed.select(F.col("requestId").alias("request_id"),
                         F.col("serviceName").alias("service_name"))
     run_to_end(raw_to_files(out, f"{root}/out", f"{root}/checkpoint"), TIMEOUT)
@@ -74,8 +74,8 @@ def q_stream_batch_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     ever funnelled into one task (the input is staged in even splits).
     """
     root = work_dir(spark, "batch-top10")
-    stage_lines(rlog(spark, sf_dir), f"{root}/source", files=6)
-    stream = _notify_stream(spark, sf_dir, f"{root}/source", 2)
+    per_trigger = stage_in_batches(spark, rlog(spark, sf_dir), f"{root}/source", 3)
+    stream = _notify_stream(spark, sf_dir, f"{root}/source", per_trigger)
     run_to_end(per_batch(stream, {"day_province": day_province_sums},
                          f"{root}/out", f"{root}/checkpoint"), TIMEOUT)
     return N.top_province_by_day(read_batches(spark, f"{root}/out", "day_province"))
@@ -88,8 +88,9 @@ def q_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, ckpt, totals = f"{root}/source", f"{root}/checkpoint", f"{root}/totals"
     schema = None
     for part in ("0", "1"):
-        stage_lines(lines.where(F.col("part") == part).select("value"), f"{src}/part{part}", files=3)
-        stream = _notify_stream(spark, sf_dir, f"{src}/*", 2)
+        per_trigger = stage_in_batches(spark, lines.where(F.col("part") == part).select("value"),
+                                       f"{src}/part{part}", 2)
+        stream = _notify_stream(spark, sf_dir, f"{src}/*", per_trigger)
         schema = N.daily_totals(stream).schema
         run_to_end(running_totals(stream, N.daily_totals, totals, ckpt), TIMEOUT)
     return read_current(spark, totals, ["day"], schema)
@@ -99,8 +100,8 @@ def _app(start, results, pick, log, with_dim=True):
     """Run a whole streaming app over the staged log; return one of its KPIs."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = work_dir(spark, "app")
-        stage_lines(log(spark, sf_dir), f"{root}/source", files=6)
-        stream = read_lines_stream(spark, f"{root}/source", 2)
+        per_trigger = stage_in_batches(spark, log(spark, sf_dir), f"{root}/source", 3)
+        stream = read_lines_stream(spark, f"{root}/source", per_trigger)
         args = (stream, dim(spark, sf_dir)) if with_dim else (stream,)
         run_to_end(start(*args, f"{root}/out", f"{root}/checkpoint", trigger=None), TIMEOUT)
         return results(spark, f"{root}/out")[pick]
