@@ -20,7 +20,7 @@ from chargepulse.functions.values import (
     OK_CODE, amount, month_of_year, when_ok, whole_amount,
 )
 from chargepulse.operators.gates import NOTIFY, REQUEST, notify_gate, request_gate
-from chargepulse.operators.lookup import lookup_join
+from chargepulse.operators.lookup import lookup_join, lookup_side
 
 
 def _first(*cases: tuple[Column, str]) -> Column:
@@ -51,9 +51,15 @@ def _enforce(rows: DataFrame, mode: str) -> DataFrame:
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def province_lookup(dim: DataFrame) -> DataFrame:
+    """The province dimension keyed for the join, with its broadcast decision made."""
+    if getattr(dim, "_lookup_checked", False):
+        return dim
+    return lookup_side(dim.select(F.col("province_code").alias("provinceCode"), "province"))
+
+
 def _with_province(rows: DataFrame, dim: DataFrame) -> DataFrame:
-    d = dim.select(F.col("province_code").alias("provinceCode"), "province")
-    return lookup_join(rows, d, "provinceCode", how="left")
+    return lookup_join(rows, province_lookup(dim), "provinceCode", how="left")
 
 
 def good(rows: DataFrame) -> DataFrame:

@@ -15,6 +15,22 @@ from pyspark.sql import DataFrame, functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+def lookup_side(dim: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Decide once how ``dim`` joins: broadcast if its row count is within the bound.
+
+    The returned frame carries the decision, so joining it again (every
+    micro-batch of a stream, say) does not re-count the dimension.
+    """
+    if dim.isStreaming:
+        raise ValueError("the lookup dimension must be a static DataFrame")
+    if getattr(dim, "_lookup_checked", False):
+        return dim
+    n = dim.limit(max_broadcast_rows + 1).count()
+    side = F.broadcast(dim) if n <= max_broadcast_rows else dim
+    side._lookup_checked = True
+    return side
+
+
 def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
                 max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join ``dim`` (unique on ``key``) onto ``fact``.
@@ -22,8 +38,4 @@ def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
     ``how="left"`` keeps unmatched fact rows with NULL dimension columns, which
     is what the quarantine step needs; ``"inner"`` drops them.
     """
-    if dim.isStreaming:
-        raise ValueError("the lookup dimension must be a static DataFrame")
-    n = dim.count()
-    side = F.broadcast(dim) if n <= max_broadcast_rows else dim
-    return fact.join(side, on=key, how=how)
+    return fact.join(lookup_side(dim, max_broadcast_rows), on=key, how=how)

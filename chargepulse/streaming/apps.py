@@ -119,7 +119,8 @@ def notify_partials(clean: DataFrame) -> DataFrame:
 def notify_app(log_stream: DataFrame, dim: DataFrame, root: str, checkpoint: str,
                trigger: str | None = "2 seconds", gate: str = "interface") -> StreamingQuery:
     """Notify messages -> ``root/partials`` (province, minute sums) + ``root/quarantine``."""
-    body = _AppBatch(root, lambda b: C.notify_rows(b, dim, gate), notify_partials)
+    side = C.province_lookup(dim)
+    body = _AppBatch(root, lambda b: C.notify_rows(b, side, gate), notify_partials)
     return _start(log_stream, body, checkpoint, trigger)
 
 
@@ -159,7 +160,8 @@ def request_partials(clean: DataFrame) -> DataFrame:
 
 def request_app(log_stream: DataFrame, dim: DataFrame, root: str, checkpoint: str,
                 trigger: str | None = "2 seconds") -> StreamingQuery:
-    body = _AppBatch(root, lambda b: C.request_rows(b, dim), request_partials)
+    side = C.province_lookup(dim)
+    body = _AppBatch(root, lambda b: C.request_rows(b, side), request_partials)
     return _start(log_stream, body, checkpoint, trigger)
 
 

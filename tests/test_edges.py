@@ -116,3 +116,15 @@ def test_failure_top3(spark, dim):
     top = R.top3_failure_province(C.clean_request(lines(spark, *msgs), dim)).collect()
     assert [(r.province, r.failures, r.failure_rate) for r in top] == [
         ("Beijing", 1, 0.5), ("Shanghai", 1, 1.0), ("Tianjin", 0, 0.0)]
+
+
+def test_lookup_without_broadcast_gives_same_rows(spark, dim):
+    from chargepulse.operators.lookup import lookup_join
+    fact = lines(spark, notify(), notify(provinceCode="2"), notify(provinceCode="99"))
+    p = C.parse_notify(fact)
+    d = dim.withColumnRenamed("province_code", "provinceCode")
+    small = lookup_join(p, d, "provinceCode", max_broadcast_rows=1_000)
+    big = lookup_join(p, d, "provinceCode", max_broadcast_rows=1)
+    assert "BroadcastHashJoin" not in big._jdf.queryExecution().sparkPlan().toString()
+    pick = lambda df: sorted((r.provinceCode, r.province) for r in df.collect())
+    assert pick(small) == pick(big) == [("1", "Beijing"), ("2", "Shanghai"), ("99", None)]
