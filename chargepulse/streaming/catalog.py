@@ -22,6 +22,12 @@ from chargepulse.streaming.sinks import read_batches, read_current
 TIMEOUT = 1800
 
 
+def _state_partitions(spark: SparkSession) -> int:
+    """One state partition per core: the test keys (days, minutes, phone-months
+    of one table) are few; a production job sizes this to its key count."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _split(lines: DataFrame, parts: int) -> DataFrame:
     return lines.withColumn("part", (F.abs(F.xxhash64("value")) % parts).cast("string"))
 
@@ -36,7 +42,8 @@ def _running(kpi, keys, log, clean, batches=3):
         per_trigger = stage_in_batches(spark, log(spark, sf_dir), f"{root}/source", batches)
         stream = clean(spark, sf_dir, read_lines_stream(spark, f"{root}/source", per_trigger))
         agg_schema = kpi(stream).schema
-        run_to_end(running_totals(stream, kpi, f"{root}/totals", f"{root}/checkpoint"), TIMEOUT)
+        run_to_end(running_totals(stream, kpi, f"{root}/totals", f"{root}/checkpoint",
+                                  state_partitions=_state_partitions(spark)), TIMEOUT)
         return read_current(spark, f"{root}/totals", keys, agg_schema)
     return q
 
@@ -92,7 +99,8 @@ def q_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        f"{src}/part{part}", 2)
         stream = _notify_stream(spark, sf_dir, f"{src}/*", per_trigger)
         schema = N.daily_totals(stream).schema
-        run_to_end(running_totals(stream, N.daily_totals, totals, ckpt), TIMEOUT)
+        run_to_end(running_totals(stream, N.daily_totals, totals, ckpt,
+                                  state_partitions=_state_partitions(spark)), TIMEOUT)
     return read_current(spark, totals, ["day"], schema)
 
 

@@ -12,6 +12,7 @@ A restart with the same ``checkpoint`` resumes after the last committed batch
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +21,27 @@ from chargepulse.plans.rollup import with_event_bucket
 from chargepulse.streaming.sinks import ChangelogUpsert, PerBatchWriter
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def _query_conf(spark, conf: dict[str, str]):
+    """Session settings for one query: a query copies the session's settings
+    when it starts, and a stateful query keeps its partition count and state
+    store in its checkpoint from then on."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def _trigger(writer, trigger: str | None):
     if trigger is None or trigger == "availableNow":
         return writer.trigger(availableNow=True)
@@ -28,7 +50,9 @@ def _trigger(writer, trigger: str | None):
 
 def running_totals(clean_stream: DataFrame, kpi: Callable[[DataFrame], DataFrame], sink_path: str,
                    checkpoint: str, trigger: str | None = None, name: str | None = None,
-                   watermark: tuple[str, str, str] | None = None) -> StreamingQuery:
+                   watermark: tuple[str, str, str] | None = None,
+                   state_partitions: int | None = None,
+                   state_store: str | None = ROCKSDB) -> StreamingQuery:
     """T4: ``kpi(clean_stream)`` kept as running totals (update mode + changelog sink).
 
     Without ``watermark`` (the default, as in the reference) every key stays in
@@ -36,6 +60,11 @@ def running_totals(clean_stream: DataFrame, kpi: Callable[[DataFrame], DataFrame
     ``watermark=(time_key, pattern, delay)``, e.g. ``("minute", "yyyyMMddHHmm",
     "2 hours")``, buckets older than ``delay`` are evicted and later rows for
     them are dropped.
+
+    ``state_partitions`` (default: the session's shuffle partitions) and
+    ``state_store`` (default RocksDB: state off the JVM heap, incremental
+    checkpoints) are fixed at the first batch and kept by the checkpoint; size
+    the partitions to the number of keys (days: a handful; phone-months: many).
     """
     if watermark:
         clean_stream = with_event_bucket(clean_stream, *watermark)
@@ -45,7 +74,13 @@ def running_totals(clean_stream: DataFrame, kpi: Callable[[DataFrame], DataFrame
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
-    return _trigger(w, trigger).start()
+    conf = {}
+    if state_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if state_store:
+        conf["spark.sql.streaming.stateStore.providerClass"] = state_store
+    with _query_conf(clean_stream.sparkSession, conf):
+        return _trigger(w, trigger).start()
 
 
 def per_batch(clean_stream: DataFrame, reports: dict[str, Callable[[DataFrame], DataFrame]],
