@@ -113,3 +113,30 @@ def run_to_end(q: StreamingQuery, timeout_sec: float | None = None) -> None:
     err = q.exception()
     if err is not None:
         raise RuntimeError(f"streaming query failed: {err}")
+
+
+def progress_ledger(spark, query: StreamingQuery) -> DataFrame:
+    """Positions per completed micro-batch, from the query's progress reports.
+
+    ``(batch_id, source, start_offset, end_offset, rows)``; offsets are the
+    sources' JSON (for Kafka ``{"topic":{"0":123}}``, the form
+    ``startingOffsets`` takes).  Spark keeps a bounded number of recent reports
+    (``spark.sql.streaming.numRecentProgressUpdates``), so this is small.
+    """
+    import json
+
+    def text(v):
+        return v if isinstance(v, str) or v is None else json.dumps(v)
+
+    rows = [(p["batchId"], s["description"], text(s.get("startOffset")),
+             text(s.get("endOffset")), s.get("numInputRows"))
+            for p in query.recentProgress for s in p.get("sources", [])]
+    return spark.createDataFrame(
+        rows, "batch_id bigint, source string, start_offset string, end_offset string, rows bigint")
+
+
+def resume_positions(ledger: DataFrame) -> DataFrame:
+    """``(source, end_offset)`` of the newest batch per source."""
+    from pyspark.sql import functions as F
+
+    return ledger.groupBy("source").agg(F.max_by("end_offset", "batch_id").alias("end_offset"))

@@ -109,3 +109,18 @@ def test_per_batch_top10_of_one_batch_equals_batch_query(spark):
     run_to_end(per_batch(stream, {"top10": N.top10_province}, f"{root}/out", f"{root}/ck"), 600)
     got = rows(read_batches(spark, f"{root}/out", "top10").drop("batch_id"))
     assert got == rows(N.top10_province(notify_clean(spark, SF001)))
+
+
+def test_progress_ledger(spark):
+    import json
+    from chargepulse.plans.catalog import rlog
+    from chargepulse.sources.files import read_lines_stream, stage_in_batches
+    from chargepulse.streaming.jobs import progress_ledger, raw_to_files, resume_positions, run_to_end
+    root = work_dir(spark, "test-ledger")
+    per = stage_in_batches(spark, rlog(spark, SF001), f"{root}/src", 3)
+    q = raw_to_files(read_lines_stream(spark, f"{root}/src", per), f"{root}/out", f"{root}/ck")
+    run_to_end(q, 600)
+    led = progress_ledger(spark, q)
+    assert led.agg(F.sum("rows")).first()[0] == spark.read.parquet(f"{root}/out").count()
+    last = resume_positions(led).first()
+    assert json.loads(last.end_offset)["logOffset"] == led.agg(F.max("batch_id")).first()[0]
