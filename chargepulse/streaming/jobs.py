@@ -126,11 +126,12 @@ def progress_ledger(spark, query: StreamingQuery) -> DataFrame:
     import json
 
     def text(v):
-        return v if isinstance(v, str) or v is None else json.dumps(v)
+        return v if isinstance(v, str) or v is None else json.dumps(v, separators=(",", ":"))
 
+    reports = [json.loads(p.json) for p in query.recentProgress]
     rows = [(p["batchId"], s["description"], text(s.get("startOffset")),
              text(s.get("endOffset")), s.get("numInputRows"))
-            for p in query.recentProgress for s in p.get("sources", [])]
+            for p in reports for s in p.get("sources", [])]
     return spark.createDataFrame(
         rows, "batch_id bigint, source string, start_offset string, end_offset string, rows bigint")
 
