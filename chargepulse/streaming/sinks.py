@@ -39,10 +39,16 @@ class ChangelogUpsert:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    """Whether a Parquet table exists at ``path`` (nothing is read but the listing)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.parquet(path).inputFiles()
+        return True
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return False
+        raise
 
 
 def read_current(spark: SparkSession, path: str, keys, schema: StructType | None = None) -> DataFrame:
