@@ -141,8 +141,8 @@ def q_month_span(spark, sf_dir):
         "phone", "first_month", "last_month", "months")
 
 
-# Topic names and partition count of the derived position ledger.
-LEDGER_GROUP = "zk001"
+# Fixed values of the derived position ledger: consumer group, topics by message kind, partitions.
+LEDGER_GROUP = "kpi-consumers"
 LEDGER_PARTITIONS = 4
 
 
@@ -345,7 +345,7 @@ t AS (SELECT topic, part, count(*) AS n FROM m GROUP BY 1, 2),
 tp AS (SELECT topic, count(*) AS np,
               '{' || string_agg('"' || CAST(part AS VARCHAR) || '":' || CAST(n AS VARCHAR), ',' ORDER BY part) || '}' AS pj
        FROM t GROUP BY 1)
-SELECT 'zk001' AS group_id, CAST(sum(np) AS BIGINT) AS partitions,
+SELECT 'kpi-consumers' AS group_id, CAST(sum(np) AS BIGINT) AS partitions,
        '{' || string_agg('"' || topic || '":' || pj, ',' ORDER BY topic) || '}' AS starting_offsets
 FROM tp""",
 }

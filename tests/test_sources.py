@@ -6,17 +6,17 @@ from chargepulse.streaming.sinks import jdbc_options
 
 
 def test_kafka_options():
-    o = kafka_source_options("b:9092", {"bigdata"}, max_rate_per_partition=10000,
+    o = kafka_source_options("b:9092", {"recharge"}, max_rate_per_partition=10000,
                              partitions=3, interval_sec=2)
-    assert o["subscribe"] == "bigdata" and o["startingOffsets"] == "earliest"
+    assert o["subscribe"] == "recharge" and o["startingOffsets"] == "earliest"
     assert o["maxOffsetsPerTrigger"] == "60000"
     assert kafka_source_options("b", ["b", "a"])["subscribe"] == "a,b"
     assert kafka_sink_options("b", "t") == {"kafka.bootstrap.servers": "b", "topic": "t"}
 
 
 def test_jdbc_options():
-    o = jdbc_options("jdbc:mysql://h/db", "proHour", user="u", password="p", truncate=True)
-    assert o["dbtable"] == "proHour" and o["truncate"] == "true" and o["batchsize"] == "1000"
+    o = jdbc_options("jdbc:postgresql://h/db", "province_hour_failures", user="u", password="p", truncate=True)
+    assert o["dbtable"] == "province_hour_failures" and o["truncate"] == "true" and o["batchsize"] == "1000"
 
 
 def test_ledger_hyphenated_topic(spark):
