@@ -9,8 +9,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings a job of this library wants; applied only where the cluster has not
-# chosen a value already.
-DEFAULTS = {
+# chosen a value already.  Launch-time settings must reach the builder before
+# the JVM starts; SQL settings are filled in on the running session.
+LAUNCH_DEFAULTS = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+}
+SQL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -18,9 +23,8 @@ DEFAULTS = {
     # Large running-total state (one row per phone and month) lives off-heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
 }
+DEFAULTS = {**LAUNCH_DEFAULTS, **SQL_DEFAULTS}
 
 
 def get_session(master: str | None = None, app: str = "chargepulse",
@@ -28,30 +32,28 @@ def get_session(master: str | None = None, app: str = "chargepulse",
                 extra: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a session.
 
-    :data:`DEFAULTS` fill only the keys the cluster left unset (spark-defaults,
-    submit arguments); ``shuffle_partitions`` and ``extra`` are explicit and win.
+    :data:`SQL_DEFAULTS` fill only the keys the cluster left unset
+    (spark-defaults, submit arguments); ``shuffle_partitions`` and ``extra``
+    are explicit and win.
     """
-    from pyspark import SparkConf
-
     wanted = dict(extra or {})
     if shuffle_partitions:
         wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    active = SparkSession.getActiveSession()
-    if active is None:
-        conf = SparkConf()          # carries spark-defaults and submit arguments
-        for k, v in DEFAULTS.items():
-            if not conf.contains(k):
-                conf.set(k, v)
-        for k, v in wanted.items():
-            conf.set(k, v)
-        b = SparkSession.builder.appName(app).config(conf=conf)
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        b = SparkSession.builder.appName(app)
         if master:
             b = b.master(master)
+        for k, v in {**LAUNCH_DEFAULTS, **wanted}.items():
+            b = b.config(k, v)
         spark = b.getOrCreate()
     else:
-        spark = active
         for k, v in wanted.items():
             spark.conf.set(k, v)
+    configured = spark.sparkContext.getConf()
+    for k, v in SQL_DEFAULTS.items():
+        if not configured.contains(k) and k not in wanted:
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     use_utc(spark)
     return spark
