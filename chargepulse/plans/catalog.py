@@ -168,6 +168,14 @@ def q_offset_ledger_json(spark, sf_dir):
     return starting_offsets_json(ledger(spark, sf_dir))
 
 
+def q_detail_table_daily_totals(spark, sf_dir):
+    """Parse once into a day-partitioned detail table, then M1 from the table."""
+    from chargepulse.plans.detail import read_detail, write_detail
+    from chargepulse.session import work_dir
+    path = write_detail(notify_clean(spark, sf_dir), work_dir(spark, "detail") + "/notify")
+    return N.daily_totals(read_detail(spark, path))
+
+
 # ----------------------------------------------------------------- KPIs ----
 
 def _kpi(plan, clean):
@@ -205,6 +213,7 @@ QUERIES: dict[str, Query] = {
     "elapsed_ms": q_elapsed_ms,
     "month_span": q_month_span,
     "offset_ledger_json": q_offset_ledger_json,
+    "detail_table_daily_totals": q_detail_table_daily_totals,
 }
 
 # ------------------------------------------------------------- oracles -----
@@ -239,6 +248,10 @@ _SUCC = "CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGINT)"
 _MONEY = "CAST(sum(CASE WHEN ok THEN fee ELSE 0 END) AS DECIMAL(18,2))"
 
 ORACLE: dict[str, str] = {
+    "detail_table_daily_totals": f"""WITH {NOTIFY_CTE}
+SELECT strftime(ts, '%Y%m%d') AS day, count(*) AS total, {_MONEY} AS money,
+       {_SUCC} AS success, CAST(sum(ms) AS BIGINT) AS costtime
+FROM c GROUP BY 1""",
     "daily_totals": f"""WITH {NOTIFY_CTE}
 SELECT strftime(ts, '%Y%m%d') AS day, count(*) AS total, {_MONEY} AS money,
        {_SUCC} AS success, CAST(sum(ms) AS BIGINT) AS costtime
