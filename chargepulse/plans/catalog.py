@@ -214,6 +214,10 @@ QUERIES: dict[str, Query] = {
     "month_span": q_month_span,
     "offset_ledger_json": q_offset_ledger_json,
     "detail_table_daily_totals": q_detail_table_daily_totals,
+    # the notify app's gate as written (business success required: no failures reach the KPIs)
+    "daily_totals_business": lambda spark, sf_dir: N.daily_totals(notify_clean(spark, sf_dir, "business")),
+    "top10_province_business": lambda spark, sf_dir: N.top10_province(
+        notify_clean(spark, sf_dir, "business")),
 }
 
 # ------------------------------------------------------------- oracles -----
@@ -244,10 +248,24 @@ TOPUP_CTE = """c AS (
          strftime(o_orderdate, '%Y-%m') AS month, strftime(o_orderdate, '%Y-%m-%d') AS day
   FROM orders)"""
 
+BUSINESS_CTE = f"""c AS (
+  SELECT e.ts, n.n_name AS province, {_OK} AS ok, CAST(e.value AS DECIMAL(18,2)) AS fee,
+         e.event_id * 37 % 60000 AS ms
+  FROM events e JOIN nation n ON n.n_nationkey = e.user_id % 25
+  WHERE e.event_type IN ('purchase','error') AND {_OK})"""
+
 _SUCC = "CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGINT)"
 _MONEY = "CAST(sum(CASE WHEN ok THEN fee ELSE 0 END) AS DECIMAL(18,2))"
 
 ORACLE: dict[str, str] = {
+    "daily_totals_business": f"""WITH {BUSINESS_CTE}
+SELECT strftime(ts, '%Y%m%d') AS day, count(*) AS total, {_MONEY} AS money,
+       {_SUCC} AS success, CAST(sum(ms) AS BIGINT) AS costtime
+FROM c GROUP BY 1""",
+    "top10_province_business": f"""WITH {BUSINESS_CTE}
+SELECT province, CAST({_SUCC} AS DOUBLE) / CAST(count(*) AS DOUBLE) AS success_rate,
+       count(*) AS orders
+FROM c GROUP BY 1 ORDER BY orders DESC, province ASC LIMIT 10""",
     "detail_table_daily_totals": f"""WITH {NOTIFY_CTE}
 SELECT strftime(ts, '%Y%m%d') AS day, count(*) AS total, {_MONEY} AS money,
        {_SUCC} AS success, CAST(sum(ms) AS BIGINT) AS costtime
