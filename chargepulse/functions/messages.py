@@ -41,10 +41,6 @@ def parse_json(log: DataFrame, fields, value_col: str = "value", keep_value: boo
     msg = F.from_json(F.col(value_col), message_schema(fields),
                       {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
     keep = [F.col(value_col)] if keep_value else []
-    out = log.select(*keep, F.inline(F.array(msg)))
-    bad = F.col(value_col).isNull() | F.col(CORRUPT).isNotNull() if keep_value else \
-        F.col(CORRUPT).isNotNull() | F.col("_null_value")
-    if keep_value:
-        return out.select(*keep, *[F.col(f) for f in fields], bad.alias("bad_json"))
-    out = log.select(F.col(value_col).isNull().alias("_null_value"), F.inline(F.array(msg)))
-    return out.select(*[F.col(f) for f in fields], bad.alias("bad_json"))
+    out = log.select(*keep, F.col(value_col).isNull().alias("_null_value"), F.inline(F.array(msg)))
+    bad = F.col("_null_value") | F.col(CORRUPT).isNotNull()
+    return out.select(*keep, *[F.col(f) for f in fields], bad.alias("bad_json"))
