@@ -62,6 +62,12 @@ def _with_province(rows: DataFrame, dim: DataFrame) -> DataFrame:
     return lookup_join(rows, province_lookup(dim), "provinceCode", how="left")
 
 
+def _raw_if_bad(reason: Column) -> Column:
+    """The raw message, kept only for quarantined rows (a persisted batch of
+    good rows then carries just the narrow clean columns)."""
+    return F.when(reason.isNotNull(), F.col("value")).alias("value")
+
+
 def good(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("reason").isNull()).drop("reason")
 
@@ -99,7 +105,7 @@ def notify_rows(log: DataFrame, dim: DataFrame, gate: str = "interface") -> Data
         F.when(F.col("costtime").isNull(), F.lit("bad_time")),
         F.when(F.col("province").isNull(), F.lit("unknown_province")))
     return j.select(
-        "value",
+        _raw_if_bad(reason),
         rid.alias("request_id"),
         prefix(rid, 8).alias("day"),
         prefix(rid, 10).alias("hour"),
@@ -163,7 +169,7 @@ def request_rows(log: DataFrame, dim: DataFrame) -> DataFrame:
         F.when(F.col("start_ts").isNull(), F.lit("bad_time")),
         F.when(F.col("province").isNull(), F.lit("unknown_province")))
     return j.select(
-        "value",
+        _raw_if_bad(reason),
         st.alias("start_time"),
         prefix(st, 10).alias("hour"),
         prefix(st, 12).alias("minute"),
@@ -193,7 +199,7 @@ def topup_rows(log: DataFrame) -> DataFrame:
                     (~iso_day_ok("date"), "bad_time"))
     month = prefix("date", 7)
     return p.select(
-        "value",
+        _raw_if_bad(reason),
         month.alias("month"),
         prefix("date", 10).alias("day"),
         F.col("phoneNum").alias("phone"),
