@@ -106,10 +106,11 @@ def console(stream: DataFrame, trigger: str | None = "2 seconds", rows: int = 20
 
 
 def run_to_end(q: StreamingQuery, timeout_sec: float | None = None) -> None:
-    """Wait for an ``availableNow`` query; raise its error if it failed."""
-    q.awaitTermination(timeout_sec)
-    if q.isActive:
+    """Wait for an ``availableNow`` query; raise if it failed or did not finish in time."""
+    finished = q.awaitTermination(timeout_sec)
+    if finished is False or q.isActive:
         q.stop()
+        raise TimeoutError(f"streaming query {q.id} did not finish within {timeout_sec} s")
     err = q.exception()
     if err is not None:
         raise RuntimeError(f"streaming query failed: {err}")
