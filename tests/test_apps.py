@@ -105,3 +105,19 @@ def test_compaction_notify_per_batch_excludes_snapshot(spark, notify_out):
     res = A.notify_results(spark, notify_out)
     assert rows(res["daily_totals"]) == rows(QUERIES["daily_totals"](spark, SF001))
     assert res["batch_hourly_totals"].where("batch_id IS NULL").count() == 0
+
+
+def test_processing_time_trigger_picks_up_new_files(spark):
+    root = work_dir(spark, "test-app-trigger")
+    lines = rlog(spark, SF001)
+    stage_lines(lines.where(F.col("value").contains('"provinceCode":"1"')), f"{root}/src/a", files=1)
+    stream = read_lines_stream(spark, f"{root}/src/*", 1)
+    q = A.notify_app(stream, dim(spark, SF001), f"{root}/out", f"{root}/ck", trigger="1 second")
+    try:
+        q.processAllAvailable()
+        stage_lines(lines.where(~F.col("value").contains('"provinceCode":"1"')), f"{root}/src/b", files=1)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    res = A.notify_results(spark, f"{root}/out")
+    assert rows(res["daily_totals"]) == rows(QUERIES["daily_totals"](spark, SF001))
