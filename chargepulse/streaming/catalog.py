@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chargepulse.operators import clean as C
 from chargepulse.plans import notify as N, topup as T
-from chargepulse.plans.catalog import ORACLE, dim, rlog, tlog
+from chargepulse.plans.catalog import _NAME, _RID, ORACLE, dim, rlog, tlog
 from chargepulse.session import work_dir
 from chargepulse.sources.files import read_lines_stream, stage_in_batches
 from chargepulse.streaming import apps as A
@@ -130,11 +130,6 @@ STREAM_QUERIES = {
                              with_dim=False),
 }
 
-_RID = "strftime(e.ts, '%Y%m%d%H%M%S%g') || lpad(CAST(e.event_id AS VARCHAR), 15, '0')"
-_NAME = ("CASE WHEN e.event_type IN ('purchase','error') AND e.event_id % 7 = 0 THEN 'RECHARGENOTIFYREQ' "
-         "WHEN e.event_type IN ('purchase','error') THEN 'reChargeNotifyReq' "
-         "WHEN e.event_type IN ('signup','click') THEN 'sendRechargeReq' ELSE 'makeNewOrder' END")
-
 STREAM_ORACLE = {
     "stream_read_log": f"SELECT {_RID} AS request_id, {_NAME} AS service_name FROM events e",
     "stream_daily_totals": ORACLE["daily_totals"],
