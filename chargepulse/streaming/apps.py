@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 from chargepulse.operators import clean as C
 from chargepulse.plans import notify as N, request as R, topup as T
 from chargepulse.plans.rollup import rollup
-from chargepulse.streaming.sinks import BATCH_COL, _overwrite_batch
+from chargepulse.streaming.sinks import BATCH_COL, _overwrite_batch, claim_output
 
 
 class _AppBatch:
@@ -104,6 +104,7 @@ def _batches(p: DataFrame) -> DataFrame:
 
 def _start(log_stream: DataFrame, body: _AppBatch, checkpoint: str,
            trigger: str | None) -> StreamingQuery:
+    claim_output(log_stream.sparkSession, body.root, checkpoint)
     w = log_stream.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger in (None, "availableNow") \
         else w.trigger(processingTime=trigger)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from chargepulse.plans.rollup import with_event_bucket
-from chargepulse.streaming.sinks import ChangelogUpsert, PerBatchWriter
+from chargepulse.streaming.sinks import ChangelogUpsert, PerBatchWriter, claim_output
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -68,6 +68,7 @@ def running_totals(clean_stream: DataFrame, kpi: Callable[[DataFrame], DataFrame
     """
     if watermark:
         clean_stream = with_event_bucket(clean_stream, *watermark)
+    claim_output(clean_stream.sparkSession, sink_path, checkpoint)
     agg = kpi(clean_stream)
     w = (agg.writeStream.outputMode("update")
          .foreachBatch(ChangelogUpsert(sink_path))
@@ -86,6 +87,7 @@ def running_totals(clean_stream: DataFrame, kpi: Callable[[DataFrame], DataFrame
 def per_batch(clean_stream: DataFrame, reports: dict[str, Callable[[DataFrame], DataFrame]],
               root: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
     """Each report over each micro-batch, kept per ``batch_id``."""
+    claim_output(clean_stream.sparkSession, root, checkpoint)
     w = (clean_stream.writeStream.foreachBatch(PerBatchWriter(root, reports))
          .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()

@@ -22,6 +22,36 @@ def _overwrite_batch(df: DataFrame, path: str, batch_id: int) -> None:
        .parquet(path))
 
 
+def claim_output(spark: SparkSession, root: str, checkpoint: str) -> None:
+    """Bind an output folder to one checkpoint.
+
+    Outputs are keyed by ``batch_id``, which starts again at 0 under a new
+    checkpoint; a second checkpoint writing into the same folder would overwrite
+    the first one's batches.  The first query records its checkpoint in
+    ``root/_owner``; a query with another checkpoint is refused.
+    """
+    owner = f"{root.rstrip('/')}/_owner"
+    want = checkpoint.rstrip("/")
+    if _exists_text(spark, owner):
+        have = spark.read.text(owner).first()
+        if have is not None and have[0] != want:
+            raise ValueError(f"{root} belongs to checkpoint {have[0]}, not {want}")
+        return
+    spark.createDataFrame([(want,)], "value string").coalesce(1).write.mode("overwrite").text(owner)
+
+
+def _exists_text(spark: SparkSession, path: str) -> bool:
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.text(path).inputFiles()
+        return True
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return False
+        raise
+
+
 class ChangelogUpsert:
     """``foreachBatch`` sink for an update-mode aggregate: absolute values per key.
 

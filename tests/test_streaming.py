@@ -124,3 +124,12 @@ def test_progress_ledger(spark):
     assert led.agg(F.sum("rows")).first()[0] == spark.read.parquet(f"{root}/out").count()
     last = resume_positions(led).first()
     assert json.loads(last.end_offset)["logOffset"] == led.agg(F.max("batch_id")).first()[0]
+
+
+def test_output_folder_belongs_to_one_checkpoint(spark):
+    from chargepulse.streaming.sinks import claim_output
+    root = work_dir(spark, "test-claim")
+    claim_output(spark, f"{root}/out", f"{root}/ck1")
+    claim_output(spark, f"{root}/out", f"{root}/ck1")      # the same query restarting: fine
+    with pytest.raises(ValueError):
+        claim_output(spark, f"{root}/out", f"{root}/ck2")
