@@ -71,7 +71,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         jdir = spark.sparkContext.getCheckpointDir()
         root = jdir if jdir else None
     if not root:
-        # Only reached when the cluster names no shared folder (local tests).
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        # Local runs only (tests): a temp folder on this machine is shared by all threads.
         root = tempfile.mkdtemp(prefix="chargepulse-")
         spark.sparkContext.setCheckpointDir(root)
     return root
