@@ -53,7 +53,7 @@ def _enforce(rows: DataFrame, mode: str) -> DataFrame:
 
 def province_lookup(dim: DataFrame) -> DataFrame:
     """The province dimension keyed for the join, with its broadcast decision made."""
-    if getattr(dim, "_lookup_checked", False):
+    if dim.__dict__.get("_lookup_checked"):
         return dim
     return lookup_side(dim.select(F.col("province_code").alias("provinceCode"), "province"))
 
@@ -69,7 +69,9 @@ def _raw_if_bad(reason: Column) -> Column:
 
 
 def good(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col("reason").isNull()).drop("reason")
+    """Clean rows: no reason, and neither the reason nor the raw message."""
+    keep = [c for c in rows.columns if c not in ("reason", "value")]
+    return rows.where(F.col("reason").isNull()).select(*keep)
 
 
 def quarantined(rows: DataFrame) -> DataFrame:
@@ -122,7 +124,7 @@ def notify_rows(log: DataFrame, dim: DataFrame, gate: str = "interface") -> Data
 def clean_notify(log: DataFrame, dim: DataFrame, gate: str = "interface",
                  mode: str = "quarantine") -> DataFrame:
     """``request_id, day, hour, minute, province_code, province, success, money, costtime``."""
-    return good(_enforce(notify_rows(log, dim, gate), mode)).drop("value")
+    return good(_enforce(notify_rows(log, dim, gate), mode))
 
 
 def ods_detail(log: DataFrame, dim: DataFrame, mode: str = "quarantine") -> DataFrame:
@@ -184,7 +186,7 @@ def request_rows(log: DataFrame, dim: DataFrame) -> DataFrame:
 
 def clean_request(log: DataFrame, dim: DataFrame, mode: str = "quarantine") -> DataFrame:
     """``start_time, hour, minute, province_code, province, success, money, should_money``."""
-    return good(_enforce(request_rows(log, dim), mode)).drop("value")
+    return good(_enforce(request_rows(log, dim), mode))
 
 
 # ----------------------------------------------------------------- top-up --
@@ -211,4 +213,4 @@ def topup_rows(log: DataFrame) -> DataFrame:
 
 def clean_topup(log: DataFrame, mode: str = "quarantine") -> DataFrame:
     """``month, day, phone, money, month_of_year``."""
-    return good(_enforce(topup_rows(log), mode)).drop("value")
+    return good(_enforce(topup_rows(log), mode))

@@ -23,7 +23,7 @@ def lookup_side(dim: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS) ->
     """
     if dim.isStreaming:
         raise ValueError("the lookup dimension must be a static DataFrame")
-    if getattr(dim, "_lookup_checked", False):
+    if dim.__dict__.get("_lookup_checked"):      # instance flag; no column lookup
         return dim
     n = dim.limit(max_broadcast_rows + 1).count()
     side = F.broadcast(dim) if n <= max_broadcast_rows else dim
