@@ -10,10 +10,16 @@ The write is range-partitioned on ``(day, minute)``: each task writes one
 contiguous time slice, so a day holding a third of all rows is split over a
 third of the tasks instead of landing in one, and each task opens only one or
 two day folders (file count ~ number of tasks, not tasks x days).
+
+Range partitioning first samples its whole input.  The clean rows are
+therefore persisted (on executor disks, narrow columns only) so that the
+sampling pass parses the messages once and the write reads them back,
+instead of parsing everything twice; lost blocks are recomputed from lineage.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 PARTITION_COL = "day"
@@ -26,8 +32,12 @@ def write_detail(clean: DataFrame, path: str, files: int | None = None) -> str:
     range slices, hence roughly the number of files.
     """
     n = files or int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (clean.repartitionByRange(n, PARTITION_COL, "minute")
-          .write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path))
+    staged = clean.persist(StorageLevel.DISK_ONLY)
+    try:
+        (staged.repartitionByRange(n, PARTITION_COL, "minute")
+               .write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path))
+    finally:
+        staged.unpersist()
     return path
 
 
