@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from chargepulse.operators import clean as C
@@ -55,8 +56,10 @@ def run_report(spark: SparkSession, kind: str, input_path: str, out: str,
     """Batch: every KPI of ``kind`` over the JSON lines under ``input_path``."""
     log = spark.read.text(input_path)
     out = out.rstrip("/")
+    # Rows are persisted (executor disks, raw text only on bad rows) so that the
+    # KPIs and the quarantine table come from one parse of the messages.
     if kind == "topup":
-        rows = C.topup_rows(log)
+        rows = C.topup_rows(log).persist(StorageLevel.DISK_ONLY)
         clean = C.good(rows)
         kpis = {"topup_daily_money": T.topup_daily_money(clean),
                 "month_phone_avg": T.month_phone_avg(clean),
@@ -64,18 +67,21 @@ def run_report(spark: SparkSession, kind: str, input_path: str, out: str,
     else:
         dim = C.province_lookup(province_dim(read_province_text(spark, dim_path)))
         if kind == "notify":
-            rows = C.notify_rows(log, dim, gate)
+            rows = C.notify_rows(log, dim, gate).persist(StorageLevel.DISK_ONLY)
             kpis = N.notify_report(C.good(rows))
         else:
-            rows = C.request_rows(log, dim)
+            rows = C.request_rows(log, dim).persist(StorageLevel.DISK_ONLY)
             clean = C.good(rows)
             kpis = {"top3_failure_province": R.top3_failure_province(clean),
                     "province_minute": R.province_minute(clean),
                     "province_hour": R.province_hour(clean)}
     written = {}
-    for name, df in {**kpis, "quarantine": C.quarantined(rows)}.items():
-        df.write.mode("overwrite").parquet(f"{out}/{name}")
-        written[name] = f"{out}/{name}"
+    try:
+        for name, df in {**kpis, "quarantine": C.quarantined(rows)}.items():
+            df.write.mode("overwrite").parquet(f"{out}/{name}")
+            written[name] = f"{out}/{name}"
+    finally:
+        rows.unpersist()
     return written
 
 
