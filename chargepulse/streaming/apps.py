@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chargepulse.operators import clean as C
+from chargepulse.operators.spread import spread
 from chargepulse.plans import notify as N, request as R, topup as T
 from chargepulse.plans.rollup import rollup
 from chargepulse.streaming.sinks import BATCH_COL, _overwrite_batch, claim_output
@@ -42,7 +43,9 @@ class _AppBatch:
         self.partials = partials
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        rows = self.rows(batch).persist()
+        # A micro-batch drawn from one large file or partition arrives as few
+        # partitions; spread it before the per-message work.
+        rows = self.rows(spread(batch)).persist()
         try:
             _overwrite_batch(self.partials(C.good(rows)), f"{self.root}/partials", batch_id)
             _overwrite_batch(C.quarantined(rows), f"{self.root}/quarantine", batch_id)

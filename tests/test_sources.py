@@ -11,6 +11,7 @@ def test_kafka_options():
     assert o["subscribe"] == "recharge" and o["startingOffsets"] == "earliest"
     assert o["maxOffsetsPerTrigger"] == "60000"
     assert kafka_source_options("b", ["b", "a"])["subscribe"] == "a,b"
+    assert kafka_source_options("b", "t", min_partitions=64)["minPartitions"] == "64"
     assert kafka_sink_options("b", "t") == {"kafka.bootstrap.servers": "b", "topic": "t"}
 
 
