@@ -14,7 +14,11 @@ from pyspark.sql import DataFrame
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.isStreaming:
         return df
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    from chargepulse.session import parallelism
+
+    want = min_partitions or parallelism(df.sparkSession)
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the input as it is
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)

@@ -65,6 +65,14 @@ def use_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Cores of the cluster (falls back to the shuffle partitions setting)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:

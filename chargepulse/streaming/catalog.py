@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from chargepulse.operators import clean as C
 from chargepulse.plans import notify as N, topup as T
 from chargepulse.plans.catalog import _NAME, _RID, ORACLE, dim, rlog, tlog
-from chargepulse.session import work_dir
+from chargepulse.session import parallelism, work_dir
 from chargepulse.sources.files import read_lines_stream, stage_in_batches
 from chargepulse.streaming import apps as A
 from chargepulse.streaming.jobs import per_batch, raw_to_files, run_to_end, running_totals
@@ -25,7 +25,7 @@ TIMEOUT = 1800
 def _state_partitions(spark: SparkSession) -> int:
     """One state partition per core: the test keys (days, minutes, phone-months
     of one table) are few; a production job sizes this to its key count."""
-    return spark.sparkContext.defaultParallelism
+    return parallelism(spark)
 
 
 def _split(lines: DataFrame, parts: int) -> DataFrame:
