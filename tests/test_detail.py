@@ -6,6 +6,7 @@ from chargepulse.plans.detail import read_detail, write_detail
 from chargepulse.session import work_dir
 
 from conftest import SF001
+from tools import explain_text
 
 
 def rows(df):
@@ -18,8 +19,8 @@ def test_detail_table_kpis_and_pruning(spark):
     assert rows(N.daily_totals(t)) == rows(QUERIES["daily_totals"](spark, SF001))
     assert rows(N.top10_province(t)) == rows(QUERIES["top10_province"](spark, SF001))
     some = read_detail(spark, path, first_day="20240105", last_day="20240107")
-    plan = some._jdf.queryExecution().executedPlan().toString()
+    plan = explain_text(some)
     assert "PartitionFilters: [isnotnull(day" in plan or "PartitionFilters: [" in plan
     assert sorted(r.day for r in N.daily_totals(some).collect()) == ["20240105", "20240106", "20240107"]
-    scan = N.hourly_totals(t)._jdf.queryExecution().executedPlan().toString()
+    scan = explain_text(N.hourly_totals(t))
     assert "costtime" not in scan.split("ReadSchema:")[1].split("\n")[0]

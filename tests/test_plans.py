@@ -4,11 +4,11 @@ global sort, pruned scans, no Python UDF in any plan."""
 from chargepulse.plans.catalog import QUERIES
 
 from conftest import SF001
+from tools import explain_text
 
 
 def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString() + \
-        df._jdf.queryExecution().optimizedPlan().toString()
+    return explain_text(df, "formatted") + explain_text(df, "extended")
 
 
 def test_daily_totals_plan(spark):

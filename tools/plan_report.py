@@ -13,6 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from chargepulse.plans.catalog import QUERIES  # noqa: E402
 from chargepulse.session import get_session  # noqa: E402
+from tools import explain_text  # noqa: E402
 
 
 def summarize(plan: str) -> dict:
@@ -38,8 +39,7 @@ def main(argv):
     print("| --- | --- | --- | --- | --- | --- | --- | --- |")
     for k, q in QUERIES.items():
         df = q(spark, sf_dir)
-        plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted") \
-            if hasattr(df._sc._jvm, "PythonSQLUtils") else ""
+        plan = explain_text(df, "formatted")
         s = summarize(plan)
         shuffles = ", ".join(sorted(set(e for e in s["exchanges"]))) or "-"
         scans = "; ".join(sc[7:-1] for sc in s["scans"])
