@@ -60,10 +60,7 @@ def run_report(spark: SparkSession, kind: str, input_path: str, out: str,
     # KPIs and the quarantine table come from one parse of the messages.
     if kind == "topup":
         rows = C.topup_rows(log).persist(StorageLevel.DISK_ONLY)
-        clean = C.good(rows)
-        kpis = {"topup_daily_money": T.topup_daily_money(clean),
-                "month_phone_avg": T.month_phone_avg(clean),
-                "phone_mean_monthly": T.phone_mean_monthly(clean)}
+        kpis = T.topup_report(C.good(rows))
     else:
         dim = C.province_lookup(province_dim(read_province_text(spark, dim_path)))
         if kind == "notify":
@@ -71,10 +68,7 @@ def run_report(spark: SparkSession, kind: str, input_path: str, out: str,
             kpis = N.notify_report(C.good(rows))
         else:
             rows = C.request_rows(log, dim).persist(StorageLevel.DISK_ONLY)
-            clean = C.good(rows)
-            kpis = {"top3_failure_province": R.top3_failure_province(clean),
-                    "province_minute": R.province_minute(clean),
-                    "province_hour": R.province_hour(clean)}
+            kpis = R.request_report(C.good(rows))
     written = {}
     try:
         for name, df in {**kpis, "quarantine": C.quarantined(rows)}.items():

@@ -42,3 +42,21 @@ def phone_mean_monthly(clean: DataFrame) -> DataFrame:
     months = month_span("first_month", "last_month")
     return s.select("phone", "total", "first_month", "last_month", months.alias("months"),
                     (F.col("total").cast("double") / months.cast("double")).alias("mean_monthly"))
+
+
+def topup_base(clean: DataFrame) -> DataFrame:
+    """Finest common grain of M9, M10 and A7: ``(month, day, phone)`` with ``orders`` and ``money``."""
+    return clean.groupBy("month", "day", "phone").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("money").cast("bigint").alias("money"))
+
+
+def topup_report(clean: DataFrame, materialize: bool = True) -> dict[str, DataFrame]:
+    """M9, M10, A7 from one pass over the top-ups."""
+    base = topup_base(clean)
+    if materialize:
+        from chargepulse.session import checkpoint_root
+        checkpoint_root(clean.sparkSession)
+        base = base.checkpoint(eager=True)
+    return {"topup_daily_money": topup_daily_money(base),
+            "month_phone_avg": month_phone_avg(base),
+            "phone_mean_monthly": phone_mean_monthly(base)}

@@ -159,7 +159,7 @@ def notify_results(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 # ---------------------------------------------------------------- request --
 
 def request_partials(clean: DataFrame) -> DataFrame:
-    return rollup(clean, ["province", "minute"], ["money", "success"])
+    return R.request_base(clean).drop("hour")
 
 
 def request_app(log_stream: DataFrame, dim: DataFrame, root: str, checkpoint: str,
@@ -187,8 +187,7 @@ def request_results(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 # ----------------------------------------------------------------- top-up --
 
 def topup_partials(clean: DataFrame) -> DataFrame:
-    return clean.groupBy("month", "day", "phone").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("money").cast("bigint").alias("money"))
+    return T.topup_base(clean)
 
 
 def topup_app(log_stream: DataFrame, root: str, checkpoint: str,

@@ -133,3 +133,12 @@ def test_output_folder_belongs_to_one_checkpoint(spark):
     claim_output(spark, f"{root}/out", f"{root}/ck1")      # the same query restarting: fine
     with pytest.raises(ValueError):
         claim_output(spark, f"{root}/out", f"{root}/ck2")
+
+
+def test_request_and_topup_reports_equal_direct_queries(spark):
+    from chargepulse.plans import request as R, topup as T
+    from chargepulse.plans.catalog import request_clean, topup_clean
+    for name, df in R.request_report(request_clean(spark, SF001)).items():
+        assert rows(df) == rows(QUERIES[name](spark, SF001)), name
+    for name, df in T.topup_report(topup_clean(spark, SF001)).items():
+        assert rows(df) == rows(QUERIES[name](spark, SF001)), name
