@@ -142,3 +142,13 @@ def test_request_and_topup_reports_equal_direct_queries(spark):
         assert rows(df) == rows(QUERIES[name](spark, SF001)), name
     for name, df in T.topup_report(topup_clean(spark, SF001)).items():
         assert rows(df) == rows(QUERIES[name](spark, SF001)), name
+
+
+def test_changelog_compaction(spark):
+    from chargepulse.streaming.sinks import compact
+    root = work_dir(spark, "test-changelog-compact")
+    sink = ChangelogUpsert(f"{root}/log")
+    sink(spark.createDataFrame([("d1", 1), ("d2", 5)], "day string, total bigint"), 0)
+    sink(spark.createDataFrame([("d1", 4)], "day string, total bigint"), 1)
+    snap = compact(spark, f"{root}/log", ["day"], f"{root}/snap")
+    assert rows(snap) == [("d1", 4), ("d2", 5)] == rows(read_current(spark, f"{root}/log", ["day"]))
