@@ -25,13 +25,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 PARTITION_COL = "day"
 
 
+def _default_slices(clean: DataFrame) -> int:
+    n = int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        return max(n, clean.rdd.getNumPartitions())
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect)
+        return n
+
+
 def write_detail(clean: DataFrame, path: str, files: int | None = None) -> str:
     """Write clean rows (with ``day`` and ``minute``) under ``path/day=<yyyyMMdd>/``.
 
-    ``files`` (default: the session's shuffle partitions) sets the number of
-    range slices, hence roughly the number of files.
+    ``files`` sets the number of range slices, hence roughly the number of
+    files.  By default it grows with the input: one slice per input split (at
+    least the session's shuffle partitions), so slices stay near the split size.
     """
-    n = files or int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = files or _default_slices(clean)
     staged = clean.persist(StorageLevel.DISK_ONLY)
     try:
         (staged.repartitionByRange(n, PARTITION_COL, "minute")
