@@ -41,14 +41,14 @@ def _source(spark: SparkSession, spec: str, max_files: int | None) -> DataFrame:
 
 def run_app(spark: SparkSession, kind: str, source: str, out: str, checkpoint: str,
             dim_path: str | None = None, trigger: str | None = "2 seconds",
-            gate: str = "interface", max_files: int | None = None):
+            gate: str = "interface", max_files: int | None = None, mode: str = "quarantine"):
     stream = _source(spark, source, max_files)
     if kind == "topup":
-        return A.topup_app(stream, out, checkpoint, trigger=trigger)
+        return A.topup_app(stream, out, checkpoint, trigger=trigger, mode=mode)
     dim = province_dim(read_province_text(spark, dim_path))
     if kind == "notify":
-        return A.notify_app(stream, dim, out, checkpoint, trigger=trigger, gate=gate)
-    return A.request_app(stream, dim, out, checkpoint, trigger=trigger)
+        return A.notify_app(stream, dim, out, checkpoint, trigger=trigger, gate=gate, mode=mode)
+    return A.request_app(stream, dim, out, checkpoint, trigger=trigger, mode=mode)
 
 
 def run_report(spark: SparkSession, kind: str, input_path: str, out: str,
@@ -91,6 +91,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     a.add_argument("--trigger", default="2 seconds", help='"2 seconds" or "availableNow"')
     a.add_argument("--gate", default="interface", choices=("interface", "business"))
     a.add_argument("--max-files-per-trigger", type=int)
+    a.add_argument("--mode", default="quarantine", choices=("quarantine", "strict"))
     r = sub.add_parser("report", help="batch KPIs of a folder of messages")
     r.add_argument("kind", choices=KINDS)
     r.add_argument("--input", required=True)
@@ -104,7 +105,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     if args.command == "report":
         return run_report(spark, args.kind, args.input, args.out, args.dim, args.gate)
     q = run_app(spark, args.kind, args.source, args.out, args.checkpoint, args.dim,
-                args.trigger, args.gate, args.max_files_per_trigger)
+                args.trigger, args.gate, args.max_files_per_trigger, args.mode)
     if args.trigger == "availableNow":
         run_to_end(q)
     else:

@@ -41,7 +41,8 @@ def _amount_reason(raw: str, needed: Column) -> Column:
     return F.when(bad, F.lit("bad_amount"))
 
 
-def _enforce(rows: DataFrame, mode: str) -> DataFrame:
+def enforce(rows: DataFrame, mode: str) -> DataFrame:
+    """``quarantine``: keep bad rows (with their reason); ``strict``: fail on the first."""
     if mode == "quarantine":
         return rows
     if mode == "strict":
@@ -124,7 +125,7 @@ def notify_rows(log: DataFrame, dim: DataFrame, gate: str = "interface") -> Data
 def clean_notify(log: DataFrame, dim: DataFrame, gate: str = "interface",
                  mode: str = "quarantine") -> DataFrame:
     """``request_id, day, hour, minute, province_code, province, success, money, costtime``."""
-    return good(_enforce(notify_rows(log, dim, gate), mode))
+    return good(enforce(notify_rows(log, dim, gate), mode))
 
 
 def ods_detail(log: DataFrame, dim: DataFrame, mode: str = "quarantine") -> DataFrame:
@@ -132,7 +133,7 @@ def ods_detail(log: DataFrame, dim: DataFrame, mode: str = "quarantine") -> Data
 
     ``success``, ``fee`` and ``ms`` are zeroed when the business result fails.
     """
-    rows = _enforce(notify_rows(log, dim, gate="ods"), mode)
+    rows = enforce(notify_rows(log, dim, gate="ods"), mode)
     ok = F.col("success") == 1
     return good(rows).select(
         "request_id",
@@ -186,7 +187,7 @@ def request_rows(log: DataFrame, dim: DataFrame) -> DataFrame:
 
 def clean_request(log: DataFrame, dim: DataFrame, mode: str = "quarantine") -> DataFrame:
     """``start_time, hour, minute, province_code, province, success, money, should_money``."""
-    return good(_enforce(request_rows(log, dim), mode))
+    return good(enforce(request_rows(log, dim), mode))
 
 
 # ----------------------------------------------------------------- top-up --
@@ -213,4 +214,4 @@ def topup_rows(log: DataFrame) -> DataFrame:
 
 def clean_topup(log: DataFrame, mode: str = "quarantine") -> DataFrame:
     """``month, day, phone, money, month_of_year``."""
-    return good(_enforce(topup_rows(log), mode))
+    return good(enforce(topup_rows(log), mode))

@@ -121,10 +121,14 @@ def notify_partials(clean: DataFrame) -> DataFrame:
 
 
 def notify_app(log_stream: DataFrame, dim: DataFrame, root: str, checkpoint: str,
-               trigger: str | None = "2 seconds", gate: str = "interface") -> StreamingQuery:
-    """Notify messages -> ``root/partials`` (province, minute sums) + ``root/quarantine``."""
+               trigger: str | None = "2 seconds", gate: str = "interface",
+               mode: str = "quarantine") -> StreamingQuery:
+    """Notify messages -> ``root/partials`` (province, minute sums) + ``root/quarantine``.
+
+    ``mode="strict"`` fails the batch (and the query) on a bad message instead.
+    """
     side = C.province_lookup(dim)
-    body = _AppBatch(root, lambda b: C.notify_rows(b, side, gate), notify_partials)
+    body = _AppBatch(root, lambda b: C.enforce(C.notify_rows(b, side, gate), mode), notify_partials)
     return _start(log_stream, body, checkpoint, trigger)
 
 
@@ -163,9 +167,9 @@ def request_partials(clean: DataFrame) -> DataFrame:
 
 
 def request_app(log_stream: DataFrame, dim: DataFrame, root: str, checkpoint: str,
-                trigger: str | None = "2 seconds") -> StreamingQuery:
+                trigger: str | None = "2 seconds", mode: str = "quarantine") -> StreamingQuery:
     side = C.province_lookup(dim)
-    body = _AppBatch(root, lambda b: C.request_rows(b, side), request_partials)
+    body = _AppBatch(root, lambda b: C.enforce(C.request_rows(b, side), mode), request_partials)
     return _start(log_stream, body, checkpoint, trigger)
 
 
@@ -191,8 +195,8 @@ def topup_partials(clean: DataFrame) -> DataFrame:
 
 
 def topup_app(log_stream: DataFrame, root: str, checkpoint: str,
-              trigger: str | None = "2 seconds") -> StreamingQuery:
-    body = _AppBatch(root, C.topup_rows, topup_partials)
+              trigger: str | None = "2 seconds", mode: str = "quarantine") -> StreamingQuery:
+    body = _AppBatch(root, lambda b: C.enforce(C.topup_rows(b), mode), topup_partials)
     return _start(log_stream, body, checkpoint, trigger)
 
 

@@ -121,3 +121,12 @@ def test_processing_time_trigger_picks_up_new_files(spark):
         q.stop()
     res = A.notify_results(spark, f"{root}/out")
     assert rows(res["daily_totals"]) == rows(QUERIES["daily_totals"](spark, SF001))
+
+
+def test_strict_app_fails_on_a_bad_message(spark):
+    root = work_dir(spark, "test-app-strict")
+    spark.createDataFrame([("not json",)], "value string").coalesce(1).write.text(f"{root}/src/a")
+    q = A.topup_app(read_lines_stream(spark, f"{root}/src/*", 1), f"{root}/out", f"{root}/ck",
+                    trigger=None, mode="strict")
+    with pytest.raises(Exception):
+        run_to_end(q, 300)
