@@ -60,3 +60,26 @@ def test_success_plus_failures_is_orders(spark, seed):
     tot = rollup(clean, ["province"], ["success"])
     bad = tot.join(fails, "province").where(F.col("orders") != F.col("success") + F.col("f"))
     assert bad.count() == 0
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(1970, 2099), st.integers(0, 13), st.integers(0, 32),
+                          st.integers(0, 24), st.integers(0, 60), st.integers(0, 60),
+                          st.integers(0, 999)), min_size=20, max_size=120))
+def test_time_digits_match_the_calendar(spark, parts):
+    """17 digits parse exactly when they name a real UTC instant, to the millisecond."""
+    from datetime import datetime, timezone
+
+    from chargepulse.functions.times import digits_to_ts
+
+    texts = ["%04d%02d%02d%02d%02d%02d%03d" % p for p in parts]
+
+    def expect(p):
+        try:
+            return int(datetime(*p[:6], p[6] * 1000, tzinfo=timezone.utc).timestamp() * 1000)
+        except ValueError:
+            return None
+
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r.ms for r in df.select(F.unix_millis(digits_to_ts("s")).alias("ms")).collect()]
+    assert got == [expect(p) for p in parts]
