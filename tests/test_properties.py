@@ -83,3 +83,28 @@ def test_time_digits_match_the_calendar(spark, parts):
     df = spark.createDataFrame([(t,) for t in texts], "s string")
     got = [r.ms for r in df.select(F.unix_millis(digits_to_ts("s")).alias("ms")).collect()]
     assert got == [expect(p) for p in parts]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(1990, 2030), st.integers(1, 12), st.integers(1990, 2030),
+                          st.integers(1, 12), st.integers(0, 32)), min_size=20, max_size=80))
+def test_month_span_and_iso_day(spark, parts):
+    """X7 and the top-up date check against plain integer / calendar arithmetic."""
+    from datetime import date
+
+    from chargepulse.functions.times import iso_day_ok, month_span
+
+    rows_in = [("%04d-%02d" % (y1, m1), "%04d-%02d" % (y2, m2), "%04d-%02d-%02dT00:00:00.000Z" % (y1, m1, d))
+               for y1, m1, y2, m2, d in parts]
+    df = spark.createDataFrame(rows_in, "a string, b string, iso string")
+    got = [(r.n, r.ok) for r in df.select(month_span("a", "b").alias("n"),
+                                          iso_day_ok("iso").alias("ok")).collect()]
+
+    def valid(y, m, d):
+        try:
+            date(y, m, d)
+            return True
+        except ValueError:
+            return False
+
+    assert got == [((y2 - y1) * 12 + (m2 - m1) + 1, valid(y1, m1, d)) for y1, m1, y2, m2, d in parts]
