@@ -29,8 +29,8 @@ def message_schema(fields) -> StructType:
 def parse_json(log: DataFrame, fields, value_col: str = "value", keep_value: bool = False) -> DataFrame:
     """Parse one JSON object per row into top-level STRING columns.
 
-    Adds ``bad_json``: true for NULL records, non-JSON text and JSON that is not
-    an object.  Only the fields a later step uses survive column pruning, so the
+    Adds ``bad_json``: true for NULL or blank records, non-JSON text and JSON
+    that is not an object.  Only the fields a later step uses survive column pruning, so the
     parser reads just those.
 
     The parsed struct is exploded with ``inline`` (a Generate node): a later
@@ -41,6 +41,7 @@ def parse_json(log: DataFrame, fields, value_col: str = "value", keep_value: boo
     msg = F.from_json(F.col(value_col), message_schema(fields),
                       {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
     keep = [F.col(value_col)] if keep_value else []
-    out = log.select(*keep, F.col(value_col).isNull().alias("_null_value"), F.inline(F.array(msg)))
-    bad = F.col("_null_value") | F.col(CORRUPT).isNotNull()
+    blank = F.coalesce(F.trim(F.col(value_col)) == "", F.lit(True))   # NULL, empty or spaces
+    out = log.select(*keep, blank.alias("_blank"), F.inline(F.array(msg)))
+    bad = F.col("_blank") | F.col(CORRUPT).isNotNull()
     return out.select(*keep, *[F.col(f) for f in fields], bad.alias("bad_json"))

@@ -135,3 +135,9 @@ def test_lookup_without_broadcast_gives_same_rows(spark, dim):
         assert pick(small) == pick(big) == [("1", "Beijing"), ("2", "Shanghai"), ("99", None)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_blank_messages_are_bad_json(spark, dim):
+    rows = C.notify_rows(lines(spark, "", "   ", notify()), dim)
+    assert reasons(rows) == ["bad_json", "bad_json"]
+    assert C.good(rows).count() == 1

@@ -108,3 +108,31 @@ def test_month_span_and_iso_day(spark, parts):
             return False
 
     assert got == [((y2 - y1) * 12 + (m2 - m1) + 1, valid(y1, m1, d)) for y1, m1, y2, m2, d in parts]
+
+
+_FIELDS = ("serviceName", "interFacRst", "chargefee", "requestId")
+_value = st.one_of(st.text(max_size=12), st.integers(-10**6, 10**6))
+_message = st.dictionaries(st.sampled_from(_FIELDS), _value, max_size=4)
+_line = st.one_of(
+    _message.map(lambda d: ("obj", d)),
+    st.sampled_from(["not json", "[1]", "42", '"text"', "{", ""]).map(lambda t: ("raw", t)))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_line, min_size=10, max_size=60), st.booleans())
+def test_json_parse_matches_python(spark, lines, ascii_only):
+    """Every field comes back as its text; anything but an object is bad_json."""
+    import json
+
+    from chargepulse.functions.messages import parse_json
+
+    texts = [json.dumps(v, ensure_ascii=ascii_only) if k == "obj" else v for k, v in lines]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = [tuple(r) for r in parse_json(df, _FIELDS).collect()]
+
+    def expect(kind, v):
+        if kind == "raw":
+            return (None,) * len(_FIELDS) + (True,)
+        return tuple(None if f not in v else str(v[f]) for f in _FIELDS) + (False,)
+
+    assert got == [expect(k, v) for k, v in lines]
