@@ -136,3 +136,42 @@ def test_json_parse_matches_python(spark, lines, ascii_only):
         return tuple(None if f not in v else str(v[f]) for f in _FIELDS) + (False,)
 
     assert got == [expect(k, v) for k, v in lines]
+
+
+_amount_text = st.one_of(
+    st.decimals(min_value=-10**15, max_value=10**15, places=4, allow_nan=False,
+                allow_infinity=False).map(str),
+    st.integers(-10**6, 10**6).map(str),
+    st.sampled_from(["abc", "", "1.2.3", "--1", "12,5"]))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_amount_text, min_size=10, max_size=80))
+def test_amounts_round_half_up_like_decimal(spark, texts):
+    """An amount is the text rounded half-up to cents; anything else is NULL."""
+    from decimal import ROUND_HALF_UP, Decimal, InvalidOperation
+
+    from chargepulse.functions.values import amount
+
+    def expect(t):
+        try:
+            d = Decimal(t).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+        except InvalidOperation:
+            return None
+        return d if abs(d) < Decimal(10) ** 16 else None
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.a for r in df.select(amount("t").alias("a")).collect()]
+    assert got == [expect(t) for t in texts]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.dictionaries(st.text(alphabet="ABCDEFGH", min_size=1, max_size=3), st.integers(0, 4),
+                       min_size=1, max_size=40), st.integers(1, 12))
+def test_top_n_with_ties_is_the_sorted_prefix(spark, counts, n):
+    """K2: top-N by count descending, ties by name ascending, exactly as a full sort would give."""
+    from chargepulse.operators.topn import top_n
+
+    df = spark.createDataFrame(list(counts.items()), "province string, orders bigint")
+    got = [tuple(r) for r in top_n(df, n, "orders", "province").collect()]
+    assert got == sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:n]
