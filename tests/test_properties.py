@@ -175,3 +175,49 @@ def test_top_n_with_ties_is_the_sorted_prefix(spark, counts, n):
     df = spark.createDataFrame(list(counts.items()), "province string, orders bigint")
     got = [tuple(r) for r in top_n(df, n, "orders", "province").collect()]
     assert got == sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:n]
+
+
+_names = st.sampled_from(["reChargeNotifyReq", "RECHARGENOTIFYREQ", "rechargenotifyreq",
+                          "sendRechargeReq", "SENDRECHARGEREQ", "makeNewOrder", None])
+_codes = st.sampled_from(["0000", "9999", "1001", " 0000", None])
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(_names, _codes, _codes), min_size=10, max_size=60))
+def test_gates_match_their_rules(spark, msgs):
+    """Name any case (F3: exact case) and result code exactly 0000; missing = no."""
+    from chargepulse.operators import gates as G
+
+    df = spark.createDataFrame(msgs, "serviceName string, interFacRst string, bussinessRst string")
+    got = [tuple(r) for r in df.select(G.notify_business_gate(), G.notify_interface_gate(),
+                                       G.notify_ods_gate(), G.request_gate()).collect()]
+
+    def rule(name, ifc, biz):
+        low = name.lower() if name else None
+        return (low == "rechargenotifyreq" and biz == "0000",
+                low == "rechargenotifyreq" and ifc == "0000",
+                name == "reChargeNotifyReq" and ifc == "0000",
+                low == "sendrechargereq" and ifc == "0000")
+
+    assert got == [rule(*m) for m in msgs]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.dictionaries(st.tuples(st.sampled_from(["g1", "g2"]),
+                                 st.sampled_from(["t", "a-b", "x-y-z", "bigtopic"]),
+                                 st.integers(0, 30)),
+                       st.integers(0, 10**9), min_size=1, max_size=30))
+def test_ledger_json_matches_python(spark, ledger):
+    """S3: one JSON document per group; topics keep their hyphens; every offset kept."""
+    import json
+
+    from chargepulse.sources.offsets import starting_offsets_json
+
+    df = spark.createDataFrame([(g, f"{t}-{p}", str(o)) for (g, t, p), o in ledger.items()],
+                               "group_id string, field string, offset string")
+    got = {r.group_id: (r.partitions, json.loads(r.starting_offsets))
+           for r in starting_offsets_json(df).collect()}
+    want = {}
+    for (g, t, p), o in ledger.items():
+        want.setdefault(g, {}).setdefault(t, {})[str(p)] = o
+    assert got == {g: (sum(len(v) for v in d.values()), d) for g, d in want.items()}
