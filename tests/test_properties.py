@@ -221,3 +221,55 @@ def test_ledger_json_matches_python(spark, ledger):
     for (g, t, p), o in ledger.items():
         want.setdefault(g, {}).setdefault(t, {})[str(p)] = o
     assert got == {g: (sum(len(v) for v in d.values()), d) for g, d in want.items()}
+
+
+_msg_fields = st.fixed_dictionaries({
+    "serviceName": st.sampled_from(["reChargeNotifyReq", "RECHARGENOTIFYREQ", "sendRechargeReq", None]),
+    "interFacRst": st.sampled_from(["0000", "9999", None]),
+    "bussinessRst": st.sampled_from(["0000", "1001", None]),
+    "provinceCode": st.sampled_from(["1", "2", "99", None]),
+    "chargefee": st.sampled_from(["10.50", "3", "abc", None]),
+    "requestId": st.sampled_from(["20240101000352824000000000000001", "2024010100", "20241301000352824", None]),
+    "receiveNotifyTime": st.sampled_from(["20240101000353824", "20240230000000000", None]),
+})
+
+
+def _expected_reason(m):
+    """The quarantine rules for the interface gate, written out plainly."""
+    name = m["serviceName"]
+    if name is None:
+        return "missing_service"
+    matches = name.lower() == "rechargenotifyreq"
+    if matches and m["interFacRst"] is None:
+        return "missing_result"
+    if not (matches and m["interFacRst"] == "0000"):
+        return "dropped"
+    ok = m["bussinessRst"] == "0000"
+    fee = m["chargefee"]
+    if (fee is not None and fee == "abc") or (ok and fee is None):
+        return "bad_amount"
+
+    def good_time(t):
+        return t is not None and t[:17] in ("20240101000352824", "20240101000353824")
+
+    if not (good_time(m["requestId"]) and good_time(m["receiveNotifyTime"])):
+        return "bad_time"
+    if m["provinceCode"] not in ("1", "2"):
+        return "unknown_province"
+    return "ok"
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_msg_fields, min_size=10, max_size=60))
+def test_quarantine_reasons_follow_the_rules(spark, msgs):
+    import json
+
+    from chargepulse.operators import clean as C
+    from chargepulse.sources.dimension import province_dim
+
+    dim = province_dim(spark.createDataFrame([("1 Beijing",), ("2 Shanghai",)], "value string"))
+    log = spark.createDataFrame(
+        [(json.dumps({k: v for k, v in m.items() if v is not None}),) for m in msgs], "value string")
+    got = sorted(r.reason or "ok" for r in C.notify_rows(log, dim).collect())
+    want = sorted(r for r in map(_expected_reason, msgs) if r != "dropped")
+    assert got == want
