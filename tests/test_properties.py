@@ -68,15 +68,16 @@ def test_success_plus_failures_is_orders(spark, seed):
                           st.integers(0, 999)), min_size=20, max_size=120))
 def test_time_digits_match_the_calendar(spark, parts):
     """17 digits parse exactly when they name a real UTC instant, to the millisecond."""
-    from datetime import datetime, timezone
+    from datetime import datetime, timedelta, timezone
 
     from chargepulse.functions.times import digits_to_ts
 
     texts = ["%04d%02d%02d%02d%02d%02d%03d" % p for p in parts]
+    epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
     def expect(p):
-        try:
-            return int(datetime(*p[:6], p[6] * 1000, tzinfo=timezone.utc).timestamp() * 1000)
+        try:   # exact integer milliseconds (float seconds * 1000 can be off by one)
+            return (datetime(*p[:6], p[6] * 1000, tzinfo=timezone.utc) - epoch) // timedelta(milliseconds=1)
         except ValueError:
             return None
 
