@@ -274,3 +274,27 @@ def test_quarantine_reasons_follow_the_rules(spark, msgs):
     got = sorted(r.reason or "ok" for r in C.notify_rows(log, dim).collect())
     want = sorted(r for r in map(_expected_reason, msgs) if r != "dropped")
     assert got == want
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.dictionaries(st.sampled_from(["d1", "d2", "d3", "d4"]), st.integers(0, 100),
+                                min_size=1, max_size=4), min_size=1, max_size=4),
+       st.lists(st.integers(0, 3), max_size=3))
+def test_changelog_resolves_to_newest_batch(spark, batches, replays):
+    """After any batches and replays of earlier batches, each key has its newest batch's value."""
+    from chargepulse.session import work_dir
+    from chargepulse.streaming.sinks import ChangelogUpsert, read_current
+
+    path = work_dir(spark, "prop-changelog") + "/t"
+    sink = ChangelogUpsert(path)
+    frames = [spark.createDataFrame(list(b.items()), "day string, total bigint") for b in batches]
+    for i, df in enumerate(frames):
+        sink(df, i)
+    for r in replays:                      # a replayed batch writes the same rows again
+        if r < len(frames):
+            sink(frames[r], r)
+    want = {}
+    for b in batches:
+        want.update(b)
+    got = {r.day: r.total for r in read_current(spark, path, ["day"]).collect()}
+    assert got == want
