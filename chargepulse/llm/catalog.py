@@ -1,13 +1,18 @@
 """The queries of this subpackage, and DuckDB SQL for those that SQL can express."""
 
-from chargepulse.llm import ann, embedding_dedup, url_filter
+from chargepulse.llm import ann, bpe, chat_format, embedding_dedup, minhash, url_filter
 
 LLM_QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
     "op2_embedding_near_dedup": embedding_dedup.op2_embedding_near_dedup,
     "op3_ann": ann.op3_ann,
+    "op4_chat_formatting": chat_format.op4_chat_formatting,
+    "op5_bpe": bpe.op5_bpe,
+    "op8_minhash_near_dedup": minhash.op8_minhash_near_dedup,
 }
 LLM_ORACLE = {
     "op1_url_filters": url_filter.ORACLE,
     "op2_embedding_near_dedup": embedding_dedup.ORACLE,
+    "op4_chat_formatting": chat_format.ORACLE,
+    "op8_minhash_near_dedup": minhash.ORACLE,
 }
