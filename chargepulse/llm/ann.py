@@ -24,7 +24,8 @@ from chargepulse.llm.embedding_dedup import usable
 
 ENTRIES = 8       # entry nodes of a graph search
 DEGREE = 16       # neighbours of a centroid in the graph
-BEAM = 24         # nodes expanded whatever their distance
+LEAST = 8         # lists that every query reads
+BEAM = 12         # nodes expanded whatever their distance
 
 
 def balanced_centroids(x: np.ndarray, lists: int, rounds: int = 3) -> np.ndarray:
@@ -102,9 +103,10 @@ def fit_index(sample: np.ndarray, lists: int, k: int, recall: float, slack: floa
     c = balanced_centroids(sample, lists) if len(sample) else np.zeros((1, 1))
     graph = neighbour_graph(c)
     ratio = 1.0
+    held = np.ones((len(sample), len(c)), dtype=bool)
     if len(c) > 1:
         row, lst = postings_of(sample, c, graph, slack, replicas)
-        held = np.zeros((len(sample), len(c)), dtype=bool)
+        held[:] = False
         held[row, lst] = True
         ask = np.random.default_rng(3).permutation(len(sample))[:500]
         sq = (sample ** 2).sum(1)
@@ -116,7 +118,22 @@ def fit_index(sample: np.ndarray, lists: int, k: int, recall: float, slack: floa
         rel = to_c / np.maximum(to_c.min(1, keepdims=True), 1e-12)
         need = np.where(held[near], rel[:, None, :], np.inf).min(2)
         ratio = float(np.quantile(need, recall))
-    return {"c": c, "graph": graph, "ratio": ratio, "slack": slack, "replicas": replicas}
+    return {"c": c, "graph": graph, "ratio": ratio, "slack": slack, "replicas": replicas,
+            "sample": sample.astype(np.float32), "held": held}
+
+
+def farthest(x: np.ndarray, read: np.ndarray, m: dict, k: int) -> np.ndarray:
+    """A distance that the ``k`` nearest of the lists read (``rows x lists``) do not pass.
+
+    The sample's vectors in those lists are candidates, so the ``k + 1`` nearest of them (one
+    may be the row itself) bound the answer; lists then return only what is nearer.
+    """
+    if len(m["sample"]) <= k:
+        return np.full(len(x), np.inf)
+    seen = read.astype(np.float32) @ m["held"].T.astype(np.float32) > 0
+    d2 = (x ** 2).sum(1)[:, None] + (m["sample"] ** 2).sum(1)[None, :] - 2 * x.astype(np.float32) @ m["sample"].T
+    d2 = np.partition(np.where(seen, d2, np.inf), k, axis=1)[:, k]
+    return np.sqrt(np.maximum(d2 + 1e-4 * (1 + np.abs(np.where(np.isfinite(d2), d2, 0)) + (x ** 2).sum(1)), 0))
 
 
 def _poster(model):
@@ -131,16 +148,19 @@ def _poster(model):
     return post
 
 
-def _asker(model):
+def _asker(model, k: int):
     def ask(frames):
         m = model.value
         for f in frames:
-            for at in range(0, len(f), 2000):
-                part = f.iloc[at:at + 2000]
+            for at in range(0, len(f), 500):
+                part = f.iloc[at:at + 500]
                 x = np.stack(part["embedding"].to_list()).astype(np.float64)
                 dist = graph_search(x, m["c"], m["graph"], m["ratio"])
-                row, lst = np.nonzero(dist <= m["ratio"] * dist.min(1, keepdims=True))
-                yield part.iloc[row].assign(lst=lst.astype(np.int32))
+                read = dist <= m["ratio"] * dist.min(1, keepdims=True)
+                read[np.arange(len(x))[:, None], np.argsort(dist, axis=1)[:, :LEAST]] = True
+                bound = farthest(x, read, m, k)
+                row, lst = np.nonzero(read)
+                yield part.iloc[row].assign(lst=lst.astype(np.int32), bound=bound[row])
     return ask
 
 
@@ -150,12 +170,12 @@ def _searcher(k: int):
         if len(posts) and len(asks):
             x = np.stack(posts["embedding"].to_list()).astype(np.float64)
             q = np.stack(asks["embedding"].to_list()).astype(np.float64)
-            ids, names = posts["ids"].to_list(), asks["query_id"].to_numpy()
+            ids, names, bound = posts["ids"].to_list(), asks["query_id"].to_numpy(), asks["bound"].to_numpy()
             top = min(len(x), k + 1)
             for at in range(0, len(q), 512):
                 some = q[at:at + 512]
                 d2 = (some ** 2).sum(1)[:, None] + (x ** 2).sum(1)[None, :] - 2 * some @ x.T
-                edge = np.partition(d2, top - 1, axis=1)[:, top - 1]
+                edge = np.minimum(np.partition(d2, top - 1, axis=1)[:, top - 1], bound[at:at + 512] ** 2)
                 row, col = np.nonzero(d2 <= (edge + 1e-9 * (1 + np.abs(edge)))[:, None])
                 score = np.sqrt(((some[row] - x[col]) ** 2).sum(1))
                 for r, c, s in zip(row.tolist(), col.tolist(), score.tolist()):
@@ -187,7 +207,7 @@ def _cut(df: DataFrame, name: str, block: int) -> DataFrame:
 
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, recall: float = 0.985,
                        fit_rows: int = 20_000, per_list: int = 100, max_lists: int = 2048,
-                       replica_slack: float = 0.1, replicas: int = 6, block: int = 4096) -> DataFrame:
+                       replica_slack: float = 0.05, replicas: int = 4, block: int = 4096) -> DataFrame:
     """``(vec_id, embedding)`` candidates and queries -> ``query_id, rank, vec_id, score`` (Euclidean).
 
     Only the index is fitted on a sample (at most ``fit_rows`` distinct vectors and
@@ -223,7 +243,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, reca
               .select(F.col("vec_id").alias("query_id"), "embedding", *fingerprint("embedding")))
     one = asking.groupBy("query_id").agg(F.min(F.struct("fp_a", "fp_b", "embedding")).alias("q"))
     asks = staged(one.select("query_id", "q.embedding").mapInPandas(
-        _asker(model), f"query_id long, embedding {kind}, lst int"), "ann-asks")
+        _asker(model, k), f"query_id long, embedding {kind}, lst int, bound double"), "ann-asks")
     p_cuts, q_cuts = _cut(posts, "p_cuts", block), _cut(asks, "q_cuts", block)
 
     def tiled(df: DataFrame, key: str, own: str, other: str) -> DataFrame:

@@ -260,7 +260,7 @@ def _slices(texts: list):
         at = end
 
 
-def _encoder(names: dict, tokenizer: str, digests: bool):
+def _encoder(names: dict, tokenizer: str, want: str):
     def encode(batches):
         lex, tok = opened(names), load_tokenizer(SparkFiles.get(tokenizer))
         decode = decoder(tok)
@@ -270,25 +270,26 @@ def _encoder(names: dict, tokenizer: str, digests: bool):
                 kept = [c.slice(at, end - at) for n, c in zip(b.schema.names, b.columns) if n != "text"]
                 some = [n for n in b.schema.names if n != "text"]
                 ids = encode_texts(texts[at:end], lex, tok)
-                if digests:
+                made = {"n_tokens": pa.array([len(i) for i in ids], pa.int64())}
+                if want == "digests":
                     sha = lambda x: hashlib.sha256(x).hexdigest()
-                    made = {"n_tokens": pa.array([len(i) for i in ids], pa.int64()),
-                            "ids_sha256": pa.array([sha(i.astype("<u4").tobytes()) for i in ids], pa.string()),
-                            "decoded_sha256": pa.array([sha(decode(i).encode()) for i in ids], pa.string())}
+                    made |= {"ids_sha256": pa.array([sha(i.astype("<u4").tobytes()) for i in ids], pa.string()),
+                             "decoded_sha256": pa.array([sha(decode(i).encode()) for i in ids], pa.string())}
                 else:
-                    made = {"input_ids": pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32())),
-                            "decoded": pa.array([decode(i) for i in ids], pa.string())}
+                    made["input_ids"] = pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32()))
+                if want == "texts":
+                    made["decoded"] = pa.array([decode(i) for i in ids], pa.string())
                 yield pa.RecordBatch.from_arrays([*kept, *made.values()], [*some, *made])
     return encode
 
 
-def encode_documents(docs: DataFrame, id_cols: list[str], tokenizer: str | None = None, digests: bool = False,
+def encode_documents(docs: DataFrame, id_cols: list[str], tokenizer: str | None = None, want: str = "texts",
                      max_words: int = MAX_WORDS) -> DataFrame:
     """Encode and decode every ``text`` (null: empty), one row per row of ``docs``.
 
-    Returns ``id_cols`` (nulls, repeats and all) and ``input_ids, decoded``; with
-    ``digests`` their count and SHA-256 instead, made where the ids are.  Long texts are
-    encoded whole; an empty table gives no rows.
+    Returns ``id_cols`` (nulls, repeats and all), ``n_tokens`` and what is wanted:
+    ``input_ids`` (``want="ids"``), these and ``decoded`` (``"texts"``), or the SHA-256 of both, made
+    where the ids are (``"digests"``).  Long texts are encoded whole; an empty table gives no rows.
     """
     spark = docs.sparkSession
     path = tokenizer or default_tokenizer()
@@ -301,10 +302,11 @@ def encode_documents(docs: DataFrame, id_cols: list[str], tokenizer: str | None
     names = publish(spark, compile_lexicon(words, ids))
     spark.sparkContext.addFile(path)
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in id_cols)
-    made = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "input_ids array<int>, decoded string"
+    made = {"ids": "input_ids array<int>", "texts": "input_ids array<int>, decoded string",
+            "digests": "ids_sha256 string, decoded_sha256 string"}[want]
     return docs.select(*id_cols, "text").mapInArrow(
-        _encoder(names, path.rsplit("/", 1)[-1], digests), f"{kinds}, {made}")
+        _encoder(names, path.rsplit("/", 1)[-1], want), f"{kinds}, n_tokens long, {made}")
 
 
 def op5_bpe(spark, sf_dir):
-    return encode_documents(table(spark, sf_dir, "documents"), ["doc_id"], digests=True)
+    return encode_documents(table(spark, sf_dir, "documents"), ["doc_id"], want="digests")

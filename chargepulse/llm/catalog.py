@@ -1,6 +1,8 @@
 """The queries of this subpackage, and DuckDB SQL for those that SQL can express."""
 
-from chargepulse.llm import ann, bpe, chat_format, embedding_dedup, minhash, url_filter
+import corpus_pipeline
+from chargepulse.llm import (ann, bpe, chat_format, embedding_dedup, license_scan, minhash, mixing, pii, toxicity,
+                             url_filter)
 
 LLM_QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
@@ -8,11 +10,19 @@ LLM_QUERIES = {
     "op3_ann": ann.op3_ann,
     "op4_chat_formatting": chat_format.op4_chat_formatting,
     "op5_bpe": bpe.op5_bpe,
+    "op6_license_scans": license_scan.op6_license_scans,
+    "op7_pii": pii.op7_pii,
     "op8_minhash_near_dedup": minhash.op8_minhash_near_dedup,
+    "op9_mixing": mixing.op9_mixing,
+    "op10_toxicity": toxicity.op10_toxicity,
+    "pipeline": corpus_pipeline.run,
 }
 LLM_ORACLE = {
     "op1_url_filters": url_filter.ORACLE,
     "op2_embedding_near_dedup": embedding_dedup.ORACLE,
     "op4_chat_formatting": chat_format.ORACLE,
+    "op6_license_scans": license_scan.ORACLE,
     "op8_minhash_near_dedup": minhash.ORACLE,
 }
+if corpus_pipeline.ORACLE_SQL:
+    LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

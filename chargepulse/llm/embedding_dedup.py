@@ -29,8 +29,8 @@ from chargepulse.llm.common import fingerprint, staged
 from chargepulse.llm.components import components, local_labels
 
 HALF_WIDTH = 2.2      # window half width, in standard deviations of a pair at the threshold
-CELL_WIDTH = 4.0      # cell width in half widths
-PER_CELL = 2000       # vectors a cell holds on average
+CELL_WIDTH = 2.0      # cell width in half widths: a window reaches two cells of a projection
+PER_CELL = 3000       # vectors a cell holds on average
 LANES = 24            # projections that collisions are counted on
 
 
@@ -42,9 +42,9 @@ def calibrate(n: int, dim: int, cosine: float, recall: float) -> dict:
     """
     sd = math.sqrt(max(2 - 2 * cosine, 1e-12)) / math.sqrt(dim)
     hit = math.erf(HALF_WIDTH / math.sqrt(2))
-    spread = CELL_WIDTH * HALF_WIDTH * sd * math.sqrt(dim)  # cell width over the deviation of random unit vectors
-    share = min(0.7, spread / math.sqrt(4 * math.pi))
-    g = max(1, math.ceil(math.log(max(n, 2) / PER_CELL) / math.log(1 / share))) if n > PER_CELL else 1
+    # Share of random unit vectors that meet in a cell of one projection.
+    share = min(0.9, CELL_WIDTH * HALF_WIDTH * sd * math.sqrt(dim) / math.sqrt(4 * math.pi))
+    g = max(1, round(math.log(max(n, 1) / PER_CELL) / math.log(1 / share)))
     tables = max(1, math.ceil(math.log(1 - recall) / math.log(1 - hit ** g)))
     lanes = max(LANES, g * tables)
     least, tail = lanes, 0.0
@@ -96,8 +96,11 @@ def _dealer(p: dict, stored_only: bool):
                 dim = int(dim)
                 lanes = unit_rows(list(part["embedding"]), dim) @ directions(dim, p["lanes"])
                 for rows, r, cell, stored in _probes(lanes, p, stored_only):
-                    names = [f"{dim}:" + ",".join(map(str, c)) for c in cell.tolist()]
-                    out = {"tab": np.full(len(rows), r, dtype=np.int32), "cell": names}
+                    names = np.full(len(rows), dim, np.uint64)
+                    for c in cell.T:  # two cells with one name only cost some tests
+                        names = (names ^ c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+                        names ^= names >> np.uint64(31)
+                    out = {"tab": np.full(len(rows), r, dtype=np.int32), "cell": names.view(np.int64)}
                     if not stored_only:
                         some = part.iloc[rows]
                         out |= {"stored": stored, "rep": some["rep"].to_numpy(), "n": some["n"].to_numpy(),
@@ -106,8 +109,21 @@ def _dealer(p: dict, stored_only: bool):
     return deal
 
 
-def _windows(a: np.ndarray, b: np.ndarray, t: float) -> np.ndarray:
-    return (np.abs(a - b) <= t).all(axis=1)
+def _enough(lanes: np.ndarray, u: np.ndarray, v: np.ndarray, p: dict, r: int):
+    """The pairs with enough window collisions; a pair that an earlier table finds is left to it."""
+    t, g, most = p["t"], p["g"], p["lanes"] - p["least"]
+    misses = np.zeros(len(u), np.int16)
+    for done, k in enumerate([k for k in range(p["lanes"]) if not r * g <= k < (r + 1) * g], 1):
+        misses += np.abs(lanes[k][u] - lanes[k][v]) > t
+        if done > most and done % 2:
+            alive = misses <= most
+            u, v, misses = u[alive], v[alive], misses[alive]
+    alive = misses <= most
+    u, v = u[alive], v[alive]
+    for e in range(r):
+        new = (np.abs(lanes[e * g:(e + 1) * g, u] - lanes[e * g:(e + 1) * g, v]) > t).any(axis=0)
+        u, v = u[new], v[new]
+    return u, v
 
 
 def _counter(p: dict):
@@ -117,9 +133,9 @@ def _counter(p: dict):
         dim, r = int(f["dim"].iloc[0]), int(f["tab"].iloc[0])
         stored = f["stored"].to_numpy(dtype=bool)
         unit = unit_rows(list(f["embedding"]), dim)
-        lanes = unit @ directions(dim, p["lanes"])
+        lanes = np.ascontiguousarray((unit @ directions(dim, p["lanes"])).T)
         ids, size = f["rep"].to_numpy(), f["n"].to_numpy()
-        mine = lanes[:, r * g:(r + 1) * g]
+        mine = lanes[r * g:(r + 1) * g].T
         data, ask = np.flatnonzero(stored), np.flatnonzero(~stored)
         data, ask = data[np.argsort(mine[data, 0], kind="stable")], ask[np.argsort(mine[ask, 0], kind="stable")]
         first = mine[data, 0]
@@ -138,19 +154,14 @@ def _counter(p: dict):
             other = ids[i] != ids[j]
             i, j = i[other], j[other]
             for cut in range(0, len(i), 100_000):
-                u, v = i[cut:cut + 100_000], j[cut:cut + 100_000]
-                hits = np.abs(lanes[u] - lanes[v]) <= t
-                ok = hits.sum(axis=1) >= p["least"]
-                for e in range(r):  # a pair belongs to the first table that finds it
-                    ok &= ~hits[:, e * g:(e + 1) * g].all(axis=1)
-                u, v = u[ok], v[ok]
+                u, v = _enough(lanes, i[cut:cut + 100_000], j[cut:cut + 100_000], p, r)
                 ok = np.einsum("ij,ij->i", unit[u], unit[v]) >= p["cosine"]
                 u, v = u[ok], v[ok]
                 np.add.at(links, u, size[v])
-                lab = local_labels(len(names), node[u], node[v])
-                moved = np.flatnonzero(lab != np.arange(len(names)))
-                edges_a.append(moved)
-                edges_b.append(lab[moved])
+                nodes, at = np.unique(np.concatenate([node[u], node[v]]), return_inverse=True)
+                lab = local_labels(len(nodes), at[:len(u)], at[len(u):])
+                edges_a.append(nodes)
+                edges_b.append(nodes[lab])
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (edges_a, edges_b))
         lab = local_labels(len(names), a, b)
         moved = np.flatnonzero(lab != np.arange(len(names)))
@@ -162,7 +173,7 @@ def _counter(p: dict):
     return count
 
 
-def embedding_near_dedup(vectors: DataFrame, cosine: float = 0.95, recall: float = 0.9995,
+def embedding_near_dedup(vectors: DataFrame, cosine: float = 0.95, recall: float = 0.999,
                          block: int = 4096, id_col: str = "vec_id", col: str = "embedding") -> DataFrame:
     """``(id, embedding)`` rows -> ``id, n_links, component_id, kept``, one row per input row.
 
@@ -183,11 +194,11 @@ def embedding_near_dedup(vectors: DataFrame, cosine: float = 0.95, recall: float
     sizes = reps.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n")).first()
     p = calibrate(sizes["n"] if sizes else 1, sizes["dim"] if sizes else 1, cosine, recall)
 
-    cells = reps.mapInPandas(_dealer(p, True), "tab int, cell string").groupBy("tab", "cell").count()
+    cells = reps.mapInPandas(_dealer(p, True), "tab int, cell long").groupBy("tab", "cell").count()
     large = staged(cells.where(F.col("count") > block)
                    .select("tab", "cell", F.ceil(F.col("count") / block).cast("int").alias("cuts")), "vec-cells")
     kind = reps.schema["embedding"].dataType.simpleString()
-    dealt = (reps.mapInPandas(_dealer(p, False), "tab int, cell string, stored boolean, rep long, n long, "
+    dealt = (reps.mapInPandas(_dealer(p, False), "tab int, cell long, stored boolean, rep long, n long, "
                                                  f"dim int, embedding {kind}")
              .join(large, ["tab", "cell"], "left").withColumn("cuts", F.coalesce("cuts", F.lit(1))))
     cut = F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int")

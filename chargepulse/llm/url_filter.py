@@ -39,7 +39,7 @@ def _reversed(host):
     return F.concat_ws(".", F.reverse(F.split(host, r"\.")))
 
 
-def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", per_slice: int = 200_000) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", per_slice: int = 1000) -> DataFrame:
     """``(page_id, url)`` rows and ``(host, path, verdict)`` rules -> ``page_id, host, path, rule, verdict``.
 
     One row per input row, repeated ones and null ids included.  Null urls and urls
@@ -60,9 +60,10 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", per_
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
                            lambda i: F.concat_ws(".", F.slice(F.reverse(labels), F.lit(1), i)))
     points = urls.withColumn("suffix", F.explode(suffixes))
-    hosts = ruled.select("suffix").distinct()
-    slices = staged(points.join(hosts, "suffix").groupBy("suffix").count()
-                    .select("suffix", F.ceil(F.col("count") / per_slice).cast("int").alias("slices")), "url-slices")
+    hosts = staged(ruled.groupBy("suffix").agg(F.count("*").alias("rules")), "url-hosts")
+    wide = F.greatest(F.lit(per_slice), 4 * F.col("rules"))  # so that repeated rules stay few against urls
+    slices = staged(points.join(hosts, "suffix").groupBy("suffix", "rules").count()
+                    .select("suffix", F.ceil(F.col("count") / wide).cast("int").alias("slices")), "url-slices")
 
     # The spread is by the whole row, so equal urls of different pages part as well.
     cut = F.pmod(F.xxhash64("page_id", "path"), F.col("slices")).cast("int")
