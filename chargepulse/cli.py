@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from chargepulse.operators import clean as C
@@ -29,26 +28,28 @@ from chargepulse.streaming.jobs import run_to_end
 KINDS = ("notify", "request", "topup")
 
 
-def _source(spark: SparkSession, spec: str, max_files: int | None) -> DataFrame:
+def _source(spark: SparkSession, spec: str, max_files: int | None, kafka: dict | None = None) -> DataFrame:
     kind, _, rest = spec.partition(":")
     if kind == "files":
         return read_lines_stream(spark, rest, max_files)
     if kind == "kafka":
         brokers, _, topic = rest.rpartition(":")
-        return read_kafka(spark, kafka_source_options(brokers, topic))
+        return read_kafka(spark, kafka_source_options(brokers, topic, **(kafka or {})))
     raise ValueError(f"--source must be files:<path> or kafka:<brokers>:<topic>, not {spec!r}")
 
 
 def run_app(spark: SparkSession, kind: str, source: str, out: str, checkpoint: str,
             dim_path: str | None = None, trigger: str | None = "2 seconds",
-            gate: str = "interface", max_files: int | None = None, mode: str = "quarantine"):
-    stream = _source(spark, source, max_files)
+            gate: str = "interface", max_files: int | None = None, mode: str = "quarantine",
+            kafka: dict | None = None, spread_to: int | None = None):
+    stream = _source(spark, source, max_files, kafka)
     if kind == "topup":
-        return A.topup_app(stream, out, checkpoint, trigger=trigger, mode=mode)
+        return A.topup_app(stream, out, checkpoint, trigger=trigger, mode=mode, spread_to=spread_to)
     dim = province_dim(read_province_text(spark, dim_path))
     if kind == "notify":
-        return A.notify_app(stream, dim, out, checkpoint, trigger=trigger, gate=gate, mode=mode)
-    return A.request_app(stream, dim, out, checkpoint, trigger=trigger, mode=mode)
+        return A.notify_app(stream, dim, out, checkpoint, trigger=trigger, gate=gate, mode=mode,
+                            spread_to=spread_to)
+    return A.request_app(stream, dim, out, checkpoint, trigger=trigger, mode=mode, spread_to=spread_to)
 
 
 def run_report(spark: SparkSession, kind: str, input_path: str, out: str,
@@ -56,29 +57,30 @@ def run_report(spark: SparkSession, kind: str, input_path: str, out: str,
     """Batch: every KPI of ``kind`` over the JSON lines under ``input_path``."""
     log = spark.read.text(input_path)
     out = out.rstrip("/")
-    # Rows are persisted (executor disks, raw text only on bad rows) so that the
-    # KPIs and the quarantine table come from one parse of the messages.
+    # The messages are parsed once: clean and bad rows are a table, which the KPIs read.
     if kind == "topup":
-        rows = C.topup_rows(log).persist(StorageLevel.DISK_ONLY)
+        rows = _written(C.topup_rows(log), f"{out}/rows")
         kpis = T.topup_report(C.good(rows))
     else:
         dim = C.province_lookup(province_dim(read_province_text(spark, dim_path)))
         if kind == "notify":
-            rows = C.notify_rows(log, dim, gate).persist(StorageLevel.DISK_ONLY)
+            rows = _written(C.notify_rows(log, dim, gate), f"{out}/rows")
             kpis = N.notify_report(C.good(rows))
         else:
-            rows = C.request_rows(log, dim).persist(StorageLevel.DISK_ONLY)
+            rows = _written(C.request_rows(log, dim), f"{out}/rows")
             kpis = R.request_report(C.good(rows))
     written = {}
-    try:
-        for name, df in {**kpis, "quarantine": C.quarantined(rows)}.items():
-            df.write.mode("overwrite").parquet(f"{out}/{name}")
-            written[name] = f"{out}/{name}"
-    finally:
-        rows.unpersist()
+    for name, df in {**kpis, "quarantine": C.quarantined(rows)}.items():
+        df.write.mode("overwrite").parquet(f"{out}/{name}")
+        written[name] = f"{out}/{name}"
     return written
 
 
+def _written(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     ap = argparse.ArgumentParser(prog="chargepulse")
     sub = ap.add_subparsers(dest="command", required=True)
@@ -91,6 +93,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     a.add_argument("--trigger", default="2 seconds", help='"2 seconds" or "availableNow"')
     a.add_argument("--gate", default="interface", choices=("interface", "business"))
     a.add_argument("--max-files-per-trigger", type=int)
+    a.add_argument("--starting-offsets", help="earliest, latest, or the JSON of stored positions (Kafka, first run)")
+    a.add_argument("--max-offsets-per-trigger", type=int, help="rate cap of a batch (Kafka)")
+    a.add_argument("--min-partitions", type=int, help="split large topic-partitions over so many tasks (Kafka)")
+    a.add_argument("--spread-to", type=int, help="deal every micro-batch to so many partitions before parsing")
     a.add_argument("--mode", default="quarantine", choices=("quarantine", "strict"))
     r = sub.add_parser("report", help="batch KPIs of a folder of messages")
     r.add_argument("kind", choices=KINDS)
@@ -105,7 +111,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     if args.command == "report":
         return run_report(spark, args.kind, args.input, args.out, args.dim, args.gate)
     q = run_app(spark, args.kind, args.source, args.out, args.checkpoint, args.dim,
-                args.trigger, args.gate, args.max_files_per_trigger, args.mode)
+                args.trigger, args.gate, args.max_files_per_trigger, args.mode,
+                {"starting_offsets": args.starting_offsets, "min_partitions": args.min_partitions,
+                 "max_offsets_per_trigger": args.max_offsets_per_trigger}, args.spread_to)
     if args.trigger == "availableNow":
         run_to_end(q)
     else:

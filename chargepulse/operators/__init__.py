@@ -3,21 +3,20 @@
 from chargepulse.operators.gates import (
     notify_business_gate, notify_interface_gate, notify_ods_gate, request_gate, notify_gate,
 )
-from chargepulse.operators.lookup import lookup_join, BROADCAST_MAX_ROWS
+from chargepulse.operators.lookup import lookup_join
 from chargepulse.operators.clean import (
     parse_notify, clean_notify, clean_request, clean_topup, ods_detail,
     notify_rows, request_rows, topup_rows, good, quarantined, enforce, province_lookup,
 )
-from chargepulse.operators.lookup import lookup_side
 from chargepulse.operators.spread import spread
 from chargepulse.operators.aggregate import vector_sum, with_failures
 from chargepulse.operators.topn import top_n, sort_desc
 
 __all__ = [
     "notify_business_gate", "notify_interface_gate", "notify_ods_gate", "request_gate",
-    "notify_gate", "lookup_join", "BROADCAST_MAX_ROWS",
+    "notify_gate", "lookup_join",
     "parse_notify", "clean_notify", "clean_request", "clean_topup", "ods_detail",
     "notify_rows", "request_rows", "topup_rows", "good", "quarantined", "enforce",
-    "province_lookup", "lookup_side", "spread",
+    "province_lookup", "spread",
     "vector_sum", "with_failures", "top_n", "sort_desc",
 ]

@@ -20,7 +20,7 @@ from chargepulse.functions.values import (
     OK_CODE, amount, month_of_year, when_ok, whole_amount,
 )
 from chargepulse.operators.gates import NOTIFY, REQUEST, notify_gate, request_gate
-from chargepulse.operators.lookup import lookup_join, lookup_side
+from chargepulse.operators.lookup import lookup_join
 
 
 def _first(*cases: tuple[Column, str]) -> Column:
@@ -53,10 +53,10 @@ def enforce(rows: DataFrame, mode: str) -> DataFrame:
 
 
 def province_lookup(dim: DataFrame) -> DataFrame:
-    """The province dimension keyed for the join, with its broadcast decision made."""
-    if dim.__dict__.get("_lookup_checked"):
+    """The province dimension keyed for the join."""
+    if "provinceCode" in dim.columns:
         return dim
-    return lookup_side(dim.select(F.col("province_code").alias("provinceCode"), "province"))
+    return dim.select(F.col("province_code").alias("provinceCode"), "province")
 
 
 def _with_province(rows: DataFrame, dim: DataFrame) -> DataFrame:

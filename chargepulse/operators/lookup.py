@@ -1,41 +1,21 @@
 """Code -> name lookup against a dimension.
 
-The dimension is broadcast only after its row count is checked against a
-bound; beyond the bound the join is left to a shuffle join (with AQE's
-skew-join splitting hot codes).  Either way the fact side is never shuffled
-for the lookup when the dimension is small.
+How the join runs is Spark's choice from measured bytes: below
+``spark.sql.autoBroadcastJoinThreshold`` the dimension is broadcast (AQE decides again
+on the size it sees at run time); beyond it both sides are shuffled, and AQE splits hot codes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-# A province table has a few dozen rows; 1M rows x ~40 bytes stays far below
-# executor memory, so this bound is safe to ship to every executor.
-BROADCAST_MAX_ROWS = 1_000_000
 
-
-def lookup_side(dim: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Decide once how ``dim`` joins: broadcast if its row count is within the bound.
-
-    The returned frame carries the decision, so joining it again (every
-    micro-batch of a stream, say) does not re-count the dimension.
-    """
-    if dim.isStreaming:
-        raise ValueError("the lookup dimension must be a static DataFrame")
-    if dim.__dict__.get("_lookup_checked"):      # instance flag; no column lookup
-        return dim
-    n = dim.limit(max_broadcast_rows + 1).count()
-    side = F.broadcast(dim) if n <= max_broadcast_rows else dim
-    side._lookup_checked = True
-    return side
-
-
-def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
-                max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join ``dim`` (unique on ``key``) onto ``fact``.
 
     ``how="left"`` keeps unmatched fact rows with NULL dimension columns, which
     is what the quarantine step needs; ``"inner"`` drops them.
     """
-    return fact.join(lookup_side(dim, max_broadcast_rows), on=key, how=how)
+    if dim.isStreaming:
+        raise ValueError("the lookup dimension must be a static DataFrame")
+    return fact.join(dim, on=key, how=how)

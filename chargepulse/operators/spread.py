@@ -1,9 +1,8 @@
-"""Keep per-row work parallel when an input arrives in too few partitions.
+"""Deal an input that arrives in too few partitions to more, where the caller asks for it.
 
-A large input is read in thousands of splits and this is a no-op.  A small
-or unsplittable input (one file, one row group, a single-partition topic)
-would otherwise run every per-row step -- JSON parsing, time parsing -- in
-one task; a round-robin repartition spreads it over the cluster first.
+An input is read in as many splits as its files and ``spark.sql.files.maxPartitionBytes``
+give.  Only an unsplittable one (one row group, a single-partition topic) needs this; whether it is
+worth a shuffle of the raw rows is the caller's knowledge, so there is no default.
 """
 
 from __future__ import annotations
@@ -11,14 +10,5 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    if df.isStreaming:
-        return df
-    from chargepulse.session import parallelism
-
-    want = min_partitions or parallelism(df.sparkSession)
-    try:
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the input as it is
-        return df
-    return df if have >= want else df.repartition(want)
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    return df if partitions is None or df.isStreaming else df.repartition(partitions)

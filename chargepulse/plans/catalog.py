@@ -29,14 +29,26 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # ------------------------------------------------------------ inputs -------
 
+def _spread(spark: SparkSession) -> int | None:
+    """Partitions to deal a table to, where the session asks for it (small unsplittable files)."""
+    n = spark.conf.get("spark.chargepulse.spread", None)
+    return int(n) if n else None
+
+
 def rlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_utc(spark)
-    return recharge_log(load_table(spark, sf_dir, "events"))
+    return recharge_log(load_table(spark, sf_dir, "events"), _spread(spark))
+
+
+def odd_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recharge log with planted bad messages (FIXTURES.md)."""
+    use_utc(spark)
+    return recharge_log(load_table(spark, sf_dir, "events"), _spread(spark), odd=True)
 
 
 def tlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_utc(spark)
-    return topup_log(load_table(spark, sf_dir, "orders"))
+    return topup_log(load_table(spark, sf_dir, "orders"), _spread(spark))
 
 
 def dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +103,7 @@ def q_clean_notify(spark, sf_dir):
 
 
 def q_clean_request(spark, sf_dir):
-    return request_clean(spark, sf_dir)
+    return C.clean_request(odd_log(spark, sf_dir), dim(spark, sf_dir))
 
 
 def q_clean_topup(spark, sf_dir):
@@ -107,11 +119,21 @@ def q_join_province(spark, sf_dir):
 
 
 def q_quarantine_province(spark, sf_dir):
-    rows = C.notify_rows(rlog(spark, sf_dir), dim(spark, sf_dir))
+    rows = C.notify_rows(odd_log(spark, sf_dir), dim(spark, sf_dir))
     return C.quarantined(rows).where(F.col("reason") == "unknown_province") \
         .select("request_id", "province_code", "reason")
 
 
+def q_quarantine_reasons(spark, sf_dir):
+    rows = C.notify_rows(odd_log(spark, sf_dir), dim(spark, sf_dir))
+    return C.quarantined(rows).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def q_parse_odd(spark, sf_dir):
+    p = parse_json(odd_log(spark, sf_dir), NOTIFY_FIELDS)
+    return p.groupBy("bad_json", F.col("serviceName").alias("service_name")).agg(F.count("*").alias("n"))
+
+
 def q_dim_province(spark, sf_dir):
     return dim(spark, sf_dir)
 
@@ -206,6 +228,8 @@ QUERIES: dict[str, Query] = {
     "ods_detail": q_ods_detail,
     "join_province": q_join_province,
     "quarantine_province": q_quarantine_province,
+    "quarantine_reasons": q_quarantine_reasons,
+    "parse_odd": q_parse_odd,
     "dim_province": q_dim_province,
     "agg_vector_sum": q_agg_vector_sum,
     "sort_province": q_sort_province,
@@ -216,6 +240,10 @@ QUERIES: dict[str, Query] = {
     "detail_table_daily_totals": q_detail_table_daily_totals,
     # the notify app's gate as written (business success required: no failures reach the KPIs)
     "daily_totals_business": lambda spark, sf_dir: N.daily_totals(notify_clean(spark, sf_dir, "business")),
+    "minute_orders_business": lambda spark, sf_dir: N.minute_orders(notify_clean(spark, sf_dir, "business")),
+    "province_hour_failures_business": lambda spark, sf_dir: N.province_hour_failures(
+        notify_clean(spark, sf_dir, "business")),
+    "hourly_totals_business": lambda spark, sf_dir: N.hourly_totals(notify_clean(spark, sf_dir, "business")),
     "top10_province_business": lambda spark, sf_dir: N.top10_province(
         notify_clean(spark, sf_dir, "business")),
 }
@@ -257,7 +285,34 @@ BUSINESS_CTE = f"""c AS (
 _SUCC = "CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGINT)"
 _MONEY = "CAST(sum(CASE WHEN ok THEN fee ELSE 0 END) AS DECIMAL(18,2))"
 
+# Planted bad messages: what each one is, in the order that cleaning checks.
+_GOOD = "e.event_id % 23 <> 1 AND e.event_id % 17 <> 1 AND e.event_id % 13 NOT IN (1, 2) AND e.event_id % 19 <> 1"
+_REASON = """CASE WHEN e.event_id % 23 = 1 THEN 'bad_json' WHEN e.event_id % 17 = 1 THEN 'missing_service'
+  WHEN e.event_type NOT IN ('purchase','error') OR e.event_id % 11 = 0 THEN NULL
+  WHEN e.event_id % 13 IN (1, 2) THEN 'bad_amount' WHEN e.event_id % 19 = 1 THEN 'bad_time'
+  WHEN n.n_nationkey IS NULL THEN 'unknown_province' END"""
+ODD_REQUEST_CTE = f"""c AS (
+  SELECT strftime(e.ts, '%Y%m%d%H%M%S%g') AS start_time, e.ts,
+         CAST(e.user_id % 27 AS VARCHAR) AS province_code, n.n_name AS province,
+         {_OK} AS ok, CAST(e.value AS DECIMAL(18,2)) AS fee,
+         CAST(e.value AS DECIMAL(18,2)) + CASE WHEN e.event_id % 13 > 2 THEN 1 ELSE 0 END AS should
+  FROM events e JOIN nation n ON n.n_nationkey = e.user_id % 27
+  WHERE e.event_type IN ('signup','click') AND e.event_id % 11 <> 0 AND {_GOOD})"""
+
 ORACLE: dict[str, str] = {
+    "quarantine_reasons": f"""SELECT reason, count(*) AS n FROM (
+  SELECT {_REASON} AS reason FROM events e LEFT JOIN nation n ON n.n_nationkey = e.user_id % 27)
+WHERE reason IS NOT NULL GROUP BY 1""",
+    "parse_odd": f"""SELECT e.event_id % 23 = 1 AS bad_json,
+       CASE WHEN e.event_id % 23 <> 1 AND e.event_id % 17 <> 1 THEN {_NAME} END AS service_name, count(*) AS n
+FROM events e GROUP BY 1, 2""",
+    "minute_orders_business": f"""WITH {BUSINESS_CTE}
+SELECT strftime(ts, '%Y%m%d%H%M') AS minute, count(*) AS orders FROM c GROUP BY 1""",
+    "province_hour_failures_business": f"""WITH {BUSINESS_CTE}
+SELECT province, strftime(ts, '%Y%m%d%H') AS hour, CAST(count(*) - {_SUCC} AS BIGINT) AS failures
+FROM c GROUP BY 1, 2""",
+    "hourly_totals_business": f"""WITH {BUSINESS_CTE}
+SELECT strftime(ts, '%Y%m%d%H') AS hour, count(*) AS orders, {_MONEY} AS money FROM c GROUP BY 1""",
     "daily_totals_business": f"""WITH {BUSINESS_CTE}
 SELECT strftime(ts, '%Y%m%d') AS day, count(*) AS total, {_MONEY} AS money,
        {_SUCC} AS success, CAST(sum(ms) AS BIGINT) AS costtime
@@ -328,11 +383,11 @@ SELECT request_id, strftime(ts, '%Y%m%d') AS day, strftime(ts, '%Y%m%d%H') AS ho
        CAST(CASE WHEN ok THEN fee ELSE 0 END AS DECIMAL(18,2)) AS money,
        CAST(ms AS BIGINT) AS costtime
 FROM c""",
-    "clean_request": f"""WITH {REQUEST_CTE}
+    "clean_request": f"""WITH {ODD_REQUEST_CTE}
 SELECT start_time, strftime(ts, '%Y%m%d%H') AS hour, strftime(ts, '%Y%m%d%H%M') AS minute,
        province_code, province, CAST(CASE WHEN ok THEN 1 ELSE 0 END AS BIGINT) AS success,
        CAST(CASE WHEN ok THEN fee ELSE 0 END AS DECIMAL(18,2)) AS money,
-       CAST(CASE WHEN ok THEN fee ELSE 0 END AS DECIMAL(18,2)) AS should_money
+       CAST(CASE WHEN ok THEN should ELSE 0 END AS DECIMAL(18,2)) AS should_money
 FROM c""",
     "clean_topup": f"""WITH {TOPUP_CTE}
 SELECT month, day, phone, money, strftime(o_orderdate, '%m') AS month_of_year FROM c""",
@@ -345,11 +400,9 @@ SELECT request_id, strftime(ts, '%Y%m%d') AS date, strftime(ts, '%H') AS hour,
 FROM c""",
     "join_province": f"""WITH {NOTIFY_CTE}
 SELECT request_id, province_code, province FROM c""",
-    "quarantine_province": f"""SELECT {_RID} AS request_id, CAST(e.user_id % 25 AS VARCHAR) AS province_code,
-       'unknown_province' AS reason
-FROM events e
-WHERE e.event_type IN ('purchase','error') AND e.event_id % 11 <> 0
-  AND NOT EXISTS (SELECT 1 FROM nation n WHERE CAST(n.n_nationkey AS VARCHAR) = CAST(e.user_id % 25 AS VARCHAR))""",
+    "quarantine_province": f"""SELECT {_RID} AS request_id, CAST(e.user_id % 27 AS VARCHAR) AS province_code,
+       {_REASON} AS reason
+FROM events e LEFT JOIN nation n ON n.n_nationkey = e.user_id % 27 WHERE ({_REASON}) = 'unknown_province'""",
     "dim_province": """SELECT CAST(n_nationkey AS VARCHAR) AS province_code, min(n_name) AS province
 FROM nation GROUP BY 1""",
     "agg_vector_sum": f"""WITH {NOTIFY_CTE}

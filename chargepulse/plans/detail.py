@@ -6,47 +6,28 @@ columns it uses and only the days it asks for (partition pruning), and cuts
 the lineage back to the raw messages (a written table in the shared folder
 survives lost executors).
 
-The write is range-partitioned on ``(day, minute)``: each task writes one
-contiguous time slice, so a day holding a third of all rows is split over a
-third of the tasks instead of landing in one, and each task opens only one or
-two day folders (file count ~ number of tasks, not tasks x days).
-
-Range partitioning first samples its whole input.  The clean rows are
-therefore persisted (on executor disks, narrow columns only) so that the
-sampling pass parses the messages once and the write reads them back,
-instead of parsing everything twice; lost blocks are recomputed from lineage.
+The write deals rows by ``(day, salt)``, the salt being a hash of the request id modulo a
+parameter: a day, an hour or a minute holding a third of all rows is spread over that many
+tasks, with one shuffle and no sampling pass.  A day makes at most ``salts`` files.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 PARTITION_COL = "day"
 
 
-def _default_slices(clean: DataFrame) -> int:
-    n = int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        return max(n, clean.rdd.getNumPartitions())
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect)
-        return n
+def write_detail(clean: DataFrame, path: str, files: int | None = None, salts: int = 64) -> str:
+    """Write clean rows (with ``day`` and ``request_id``) under ``path/day=<yyyyMMdd>/``.
 
-
-def write_detail(clean: DataFrame, path: str, files: int | None = None) -> str:
-    """Write clean rows (with ``day`` and ``minute``) under ``path/day=<yyyyMMdd>/``.
-
-    ``files`` sets the number of range slices, hence roughly the number of
-    files.  By default it grows with the input: one slice per input split (at
-    least the session's shuffle partitions), so slices stay near the split size.
+    ``files`` is the number of writer tasks (default: the session's shuffle partitions);
+    ``salts`` how many of them a single day may be spread over.
     """
-    n = files or _default_slices(clean)
-    staged = clean.persist(StorageLevel.DISK_ONLY)
-    try:
-        (staged.repartitionByRange(n, PARTITION_COL, "minute")
-               .write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path))
-    finally:
-        staged.unpersist()
+    n = files or int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.xxhash64("request_id"), F.lit(min(salts, n)))
+    (clean.withColumn("_salt", salt).repartition(n, PARTITION_COL, "_salt").drop("_salt")
+          .write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path))
     return path
 
 

@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, functions as F
 EVENT_BUCKET = "event_bucket"
 
 _CAST = {"orders": "bigint", "success": "bigint", "costtime": "bigint", "ms": "bigint",
-         "money": "decimal(18,2)", "should_money": "decimal(18,2)"}
+         "money": "decimal(28,2)", "should_money": "decimal(28,2)"}
 
 
-def rollup(df: DataFrame, keys, measures, orders_as: str = "orders") -> DataFrame:
-    """``keys`` + ``orders`` (rows or summed) + ``sum`` of each measure, typed."""
+def rollup(df: DataFrame, keys, measures, typed: dict[str, str] | None = None, orders_as: str = "orders") -> DataFrame:
+    """``keys`` + ``orders`` (rows or summed) + ``sum`` of each measure; ``typed`` adds measures with a type of their own."""
     pre = "orders" in df.columns
     aggs = [(F.sum("orders") if pre else F.count(F.lit(1))).cast("bigint").alias(orders_as)]
-    aggs += [F.sum(m).cast(_CAST.get(m, "bigint")).alias(m) for m in measures]
+    aggs += [F.sum(m).cast(t).alias(m) for m, t in [*((m, _CAST.get(m, "bigint")) for m in measures), *(typed or {}).items()]]
     if EVENT_BUCKET in df.columns:
         # A watermarked stream: the bucket time joins the key so that finished
         # buckets can be evicted from the state store; it is a function of the

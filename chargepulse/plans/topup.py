@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from chargepulse.functions.times import month_span
 from chargepulse.functions.values import counter_key, trunc_long
+from chargepulse.plans.rollup import rollup
 
 
 def topup_daily_money(clean: DataFrame) -> DataFrame:
     """M9: ``day, money`` (BIGINT sum)."""
-    return clean.groupBy("day").agg(F.sum("money").cast("bigint").alias("money"))
+    return rollup(clean, ["day"], [], {"money": "bigint"}).select("day", "money")
 
 
 def month_phone_avg(clean: DataFrame) -> DataFrame:
@@ -20,9 +21,7 @@ def month_phone_avg(clean: DataFrame) -> DataFrame:
     all top-ups of the key (the reference added per-batch
     averages, a sum of averages).  ``avg_trunc`` truncates toward zero.
     """
-    orders = F.sum("orders") if "orders" in clean.columns else F.count(F.lit(1))
-    s = clean.groupBy("month", "phone").agg(
-        orders.cast("bigint").alias("orders"), F.sum("money").cast("bigint").alias("total"))
+    s = rollup(clean, ["month", "phone"], [], {"money": "bigint"}).withColumnRenamed("money", "total")
     avg = F.col("total").cast("double") / F.col("orders").cast("double")
     return s.select("month", "phone", "orders", avg.alias("avg_money"),
                     trunc_long(avg).alias("avg_trunc"),
@@ -51,12 +50,12 @@ def topup_base(clean: DataFrame) -> DataFrame:
 
 
 def topup_report(clean: DataFrame, materialize: bool = True) -> dict[str, DataFrame]:
-    """M9, M10, A7 from one pass over the top-ups."""
-    base = topup_base(clean)
+    """M9 from the rows (a day's partial sums are few); M10 and A7 from one ``(month, phone)`` base."""
+    base = rollup(clean, ["month", "phone"], [], {"money": "bigint"})
     if materialize:
         from chargepulse.session import checkpoint_root
         checkpoint_root(clean.sparkSession)
         base = base.checkpoint(eager=True)
-    return {"topup_daily_money": topup_daily_money(base),
+    return {"topup_daily_money": topup_daily_money(clean),
             "month_phone_avg": month_phone_avg(base),
             "phone_mean_monthly": phone_mean_monthly(base)}

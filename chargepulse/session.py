@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -88,9 +87,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one run, under the cluster's shared checkpoint dir."""
+    """The name of a fresh folder for one run, under the cluster's shared checkpoint dir."""
     root = checkpoint_root(spark).rstrip("/")
     path = f"{root}/chargepulse/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    return path  # the writers create it, on the file system that the path names

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from chargepulse.storage import count_files
+
 LINE_SCHEMA = StructType([StructField("value", StringType())])
 
 
@@ -18,11 +20,6 @@ def stage_lines(lines: DataFrame, path: str, files: int | None = None) -> str:
     return path
 
 
-def count_files(spark: SparkSession, path: str) -> int:
-    """Number of data files under ``path`` (a listing; no data is read)."""
-    return len(spark.read.text(path).inputFiles())
-
-
 def stage_in_batches(spark: SparkSession, lines: DataFrame, path: str, batches: int) -> int:
     """Write ``lines`` with their own partitioning (the file count grows with the
     data) and return the ``maxFilesPerTrigger`` that replays them in ``batches``

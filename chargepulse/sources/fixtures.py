@@ -31,8 +31,13 @@ def _fmt(ts: Column) -> Column:
     return F.date_format(ts, DIGITS_FMT)
 
 
-def recharge_log(events: DataFrame) -> DataFrame:
-    """``value STRING``: one recharge message (notify, request or order) per event."""
+def recharge_log(events: DataFrame, partitions: int | None = None, odd: bool = False) -> DataFrame:
+    """``value STRING``: one recharge message (notify, request or order) per event.
+
+    ``odd`` plants what quarantine is for, by event id: cut JSON, no service name, amounts that
+    are no numbers or outside their domain, times that do not exist, provinces beyond the
+    dimension; and a ``shouldfee`` one above ``chargefee``.
+    """
     eid, et = F.col("event_id"), F.col("event_type")
     stop = F.col("ts") + F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), ((eid * 37) % 60000).cast("decimal(10,3)") / 1000)
@@ -55,18 +60,31 @@ def recharge_log(events: DataFrame) -> DataFrame:
         _fmt(F.col("ts")).alias("startReqTime"),
         _fmt(stop).alias("endReqTime"),
     )
-    src = spread(events.select("event_id", "ts", "user_id", "event_type", "value"))
-    return src.select(F.to_json(msg).alias("value"))
-
-
-def topup_log(orders: DataFrame) -> DataFrame:
+    src = spread(events.select("event_id", "ts", "user_id", "event_type", "value"), partitions)
+    if not odd:
+        return src.select(F.to_json(msg).alias("value"))
+    odd_fee = (F.when(eid % 13 == 1, F.lit("1,000")).when(eid % 13 == 2, F.lit("9999999999999999")).otherwise(fee))
+    odd_msg = F.struct(
+        F.when(eid % 17 != 1, name).alias("serviceName"), msg.getField("interFacRst").alias("interFacRst"),
+        msg.getField("bussinessRst").alias("bussinessRst"),
+        (F.col("user_id") % 27).cast("string").alias("provinceCode"), odd_fee.alias("chargefee"),
+        F.when(eid % 13 > 2, (F.col("value").cast("decimal(18,2)") + 1).cast("string")).otherwise(odd_fee).alias("shouldfee"),
+        msg.getField("requestId").alias("requestId"),
+        F.when(eid % 19 == 1, F.lit("20241399000000000")).otherwise(msg.getField("receiveNotifyTime")).alias("receiveNotifyTime"),
+        F.when(eid % 19 == 1, F.lit("20241399000000000")).otherwise(msg.getField("startReqTime")).alias("startReqTime"),
+        msg.getField("endReqTime").alias("endReqTime"))
+    text = F.to_json(odd_msg)
+    return src.select(F.when(eid % 23 == 1, F.substring(text, 1, 20)).otherwise(text).alias("value"))
+
+
+def topup_log(orders: DataFrame, partitions: int | None = None) -> DataFrame:
     """``value STRING``: one personal top-up message per order."""
     msg = F.struct(
         F.concat(F.lit("1"), F.lpad(F.col("o_custkey").cast("string"), 10, "0")).alias("phoneNum"),
         F.floor("o_totalprice").cast("bigint").cast("string").alias("money"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("date"),
     )
-    src = spread(orders.select("o_custkey", "o_totalprice", "o_orderdate"))
+    src = spread(orders.select("o_custkey", "o_totalprice", "o_orderdate"), partitions)
     return src.select(F.to_json(msg).alias("value"))
 
 

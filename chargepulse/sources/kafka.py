@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 def kafka_source_options(brokers: str, topics, starting_offsets: str | None = None,
                          max_rate_per_partition: int | None = None, partitions: int | None = None,
                          interval_sec: float | None = None,
-                         min_partitions: int | None = None) -> dict[str, str]:
+                         min_partitions: int | None = None,
+                         max_offsets_per_trigger: int | None = None) -> dict[str, str]:
     """Options for ``readStream.format("kafka")``.
 
     ``starting_offsets`` is ``"earliest"`` (first run) or the JSON built by
@@ -20,7 +21,7 @@ def kafka_source_options(brokers: str, topics, starting_offsets: str | None = No
     another system).  Once a query has a checkpoint, the checkpoint wins.
 
     ``max_rate_per_partition`` x ``partitions`` x ``interval_sec`` becomes the
-    per-trigger cap ``maxOffsetsPerTrigger`` (T5).
+    per-trigger cap ``maxOffsetsPerTrigger`` (T5); ``max_offsets_per_trigger`` gives it directly.
 
     ``min_partitions`` (``minPartitions``) lets Spark split the offset range of
     a large topic-partition over several tasks, so one hot partition holding a
@@ -38,6 +39,8 @@ def kafka_source_options(brokers: str, topics, starting_offsets: str | None = No
         if not (partitions and interval_sec):
             raise ValueError("rate cap needs partitions and interval_sec")
         opts["maxOffsetsPerTrigger"] = str(int(max_rate_per_partition * partitions * interval_sec))
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     if min_partitions:
         opts["minPartitions"] = str(min_partitions)
     return opts

@@ -12,14 +12,28 @@ from pyspark.sql import DataFrame, functions as F
 FIELD_RE = r"^(.*)-([0-9]+)$"
 
 
+def _parsed(ledger: DataFrame) -> DataFrame:
+    partition = F.regexp_extract("field", FIELD_RE, 2).try_cast("int")
+    return ledger.select("group_id", "field", F.col("offset").cast("string").alias("offset"),
+                         F.regexp_extract("field", FIELD_RE, 1).alias("topic"), partition.alias("partition"),
+                         F.col("offset").try_cast("bigint").alias("position")).withColumn(
+        "bad", (F.col("topic") == "") | F.col("topic").isNull() | F.col("partition").isNull()
+        | F.col("position").isNull() | (F.col("position") < 0))
+
+
 def ledger_rows(ledger: DataFrame) -> DataFrame:
-    """``(group_id, topic, partition, offset)`` from ``(group_id, field, offset)``."""
-    return ledger.select(
-        "group_id",
-        F.regexp_extract("field", FIELD_RE, 1).alias("topic"),
-        F.regexp_extract("field", FIELD_RE, 2).cast("int").alias("partition"),
-        F.col("offset").cast("bigint").alias("offset"),
-    ).where(F.col("topic") != "")
+    """``(group_id, topic, partition, offset)`` from ``(group_id, field, offset)``.
+
+    Of several positions of one topic-partition the greatest holds.  Rows that are no
+    position are in :func:`ledger_quarantine`.
+    """
+    return (_parsed(ledger).where("not bad").groupBy("group_id", "topic", "partition")
+            .agg(F.max("position").alias("offset")))
+
+
+def ledger_quarantine(ledger: DataFrame) -> DataFrame:
+    """``(group_id, field, offset)`` of the rows whose field or offset is malformed."""
+    return _parsed(ledger).where("bad").select("group_id", "field", "offset")
 
 
 def starting_offsets_json(ledger: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Structured Streaming: the three apps, running totals, per-batch results, resume."""
 
 from chargepulse.streaming.apps import (
-    compact, notify_app, notify_results, read_partials, request_app, request_results, topup_app,
+    compact, notify_app, notify_results, read_batch_partials, read_partials, request_app, request_results, topup_app,
     topup_results,
 )
 from chargepulse.streaming.jobs import (
@@ -13,7 +13,7 @@ from chargepulse.streaming.sinks import (
 )
 
 __all__ = [
-    "compact", "notify_app", "notify_results", "read_partials", "request_app", "request_results",
+    "compact", "notify_app", "notify_results", "read_partials", "read_batch_partials", "request_app", "request_results",
     "topup_app", "topup_results", "console", "per_batch", "progress_ledger", "raw_to_files",
     "resume_positions", "run_to_end", "running_totals", "ChangelogUpsert", "PerBatchWriter",
     "claim_output", "jdbc_options", "read_batches", "read_current", "write_jdbc",

@@ -21,94 +21,128 @@ is read once per batch however many KPIs there are.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
+from chargepulse import storage
 from chargepulse.operators import clean as C
 from chargepulse.operators.spread import spread
 from chargepulse.plans import notify as N, request as R, topup as T
 from chargepulse.plans.rollup import rollup
-from chargepulse.streaming.sinks import BATCH_COL, _overwrite_batch, claim_output
+from chargepulse.streaming.sinks import BATCH_COL, Recorded, _overwrite_batch, claim_output, fold_positions
 
 
 class _AppBatch:
-    """``foreachBatch`` body: rows-with-reason -> partials + quarantine."""
+    """``foreachBatch`` body: rows-with-reason -> partials + quarantine.
+
+    ``spread_to`` deals a micro-batch that arrives in few partitions (one large file, one topic
+    partition) to so many before the per-message work; by default it stays as read.
+    """
 
     def __init__(self, root: str, rows: Callable[[DataFrame], DataFrame],
-                 partials: Callable[[DataFrame], DataFrame]):
+                 partials: Callable[[DataFrame], DataFrame], spread_to: int | None = None):
         self.root = root.rstrip("/")
         self.rows = rows
         self.partials = partials
+        self.spread_to = spread_to
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        # A micro-batch drawn from one large file or partition arrives as few
-        # partitions; spread it before the per-message work.
-        rows = self.rows(spread(batch)).persist()
+        rows = self.rows(spread(batch, self.spread_to)).persist()
         try:
-            _overwrite_batch(self.partials(C.good(rows)), f"{self.root}/partials", batch_id)
+            part = self.partials(C.good(rows))
+            if not storage.exists(batch.sparkSession, f"{self.root}/_schema"):
+                storage.write_text(batch.sparkSession, f"{self.root}/_schema", part.schema.json())
+            _overwrite_batch(part, f"{self.root}/partials", batch_id)
             _overwrite_batch(C.quarantined(rows), f"{self.root}/quarantine", batch_id)
         finally:
             rows.unpersist()
 
 
 # --------------------------------------------------------------- compaction --
+#
+# partials/batch_id=N          the sums of batch N, until a compaction folds it
+# folded/upto=U/batches        the folded rows with their batch_id, in few files
+# folded/upto=U/totals         sums over all batches <= U
+# folded/_done/U               marker, written last; what has none does not count
+
+def _schema(spark: SparkSession, root: str) -> StructType:
+    return StructType.fromJson(json.loads(storage.read_text(spark, f"{root}/_schema")))
+
+
+def _folded(spark: SparkSession, root: str) -> list[int]:
+    return sorted(int(n) for n in storage.children(spark, f"{root}/folded/_done"))
+
 
-def _latest_snapshot(spark: SparkSession, root: str):
-    from chargepulse.streaming.sinks import _exists
-    path = f"{root}/snapshots"
-    if not _exists(spark, path):
-        return None
-    snaps = spark.read.parquet(path)
-    upto = snaps.agg(F.max("upto")).first()[0]
-    return upto, snaps.where(F.col("upto") == upto).drop("upto")
+def _table(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:
+    paths = [p for p in paths if storage.exists(spark, p)]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def _live(spark: SparkSession, root: str, after: int) -> DataFrame:
+    """Partials of the batches that no published compaction has folded."""
+    schema = StructType([*_schema(spark, root).fields, StructField(BATCH_COL, LongType())])
+    return _table(spark, [f"{root}/partials"], schema).where(F.col(BATCH_COL) > after)
+
+
+def _sums(rows: DataFrame) -> DataFrame:
+    measures = [c for c in ("orders", "money", "success", "costtime") if c in rows.columns]
+    grain = [c for c in rows.columns if c not in measures]
+    return rows.groupBy(*grain).agg(*[F.sum(m).cast(rows.schema[m].dataType).alias(m) for m in measures])
 
 
 def compact(spark: SparkSession, root: str, upto: int) -> int:
-    """Fold the partials of batches ``<= upto`` (and the previous snapshot) into
-    a snapshot ``snapshots/upto=<upto>``; readers then scan only the snapshot and
-    the partials of later batches (pruned on ``batch_id``).
+    """Fold batches ``<= upto`` into running sums and one table of their per-batch rows.
 
-    ``upto`` must be a committed batch.  Re-running the same compaction rewrites
-    the same snapshot.
+    ``upto`` must be a committed batch.  Nothing counts before its marker is written, and what
+    a marker covers is never read from ``partials`` again, so a compaction that dies half-way
+    changes no result; running it again completes it.  Folded partials are then removed, and
+    sums older than the last but one.  Returns the newest folded batch.
     """
     root = root.rstrip("/")
-    prev = _latest_snapshot(spark, root)
-    lo = -1 if prev is None else prev[0]
-    if prev is not None and upto <= lo:
-        return lo
-    parts = spark.read.parquet(f"{root}/partials")
-    new = parts.where((F.col(BATCH_COL) > lo) & (F.col(BATCH_COL) <= upto)).drop(BATCH_COL)
-    base = new if prev is None else prev[1].unionByName(new)
-    measures = [c for c in ("orders", "money", "success", "costtime") if c in base.columns]
-    grain = [c for c in base.columns if c not in measures]
-    snap = base.groupBy(*grain).agg(*[F.sum(m).cast(base.schema[m].dataType).alias(m)
-                                      for m in measures])
-    snap.write.mode("overwrite").parquet(f"{root}/snapshots/upto={upto}")
-    return upto
+    done = _folded(spark, root)
+    low = done[-1] if done else -1
+    if upto > low:
+        schema = _schema(spark, root)
+        new = _live(spark, root, low).where(F.col(BATCH_COL) <= upto)
+        at = f"{root}/folded/upto={upto}"
+        new.hint("rebalance").write.mode("overwrite").parquet(f"{at}/batches")
+        base = _table(spark, [f"{root}/folded/upto={low}/totals"], schema)
+        _sums(base.unionByName(new.drop(BATCH_COL))).write.mode("overwrite").parquet(f"{at}/totals")
+        storage.write_text(spark, f"{root}/folded/_done/{upto}", str(low))
+        done.append(upto)
+    for name in storage.children(spark, f"{root}/partials"):
+        if name.startswith(f"{BATCH_COL}=") and int(name.split("=")[1]) <= done[-1]:
+            storage.delete(spark, f"{root}/partials/{name}")
+    for old in done[:-2]:
+        storage.delete(spark, f"{root}/folded/upto={old}/totals")
+    fold_positions(spark, root, done[-1])
+    return done[-1]
 
 
 def read_partials(spark: SparkSession, root: str) -> DataFrame:
-    """Newest snapshot (``batch_id`` NULL) plus the partials of later batches."""
+    """Rows whose sums are the running totals: the newest folded sums plus live partials."""
     root = root.rstrip("/")
-    parts = spark.read.parquet(f"{root}/partials")
-    snap = _latest_snapshot(spark, root)
-    if snap is None:
-        return parts
-    upto, s = snap
-    return s.withColumn(BATCH_COL, F.lit(None).cast("bigint")) \
-        .unionByName(parts.where(F.col(BATCH_COL) > upto))
+    done = _folded(spark, root)
+    live = _live(spark, root, done[-1] if done else -1).drop(BATCH_COL)
+    return live if not done else _table(spark, [f"{root}/folded/upto={done[-1]}/totals"], _schema(spark, root)).unionByName(live)
 
 
-def _batches(p: DataFrame) -> DataFrame:
-    return p.where(F.col(BATCH_COL).isNotNull())
+def read_batch_partials(spark: SparkSession, root: str) -> DataFrame:
+    """The partials of every batch, folded or not, with their ``batch_id``."""
+    root = root.rstrip("/")
+    done = _folded(spark, root)
+    live = _live(spark, root, done[-1] if done else -1)
+    return _table(spark, [f"{root}/folded/upto={u}/batches" for u in done], live.schema).unionByName(live)
 
 
 def _start(log_stream: DataFrame, body: _AppBatch, checkpoint: str,
            trigger: str | None) -> StreamingQuery:
     claim_output(log_stream.sparkSession, body.root, checkpoint)
-    w = log_stream.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+    w = log_stream.writeStream.foreachBatch(Recorded(body, body.root, checkpoint)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger in (None, "availableNow") \
         else w.trigger(processingTime=trigger)
     return w.start()
@@ -122,13 +156,13 @@ def notify_partials(clean: DataFrame) -> DataFrame:
 
 def notify_app(log_stream: DataFrame, dim: DataFrame, root: str, checkpoint: str,
                trigger: str | None = "2 seconds", gate: str = "interface",
-               mode: str = "quarantine") -> StreamingQuery:
+               mode: str = "quarantine", spread_to: int | None = None) -> StreamingQuery:
     """Notify messages -> ``root/partials`` (province, minute sums) + ``root/quarantine``.
 
     ``mode="strict"`` fails the batch (and the query) on a bad message instead.
     """
     side = C.province_lookup(dim)
-    body = _AppBatch(root, lambda b: C.enforce(C.notify_rows(b, side, gate), mode), notify_partials)
+    body = _AppBatch(root, lambda b: C.enforce(C.notify_rows(b, side, gate), mode), notify_partials, spread_to)
     return _start(log_stream, body, checkpoint, trigger)
 
 
@@ -144,7 +178,8 @@ def _top_per_batch(s: DataFrame, n: int, by: str, tie: str) -> DataFrame:
 def notify_results(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Running M1, M2 and per-batch M3-M5 (plus their running forms)."""
     p = _with_times(read_partials(spark, root))
-    per_batch_top10 = rollup(_batches(p), [BATCH_COL, "province"], ["success"]).select(
+    b = _with_times(read_batch_partials(spark, root))
+    per_batch_top10 = rollup(b, [BATCH_COL, "province"], ["success"]).select(
         BATCH_COL, "province", (F.col("success") / F.col("orders")).alias("success_rate"), "orders")
     return {
         "daily_totals": N.daily_totals(p),
@@ -152,11 +187,11 @@ def notify_results(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         "province_hour_failures": N.province_hour_failures(p),
         "top10_province": N.top10_province(p),
         "hourly_totals": N.hourly_totals(p),
-        "batch_province_hour_failures": rollup(_batches(p), [BATCH_COL, "province", "hour"], ["success"])
+        "batch_province_hour_failures": rollup(b, [BATCH_COL, "province", "hour"], ["success"])
         .select(BATCH_COL, "province", "hour",
                 (F.col("orders") - F.col("success")).cast("bigint").alias("failures")),
         "batch_top10_province": _top_per_batch(per_batch_top10, 10, "orders", "province"),
-        "batch_hourly_totals": rollup(_batches(p), [BATCH_COL, "hour"], ["money"]),
+        "batch_hourly_totals": rollup(b, [BATCH_COL, "hour"], ["money"]),
     }
 
 
@@ -167,15 +202,17 @@ def request_partials(clean: DataFrame) -> DataFrame:
 
 
 def request_app(log_stream: DataFrame, dim: DataFrame, root: str, checkpoint: str,
-                trigger: str | None = "2 seconds", mode: str = "quarantine") -> StreamingQuery:
+                trigger: str | None = "2 seconds", mode: str = "quarantine",
+                spread_to: int | None = None) -> StreamingQuery:
     side = C.province_lookup(dim)
-    body = _AppBatch(root, lambda b: C.enforce(C.request_rows(b, side), mode), request_partials)
+    body = _AppBatch(root, lambda b: C.enforce(C.request_rows(b, side), mode), request_partials, spread_to)
     return _start(log_stream, body, checkpoint, trigger)
 
 
 def request_results(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     p = _with_times(read_partials(spark, root))
-    fails = rollup(_batches(p), [BATCH_COL, "province"], ["success"]).select(
+    b = _with_times(read_batch_partials(spark, root))
+    fails = rollup(b, [BATCH_COL, "province"], ["success"]).select(
         BATCH_COL, "province", (F.col("orders") - F.col("success")).cast("bigint").alias("failures"),
         ((F.col("orders") - F.col("success")) / F.col("orders")).alias("failure_rate"))
     return {
@@ -183,8 +220,8 @@ def request_results(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         "province_minute": R.province_minute(p),
         "province_hour": R.province_hour(p),
         "batch_top3_failure_province": _top_per_batch(fails, 3, "failures", "province"),
-        "batch_province_minute": rollup(_batches(p), [BATCH_COL, "minute", "province"], ["money"]),
-        "batch_province_hour": rollup(_batches(p), [BATCH_COL, "hour", "province"], ["money"]),
+        "batch_province_minute": rollup(b, [BATCH_COL, "minute", "province"], ["money"]),
+        "batch_province_hour": rollup(b, [BATCH_COL, "hour", "province"], ["money"]),
     }
 
 
@@ -195,8 +232,9 @@ def topup_partials(clean: DataFrame) -> DataFrame:
 
 
 def topup_app(log_stream: DataFrame, root: str, checkpoint: str,
-              trigger: str | None = "2 seconds", mode: str = "quarantine") -> StreamingQuery:
-    body = _AppBatch(root, lambda b: C.enforce(C.topup_rows(b), mode), topup_partials)
+              trigger: str | None = "2 seconds", mode: str = "quarantine",
+              spread_to: int | None = None) -> StreamingQuery:
+    body = _AppBatch(root, lambda b: C.enforce(C.topup_rows(b), mode), topup_partials, spread_to)
     return _start(log_stream, body, checkpoint, trigger)
 
 

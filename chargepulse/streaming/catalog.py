@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from chargepulse.operators import clean as C
 from chargepulse.plans import notify as N, topup as T
 from chargepulse.plans.catalog import _NAME, _RID, ORACLE, dim, rlog, tlog
-from chargepulse.session import parallelism, work_dir
-from chargepulse.sources.files import read_lines_stream, stage_in_batches
+from chargepulse.session import parallelism, use_utc, work_dir
+from chargepulse.sources.files import read_lines_stream, stage_in_batches, stage_lines
+from chargepulse.sources.fixtures import load_table, recharge_log
 from chargepulse.streaming import apps as A
 from chargepulse.streaming.jobs import per_batch, raw_to_files, run_to_end, running_totals
 from chargepulse.streaming.sinks import read_batches, read_current
@@ -73,7 +74,7 @@ def day_province_sums(batch: DataFrame) -> DataFrame:
     return rollup(batch, ["day", "province"], ["success"])
 
 
-def q_stream_batch_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_stream_day_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every micro-batch appends its partial (day, province) sums under its
     ``batch_id``; the reader ranks the top-10 provinces per day over all batches.
 
@@ -116,13 +117,60 @@ def _app(start, results, pick, log, with_dim=True):
     return q
 
 
+PARTS = 3
+
+
+def _parts(spark: SparkSession, sf_dir: str):
+    """The recharge log in parts by event id, so that the oracle knows each message's batch."""
+    use_utc(spark)
+    events = load_table(spark, sf_dir, "events")
+    return [recharge_log(events.where(F.col("event_id") % PARTS == b)) for b in range(PARTS)]
+
+
+def _batch_by_batch(spark, sf_dir, root, parts, after=None):
+    """Run the notify app once per part: every run is one micro-batch."""
+    for b, lines in enumerate(parts):
+        stage_lines(lines, f"{root}/source/part{b}")
+        stream = read_lines_stream(spark, f"{root}/source/*")
+        run_to_end(A.notify_app(stream, dim(spark, sf_dir), f"{root}/out", f"{root}/checkpoint", trigger=None), TIMEOUT)
+        if after:
+            after(b)
+    return A.notify_results(spark, f"{root}/out")
+
+
+def _per_batch(pick):
+    """A per-batch report of the notify app."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = work_dir(spark, "batches")
+        return _batch_by_batch(spark, sf_dir, root, _parts(spark, sf_dir))[pick]
+    return q
+
+
+def _compacted(pick):
+    """A first batch of bad messages only, then the log; compacted after every batch but the last."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = work_dir(spark, "compacted")
+        bad = load_table(spark, sf_dir, "nation").select(F.concat(F.lit("no json "), "n_name").alias("value"))
+
+        def fold(b: int) -> None:
+            if b < PARTS:
+                A.compact(spark, f"{root}/out", b)
+                A.compact(spark, f"{root}/out", b)
+        return _batch_by_batch(spark, sf_dir, root, [bad, *_parts(spark, sf_dir)], fold)[pick]
+    return q
+
+
 STREAM_QUERIES = {
+    "stream_batch_top10": _per_batch("batch_top10_province"),
+    "stream_batch_hour_failures": _per_batch("batch_province_hour_failures"),
+    "stream_compact_totals": _compacted("daily_totals"),
+    "stream_compact_batches": _compacted("batch_hourly_totals"),
     "stream_read_log": q_stream_read_log,
     "stream_daily_totals": _running(N.daily_totals, ["day"], rlog, _clean_notify_stream),
     "stream_minute_orders": _running(N.minute_orders, ["minute"], rlog, _clean_notify_stream),
     "stream_month_phone_avg": _running(T.month_phone_avg, ["month", "phone"], tlog,
                                        _clean_topup_stream),
-    "stream_batch_top10": q_stream_batch_top10,
+    "stream_day_top10": q_stream_day_top10,
     "stream_resume": q_stream_resume,
     "stream_notify_app": _app(A.notify_app, A.notify_results, "province_hour_failures", rlog),
     "stream_request_app": _app(A.request_app, A.request_results, "province_minute", rlog),
@@ -130,6 +178,12 @@ STREAM_QUERIES = {
                              with_dim=False),
 }
 
+_BATCHED = f"""c AS (
+  SELECT e.event_id % {PARTS} AS batch_id, e.ts, n.n_name AS province, CAST(e.value AS DECIMAL(18,2)) AS fee,
+         (e.event_type <> 'error' AND e.event_id % 5 <> 0) AS ok
+  FROM events e JOIN nation n ON n.n_nationkey = e.user_id % 25
+  WHERE e.event_type IN ('purchase','error') AND e.event_id % 11 <> 0)"""
+
 STREAM_ORACLE = {
     "stream_read_log": f"SELECT {_RID} AS request_id, {_NAME} AS service_name FROM events e",
     "stream_daily_totals": ORACLE["daily_totals"],
@@ -139,7 +193,19 @@ STREAM_ORACLE = {
     "stream_notify_app": ORACLE["province_hour_failures"],
     "stream_request_app": ORACLE["province_minute"],
     "stream_topup_app": ORACLE["phone_mean_monthly"],
-    "stream_batch_top10": """WITH c AS (
+    "stream_batch_top10": f"""WITH {_BATCHED},
+s AS (SELECT batch_id, province, CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS success_rate,
+             count(*) AS orders FROM c GROUP BY 1, 2),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY batch_id ORDER BY orders DESC, province ASC) AS BIGINT) AS rank FROM s)
+SELECT batch_id, province, success_rate, orders, rank FROM r WHERE rank <= 10""",
+    "stream_batch_hour_failures": f"""WITH {_BATCHED}
+SELECT batch_id, province, strftime(ts, '%Y%m%d%H') AS hour,
+       CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) AS BIGINT) AS failures FROM c GROUP BY 1, 2, 3""",
+    "stream_compact_totals": ORACLE["daily_totals"],
+    "stream_compact_batches": f"""WITH {_BATCHED}
+SELECT batch_id + 1 AS batch_id, strftime(ts, '%Y%m%d%H') AS hour, count(*) AS orders,
+       CAST(sum(CASE WHEN ok THEN fee ELSE 0 END) AS DECIMAL(18,2)) AS money FROM c GROUP BY 1, 2""",
+    "stream_day_top10": """WITH c AS (
   SELECT e.ts, n.n_name AS province, (e.event_type <> 'error' AND e.event_id % 5 <> 0) AS ok
   FROM events e JOIN nation n ON n.n_nationkey = e.user_id % 25
   WHERE e.event_type IN ('purchase','error') AND e.event_id % 11 <> 0),

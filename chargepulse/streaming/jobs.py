@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from chargepulse.plans.rollup import with_event_bucket
-from chargepulse.streaming.sinks import ChangelogUpsert, PerBatchWriter, claim_output
+from chargepulse.streaming.sinks import POSITIONS, ChangelogUpsert, PerBatchWriter, Recorded, claim_output
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -67,11 +67,14 @@ def running_totals(clean_stream: DataFrame, kpi: Callable[[DataFrame], DataFrame
     the partitions to the number of keys (days: a handful; phone-months: many).
     """
     if watermark:
+        if watermark[0] not in kpi(clean_stream).columns:
+            raise ValueError(f"the watermark's time key {watermark[0]!r} is not a key of this KPI; "
+                             "a bucket finer than the key would split its sums")
         clean_stream = with_event_bucket(clean_stream, *watermark)
     claim_output(clean_stream.sparkSession, sink_path, checkpoint)
     agg = kpi(clean_stream)
     w = (agg.writeStream.outputMode("update")
-         .foreachBatch(ChangelogUpsert(sink_path))
+         .foreachBatch(Recorded(ChangelogUpsert(sink_path), sink_path, checkpoint))
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
@@ -88,7 +91,7 @@ def per_batch(clean_stream: DataFrame, reports: dict[str, Callable[[DataFrame],
               root: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
     """Each report over each micro-batch, kept per ``batch_id``."""
     claim_output(clean_stream.sparkSession, root, checkpoint)
-    w = (clean_stream.writeStream.foreachBatch(PerBatchWriter(root, reports))
+    w = (clean_stream.writeStream.foreachBatch(Recorded(PerBatchWriter(root, reports), root, checkpoint))
          .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
@@ -101,8 +104,8 @@ def raw_to_files(stream: DataFrame, path: str, checkpoint: str, trigger: str | N
     return _trigger(w, trigger).start()
 
 
-def console(stream: DataFrame, trigger: str | None = "2 seconds", rows: int = 20) -> StreamingQuery:
-    """Print each batch (development only)."""
+def console(stream: DataFrame, trigger: str | None = "2 seconds", rows: int = 2_147_483_647) -> StreamingQuery:
+    """Print each batch, all its rows unless ``rows`` says less (development only)."""
     w = stream.writeStream.format("console").option("numRows", str(rows)).option("truncate", "false")
     return _trigger(w, trigger).start()
 
@@ -118,25 +121,14 @@ def run_to_end(q: StreamingQuery, timeout_sec: float | None = None) -> None:
         raise RuntimeError(f"streaming query failed: {err}")
 
 
-def progress_ledger(spark, query: StreamingQuery) -> DataFrame:
-    """Positions per completed micro-batch, from the query's progress reports.
+def progress_ledger(spark, root: str) -> DataFrame:
+    """Positions of every batch that wrote to ``root``: ``batch_id, source, start_offset, end_offset``.
 
-    ``(batch_id, source, start_offset, end_offset, rows)``; offsets are the
-    sources' JSON (for Kafka ``{"topic":{"0":123}}``, the form
-    ``startingOffsets`` takes).  Spark keeps a bounded number of recent reports
-    (``spark.sql.streaming.numRecentProgressUpdates``), so this is small.
+    ``source`` numbers the query's sources; offsets are their JSON (for Kafka
+    ``{"topic":{"0":123}}``, the form ``startingOffsets`` takes).  Each batch records its own
+    row, so the ledger forgets nothing.  A batch that was recorded twice (folded, then replayed) is one row.
     """
-    import json
-
-    def text(v):
-        return v if isinstance(v, str) or v is None else json.dumps(v, separators=(",", ":"))
-
-    reports = [json.loads(p.json) for p in query.recentProgress]
-    rows = [(p["batchId"], s["description"], text(s.get("startOffset")),
-             text(s.get("endOffset")), s.get("numInputRows"))
-            for p in reports for s in p.get("sources", [])]
-    return spark.createDataFrame(
-        rows, "batch_id bigint, source string, start_offset string, end_offset string, rows bigint")
+    return spark.read.schema(POSITIONS).json(f"{root.rstrip('/')}/_positions").distinct()
 
 
 def resume_positions(ledger: DataFrame) -> DataFrame:

@@ -8,9 +8,13 @@ batch that is replayed after its outputs but before its offsets were stored.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from chargepulse import storage
+
 BATCH_COL = "batch_id"
 
 
@@ -32,24 +36,61 @@ def claim_output(spark: SparkSession, root: str, checkpoint: str) -> None:
     """
     owner = f"{root.rstrip('/')}/_owner"
     want = checkpoint.rstrip("/")
-    if _exists_text(spark, owner):
-        have = spark.read.text(owner).first()
-        if have is not None and have[0] != want:
-            raise ValueError(f"{root} belongs to checkpoint {have[0]}, not {want}")
+    if storage.exists(spark, owner):
+        have = storage.read_text(spark, owner).strip()
+        if have != want:
+            raise ValueError(f"{root} belongs to checkpoint {have}, not {want}")
         return
-    spark.createDataFrame([(want,)], "value string").coalesce(1).write.mode("overwrite").text(owner)
+    storage.write_text(spark, owner, want)
+
+
+# ------------------------------------------------------- position ledger --
 
+POSITIONS = "batch_id bigint, source int, start_offset string, end_offset string"
 
-def _exists_text(spark: SparkSession, path: str) -> bool:
-    from pyspark.errors import AnalysisException
 
-    try:
-        spark.read.text(path).inputFiles()
-        return True
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return False
-        raise
+def record_positions(spark: SparkSession, checkpoint: str, root: str, batch_id: int) -> None:
+    """The batch's positions, one small file per batch under ``root/_positions``.
+
+    Spark writes a batch's end positions to the checkpoint before it runs the batch, and
+    keeps only the newest hundred; a replay writes the same file again.
+    """
+    def ends(b: int) -> list[str]:
+        path = f"{checkpoint.rstrip('/')}/offsets/{b}"
+        return storage.read_text(spark, path).splitlines()[2:] if b >= 0 and storage.exists(spark, path) else []
+
+    before = ends(batch_id - 1)
+    rows = [{"batch_id": batch_id, "source": i, "start_offset": before[i] if i < len(before) else None, "end_offset": e}
+            for i, e in enumerate(ends(batch_id))]
+    storage.write_text(spark, f"{root.rstrip('/')}/_positions/{batch_id}.json",
+                       "".join(json.dumps(r) + "\n" for r in rows))
+
+
+def fold_positions(spark: SparkSession, root: str, upto: int) -> None:
+    """Put the position files of batches ``<= upto`` into one; the rows stay."""
+    path = f"{root.rstrip('/')}/_positions"
+    names = storage.children(spark, path)
+    old = [n for n in names if n.startswith("upto-")]
+    single = [n for n in names if n.split(".")[0].isdigit() and int(n.split(".")[0]) <= upto]
+    if not single:
+        return
+    lines = {line for n in old + single for line in storage.read_text(spark, f"{path}/{n}").splitlines()}
+    new = f"upto-{upto}.json"
+    storage.write_text(spark, f"{path}/{new}", "".join(x + "\n" for x in sorted(lines, key=lambda x: json.loads(x)["batch_id"])))
+    for n in old + single:
+        if n != new:
+            storage.delete(spark, f"{path}/{n}")
+
+
+class Recorded:
+    """A ``foreachBatch`` body that records the batch's positions after its outputs."""
+
+    def __init__(self, body, root: str, checkpoint: str):
+        self.body, self.root, self.checkpoint = body, root, checkpoint
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.body(batch, batch_id)
+        record_positions(batch.sparkSession, self.checkpoint, self.root, batch_id)
 
 
 class ChangelogUpsert:
@@ -68,19 +109,6 @@ class ChangelogUpsert:
         _overwrite_batch(batch, self.path, batch_id)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a Parquet table exists at ``path`` (nothing is read but the listing)."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        spark.read.parquet(path).inputFiles()
-        return True
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return False
-        raise
-
-
 def read_current(spark: SparkSession, path: str, keys, schema: StructType | None = None) -> DataFrame:
     """Resolve a changelog to one row per key: the values of its newest batch.
 
@@ -88,7 +116,7 @@ def read_current(spark: SparkSession, path: str, keys, schema: StructType | None
     stays one row per input partition before the shuffle).
     """
     keys = list(keys)
-    if not _exists(spark, path):
+    if not storage.exists(spark, path) or not [n for n in storage.children(spark, path) if n.startswith(BATCH_COL)]:
         if schema is None:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], schema)

@@ -13,7 +13,8 @@ DATA = os.path.join(os.path.dirname(os.path.abspath(__file__)), "data")
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = get_session("local[*]", shuffle_partitions=8)
+def spark(tmp_path_factory):
+    s = get_session("local[*]", shuffle_partitions=8,
+                    extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     yield s
     s.stop()

@@ -96,15 +96,46 @@ def test_compaction_keeps_results(spark):
     assert A.compact(spark, out, 1) == 1          # idempotent
     after = {k: rows(v) for k, v in A.topup_results(spark, out).items()}
     assert after == before
-    snap = spark.read.parquet(f"{out}/snapshots")
-    assert sorted(r.upto for r in snap.select("upto").distinct().collect()) == [0, 1]
+    assert A.storage.children(spark, f"{out}/folded/_done") == ["0", "1"]
+    assert not [n for n in A.storage.children(spark, f"{out}/partials") if n in ("batch_id=0", "batch_id=1")]
 
 
-def test_compaction_notify_per_batch_excludes_snapshot(spark, notify_out):
-    A.compact(spark, notify_out, 0)
-    res = A.notify_results(spark, notify_out)
-    assert rows(res["daily_totals"]) == rows(QUERIES["daily_totals"](spark, SF001))
-    assert res["batch_hourly_totals"].where("batch_id IS NULL").count() == 0
+def test_compaction_keeps_per_batch_rows(spark, notify_out):
+    names = ("batch_hourly_totals", "batch_top10_province", "batch_province_hour_failures", "daily_totals")
+    before = {k: rows(A.notify_results(spark, notify_out)[k]) for k in names}
+    last = max(r[0] for r in before["batch_hourly_totals"])
+    for upto in (0, last):
+        A.compact(spark, notify_out, upto)
+        assert {k: rows(A.notify_results(spark, notify_out)[k]) for k in names} == before
+
+
+def test_unpublished_compaction_does_not_count(spark):
+    out = _run(spark, A.topup_app, tlog, with_dim=False)
+    before = {k: rows(v) for k, v in A.topup_results(spark, out).items()}
+    A.read_partials(spark, out).limit(3).write.parquet(f"{out}/folded/upto=0/totals")   # died before its marker
+    assert {k: rows(v) for k, v in A.topup_results(spark, out).items()} == before
+    assert A.compact(spark, out, 0) == 0
+    assert {k: rows(v) for k, v in A.topup_results(spark, out).items()} == before
+
+
+def test_app_of_bad_batches_only_has_empty_results(spark):
+    root = work_dir(spark, "test-all-bad")
+    spark.createDataFrame([("no json",)], "value string").coalesce(1).write.text(f"{root}/src/a")
+    q = A.notify_app(read_lines_stream(spark, f"{root}/src/*"), dim(spark, SF001), f"{root}/out", f"{root}/ck", trigger=None)
+    run_to_end(q, 300)
+    assert A.compact(spark, f"{root}/out", 0) == 0
+    assert all(df.count() == 0 for df in A.notify_results(spark, f"{root}/out").values())
+
+
+def test_poison_amounts_leave_the_other_rows_right(spark):
+    root = work_dir(spark, "test-poison")
+    msgs = [{"phoneNum": "1", "money": m, "date": "2024-01-01T00:00:00.000Z"}
+            for m in (str(2 ** 63 - 1), str(2 ** 63 - 1), "99999999999999999999", "5", 7.9, "")]
+    spark.createDataFrame([(json.dumps(m),) for m in msgs], "value string").coalesce(1).write.text(f"{root}/src/a")
+    run_to_end(A.topup_app(read_lines_stream(spark, f"{root}/src/*"), f"{root}/out", f"{root}/ck", trigger=None), 300)
+    assert rows(A.topup_results(spark, f"{root}/out")["topup_daily_money"]) == [("2024-01-01", 12)]
+    bad = spark.read.parquet(f"{root}/out/quarantine")
+    assert [r.reason for r in bad.collect()] == ["bad_amount"] * 3
 
 
 def test_processing_time_trigger_picks_up_new_files(spark):

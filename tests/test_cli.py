@@ -38,3 +38,19 @@ def test_app_topup_available_now(spark):
               "--max-files-per-trigger", "1"], spark=spark)
     res = A.topup_results(spark, f"{root}/out")
     assert rows(res["month_phone_avg"]) == rows(QUERIES["month_phone_avg"](spark, SF001))
+
+
+def test_kafka_options_reach_the_source(spark, monkeypatch):
+    seen = {}
+
+    def source(spark, options):
+        seen.update(options)
+        raise RuntimeError("no broker here")
+    monkeypatch.setattr(cli, "read_kafka", source)
+    try:
+        cli.main(["app", "topup", "--source", "kafka:b:9092:recharge", "--out", "o", "--checkpoint", "c", "--min-partitions", "64",
+                  "--starting-offsets", '{"recharge":{"0":5}}', "--max-offsets-per-trigger", "60000"], spark=spark)
+    except RuntimeError:
+        pass
+    assert seen["startingOffsets"] == '{"recharge":{"0":5}}' and seen["subscribe"] == "recharge"
+    assert seen["maxOffsetsPerTrigger"] == "60000" and seen["minPartitions"] == "64"

@@ -24,3 +24,12 @@ def test_detail_table_kpis_and_pruning(spark):
     assert sorted(r.day for r in N.daily_totals(some).collect()) == ["20240105", "20240106", "20240107"]
     scan = explain_text(N.hourly_totals(t))
     assert "costtime" not in scan.split("ReadSchema:")[1].split("\n")[0]
+
+
+def test_hot_minute_is_spread(spark):
+    from pyspark.sql import functions as F
+    hot = spark.range(20_000).select(F.lit("20240101").alias("day"), F.lit("202401010000").alias("minute"),
+                                     F.col("id").cast("string").alias("request_id"))
+    path = write_detail(hot, work_dir(spark, "test-hot-minute") + "/t", files=8)
+    sizes = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 12_000

@@ -9,8 +9,8 @@ def one(spark, col):
 
 
 def test_digits_to_ts(spark):
-    assert one(spark, F.unix_millis(digits_to_ts(F.lit("20170412030013393282687799171031")))) \
-        == 1491966013393
+    assert one(spark, F.unix_millis(digits_to_ts(F.lit("20230512040013393000000000000077")))) \
+        == 1683864013393
     assert one(spark, digits_to_ts(F.lit("20241301000000000"))) is None
     assert one(spark, digits_to_ts(F.lit("2024"))) is None
     assert one(spark, digits_to_ts(F.lit(None).cast("string"))) is None

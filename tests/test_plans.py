@@ -34,3 +34,8 @@ def test_no_python_udfs(spark):
         p = plan(q(spark, SF001))
         for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas"):
             assert node not in p, (k, node)
+
+
+def test_sorted_provinces_come_in_order(spark):
+    got = [(r["orders"], r["province"]) for r in QUERIES["sort_province"](spark, SF001).collect()]
+    assert got == sorted(got, key=lambda r: (-r[0], r[1])) and len(got) > 1

@@ -155,11 +155,13 @@ def test_amounts_round_half_up_like_decimal(spark, texts):
     from chargepulse.functions.values import amount
 
     def expect(t):
+        if not t.strip(" "):
+            return Decimal("0.00")
         try:
             d = Decimal(t).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
         except InvalidOperation:
             return None
-        return d if abs(d) < Decimal(10) ** 16 else None
+        return d if abs(d) <= 10 ** 9 else None
 
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r.a for r in df.select(amount("t").alias("a")).collect()]

@@ -113,17 +113,56 @@ def test_per_batch_top10_of_one_batch_equals_batch_query(spark):
 
 def test_progress_ledger(spark):
     import json
-    from chargepulse.plans.catalog import rlog
-    from chargepulse.sources.files import read_lines_stream, stage_in_batches
-    from chargepulse.streaming.jobs import progress_ledger, raw_to_files, resume_positions, run_to_end
-    root = work_dir(spark, "test-ledger")
-    per = stage_in_batches(spark, rlog(spark, SF001), f"{root}/src", 3)
-    q = raw_to_files(read_lines_stream(spark, f"{root}/src", per), f"{root}/out", f"{root}/ck")
-    run_to_end(q, 600)
-    led = progress_ledger(spark, q)
-    assert led.agg(F.sum("rows")).first()[0] == spark.read.parquet(f"{root}/out").count()
+    from chargepulse.sources.files import read_lines_stream, stage_lines
+    from chargepulse.streaming.jobs import per_batch, progress_ledger, resume_positions, run_to_end
+    from chargepulse.streaming.sinks import fold_positions
+    root, n = work_dir(spark, "test-ledger"), 104
+    stage_lines(spark.range(n).selectExpr("cast(id AS string) AS value"), f"{root}/src", files=n)
+    stream = read_lines_stream(spark, f"{root}/src", 1)
+    run_to_end(per_batch(stream, {"rows": lambda b: b}, f"{root}/out", f"{root}/ck"), 1200)
+    for fold in (None, 50, 50, 102):  # more batches than the checkpoint remembers; folding keeps every row
+        if fold is not None:
+            fold_positions(spark, f"{root}/out", fold)
+        led = progress_ledger(spark, f"{root}/out")
+        assert sorted(r.batch_id for r in led.collect()) == list(range(n))
     last = resume_positions(led).first()
-    assert json.loads(last.end_offset)["logOffset"] == led.agg(F.max("batch_id")).first()[0]
+    assert json.loads(last.end_offset)["logOffset"] == n - 1
+    assert led.where("batch_id = 7").first().start_offset == led.where("batch_id = 6").first().end_offset
+
+
+def test_watermark_key_must_be_a_key_of_the_kpi(spark):
+    from chargepulse.plans import topup as T
+    from chargepulse.plans.catalog import dim, rlog
+    from chargepulse.operators.clean import clean_notify
+    from chargepulse.sources.files import read_lines_stream, stage_lines
+    from chargepulse.streaming.jobs import running_totals
+    root = work_dir(spark, "test-watermark-guard")
+    stage_lines(rlog(spark, SF001), f"{root}/src", files=1)
+    stream = clean_notify(read_lines_stream(spark, f"{root}/src"), dim(spark, SF001))
+    with pytest.raises(ValueError):
+        running_totals(stream, N.hourly_totals, f"{root}/t", f"{root}/ck", watermark=("minute", "yyyyMMddHHmm", "1 hour"))
+    with pytest.raises(ValueError):
+        running_totals(stream, T.phone_mean_monthly, f"{root}/t", f"{root}/ck", watermark=("month", "yyyy-MM", "1 hour"))
+
+
+def test_watermark_evicts_days_of_topup_money(spark):
+    import json
+    from chargepulse.operators.clean import clean_topup
+    from chargepulse.plans import topup as T
+    from chargepulse.sources.files import read_lines_stream, stage_lines
+    from chargepulse.streaming.jobs import run_to_end, running_totals
+    root = work_dir(spark, "test-evict")
+    kept = None
+    for i, day in enumerate(("2024-01-01", "2024-01-02", "2024-03-01", "2024-03-02")):
+        line = json.dumps({"phoneNum": "1", "money": "5", "date": f"{day}T08:00:00.000Z"})
+        stage_lines(spark.createDataFrame([(line,)], "value string"), f"{root}/src/{i}", files=1)
+        q = running_totals(clean_topup(read_lines_stream(spark, f"{root}/src/*")), T.topup_daily_money, f"{root}/t",
+                           f"{root}/ck", watermark=("day", "yyyy-MM-dd", "2 days"), state_partitions=1)
+        run_to_end(q, 600)
+        kept = q.lastProgress["stateOperators"][0]["numRowsTotal"]
+    assert kept == 2          # the January days left the state
+    assert rows(read_current(spark, f"{root}/t", ["day"])) == [(d, 5) for d in (
+        "2024-01-01", "2024-01-02", "2024-03-01", "2024-03-02")]
 
 
 def test_output_folder_belongs_to_one_checkpoint(spark):
