@@ -47,7 +47,8 @@ def words(col):
 
 def bigrams(ws):
     """Distinct word bigrams; a single word stands for itself, no word gives none."""
-    pairs = F.transform(F.sequence(F.lit(1), F.size(ws) - 1), lambda i: F.concat(ws[i - 1], F.lit(" "), ws[i]))
+    n = F.greatest(F.size(ws) - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(ws, F.lit(1), n), F.slice(ws, F.lit(2), n), lambda x, y: F.concat(x, F.lit(" "), y))
     return F.array_distinct(F.when(F.size(ws) >= 2, pairs).otherwise(ws))
 
 
