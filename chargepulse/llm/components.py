@@ -21,8 +21,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Nodes are integers.  Self-loops, repeated edges and either direction are fine;
     only nodes with an edge to another node are returned.
     """
-    now = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                 .distinct(), "edges")
+    now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    now = staged(now.mapInArrow(_contracted, "a long, b long").distinct(), "edges")
     seen = _state(now)
     for _ in range(max_rounds):
         if not seen[0]:
@@ -37,6 +37,28 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
 
+def _contracted(batches):
+    """A spanning forest of the edges of one task, each node linked to its smallest."""
+    import pyarrow as pa
+    parts, held = [], 0
+
+    def forest():
+        names, at = np.unique(np.concatenate(parts), return_inverse=True)
+        at = at.reshape(2, -1) if len(parts) == 1 else np.concatenate([x.reshape(2, -1) for x in np.split(
+            at, np.cumsum([len(p) for p in parts])[:-1])], axis=1)
+        lab = local_labels(len(names), at[0], at[1])
+        moved = np.flatnonzero(lab != np.arange(len(names)))
+        return pa.RecordBatch.from_arrays([pa.array(names[moved], pa.int64()), pa.array(names[lab[moved]], pa.int64())], ["a", "b"])
+    for b in batches:
+        parts.append(np.concatenate([b.column("a").to_numpy(), b.column("b").to_numpy()]))
+        held += b.num_rows
+        if held > 500_000:
+            yield forest()
+            parts, held = [], 0
+    if parts:
+        yield forest()
+
+
 def _state(e: DataFrame) -> tuple:
     hashed = F.xxhash64("a", "b").cast("decimal(20,0)")
     return tuple(e.agg(F.count("*"), F.sum(hashed)).first())
@@ -45,7 +67,7 @@ def _state(e: DataFrame) -> tuple:
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("b", "a"))
     low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    return both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+    return both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:

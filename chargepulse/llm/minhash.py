@@ -7,10 +7,10 @@ document stops early (a long text after one step).  Slots are banded; documents
 share a band are candidates, and candidates are confirmed on their full shingle sets.
 
 Documents with equal sets are one class from the start.  In every band bucket each member
-is checked against the bucket's smallest and largest member (linear in the bucket);
-members that are connected by confirmed links need no further check.  Only where a bucket
-still holds several components, all its pairs across components are checked, after
-a test on set sizes and on two bits of every slot.  No candidate is capped.
+is checked against the bucket's hub, the member with most neighbours (linear in the bucket);
+members that are connected by confirmed links need no further check.  Only where a hub
+still has members of several components, all pairs across them are checked, in tiles that
+return a spanning forest and not pairs.  No candidate is capped.
 """
 
 from __future__ import annotations
@@ -21,13 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chargepulse.llm.common import staged, table
-from chargepulse.llm.components import components
+from chargepulse.llm.components import components, local_labels
 
 BANDS, ROWS = 32, 6        # a pair at 0.8 shares a band with probability over 0.9999
 SLOTS = BANDS * ROWS
-SLICE_WORDS = 150_000      # words signed together in a task
-#: Of 192 two-bit slots, a pair at 0.8 differs in 29 on average; beyond 4 deviations it is no candidate.
-MOST_APART = 48
+SLICE_WORDS = 80_000       # words signed together in a task
+STRAYS, BLOCK = 256, 512   # a tile compares so many strays with so many members
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -44,7 +43,7 @@ class WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -103,7 +102,8 @@ def super_min_hash(flat: np.ndarray, offsets: np.ndarray, slots: int = SLOTS, se
             if not stay.any():
                 break
             if perm is None:
-                perm = np.broadcast_to(np.arange(slots, dtype=np.uint16), (int(stay.sum()), slots)).copy()
+                perm = np.broadcast_to(np.arange(slots, dtype=np.uint8 if slots <= 256 else np.uint16),
+                                       (int(stay.sum()), slots)).copy()
                 h, doc, pick = h[stay], doc[stay], pick[stay]
             elif not stay.all():
                 h, doc, pick, perm = h[stay], doc[stay], pick[stay], perm[stay]
@@ -121,14 +121,6 @@ def _bands(sig: np.ndarray, bands: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _sketch(sig: np.ndarray) -> np.ndarray:
-    """Two bits of every slot, as ``2 x slots / 64`` integers."""
-    with np.errstate(over="ignore"):
-        h = mix(sig * _A)
-    planes = [np.packbits(((h >> np.uint64(s)) & np.uint64(1)).astype(np.uint8), axis=1) for s in (0, 1)]
-    return np.concatenate(planes, axis=1).view(np.int64)
-
-
 def _slices(texts: list, words: int = SLICE_WORDS):
     at = 0
     while at < len(texts):
@@ -157,8 +149,8 @@ def _signer(k: int):
                 lists = lambda x: pa.array([r if s else [] for r, s in zip(x, some)], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").slice(at, end - at), pa.array(n, pa.int64()), pa.array(fp[0]), pa.array(fp[1]),
-                     lists(_bands(sig, BANDS)), lists(_sketch(sig))],
-                    ["doc_id", "n_shingles", "fp_a", "fp_b", "bands", "sketch"])
+                     lists(_bands(sig, BANDS))],
+                    ["doc_id", "n_shingles", "fp_a", "fp_b", "bands"])
     return sign
 
 
@@ -184,17 +176,60 @@ def _verifier(k: int, percent: int):
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int, name: str) -> DataFrame:
     """``(a, b)`` pairs -> staged ``a, b, ok``; the later text travels once per pair, the earlier joins it."""
-    rows = (pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-            .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    rows = (pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
+            .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
             .select("a", "b", "text_a", "text_b"))
     return staged(rows.mapInArrow(_verifier(k, percent), "a long, b long, ok boolean"), name)
 
 
-def _apart(n: int) -> F.Column:
-    half = n // 2
-    bits = [F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])
-                        .bitwiseOR(F.col("x")[i + half].bitwiseXOR(F.col("y")[i + half]))) for i in range(half)]
-    return sum(bits[1:], bits[0])
+def _across(k: int, percent: int):
+    """Links between a tile's strays and its members of other components, as a spanning forest."""
+    def compare(key, f):
+        import pandas as pd
+        flat, offsets = shingle_sets(f["text"].to_list(), k, WordHashes())
+        size, comp = np.diff(offsets), f["component"].to_numpy()
+        code = np.unique(flat, return_inverse=True)[1].reshape(-1)
+        strays, others = np.flatnonzero(f["stray"].to_numpy()), np.flatnonzero(~f["stray"].to_numpy() & (size > 0))
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        if len(strays) and len(others):
+            theirs = np.concatenate([code[offsets[j]:offsets[j + 1]] for j in others])
+            starts = np.concatenate([[0], np.cumsum(size[others])[:-1]])
+            mark = np.zeros(int(code.max()) + 1 if len(code) else 1, np.int32)
+            for i in strays:
+                own = code[offsets[i]:offsets[i + 1]]
+                mark[own] = 1
+                both = np.add.reduceat(mark[theirs], starts)
+                mark[own] = 0
+                ok = (both > 0) & (comp[others] != comp[i]) & (100 * both >= percent * (size[i] + size[others] - both))
+                b.append(others[ok])
+                a.append(np.full(int(ok.sum()), i))
+        ids = f["doc_id"].to_numpy()
+        names, at = np.unique(ids, return_inverse=True)
+        lab = local_labels(len(names), at[np.concatenate(a)], at[np.concatenate(b)])
+        moved = np.flatnonzero(lab != np.arange(len(names)))
+        return pd.DataFrame({"a": names[moved].astype(np.int64), "b": names[lab[moved]].astype(np.int64)})
+    return compare
+
+
+def _links_across(near: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """All links between different components among the members of a hub.
+
+    ``near`` has ``hub, doc_id, component``.  Each such pair has a member outside the hub's largest
+    component: those strays, in blocks, meet all members, in blocks; a tile is one task's work.
+    """
+    per = near.groupBy("hub", "component").count()
+    main = (per.groupBy("hub").agg(F.max(F.struct("count", "component")).alias("m"), F.sum("count").alias("n"),
+                                   F.count("*").alias("comps")).where("comps > 1")
+            .select("hub", F.col("m.component").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
+                    F.ceil((F.col("n") - F.col("m.count")) / STRAYS).cast("int").alias("cuts")))
+    rows = staged(near.join(main.hint("merge"), "hub"), "rest").join(texts.hint("merge"), "doc_id")
+    cut = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    strays = rows.where("component <> main").withColumn("i", cut("cuts")).withColumn("j", every("blocks"))
+    others = rows.withColumn("j", cut("blocks")).withColumn("i", every("cuts"))
+    cols = ["hub", "i", "j", "doc_id", "component", "text"]
+    return (strays.select(*cols, F.lit(True).alias("stray")).union(others.select(*cols, F.lit(False)))
+            .groupBy("hub", "i", "j").applyInPandas(_across(k, percent), "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -209,53 +244,37 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     if percent < 80:
         raise ValueError("the bands are calibrated for 80 % and more")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sigs = staged(texts.mapInArrow(_signer(k), "doc_id long, n_shingles long, fp_a long, fp_b long, "
-                                               "bands array<long>, sketch array<long>"), "sigs")
+    sigs = staged(texts.mapInArrow(_signer(k), "doc_id long, n_shingles long, fp_a long, fp_b long, bands array<long>"), "sigs")
     full = sigs.where("doc_id is not null and n_shingles > 0")
     classes = staged(full.groupBy("fp_a", "fp_b", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
     reps = (full.join(classes.select(F.col("rep").alias("doc_id"), "fp_a", "fp_b"), ["doc_id", "fp_a", "fp_b"])
             .dropDuplicates(["doc_id", "fp_a", "fp_b"]))
-    banded = reps.select("doc_id", "n_shingles", "sketch", F.explode("bands").alias("key"))
-    buckets = staged(banded.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-                     .where("lo <> hi"), "buckets")
-    members = staged(banded.select("key", "doc_id").join(buckets, "key"), "members")
-
-    # Each member against both ends of its buckets.
-    ends = members.select("doc_id", F.explode(F.array("lo", "hi")).alias("end")).where("doc_id <> end")
-    pairs = staged(ends.select(F.least("doc_id", "end").alias("a"), F.greatest("doc_id", "end").alias("b")).distinct(),
-                   "pairs")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    one_text = (texts.where("doc_id is not null").join(asked, "doc_id", "left_semi")
-                .dropDuplicates(["doc_id", "text"]))
-    first = _confirmed(pairs, one_text, k, percent, "confirmed")
+    banded = reps.select("doc_id", F.explode("bands").alias("key"))
+    buckets = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    members = staged(banded.join(buckets.hint("merge"), "key"), "members")
+    # The texts of documents in shared buckets, moved once; their ids grow with the input, so they are never broadcast.
+    involved = members.select("doc_id").distinct().hint("merge")
+    one_text = staged(texts.where("doc_id is not null").join(involved, "doc_id", "left_semi")
+                      .dropDuplicates(["doc_id", "text"]), "texts")
+
+    # Each member against its buckets' hubs: the member with most neighbours is the likeliest to be near all others.
+    weight = members.groupBy("doc_id").agg(F.sum("size").alias("weight"))
+    hubs = staged(members.select("key", "doc_id").join(weight.hint("merge"), "doc_id")
+                  .groupBy("key").agg(F.max(F.struct("weight", "doc_id"))["doc_id"].alias("hub")), "hubs")
+    pairs = (members.select("key", "doc_id").join(hubs.hint("merge"), "key").where("doc_id <> hub")
+             .select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct())
+    first = _confirmed(staged(pairs, "pairs"), one_text, k, percent, "confirmed")
     links = first.where("ok").select("a", "b")
     comp = staged(components(links).select(F.col("node").alias("doc_id"), "component"), "comp")
 
-    # Buckets that still hold several components: all pairs across them.
-    placed = members.select("key", "doc_id").join(comp, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    open_keys = (placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
-                 .where("c0 <> c1").select("key"))
-    rest = staged(placed.join(open_keys, "key").join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id"), "rest")
-    held = rest.select("key", "component").distinct()
-    both = (held.withColumnRenamed("component", "c0").join(held.withColumnRenamed("component", "c1"), "key")
-            .where("c0 < c1"))
-    side = lambda c, i, n, s: rest.select("key", F.col("component").alias(c), F.col("doc_id").alias(i),
-                                          F.col("n_shingles").alias(n), F.col("sketch").alias(s))
-    n = 2 * SLOTS // 64
-    across = (both.join(side("c0", "i", "n0", "x"), ["key", "c0"]).join(side("c1", "j", "n1", "y"), ["key", "c1"])
-              .where(F.lit(100) * F.least("n0", "n1") >= F.lit(percent) * F.greatest("n0", "n1"))
-              .where(_apart(n) <= MOST_APART)
-              .select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).where("a <> b").distinct())
-    left = staged(across.join(first.select("a", "b"), ["a", "b"], "left_anti"), "across")
-    asked = left.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    more_text = (texts.where("doc_id is not null").join(asked, "doc_id", "left_semi")
-                 .dropDuplicates(["doc_id", "text"]))
-    second = _confirmed(left, more_text, k, percent, "confirmed-across").where("ok").select("a", "b")
-    merged = components(comp.select(F.col("doc_id").alias("a"), F.col("component").alias("b")).where("a <> b").union(second))
-    # Rows of one document link its texts, so classes of the same document meet here too.
+    # Hubs whose members are still of several components: all pairs across them.  Members
+    # of one bucket have one hub, so no candidate is left out.
+    near = (members.select("key", "doc_id").join(hubs.hint("merge"), "key").select("hub", "doc_id").distinct()
+            .join(comp.hint("merge"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")))
+    second = _links_across(near, one_text, k, percent)
+    # Copies join their representative; rows of one document link its texts, so its classes meet here too.
     own = full.join(classes, ["fp_a", "fp_b", "n_shingles"]).select("doc_id", "rep").where("doc_id <> rep")
-    place = components(own.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-                       .union(merged.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    place = components(comp.where("doc_id <> component").union(second).union(own).toDF("a", "b"))
     out = sigs.select("doc_id", "n_shingles").join(place.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     found = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", found.alias("component_id")).withColumn(
