@@ -117,7 +117,7 @@ def test_progress_ledger(spark):
     from chargepulse.streaming.jobs import per_batch, progress_ledger, resume_positions, run_to_end
     from chargepulse.streaming.sinks import fold_positions
     root, n = work_dir(spark, "test-ledger"), 104
-    stage_lines(spark.range(n).selectExpr("cast(id AS string) AS value"), f"{root}/src", files=n)
+    stage_lines(spark.range(50 * n).selectExpr("cast(id AS string) AS value"), f"{root}/src", files=n)
     stream = read_lines_stream(spark, f"{root}/src", 1)
     run_to_end(per_batch(stream, {"rows": lambda b: b}, f"{root}/out", f"{root}/ck"), 1200)
     for fold in (None, 50, 50, 102):  # more batches than the checkpoint remembers; folding keeps every row
@@ -133,7 +133,7 @@ def test_progress_ledger(spark):
 def test_watermark_key_must_be_a_key_of_the_kpi(spark):
     from chargepulse.plans import topup as T
     from chargepulse.plans.catalog import dim, rlog
-    from chargepulse.operators.clean import clean_notify
+    from chargepulse.operators.clean import clean_notify, clean_topup
     from chargepulse.sources.files import read_lines_stream, stage_lines
     from chargepulse.streaming.jobs import running_totals
     root = work_dir(spark, "test-watermark-guard")
@@ -142,7 +142,8 @@ def test_watermark_key_must_be_a_key_of_the_kpi(spark):
     with pytest.raises(ValueError):
         running_totals(stream, N.hourly_totals, f"{root}/t", f"{root}/ck", watermark=("minute", "yyyyMMddHHmm", "1 hour"))
     with pytest.raises(ValueError):
-        running_totals(stream, T.phone_mean_monthly, f"{root}/t", f"{root}/ck", watermark=("month", "yyyy-MM", "1 hour"))
+        running_totals(clean_topup(read_lines_stream(spark, f"{root}/src")), T.phone_mean_monthly, f"{root}/t", f"{root}/ck",
+                       watermark=("month", "yyyy-MM", "1 hour"))
 
 
 def test_watermark_evicts_days_of_topup_money(spark):
