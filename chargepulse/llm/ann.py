@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chargepulse.llm.common import fingerprint, staged, table
+from chargepulse.llm.common import fingerprint, give_back, staged, table
 from chargepulse.llm.embedding_dedup import usable
 
 ENTRIES = 8       # entry nodes of a graph search
@@ -235,6 +235,8 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, reca
         lists *= 2
     x = np.stack(sample).astype(np.float64) if sample else np.zeros((0, dim))
     model = spark.sparkContext.broadcast(fit_index(x, lists, k, recall, replica_slack, replicas))
+    del sample, x
+    give_back()
 
     kind = reps.schema["embedding"].dataType.simpleString()
     posts = staged(reps.mapInPandas(_poster(model), f"vec_id long, embedding {kind}, ids array<long>, lst int"),

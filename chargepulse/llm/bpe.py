@@ -23,12 +23,11 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargepulse.llm.common import scratch_path, staged, table
+from chargepulse.llm.common import give_back, scratch_path, slices, staged, table, trimmed
 
 MAX_WORDS = 131_072        # chunks in the lexicon, at most
 MAX_BYTES = 48             # longer chunks stay outside
-SLICE_CHARS = 2_000_000    # text encoded together in a task
-FLUSH = 300_000            # distinct chunks a counting task holds
+FLUSH = 150_000            # distinct chunks a counting task holds
 
 
 def default_tokenizer() -> str:
@@ -57,8 +56,9 @@ def _count(batches):
         return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()),
                                            pa.array(list(seen.values()), pa.int64())], ["word", "n"])
     for b in batches:
-        for t in b.column("text").to_pylist():
-            seen.update(chunks_of(t))
+        for part in slices(b):
+            for t in part.column("text").to_pylist():
+                seen.update(chunks_of(t))
             if len(seen) > FLUSH:
                 yield rows()
                 seen.clear()
@@ -68,7 +68,7 @@ def _count(batches):
 
 def frequent_chunks(docs: DataFrame, most: int = MAX_WORDS) -> list[bytes]:
     """At most ``most`` chunks, the most frequent of all documents (whole steps of a log scale of counts)."""
-    counted = (docs.select("text").mapInArrow(_count, "word binary, n long")
+    counted = (docs.select("text").mapInArrow(trimmed(_count), "word binary, n long")
                .where(F.length("word") <= MAX_BYTES).groupBy("word").agg(F.sum("n").alias("n"))
                .withColumn("step", F.floor(F.log2("n") * 8).cast("int")))
     counted = staged(counted.select("word", "step"), "bpe-words")
@@ -101,7 +101,9 @@ def compile_lexicon(words: list[bytes], ids: list[list[int]]) -> dict[str, np.nd
         while len(path) > depth:
             parent, byte, child = path.pop()
             key = (final[child], tuple(children[child].items()))
-            children[parent][byte] = known.setdefault(key, child)
+            same = children[parent][byte] = known.setdefault(key, child)
+            if same != child:
+                children[child] = None  # its equal stands for it
     last = b""
     for k in order:
         w = words[k]
@@ -227,7 +229,7 @@ def encode_texts(texts: list, lex: dict, tok) -> list[np.ndarray]:
     codes, words = pd.factorize(np.array(flat, dtype=object))
     number = look_up(lex, list(words))
     unseen = np.flatnonzero(number < 0)
-    merged = [e.ids for e in tok.encode_batch([words[i].decode() for i in unseen], add_special_tokens=False)]
+    merged = _merged([words[i] for i in unseen], tok)
     known = np.maximum(number, 0)
     starts = lex["starts"]
     begin, size = starts[known].astype(np.int64), (starts[np.minimum(known + 1, len(starts) - 1)] - starts[known]).astype(np.int64)
@@ -243,33 +245,29 @@ def encode_texts(texts: list, lex: dict, tok) -> list[np.ndarray]:
     return np.split(ids, last[:-1])
 
 
+def _merged(words: list[bytes], tok) -> list:
+    """Ids of each chunk by the tokenizer's own merges, few encodings at a time."""
+    out = []
+    for at in range(0, len(words), 4000):
+        out += [e.ids for e in tok.encode_batch([w.decode() for w in words[at:at + 4000]], add_special_tokens=False)]
+    return out
+
+
 def decoder(tok) -> callable:
     """Decode as a tokenizer without a decoder step does: the tokens' strings, one space between."""
     names = np.array([tok.id_to_token(i) or "" for i in range(tok.get_vocab_size())], dtype=object)
     return lambda ids: " ".join(names[ids].tolist())
 
 
-def _slices(texts: list):
-    at = 0
-    while at < len(texts):
-        end, chars = at, 0
-        while end < len(texts) and (end == at or chars < SLICE_CHARS):
-            chars += len(texts[end] or "")
-            end += 1
-        yield at, end
-        at = end
-
-
 def _encoder(names: dict, tokenizer: str, want: str):
     def encode(batches):
         lex, tok = opened(names), load_tokenizer(SparkFiles.get(tokenizer))
         decode = decoder(tok)
         for b in batches:
-            texts = b.column("text").to_pylist()
-            for at, end in _slices(texts):
-                kept = [c.slice(at, end - at) for n, c in zip(b.schema.names, b.columns) if n != "text"]
-                some = [n for n in b.schema.names if n != "text"]
-                ids = encode_texts(texts[at:end], lex, tok)
+            for part in slices(b):
+                some = [n for n in part.schema.names if n != "text"]
+                kept = [part.column(n) for n in some]
+                ids = encode_texts(part.column("text").to_pylist(), lex, tok)
                 made = {"n_tokens": pa.array([len(i) for i in ids], pa.int64())}
                 if want == "digests":
                     sha = lambda x: hashlib.sha256(x).hexdigest()
@@ -298,14 +296,14 @@ def encode_documents(docs: DataFrame, id_cols: list[str], tokenizer: str | None
         raise ValueError("this decoder joins tokens by a space; the tokenizer has a decoder step of its own")
     words = frequent_chunks(docs, max_words)
     words = [w for w in words if w]
-    ids = [e.ids for e in tok.encode_batch([w.decode() for w in words], add_special_tokens=False)]
-    names = publish(spark, compile_lexicon(words, ids))
+    names = publish(spark, compile_lexicon(words, _merged(words, tok)))
+    give_back()
     spark.sparkContext.addFile(path)
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in id_cols)
     made = {"ids": "input_ids array<int>", "texts": "input_ids array<int>, decoded string",
             "digests": "ids_sha256 string, decoded_sha256 string"}[want]
     return docs.select(*id_cols, "text").mapInArrow(
-        _encoder(names, path.rsplit("/", 1)[-1], want), f"{kinds}, n_tokens long, {made}")
+        trimmed(_encoder(names, path.rsplit("/", 1)[-1], want)), f"{kinds}, n_tokens long, {made}")
 
 
 def op5_bpe(spark, sf_dir):

@@ -20,7 +20,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chargepulse.llm.common import table
+from chargepulse.llm.common import table, trimmed
 
 #: Control strings of the template; the id of the i-th is the vocabulary's size plus i.
 CONTROL = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ROLE]", "[/ROLE]"]
@@ -96,7 +96,7 @@ def format_chat(turns: DataFrame, tokenizer: str | None = None) -> DataFrame:
     kind = {c: turns.schema[c].dataType.simpleString() for c in ("conv_id", "turn")}
     # The text decides ties only, so its hash is enough to go through the sort.
     ids = (rows.withColumn("tie", F.sha2("text", 256))
-           .mapInArrow(_encoder(name), f"conv_id {kind['conv_id']}, turn {kind['turn']}, role string, tie string, "
+           .mapInArrow(trimmed(_encoder(name)), f"conv_id {kind['conv_id']}, turn {kind['turn']}, role string, tie string, "
                                        "input_ids array<int>, loss_mask array<int>, n int"))
     bos = F.array(F.lit(load_tokenizer(path).get_vocab_size()))
     first = F.col("turn_no") == 1
@@ -176,7 +176,7 @@ def read_back(formatted: DataFrame, tokenizer: str | None = None) -> DataFrame:
     formatted.sparkSession.sparkContext.addFile(path)
     kind = formatted.schema["conv_id"].dataType.simpleString()
     return (formatted.sortWithinPartitions("conv_id", "turn_no").select("conv_id", "input_ids", "loss_mask")
-            .mapInArrow(_reader(path.rsplit("/", 1)[-1]), f"conv_id {kind}, n_turns long, turns_sha256 string, "
+            .mapInArrow(trimmed(_reader(path.rsplit("/", 1)[-1])), f"conv_id {kind}, n_turns long, turns_sha256 string, "
                         "loss_chars long, loss_sha256 string, formatted_chars long"))
 
 

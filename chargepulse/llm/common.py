@@ -10,7 +10,17 @@ from pyspark.sql import functions as F
 from chargepulse.session import checkpoint_root
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of ``sf_dir``.
+
+    Texts are large rows, so Arrow batches hold 1,000 of them where the session has not chosen a
+    number itself; otherwise a batch of long texts alone would fill a worker.
+    """
+    if not spark.sparkContext.getConf().contains(ARROW_ROWS) and spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -42,3 +52,45 @@ def text_or_empty(col: str = "text") -> Column:
 def fingerprint(*cols: Column | str) -> list[Column]:
     """Two independent 64-bit hashes; equal pairs stand for equal values."""
     return [F.xxhash64(F.lit(seed), *cols).alias(name) for seed, name in ((11, "fp_a"), (29, "fp_b"))]
+
+
+def slices(batch, chars: int = 1_000_000, col: str = "text"):
+    """Parts of an Arrow batch of about so many bytes of text each, so that Python objects are few at a time.
+
+    A text longer than that is a part of its own, whole.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+    if not batch.num_rows:
+        return
+    size = pc.fill_null(pc.binary_length(batch.column(col)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(size, dtype=np.int64) // chars
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield batch.slice(a, b - a)
+
+
+def trimmed(work):
+    """An Arrow function that gives its task's memory back to the system when it ends.
+
+    Spark keeps Python workers between tasks, and allocators keep what a task has freed.
+    """
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+    return run
+
+
+def give_back() -> None:
+    """Return freed memory to the system; allocators otherwise keep it."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

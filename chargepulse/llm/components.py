@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargepulse.llm.common import staged
+from chargepulse.llm.common import staged, trimmed
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -22,7 +22,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     only nodes with an edge to another node are returned.
     """
     now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now = staged(now.mapInArrow(_contracted, "a long, b long").distinct(), "edges")
+    now = staged(now.mapInArrow(trimmed(_contracted), "a long, b long").distinct(), "edges")
     seen = _state(now)
     for _ in range(max_rounds):
         if not seen[0]:

@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargepulse.llm.common import staged, table
+from chargepulse.llm.common import slices, staged, table, trimmed
 from chargepulse.llm.components import components, local_labels
 
 BANDS, ROWS = 32, 6        # a pair at 0.8 shares a band with probability over 0.9999
 SLOTS = BANDS * ROWS
-SLICE_WORDS = 80_000       # words signed together in a task
+SLICE_CHARS = 500_000      # text signed together in a task
 STRAYS, BLOCK = 256, 512   # a tile compares so many strays with so many members
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -121,24 +121,12 @@ def _bands(sig: np.ndarray, bands: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _slices(texts: list, words: int = SLICE_WORDS):
-    at = 0
-    while at < len(texts):
-        end, chars = at, 0
-        while end < len(texts) and (end == at or chars + len(texts[end] or "") < 6 * words):
-            chars += len(texts[end] or "")
-            end += 1
-        yield at, end
-        at = end
-
-
 def _signer(k: int):
     def sign(batches):
         memo = WordHashes()
         for b in batches:
-            texts = b.column("text").to_pylist()
-            for at, end in _slices(texts):
-                flat, offsets = shingle_sets(texts[at:end], k, memo)
+            for part in slices(b, SLICE_CHARS):
+                flat, offsets = shingle_sets(part.column("text").to_pylist(), k, memo)
                 n = np.diff(offsets)
                 some = n > 0
                 sig = super_min_hash(flat, offsets)
@@ -146,11 +134,10 @@ def _signer(k: int):
                     total = [np.concatenate([[np.uint64(0)], np.cumsum(mix(flat * c + _C), dtype=np.uint64)])
                              for c in (_A, _B)]
                     fp = [(t[offsets[1:]] - t[offsets[:-1]]).view(np.int64) for t in total]
-                lists = lambda x: pa.array([r if s else [] for r, s in zip(x, some)], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(at, end - at), pa.array(n, pa.int64()), pa.array(fp[0]), pa.array(fp[1]),
-                     lists(_bands(sig, BANDS))],
-                    ["doc_id", "n_shingles", "fp_a", "fp_b", "bands"])
+                bands = pa.array([r if s else [] for r, s in zip(_bands(sig, BANDS), some)], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(fp[0]),
+                                                  pa.array(fp[1]), bands],
+                                                 ["doc_id", "n_shingles", "fp_a", "fp_b", "bands"])
     return sign
 
 
@@ -158,7 +145,7 @@ def _verifier(k: int, percent: int):
     def verify(batches):
         memo = WordHashes()
         last, kept = None, None
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, 2_000_000, "text_b")):
             ok = []
             for a, x, y in zip(b.column("a").to_pylist(), b.column("text_a").to_pylist(), b.column("text_b").to_pylist()):
                 if last is None or last[0] != a or last[1] != x:
@@ -179,7 +166,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int, name: s
     rows = (pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
             .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
             .select("a", "b", "text_a", "text_b"))
-    return staged(rows.mapInArrow(_verifier(k, percent), "a long, b long, ok boolean"), name)
+    return staged(rows.mapInArrow(trimmed(_verifier(k, percent)), "a long, b long, ok boolean"), name)
 
 
 def _across(k: int, percent: int):
@@ -244,7 +231,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     if percent < 80:
         raise ValueError("the bands are calibrated for 80 % and more")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sigs = staged(texts.mapInArrow(_signer(k), "doc_id long, n_shingles long, fp_a long, fp_b long, bands array<long>"), "sigs")
+    sigs = staged(texts.mapInArrow(trimmed(_signer(k)), "doc_id long, n_shingles long, fp_a long, fp_b long, bands array<long>"), "sigs")
     full = sigs.where("doc_id is not null and n_shingles > 0")
     classes = staged(full.groupBy("fp_a", "fp_b", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
     reps = (full.join(classes.select(F.col("rep").alias("doc_id"), "fp_a", "fp_b"), ["doc_id", "fp_a", "fp_b"])

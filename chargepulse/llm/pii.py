@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chargepulse.llm.common import slices, table, trimmed
 from chargepulse.llm.label_model import label_model, logistic
 
 BASE = ["email", "ip", "card", "phone"]
@@ -147,7 +148,7 @@ def pattern_of(kind: str, a: int, b: int, text: str) -> tuple:
 def _count(batches):
     from collections import Counter
     seen: Counter = Counter()
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole)):
         for t in batch.column("text").to_pylist():
             base = base_spans(t or "")
             seen.update(pattern_of(*s, t) for s in base + candidate_spans(t or "", base))
@@ -163,7 +164,7 @@ def fit_pii(docs: DataFrame) -> dict[tuple, bool]:
     The counts are of all documents; the table has at most ``kinds * 3 ** labelers`` rows.
     """
     shape = ", ".join(f"{c} int" for c in LABELERS)
-    rows = (docs.select("text").mapInArrow(_count, f"kind string, {shape}, n long")
+    rows = (docs.select("text").mapInArrow(trimmed(_count), f"kind string, {shape}, n long")
             .groupBy("kind", *LABELERS).agg(F.sum("n").alias("n")).orderBy("kind", *LABELERS).collect())
     if not rows:
         return {}
@@ -195,7 +196,7 @@ _ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end
 
 def _finder(model, mask: bool):
     def find(batches):
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole)):
             texts = b.column("text").to_pylist()
             made = [spans_of(t, model) for t in texts]
             as_rows = lambda i: pa.array([[dict(zip(("kind", "start", "end"), s)) for s in m[i]] for m in made], _ARROW)
@@ -231,16 +232,15 @@ def find_pii(docs: DataFrame, id_cols: list[str]) -> DataFrame:
     """
     model = fit_pii(docs)
     kinds = T.StructType([*(docs.schema[c] for c in id_cols), T.StructField("base", SPANS), T.StructField("spans", SPANS)])
-    return docs.select(*id_cols, "text").mapInArrow(_finder(model, False), kinds)
+    return docs.select(*id_cols, "text").mapInArrow(trimmed(_finder(model, False)), kinds)
 
 
 def mask_pii(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of personal data in ``text`` replaced by its kind; all columns and rows stay."""
-    return docs.mapInArrow(_finder(fit_pii(docs), True), docs.schema)
+    return docs.mapInArrow(trimmed(_finder(fit_pii(docs), True)), docs.schema)
 
 
 def op7_pii(spark, sf_dir):
-    from chargepulse.llm.common import table
     found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
     line = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")

@@ -3,7 +3,7 @@
 Many voters look at a text: a small fixed lexicon, patterns, and words and word stems mined
 from the training labels (candidates whose association with label 1 outlasts the number of
 candidates tried).  A generative label model estimates the voters' reliabilities and
-correlations, with the given label as one more, fallible voter; a linear classifier
+correlations, where the given label is a fallible prior; a linear classifier
 trained on its posteriors scores every whole text.  Only labels of rows whose
 ``crc32(doc_id as text) mod 5`` is not 0 are read, of at most ``fit_rows`` rows.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chargepulse.llm.common import staged, table
+from chargepulse.llm.common import give_back, slices, staged, table, trimmed
 from chargepulse.llm.label_model import label_model, logistic
 
 #: General insults; the rest of the lexicon is mined.
@@ -29,10 +29,11 @@ LEXICON = ["bastard", "clown", "crap", "damn", "disgusting", "dumb", "dumbass",
 PATTERNS = [re.compile(r"!{2,}|[?!]{3,}"), re.compile(r"[A-Z]{4,}(?:[ \t]+[A-Z]{4,}){2}"),
             re.compile(r"1d[i1]0t|m0r[o0]n|stup1d|l0s[e3]r|tr4sh")]
 WORD = re.compile(r"[^\W\d_]+")
-STEMS = (4, 5)             # lengths of word beginnings that may vote
+STEMS = (4, 5, 6, 7)       # lengths of word beginnings that may vote
 MOST_VOTERS = 400          # mined voters, at most
+LABEL_TRUST = 0.9          # how often a given label is taken to be right, before the voters
 FIT_ROWS = 20_000          # labelled rows that the model is fitted on, at most
-FLUSH = 400_000
+FLUSH = 150_000
 
 
 def held_out(col: str = "doc_id"):
@@ -54,7 +55,7 @@ def _mine(batches):
         keys = list(seen)
         return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
                                            pa.array([seen[k] for k in keys], pa.int64())], ["voter", "toxic", "n"])
-    for b in batches:
+    for b in (part for whole in batches for part in slices(whole)):
         for text, y in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
             seen.update((c, y) for c in candidates(words_of(text)))
             if len(seen) > FLUSH:
@@ -70,7 +71,7 @@ def mined_voters(train: DataFrame, most: int = MOST_VOTERS) -> list[str]:
     n1, n0 = (sum(r["count"] for r in sums if r["toxic"] == y) for y in (1, 0))
     if not n1 or not n0:
         return []
-    counts = staged(train.select("text", "toxic").mapInArrow(_mine, "voter string, toxic int, n long").groupBy("voter")
+    counts = staged(train.select("text", "toxic").mapInArrow(trimmed(_mine), "voter string, toxic int, n long").groupBy("voter")
                     .agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
                          F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b")), "tox-voters")
     tried = counts.count()
@@ -105,7 +106,7 @@ def _features(text: str | None, index: dict[str, int]) -> tuple[list[int], list[
 
 def _sampler(index):
     def sample(batches):
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole)):
             made = [_features(t, index) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array([m[0] for m in made], pa.list_(pa.int32())),
                                               pa.array([m[1] for m in made], pa.list_(pa.float64()))],
@@ -131,18 +132,26 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -
     train = staged(docs.select("doc_id", "text").join(some, "doc_id").select("text", "toxic"), "tox-train")
     index = _voter_index(mined_voters(train))
     voters = len(index) + len(PATTERNS)
-    rows = train.mapInArrow(_sampler(index), "toxic int, fired array<int>, extra array<double>").toPandas()
-    x = _matrix(rows["fired"].tolist(), rows["extra"].tolist(), voters)
-    gold = rows["toxic"].to_numpy(dtype=np.float64)
-    if not len(rows):  # nothing to learn from: the lexicon alone
+    rows = train.mapInArrow(trimmed(_sampler(index)), "toxic int, fired array<int>, extra array<double>")
+    # Texts with the same votes, shares and label are one weighted row; most have no votes at all.
+    seen = Counter((r["toxic"], tuple(r["fired"]), tuple(r["extra"])) for r in rows.toLocalIterator())
+    rows = sorted(seen)
+    x = _matrix([r[1] for r in rows], [r[2] for r in rows], voters)
+    gold = np.array([r[0] for r in rows], dtype=np.float64)
+    weight = np.array([seen[r] for r in rows], dtype=np.float64)
+    if not rows:  # nothing to learn from: the lexicon alone
         weights = np.concatenate([np.full(len(LEXICON), 3.0), np.zeros(voters - len(LEXICON) + 2), [-2.0]])
         return {"index": index, "weights": weights}
-    any_vote = (x[:, :len(index)].sum(1) > 0).astype(int) * 2 - 1
-    votes = np.concatenate([x[:, :voters].astype(np.int8), any_vote[:, None].astype(np.int8),
-                            (gold * 2 - 1)[:, None].astype(np.int8)], axis=1)
-    weight = np.ones(len(x))
-    post = label_model(votes, weight, np.where(gold > 0, 0.9, 0.1))
-    return {"index": index, "weights": logistic(x, post, weight)}
+    votes = x[:, :voters].astype(np.int8)
+    # What the given label says of a row, before any voter: the base rate, moved by the label's reliability.
+    base = np.clip((weight * gold).sum() / weight.sum(), 0.01, 0.99)
+    odds = np.log(base / (1 - base)) + np.where(gold > 0, 1, -1) * np.log(LABEL_TRUST / (1 - LABEL_TRUST))
+    start = 1 / (1 + np.exp(-odds))
+    post = label_model(votes, weight, start, prior=start)
+    weights = logistic(x, post, weight)
+    del x, votes
+    give_back()
+    return {"index": index, "weights": weights}
 
 
 def _scorer(model: dict, name: str):
@@ -150,7 +159,7 @@ def _scorer(model: dict, name: str):
     voters = len(index) + len(PATTERNS)
 
     def score(batches):
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole)):
             out = []
             for t in b.column("text").to_pylist():
                 fired, extra = _features(t, index)
@@ -172,7 +181,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS,
         raise ValueError(f"docs has a column {name}; choose another name for the score")
     model = fit_toxicity(docs, labels, fit_rows)
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
-    return docs.mapInArrow(_scorer(model, name), schema)
+    return docs.mapInArrow(trimmed(_scorer(model, name)), schema)
 
 
 def op10_toxicity(spark, sf_dir):

