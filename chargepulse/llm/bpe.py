@@ -253,18 +253,35 @@ def _merged(words: list[bytes], tok) -> list:
     return out
 
 
-def decoder(tok) -> callable:
-    """Decode as a tokenizer without a decoder step does: the tokens' strings, one space between."""
-    names = np.array([tok.id_to_token(i) or "" for i in range(tok.get_vocab_size())], dtype=object)
-    return lambda ids: " ".join(names[ids].tolist())
+class Decoder:
+    """Decodes as a tokenizer without a decoder step does: the tokens' strings, one space between.
+
+    The strings lie in one byte array; all texts of a slice are gathered from it at once.
+    """
+
+    def __init__(self, tok):
+        names = [(tok.id_to_token(i) or "").encode() + b" " for i in range(tok.get_vocab_size())]
+        self.pool = np.frombuffer(b"".join(names), np.uint8)
+        self.size = np.fromiter(map(len, names), np.int64, len(names))
+        self.start = np.cumsum(self.size) - self.size
+
+    def __call__(self, texts: list[np.ndarray]) -> list[bytes]:
+        flat = np.concatenate(texts) if texts else np.zeros(0, np.uint32)
+        size = self.size[flat]
+        ends = np.cumsum(size)
+        at = np.repeat((self.start[flat] - (ends - size)).astype(np.int32), size)
+        at += np.arange(len(at), dtype=np.int32)
+        out = self.pool[at].tobytes()
+        cuts = np.concatenate([[0], ends])[np.cumsum([0, *map(len, texts)])].tolist()
+        return [out[a:max(a, b - 1)] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def _encoder(names: dict, tokenizer: str, want: str):
     def encode(batches):
         lex, tok = opened(names), load_tokenizer(SparkFiles.get(tokenizer))
-        decode = decoder(tok)
+        decode = Decoder(tok)
         for b in batches:
-            for part in slices(b):
+            for part in slices(b, 500_000):
                 some = [n for n in part.schema.names if n != "text"]
                 kept = [part.column(n) for n in some]
                 ids = encode_texts(part.column("text").to_pylist(), lex, tok)
@@ -272,11 +289,11 @@ def _encoder(names: dict, tokenizer: str, want: str):
                 if want == "digests":
                     sha = lambda x: hashlib.sha256(x).hexdigest()
                     made |= {"ids_sha256": pa.array([sha(i.astype("<u4").tobytes()) for i in ids], pa.string()),
-                             "decoded_sha256": pa.array([sha(decode(i).encode()) for i in ids], pa.string())}
+                             "decoded_sha256": pa.array([sha(t) for t in decode(ids)], pa.string())}
                 else:
                     made["input_ids"] = pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32()))
                 if want == "texts":
-                    made["decoded"] = pa.array([decode(i) for i in ids], pa.string())
+                    made["decoded"] = pa.array([t.decode() for t in decode(ids)], pa.string())
                 yield pa.RecordBatch.from_arrays([*kept, *made.values()], [*some, *made])
     return encode
 
