@@ -1,8 +1,8 @@
 """BPE encoding and decoding with a minimal acyclic transducer as lexicon.
 
 The tokenizer drops white space, and none of its steps looks across ASCII white space,
-so a text's ids are the ids of its chunks (runs without ASCII white space) one after
-another.  The most frequent chunks of the whole corpus are compiled into a minimal
+so a text's ids are the ids of its chunks (runs without ASCII white space, stops apart) one
+after another.  The most frequent chunks of the whole corpus are compiled into a minimal
 acyclic automaton (common prefixes and suffixes shared); the outputs on its arcs add up to
 a chunk's number, which selects its ids.  The automaton is a few flat arrays in the
 shared scratch folder; Spark hands the files to executors, where tasks memory-map
@@ -14,6 +14,7 @@ work: any lexicon, an empty one too, gives the same ids.
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 from collections import Counter
 
@@ -25,8 +26,10 @@ from pyspark.sql import functions as F
 
 from chargepulse.llm.common import give_back, scratch_path, slices, staged, table, trimmed
 
-MAX_WORDS = 131_072        # chunks in the lexicon, at most
+MAX_WORDS = 262_144        # chunks in the lexicon, at most
 MAX_BYTES = 48             # longer chunks stay outside
+STOPS = re.compile(rb"(?<=[a-z])[.,;:!?]+(?=[ \t\n\r\x0b\x0c]|\Z)")
+MEMO = 150_000             # merges of unseen chunks that a task remembers
 FLUSH = 150_000            # distinct chunks a counting task holds
 
 
@@ -36,7 +39,11 @@ def default_tokenizer() -> str:
 
 
 def load_tokenizer(path: str):
+    """The tokenizer, with one thread: Spark runs tasks side by side."""
+    import os
+
     from tokenizers import Tokenizer
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     t = Tokenizer.from_file(path)
     t.no_truncation()
     t.no_padding()
@@ -44,7 +51,14 @@ def load_tokenizer(path: str):
 
 
 def chunks_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().split()
+    """Pieces whose ids, one after another, are the text's.
+
+    A run of stops after an ASCII letter and before white space is a token of its own to the
+    tokenizer, and A-Z are lower-cased by it, so both are done here: fewer pieces are distinct.  A text that
+    may hold a special token, which is matched before lower-casing, is left as it is.
+    """
+    raw = (text or "").encode()
+    return raw.split() if b"<|" in raw else STOPS.sub(rb" \g<0>", raw.lower()).split()
 
 
 # ---- corpus counts -----------------------------------------------------------------
@@ -219,8 +233,8 @@ def opened(names: dict[str, str]) -> dict[str, np.ndarray]:
 
 # ---- encoding and decoding -----------------------------------------------------------
 
-def encode_texts(texts: list, lex: dict, tok) -> list[np.ndarray]:
-    """Ids of each text (null: empty), as unsigned 32-bit integers."""
+def encode_texts(texts: list, lex: dict, tok, memo: dict | None = None) -> list[np.ndarray]:
+    """Ids of each text (null: empty), as unsigned 32-bit integers; ``memo`` keeps merges between calls."""
     import pandas as pd
     split = [chunks_of(t) for t in texts]
     flat = [c for s in split for c in s]
@@ -229,7 +243,10 @@ def encode_texts(texts: list, lex: dict, tok) -> list[np.ndarray]:
     codes, words = pd.factorize(np.array(flat, dtype=object))
     number = look_up(lex, list(words))
     unseen = np.flatnonzero(number < 0)
-    merged = _merged([words[i] for i in unseen], tok)
+    memo = {} if memo is None else memo
+    new = [words[i] for i in unseen if words[i] not in memo]
+    memo.update(zip(new, _merged(new, tok)))
+    merged = [memo[words[i]] for i in unseen]
     known = np.maximum(number, 0)
     starts = lex["starts"]
     begin, size = starts[known].astype(np.int64), (starts[np.minimum(known + 1, len(starts) - 1)] - starts[known]).astype(np.int64)
@@ -249,7 +266,7 @@ def _merged(words: list[bytes], tok) -> list:
     """Ids of each chunk by the tokenizer's own merges, few encodings at a time."""
     out = []
     for at in range(0, len(words), 4000):
-        out += [e.ids for e in tok.encode_batch([w.decode() for w in words[at:at + 4000]], add_special_tokens=False)]
+        out += [e.ids for e in tok.encode_batch_fast([w.decode() for w in words[at:at + 4000]], add_special_tokens=False)]
     return out
 
 
@@ -279,12 +296,14 @@ class Decoder:
 def _encoder(names: dict, tokenizer: str, want: str):
     def encode(batches):
         lex, tok = opened(names), load_tokenizer(SparkFiles.get(tokenizer))
-        decode = Decoder(tok)
+        decode, memo = Decoder(tok), {}
         for b in batches:
-            for part in slices(b, 500_000):
+            for part in slices(b):
                 some = [n for n in part.schema.names if n != "text"]
                 kept = [part.column(n) for n in some]
-                ids = encode_texts(part.column("text").to_pylist(), lex, tok)
+                if len(memo) > MEMO:
+                    memo.clear()
+                ids = encode_texts(part.column("text").to_pylist(), lex, tok, memo)
                 made = {"n_tokens": pa.array([len(i) for i in ids], pa.int64())}
                 if want == "digests":
                     sha = lambda x: hashlib.sha256(x).hexdigest()

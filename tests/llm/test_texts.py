@@ -128,7 +128,7 @@ def test_pii_spans_masks_and_odd_rows(spark):
     assert pii.mask_pii(docs).columns == docs.columns and pii.find_pii(docs.limit(0), ["doc_id"]).count() == 0
 
 
-HARD = ["Hello   world!", None, "", "  ", "é\u0301 e\u0301 İ ǅ ΑΣ Σ", "<|startoftext|>a<|endoftext|> <|endoftext|>", "it's we'll x'S", "a\x1cb\x85c\u00a0d\u2003e",
+HARD = ["End. Of, it!! a.b, c;) x. (y?), é. ß, İ. Q\u0307. A.", "A<|STARTOFTEXT|>. B", "Hello   world!", None, "", "  ", "é\u0301 e\u0301 İ ǅ ΑΣ Σ", "<|startoftext|>a<|endoftext|> <|endoftext|>", "it's we'll x'S", "a\x1cb\x85c\u00a0d\u2003e",
         "123 4.5 ７", "日本語 テスト 🎉🎉", "\x00 \u200b\ufeff", "word " * 50_000, "a" * 3000, "tab\tnew\nline\r\x0b\x0c end"]
 
 
