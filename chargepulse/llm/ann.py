@@ -46,13 +46,17 @@ def balanced_centroids(x: np.ndarray, lists: int, rounds: int = 3) -> np.ndarray
         parts = [q for q in out if len(q)]
     c = np.stack([x[q].mean(0) for q in parts])
     for _ in range(rounds):
-        near = np.argmin((c ** 2).sum(1)[None, :] - 2 * x @ c.T, axis=1)
+        near = np.concatenate([np.argmin((c ** 2).sum(1)[None, :] - 2 * y @ c.T, axis=1) for y in _blocks(x)])
         total, count = np.zeros_like(c), np.bincount(near, minlength=len(c))
         np.add.at(total, near, x)
         c = np.where(count[:, None] > 0, total / np.maximum(count, 1)[:, None], c)
     return c
 
 
+def _blocks(x: np.ndarray, rows: int = 1000):
+    return [x[at:at + rows] for at in range(0, len(x), rows)]
+
+
 def neighbour_graph(c: np.ndarray) -> np.ndarray:
     """Each centroid's nearest centroids, plus its neighbours on a ring so that all can be reached."""
     k = len(c)
@@ -105,14 +109,18 @@ def fit_index(sample: np.ndarray, lists: int, k: int, recall: float, slack: floa
     ratio = 1.0
     held = np.ones((len(sample), len(c)), dtype=bool)
     if len(c) > 1:
-        row, lst = postings_of(sample, c, graph, slack, replicas)
         held[:] = False
-        held[row, lst] = True
+        for at in range(0, len(sample), 1000):
+            row, lst = postings_of(sample[at:at + 1000], c, graph, slack, replicas)
+            held[at + row, lst] = True
         ask = np.random.default_rng(3).permutation(len(sample))[:500]
         sq = (sample ** 2).sum(1)
-        d2 = sq[None, :] - 2 * sample[ask] @ sample.T
-        d2[np.arange(len(ask)), ask] = np.inf
-        near = np.argpartition(d2, min(k, len(sample) - 1) - 1, axis=1)[:, :min(k, len(sample) - 1)]
+        top, near = min(k, len(sample) - 1), []
+        for some in _blocks(ask, 50):
+            d2 = sq[None, :] - 2 * sample[some] @ sample.T
+            d2[np.arange(len(some)), some] = np.inf
+            near.append(np.argpartition(d2, top - 1, axis=1)[:, :top])
+        near = np.concatenate(near)
         to_c = np.sqrt(np.maximum((sample[ask] ** 2).sum(1)[:, None] + (c ** 2).sum(1)[None, :]
                                   - 2 * sample[ask] @ c.T, 0))
         rel = to_c / np.maximum(to_c.min(1, keepdims=True), 1e-12)
