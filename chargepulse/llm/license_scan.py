@@ -75,8 +75,10 @@ def scan_licenses(docs: DataFrame, templates: DataFrame, dice: float = 0.8) -> D
     units = docs.select("doc_id", F.posexplode(F.concat(F.array(F.col("text")), F.when(
         F.size(lines) > 1, lines).otherwise(F.array().cast("array<string>")))).alias("line", "unit"))
     # A unit of one byte a word at least: long ones cannot be short in words, so characters are no bound from above.
-    cut = (units.where(F.length("unit") > 2 * least).withColumn("ws", words(F.col("unit")))
-           .where(F.size("ws") > least - 1).withColumn("grams", bigrams(F.col("ws")))
+    # Exploding a one-element array keeps the planner from copying the expression into each of its uses.
+    once = lambda x: F.explode(F.array(x))
+    cut = (units.where(F.length("unit") > 2 * least).withColumn("ws", once(words(F.col("unit"))))
+           .where(F.size("ws") > least - 1).withColumn("grams", once(bigrams(F.col("ws"))))
            .withColumn("a", F.size("grams")).where((F.col("a") >= least) & (F.col("a") <= most)))
     shared = (cut.select("doc_id", "line", "a", F.xxhash64("unit").alias("unit"), F.explode("grams").alias("bigram"))
               .join(forms, "bigram").where(2 * F.least("a", "b") >= dice * (F.col("a") + F.col("b")))
