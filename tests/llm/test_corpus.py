@@ -51,6 +51,18 @@ def test_mixing(spark):
     assert sorted(map(tuple, again), key=str) == sorted(map(tuple, got), key=str)
 
 
+def test_mixing_small_sources_of_a_large_table(spark):
+    # 60 million words in few rows: a block of all would be larger than some sources.
+    big = spark.range(600).select("id", F.repeat(F.lit("w "), 100_000).alias("text"), F.lit("hot").alias("source"))
+    small = spark.createDataFrame([(1000, "w " * 40, "tiny"), (1001, "w " * 160, "tiny"), (1002, "w " * 1000, "small"),
+                                   (1003, "w", "word"), (1004, "w " * 333, None)], "id long, text string, source string")
+    docs = big.unionByName(small).withColumnRenamed("id", "doc_id")
+    got = mixing.mix_sources(docs, slots=1 << 10).groupBy("source").agg(
+        F.first("target").alias("target"), F.sum("taken").alias("taken")).collect()
+    assert {r["source"]: r["taken"] for r in got if r["source"] != "hot"} == {"tiny": 400, "small": 2000, "word": 2, None: 666}
+    assert all(abs(r["taken"] - r["target"]) <= 0.5 for r in got)
+
+
 def test_mixing_empty_and_wordless(spark):
     docs = _mix_docs(spark)
     assert mixing.mix_sources(docs.limit(0)).count() == 0
