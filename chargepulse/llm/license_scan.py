@@ -6,11 +6,15 @@ their sets of word bigrams reaches the threshold.  With ``a`` and ``b`` bigrams
 coefficient is at most ``2 min(a, b) / (a + b)``, so only units whose word count lies in some
 template's bounds are cut into bigrams, and a bigram meets only templates whose bounds
 hold its unit.  Bigrams that no template has fall out of the join at once.
+
+Notices that are wrapped over lines or stand inside a longer text are found in *windows*
+of the whole normalised text, line breaks ignored: they begin at a bigram of a template and are
+about as long as it.  Windows that meet a line or text that matches by itself are that match.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chargepulse.llm.common import staged, table
@@ -55,16 +59,17 @@ def bigrams(ws):
 def scan_licenses(docs: DataFrame, templates: DataFrame, dice: float = 0.8) -> DataFrame:
     """``(doc_id, text)`` rows and ``(license, text)`` templates -> one row per ``doc_id``.
 
-    ``doc_id, n_matches`` (units that match), ``license, score, line`` of the best match: the
-    highest coefficient, ties by the smaller line (0: the whole text; lines count from 1), then the
-    smaller name.  Nulls where nothing matches, as for null and empty texts.  A text without a
+    ``doc_id, n_matches`` (units that match, and windows that match and meet none of them nor a better
+    window), ``license, score, line`` of the best match: the highest coefficient, ties by the smaller line
+    (0: the whole text; lines count from 1; a window has the line it begins in), then the smaller name.  Nulls where nothing matches, as for null and empty texts.  A text without a
     line break is one line.  Rows with one ``doc_id`` are one document; a null id is one too.
     Templates without words match nothing.
     """
     forms = staged(templates.where("license is not null and text is not null").distinct()
                    .withColumn("form", F.xxhash64("license", "text"))
                    .select("form", "license", F.explode(bigrams(words(F.col("text")))).alias("bigram"),
-                           F.size(bigrams(words(F.col("text")))).alias("b")), "license-forms")
+                           F.size(bigrams(words(F.col("text")))).alias("b"),
+                           F.greatest(F.size(words(F.col("text"))) - 1, F.lit(1)).alias("long")), "license-forms")
     bounds = forms.agg(F.min("b"), F.max("b")).first()
     if bounds[0] is None:
         bounds = (1, 0)
@@ -88,7 +93,9 @@ def scan_licenses(docs: DataFrame, templates: DataFrame, dice: float = 0.8) -> D
     best = (shared.withColumn("score", copies).where(F.col("score") >= dice)
             .groupBy("doc_id", "line", "unit").agg(F.max(F.struct("score", "license")).alias("m"),
                                                    F.min(F.struct(-F.col("score"), "license")).alias("m2"))
-            .select("doc_id", "line", F.col("m.score").alias("score"), F.col("m2.license").alias("license")))
+            .select("doc_id", "line", "unit", F.col("m.score").alias("score"), F.col("m2.license").alias("license")))
+    best = staged(best, "license-units")
+    best = best.select("doc_id", "line", "score", "license").unionByName(_windows(docs, forms, best, dice))
     found = best.select("doc_id", F.struct((-F.col("score")).alias("s"), "line", "license").alias("hit"))
     every = docs.select("doc_id", F.lit(None).cast(found.schema["hit"].dataType).alias("hit"))
     return (found.unionByName(every).groupBy("doc_id")
@@ -97,6 +104,73 @@ def scan_licenses(docs: DataFrame, templates: DataFrame, dice: float = 0.8) -> D
                     F.col("hit.line").alias("line")))
 
 
+def _windows(docs: DataFrame, forms: DataFrame, units: DataFrame, dice: float) -> DataFrame:
+    """``doc_id, line, score, license`` of the windows that match and meet no matching unit nor a better window.
+
+    ``units`` are the matching lines and texts: ``doc_id, line`` and ``unit``, the hash of the line or text.
+    """
+    once = lambda x: F.explode(F.array(x))
+    n = F.greatest(F.size("ws") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("ws", F.lit(1), n), F.slice("ws", F.lit(2), n), lambda x, y: F.concat(x, F.lit(" "), y))
+    texts = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("whole"), "text")
+    # Windows begin and end at bigrams of their template; templates of one word have none, lines hold them.
+    hits = (texts.select("doc_id", "whole", once(words(F.col("text"))).alias("ws"))
+            .select("doc_id", "whole", F.posexplode(pairs).alias("start", "bigram")).join(forms, "bigram")
+            .select("doc_id", "whole", "form", "license", "b", "long", "start", F.xxhash64("bigram").alias("bigram")))
+    # Places are counted in lengths of the template (parts of 2^30), so one frame fits all; the longer ones leave room for added words.
+    unit_length = 1 << 30
+    place = (F.col("start").cast("long") * unit_length / F.col("long")).cast("long")
+    of = Window.partitionBy("doc_id", "whole", "form").orderBy(place)
+    most = (2 - dice) / dice
+    frames = [of.rangeBetween(0, int(x * unit_length) - 2) for x in (1.0, (1 + most) / 2, most)]
+    ends = F.array(*[F.struct(F.size(F.collect_set("bigram").over(w)).alias("n_both"), F.max("start").over(w).alias("end"))
+                     for w in frames])
+    near = (hits.withColumn("ends", ends).withColumn("w", F.explode("ends"))
+            .select("*", "w.n_both", "w.end").drop("w", "ends", "bigram")
+            .where(2 * F.col("n_both") >= dice * (F.col("n_both") + F.col("b"))).distinct())
+    near = staged(near, "license-windows")
+
+    # Their bigrams and lines, from their texts; a text is one row with all its windows.
+    row = F.struct("form", "license", "b", "long", "start", "end", "n_both")
+    asked = near.groupBy(F.col("doc_id").alias("id"), F.col("whole").alias("w")).agg(F.collect_list(row).alias("windows"))
+    matched = units.groupBy(F.col("doc_id").alias("id_m")).agg(F.collect_set(F.struct("line", "unit")).alias("matched"))
+    full = (texts.join(asked, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("whole") == F.col("w")))
+            .dropDuplicates(["doc_id", "whole"]).join(matched, F.col("doc_id").eqNullSafe(F.col("id_m")), "left")
+            .withColumn("ws", once(words(F.col("text")))).withColumn("grams", once(pairs))
+            .withColumn("lines", once(F.split(F.col("text"), "\n")))
+            .withColumn("sizes", once(F.transform("lines", lambda x: F.size(words(x))))))
+
+    def line_of(word):
+        none = F.struct(F.lit(0).alias("words"), F.lit(0).alias("line"))
+        return F.aggregate("sizes", none, lambda at, size: F.when(at["words"] > word, at).otherwise(
+            F.struct((at["words"] + size).alias("words"), (at["line"] + 1).alias("line"))), lambda at: at["line"])
+    distinct = lambda w: F.size(F.array_distinct(F.slice("grams", w["start"] + 1, w["end"] - w["start"] + 1)))
+    seen = F.transform("windows", lambda w: F.struct(
+        *[w[c].alias(c) for c in ("form", "license", "long", "start", "end")],
+        (2.0 * w["n_both"] / (distinct(w) + w["b"])).alias("score"),
+        line_of(w["start"]).alias("line"), line_of(w["end"] + 1).alias("to")))
+    unit = F.transform(F.sequence("line", "to"), lambda i: F.struct(
+        i.alias("line"), F.xxhash64(F.element_at("lines", i)).alias("unit")))
+    met = F.arrays_overlap(F.concat(unit, F.array(F.struct(F.lit(0).alias("line"), F.col("whole").alias("unit")))), "matched")
+    good = (full.withColumn("seen", F.explode(seen)).select("doc_id", "whole", "lines", "matched", "seen.*")
+            .where(F.col("score") >= dice).where(~F.coalesce(met, F.lit(False)))
+            .select("doc_id", F.xxhash64("doc_id", "whole").alias("key"), "form", "license", "start", "end", "line",
+                    "score", "long"))
+    # The best of a template within its length, then the best of those that overlap.
+    rank = F.struct(-F.col("score"), F.col("start"), F.col("license"), F.col("form"), F.col("end"))
+    around = Window.partitionBy("key", "form").orderBy(place).rangeBetween(-unit_length, unit_length)
+    good = (good.withColumn("rank", rank).withColumn("first", F.min("rank").over(around)).where("rank = first")
+            .select("doc_id", "key", "line", "score", "license", "start", "end", "rank"))
+    good = staged(good.withColumn("cell", F.explode(F.sequence(F.floor(F.col("start") / 64), F.floor((F.col("end") + 1) / 64)))),
+                  "license-found")
+    x, y = good.alias("x"), good.alias("y")
+    worse = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cell") == F.col("y.cell"))
+                   & (F.col("x.start") <= F.col("y.end") + 1) & (F.col("y.start") <= F.col("x.end") + 1)
+                   & (F.col("y.rank") < F.col("x.rank"))).select("x.key", "x.rank").distinct()
+    return (good.drop("cell").distinct().join(worse, ["key", "rank"], "left_anti")
+            .select("doc_id", "line", "score", "license"))
+
+
 def op6_license_scans(spark, sf_dir):
     return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"),
                          spark.createDataFrame(TEMPLATES, "license string, text string"))

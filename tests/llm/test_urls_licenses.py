@@ -84,6 +84,27 @@ def test_licenses_match_sql(spark):
     assert {r["doc_id"] for r in got.where("n_matches > 0").collect()} >= {0, 1, 6, 10}
 
 
+def test_licenses_wrapped_and_inside_lines(spark):
+    import textwrap
+    mit, isc = (next(t for x, t in license_scan.TEMPLATES if x == name and len(t) > 150) for name in ("MIT", "ISC"))
+    more = " ".join(f"word{i}" for i in range(80)) + "."
+    texts = ["\n".join(textwrap.wrap(mit, 40)), f"Copyright 2020 foo\n\n{mit}\n\n{more}".replace(", ", ",\n"),
+             "This file is part of foo. Released under the MIT License. See COPYING.",
+             "a b\n" + "\n".join(textwrap.wrap("One. " + isc + " Two.", 50)) + "\n" + "\n".join(textwrap.wrap(mit + " Three " + more, 60)),
+             "see\nthe file. Released under the\nMIT License. It is " + "long " * 60, "prose " * 50 + "under the license of the " * 3,
+             "Released under the MIT License.\n" + more]
+    docs = spark.createDataFrame([*enumerate(texts), (None, texts[2])], "doc_id long, text string")
+    forms = spark.createDataFrame(license_scan.TEMPLATES, "license string, text string")
+    got = {r["doc_id"]: tuple(r)[1:] for r in license_scan.scan_licenses(docs, forms).collect()}
+    assert got[0] == (1, "MIT", 1.0, 0)
+    assert got[1][:2] == (1, "MIT") and got[1][2] > 0.95 and got[1][3] == 3
+    assert got[2] == got[None] == (1, "MIT", 1.0, 1)
+    assert got[3][0] == 2 and got[3][1:] == ("ISC", 1.0, 2)
+    assert got[4] == (1, "MIT", 1.0, 2)
+    assert got[5] == (0, None, None, None)
+    assert got[6] == (1, "MIT", 1.0, 1)
+
+
 @pytest.mark.parametrize("no_docs", [True, False])
 def test_licenses_empty(spark, no_docs):
     docs = spark.createDataFrame([(1, "Released under the MIT License.")], "doc_id long, text string")
