@@ -15,7 +15,7 @@ LLM_QUERIES = {
     "op8_minhash_near_dedup": minhash.op8_minhash_near_dedup,
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
-    "pipeline": corpus_pipeline.run,
+    "pipeline": corpus_pipeline.run_whole,
 }
 LLM_ORACLE = {
     "op1_url_filters": url_filter.ORACLE,

@@ -52,8 +52,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text."""
-    return bpe.encode_documents(docs, ["doc_id", "lang", "source"], want="ids")
+    """Token ids of every text, and the text that they decode to."""
+    return bpe.encode_documents(docs, ["doc_id", "lang", "source"], want="texts")
 
 
 STAGES = [("toxicity", drop_toxic), ("minhash_near_dedup", drop_near_duplicates), ("pii", mask_personal_data),
@@ -63,9 +63,14 @@ STAGES = [("toxicity", drop_toxic), ("minhash_near_dedup", drop_near_duplicates)
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages, in order, on ``documents``; each result is written and read again."""
+def run_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages, in order, on ``documents``; each result but the last is written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``run_whole`` without the decoded texts."""
+    return run_whole(spark, sf_dir).drop("decoded")

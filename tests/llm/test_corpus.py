@@ -128,6 +128,20 @@ def test_pipeline(spark):
     assert last.columns == ["doc_id", "lang", "source", "n_tokens", "input_ids"] and last.count() > 0
 
 
+def test_pipeline_encodes_and_decodes(spark):
+    from chargepulse.llm import bpe
+    from chargepulse.llm.catalog import LLM_QUERIES
+    texts = ["Some words, and MORE words.", "", None, "é ü"]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    got = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert got.columns == ["doc_id", "lang", "source", "n_tokens", "input_ids", "decoded"]
+    tok = bpe.load_tokenizer(bpe.default_tokenizer())
+    for r in got.collect():
+        ids = tok.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids
+        assert r["input_ids"] == ids and r["n_tokens"] == len(ids) and r["decoded"] == tok.decode(ids, skip_special_tokens=False)
+    assert LLM_QUERIES["pipeline"] is corpus_pipeline.run_whole
+
+
 def test_pipeline_stages_take_odd_rows(spark):
     rows = [(1, "a b c d e f", "en", None, 1, "x"), (1, "a b c d e f", "en", None, 1, "x"), (None, None, None, "s", None, None),
             (2, "", "en", "s", 0, "y"), (3, "A B c d e f", "en", "s", 1, "z")]
