@@ -87,10 +87,9 @@ def scan_licenses(docs: DataFrame, templates: DataFrame, dice: float = 0.8) -> D
            .withColumn("a", F.size("grams")).where((F.col("a") >= least) & (F.col("a") <= most)))
     shared = (cut.select("doc_id", "line", "a", F.xxhash64("unit").alias("unit"), F.explode("grams").alias("bigram"))
               .join(forms, "bigram").where(2 * F.least("a", "b") >= dice * (F.col("a") + F.col("b")))
-              .groupBy("doc_id", "line", "unit", "form", "license", "a", "b").agg(F.count("*").alias("n_both")))
-    # Repeated rows of a document repeat its units; each unit's bigrams count once per copy.
-    copies = 2.0 * F.least("n_both", F.least("a", "b")) / (F.col("a") + F.col("b"))
-    best = (shared.withColumn("score", copies).where(F.col("score") >= dice)
+              .groupBy("doc_id", "line", "unit", "form", "license", "a", "b").agg(F.countDistinct("bigram").alias("n_both")))
+    # Repeated rows of a document repeat its units, so bigrams are counted once.
+    best = (shared.withColumn("score", 2.0 * F.col("n_both") / (F.col("a") + F.col("b"))).where(F.col("score") >= dice)
             .groupBy("doc_id", "line", "unit").agg(F.max(F.struct("score", "license")).alias("m"),
                                                    F.min(F.struct(-F.col("score"), "license")).alias("m2"))
             .select("doc_id", "line", "unit", F.col("m.score").alias("score"), F.col("m2.license").alias("license")))

@@ -118,3 +118,9 @@ def test_repeated_documents_are_one(spark):
     forms = spark.createDataFrame(license_scan.TEMPLATES, "license string, text string")
     got = sorted(tuple(r)[:3] for r in license_scan.scan_licenses(docs, forms).collect())
     assert got == [(1, 1, "MIT"), (2, 0, None)]
+
+
+def test_repeated_documents_match_no_more_than_one(spark):
+    docs = spark.createDataFrame([(1, "Released under the GPL License.")] * 2, "doc_id long, text string")
+    forms = spark.createDataFrame(license_scan.TEMPLATES, "license string, text string")
+    assert [tuple(r) for r in license_scan.scan_licenses(docs, forms).collect()] == [(1, 0, None, None, None)]
