@@ -10,6 +10,7 @@ from chargepulse.operators.clean import (
 )
 from chargepulse.operators.spread import spread
 from chargepulse.operators.aggregate import vector_sum, with_failures
+from chargepulse.operators.rank import ranked
 from chargepulse.operators.topn import top_n, sort_desc
 
 __all__ = [
@@ -18,5 +19,5 @@ __all__ = [
     "parse_notify", "clean_notify", "clean_request", "clean_topup", "ods_detail",
     "notify_rows", "request_rows", "topup_rows", "good", "quarantined", "enforce",
     "province_lookup", "spread",
-    "vector_sum", "with_failures", "top_n", "sort_desc",
+    "vector_sum", "with_failures", "ranked", "top_n", "sort_desc",
 ]

@@ -17,6 +17,7 @@ from chargepulse.functions.times import elapsed_ms, prefix
 from chargepulse.operators import clean as C
 from chargepulse.operators.aggregate import vector_sum
 from chargepulse.operators.gates import notify_business_gate, notify_ods_gate, request_gate
+from chargepulse.operators.rank import ranked
 from chargepulse.operators.topn import sort_desc
 from chargepulse.plans import notify as N, request as R, topup as T
 from chargepulse.session import use_utc
@@ -147,6 +148,12 @@ def q_sort_province(spark, sf_dir):
     return sort_desc(s, "orders", "province")
 
 
+def q_sort_rank(spark, sf_dir):
+    """K1 with its order as a column: (minute, province) rows, most orders first."""
+    s = vector_sum(notify_clean(spark, sf_dir), ["minute", "province"], [])
+    return ranked(s, [F.col("orders").desc(), F.col("minute").asc(), F.col("province").asc()])
+
+
 def q_time_buckets(spark, sf_dir):
     p = _parsed_ids(spark, sf_dir)
     return p.select("request_id", prefix("requestId", 8).alias("day"),
@@ -233,6 +240,7 @@ QUERIES: dict[str, Query] = {
     "dim_province": q_dim_province,
     "agg_vector_sum": q_agg_vector_sum,
     "sort_province": q_sort_province,
+    "sort_rank": q_sort_rank,
     "time_buckets": q_time_buckets,
     "elapsed_ms": q_elapsed_ms,
     "month_span": q_month_span,
@@ -411,6 +419,9 @@ SELECT province, count(*) AS orders, {_MONEY} AS money, {_SUCC} AS success,
 FROM c GROUP BY 1""",
     "sort_province": f"""WITH {NOTIFY_CTE}
 SELECT province, count(*) AS orders FROM c GROUP BY 1 ORDER BY orders DESC, province ASC""",
+    "sort_rank": f"""WITH {NOTIFY_CTE},
+s AS (SELECT strftime(ts, '%Y%m%d%H%M') AS minute, province, count(*) AS orders FROM c GROUP BY 1, 2)
+SELECT *, CAST(row_number() OVER (ORDER BY orders DESC, minute ASC, province ASC) AS BIGINT) AS rank FROM s""",
     "time_buckets": f"""SELECT {_RID} AS request_id, strftime(e.ts, '%Y%m%d') AS day,
        strftime(e.ts, '%Y%m%d%H') AS hour, strftime(e.ts, '%Y%m%d%H%M') AS minute FROM events e""",
     "elapsed_ms": f"""SELECT {_RID} AS request_id, CAST(e.event_id * 37 % 60000 AS BIGINT) AS elapsed_ms

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from chargepulse import storage
 
 # Settings a job of this library wants; applied only where the cluster has not
 # chosen a value already.  Launch-time settings must reach the builder before
@@ -78,7 +80,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         jdir = spark.sparkContext.getCheckpointDir()
         root = jdir if jdir else None
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         # Local runs only (tests): a temp folder on this machine is shared by all threads.
         root = tempfile.mkdtemp(prefix="chargepulse-")
@@ -87,7 +89,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """The name of a fresh folder for one run, under the cluster's shared checkpoint dir."""
-    root = checkpoint_root(spark).rstrip("/")
-    path = f"{root}/chargepulse/{name}-{uuid.uuid4().hex[:12]}"
-    return path  # the writers create it, on the file system that the path names
+    """The name of a fresh folder for one run, under the cluster's shared checkpoint dir.
+
+    All folders of an application lie below one, which goes when the application ends.
+    """
+    run = f"{checkpoint_root(spark).rstrip('/')}/chargepulse/{spark.sparkContext.applicationId}"
+    storage.delete_on_exit(spark, run)
+    return f"{run}/{name}-{uuid.uuid4().hex[:12]}"  # the writers create it, on the file system that the path names
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a scratch folder and read it back: a cut lineage that outlives executors."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

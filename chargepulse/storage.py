@@ -35,6 +35,13 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Make the folder, and have it removed when the driver's JVM ends."""
+    fs, p = _at(spark, path)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file under a hidden name, then rename it, so readers see all of it or nothing."""
     head, _, name = path.rpartition("/")
