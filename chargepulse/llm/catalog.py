@@ -1,8 +1,8 @@
 """The queries of this subpackage, and DuckDB SQL for those that SQL can express."""
 
 import corpus_pipeline
-from chargepulse.llm import (ann, bpe, chat_format, embedding_dedup, license_scan, minhash, mixing, pii, toxicity,
-                             url_filter)
+from chargepulse.llm import (ann, bpe, chat_format, embedding_dedup, license_scan, merkle, minhash, mixing, pii,
+                             toxicity, url_filter)
 
 LLM_QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
@@ -15,6 +15,7 @@ LLM_QUERIES = {
     "op8_minhash_near_dedup": minhash.op8_minhash_near_dedup,
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_merkle": merkle.op11_merkle,
     "pipeline": corpus_pipeline.run_whole,
 }
 LLM_ORACLE = {
@@ -23,6 +24,7 @@ LLM_ORACLE = {
     "op4_chat_formatting": chat_format.ORACLE,
     "op6_license_scans": license_scan.ORACLE,
     "op8_minhash_near_dedup": minhash.ORACLE,
+    "op11_merkle": merkle.ORACLE,
 }
 if corpus_pipeline.ORACLE_SQL:
     LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
