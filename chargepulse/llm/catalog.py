@@ -1,8 +1,8 @@
 """The queries of this subpackage, and DuckDB SQL for those that SQL can express."""
 
 import corpus_pipeline
-from chargepulse.llm import (ann, bpe, chat_format, embedding_dedup, license_scan, merkle, minhash, mixing, pii,
-                             toxicity, url_filter)
+from chargepulse.llm import (ann, bpe, chat_format, conversation_repair, embedding_dedup, license_scan, merkle, minhash,
+                             mixing, pii, toxicity, url_filter)
 
 LLM_QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
@@ -16,6 +16,7 @@ LLM_QUERIES = {
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_merkle": merkle.op11_merkle,
+    "op13_conversation_repair": conversation_repair.op13_conversation_repair,
     "pipeline": corpus_pipeline.run_whole,
 }
 LLM_ORACLE = {
@@ -25,6 +26,7 @@ LLM_ORACLE = {
     "op6_license_scans": license_scan.ORACLE,
     "op8_minhash_near_dedup": minhash.ORACLE,
     "op11_merkle": merkle.ORACLE,
+    "op13_conversation_repair": conversation_repair.ORACLE,
 }
 if corpus_pipeline.ORACLE_SQL:
     LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
