@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 from chargepulse.llm import (ann, bpe, chat_format, conversation_repair, embedding_dedup, license_scan, merkle, minhash,
-                             mixing, pii, toxicity, url_filter)
+                             mixing, pii, token_files, toxicity, url_filter)
 
 LLM_QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
@@ -16,6 +16,7 @@ LLM_QUERIES = {
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_merkle": merkle.op11_merkle,
+    "op12_token_files": token_files.op12_token_files,
     "op13_conversation_repair": conversation_repair.op13_conversation_repair,
     "pipeline": corpus_pipeline.run_whole,
 }
