@@ -18,9 +18,11 @@ counts when the stored list of files names it, so a lost or repeated task leaves
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +30,15 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chargepulse.llm.bpe import chunks_of, default_tokenizer, load_tokenizer
+from chargepulse.llm.bpe import default_tokenizer, load_tokenizer
 from chargepulse.llm.common import shuffle_partitions, slices, table, trimmed
 from chargepulse.session import work_dir
 
 FRAME_IDS = 1 << 18
 FILE_BYTES = 256_000_000   # of frames, about
-MEMO = 400_000             # chunks whose ids a task remembers
+MEMO = 600_000             # chunks whose ids a task remembers, 0.2 KB each
 END = 1
+LETTERS = re.compile("[a-zß-öø-ÿ]+")
 
 # Fixed values of the public formats.
 DOCUMENTS, SEEK_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -101,31 +104,58 @@ def read_tail(read_at, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 # ---- encoding ------------------------------------------------------------------------
 
+class ChunkIds(dict):
+    """Ids of chunks (runs without ASCII white space, A-Z lower-cased) as bytes, found when first asked for.
+
+    No step of the tokenizer looks across ASCII white space, so a text's ids are its chunks' ids one after
+    another.  A run of stops after a letter is a token of its own.  A run of letters is what the steps before the
+    tokenizer's model leave as it is, so the model takes it at once; other chunks go through the whole tokenizer.
+    """
+
+    def __init__(self, tok):
+        from tokenizers import pre_tokenizers
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.tok, self.model = tok, tok.model
+        self.spelt = {c: spell(chr(c))[0][0] for c in (*range(0xDF, 0xF7), *range(0xF8, 0x100))}
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        base = chunk.rstrip(b".,;:!?")
+        if len(base) < len(chunk) and base[-1:].islower() and b"<|" not in chunk:
+            ids = self[base] + self[chunk[len(base):]]
+        else:
+            text = chunk.decode()
+            if LETTERS.fullmatch(text):
+                found = [t.id for t in self.model.tokenize(text.translate(self.spelt))]
+            else:
+                found = self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids
+            ids = array("I", found).tobytes()
+        self[chunk] = ids
+        return ids
+
+    def of(self, text: str | None) -> bytes:
+        raw = (text or "").encode()
+        # What may hold a special token, which is matched before lower-casing, stays as it is.
+        return b"".join(map(self.__getitem__, (raw if b"<|" in raw else raw.lower()).split()))
+
+
 def _framed(tokenizer: str, end: int):
-    """Each document's frames; chunks repeat, so a task remembers the ids of those it has seen."""
+    """Each document's frames; a task remembers the ids of the chunks that it has seen."""
     stop = struct.pack("<I", end)
 
     def work(batches):
         import zstandard
-        tok, memo = load_tokenizer(SparkFiles.get(tokenizer)), {}
+        known = ChunkIds(load_tokenizer(SparkFiles.get(tokenizer)))
         compressor = zstandard.ZstdCompressor(level=3)
         for b in batches:
             for part in slices(b):
-                split = [chunks_of(t) for t in part.column("text").to_pylist()]
-                if len(memo) > MEMO:
-                    memo.clear()
-                new = list(set().union(*split).difference(memo))
-                for at in range(0, len(new), 4000):
-                    some = new[at:at + 4000]
-                    found = tok.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-                    memo.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(some, found))
-                made = [compressed(b"".join([*map(memo.__getitem__, s), stop]), compressor) for s in split]
-                frames, entries = [m[0] for m in made], [m[1] for m in made]
-                sizes = [int(np.frombuffer(e, ENTRY)["size"].sum(dtype=np.int64)) // 4 for e in entries]
+                if len(known) > MEMO:
+                    known.clear()
+                raws = [known.of(t) + stop for t in part.column("text").to_pylist()]
+                made = [compressed(raw, compressor) for raw in raws]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(entries, pa.binary()),
-                     pa.array(map(len, frames), pa.int64()), pa.array(frames, pa.binary())],
-                    ["doc_id", "n", "entries", "bytes", "frames"])
+                    [part.column("doc_id"), pa.array([len(raw) // 4 for raw in raws], pa.int64()),
+                     pa.array([m[1] for m in made], pa.binary()), pa.array([len(m[0]) for m in made], pa.int64()),
+                     pa.array([m[0] for m in made], pa.binary())], ["doc_id", "n", "entries", "bytes", "frames"])
     return work
 
 

@@ -141,3 +141,14 @@ def test_hot_id_is_split(spark):
     path = work_dir(spark, "test-tokens-hot")
     sizes = [r["documents"] for r in T.write_token_files(docs, path, files=8).collect()]
     assert sum(sizes) == 4000 and max(sizes) < 2000
+
+
+def test_chunk_ids_are_the_tokenizers():
+    import random
+    tok, rng = load_tokenizer(default_tokenizer()), random.Random(0)
+    known = T.ChunkIds(tok)
+    letters = "abcdefgzABZ éßÿäÀÉİıſK Å.,;:!?'s't##<|>|09\t\n\x0b\x0c\r\x1c\x85\xa0 ́中あ😀_-ﬁǅ"
+    words = ["<|endoftext|>", "<|startoftext|>", "it's", "i'll", "x.", "É.", "x...!", "3.", "é!", "a.b.", "<|", "..", "'S"]
+    for _ in range(8000):
+        text = "".join(rng.choice(letters) if rng.random() < 0.8 else rng.choice(words) for _ in range(rng.randint(0, 14)))
+        assert known.of(text) == np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
