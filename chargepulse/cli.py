@@ -5,7 +5,8 @@
     python -m chargepulse.cli app topup   --source files:/logs/topup --out ... --checkpoint ...
     python -m chargepulse.cli report notify --input /logs/recharge --dim provinces.txt --out /kpi/day1
 
-``app`` starts one streaming query (see :mod:`chargepulse.streaming.apps`);
+``app`` starts one streaming query (see :mod:`chargepulse.streaming.apps`) and waits until it ends or
+``stop --out <its output>``, from any machine, asks it to stop after its running batch;
 ``report`` reads a folder of JSON lines, writes every KPI of the application
 as a Parquet table under ``--out`` plus the quarantined messages.
 """
@@ -23,6 +24,7 @@ from chargepulse.sources.dimension import province_dim, read_province_text
 from chargepulse.sources.files import read_lines_stream
 from chargepulse.sources.kafka import kafka_source_options, read_kafka
 from chargepulse.streaming import apps as A
+from chargepulse.streaming.control import ask_to_stop, run_until_stopped
 from chargepulse.streaming.jobs import run_to_end
 
 KINDS = ("notify", "request", "topup")
@@ -98,6 +100,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     a.add_argument("--min-partitions", type=int, help="split large topic-partitions over so many tasks (Kafka)")
     a.add_argument("--spread-to", type=int, help="deal every micro-batch to so many partitions before parsing")
     a.add_argument("--mode", default="quarantine", choices=("quarantine", "strict"))
+    x = sub.add_parser("stop", help="ask a running application to stop after its running batch")
+    x.add_argument("--out", required=True, help="the application's output folder")
     r = sub.add_parser("report", help="batch KPIs of a folder of messages")
     r.add_argument("kind", choices=KINDS)
     r.add_argument("--input", required=True)
@@ -105,9 +109,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     r.add_argument("--dim")
     r.add_argument("--gate", default="interface", choices=("interface", "business"))
     args = ap.parse_args(argv)
-    if args.kind != "topup" and not args.dim:
+    if args.command != "stop" and args.kind != "topup" and not args.dim:
         ap.error("--dim is required for notify and request")
     spark = spark or get_session()
+    if args.command == "stop":
+        return ask_to_stop(spark, args.out)
     if args.command == "report":
         return run_report(spark, args.kind, args.input, args.out, args.dim, args.gate)
     q = run_app(spark, args.kind, args.source, args.out, args.checkpoint, args.dim,
@@ -117,7 +123,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     if args.trigger == "availableNow":
         run_to_end(q)
     else:
-        q.awaitTermination()
+        run_until_stopped(spark, q, args.out)
     return q
 
 

@@ -26,10 +26,10 @@ def message_schema(fields) -> StructType:
                       + [StructField(CORRUPT, StringType())])
 
 
-def parse_json(log: DataFrame, fields, value_col: str = "value", keep_value: bool = False) -> DataFrame:
+def parse_json(log: DataFrame, fields, value_col: str = "value", keep_value: bool = False, carry=()) -> DataFrame:
     """Parse one JSON object per row into top-level STRING columns.
 
-    Adds ``bad_json``: true for NULL or blank records, non-JSON text and JSON
+    ``carry`` names further columns of ``log`` to keep.  Adds ``bad_json``: true for NULL or blank records, non-JSON text and JSON
     that is not an object.  Only the fields a later step uses survive column pruning, so the
     parser reads just those.
 
@@ -40,7 +40,7 @@ def parse_json(log: DataFrame, fields, value_col: str = "value", keep_value: boo
     """
     msg = F.from_json(F.col(value_col), message_schema(fields),
                       {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
-    keep = [F.col(value_col)] if keep_value else []
+    keep = ([F.col(value_col)] if keep_value else []) + [F.col(c) for c in carry]
     blank = F.coalesce(F.trim(F.col(value_col)) == "", F.lit(True))   # NULL, empty or spaces
     out = log.select(*keep, blank.alias("_blank"), F.inline(F.array(msg)))
     bad = F.col("_blank") | F.col(CORRUPT).isNotNull()

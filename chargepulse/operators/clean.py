@@ -81,14 +81,14 @@ def quarantined(rows: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- notify --
 
-def parse_notify(log: DataFrame) -> DataFrame:
+def parse_notify(log: DataFrame, carry=()) -> DataFrame:
     """P1 + X1/X2: project and parse the notify fields (all STRING)."""
-    return parse_json(log, NOTIFY_FIELDS, keep_value=True)
+    return parse_json(log, NOTIFY_FIELDS, keep_value=True, carry=carry)
 
 
-def notify_rows(log: DataFrame, dim: DataFrame, gate: str = "interface") -> DataFrame:
-    """Gated notify messages, cleaned (P2), with province (J1) and ``reason``."""
-    p = parse_notify(log)
+def notify_rows(log: DataFrame, dim: DataFrame, gate: str = "interface", carry=()) -> DataFrame:
+    """Gated notify messages, cleaned (P2), with province (J1) and ``reason``; ``carry`` keeps columns of ``log``."""
+    p = parse_notify(log, carry)
     name_ok = (F.col("serviceName") == NOTIFY) if gate == "ods" else \
         (F.lower("serviceName") == NOTIFY.lower())
     result_col = "bussinessRst" if gate == "business" else "interFacRst"
@@ -118,6 +118,7 @@ def notify_rows(log: DataFrame, dim: DataFrame, gate: str = "interface") -> Data
         F.col("ok").cast("bigint").alias("success"),
         when_ok(F.col("ok"), amount("chargefee"), 0).cast("decimal(18,2)").alias("money"),
         F.col("costtime"),
+        *carry,
         reason.alias("reason"),
     )
 
@@ -151,9 +152,9 @@ def ods_detail(log: DataFrame, dim: DataFrame, mode: str = "quarantine") -> Data
 
 # --------------------------------------------------------------- request --
 
-def request_rows(log: DataFrame, dim: DataFrame) -> DataFrame:
-    """Gated (F2) request messages, cleaned (P3), with province and ``reason``."""
-    p = parse_json(log, REQUEST_FIELDS, keep_value=True)
+def request_rows(log: DataFrame, dim: DataFrame, carry=()) -> DataFrame:
+    """Gated (F2) request messages, cleaned (P3), with province and ``reason``; ``carry`` keeps columns of ``log``."""
+    p = parse_json(log, REQUEST_FIELDS, keep_value=True, carry=carry)
     name_ok = F.lower("serviceName") == REQUEST.lower()
     pre = _pre_reason(name_ok, "interFacRst")
     p = p.where(pre.isNotNull() | request_gate())
@@ -181,6 +182,7 @@ def request_rows(log: DataFrame, dim: DataFrame) -> DataFrame:
         F.col("ok").cast("bigint").alias("success"),
         when_ok(F.col("ok"), amount("chargefee"), 0).cast("decimal(18,2)").alias("money"),
         when_ok(F.col("ok"), amount("shouldfee"), 0).cast("decimal(18,2)").alias("should_money"),
+        *carry,
         reason.alias("reason"),
     )
 

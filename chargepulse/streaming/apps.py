@@ -33,7 +33,10 @@ from chargepulse.operators import clean as C
 from chargepulse.operators.spread import spread
 from chargepulse.plans import notify as N, request as R, topup as T
 from chargepulse.plans.rollup import rollup
-from chargepulse.streaming.sinks import BATCH_COL, Recorded, _overwrite_batch, claim_output, fold_positions
+from chargepulse.streaming.published import claim_output, foldable, newest_published
+from chargepulse.streaming.sinks import BATCH_COL, Recorded, _overwrite_batch, counted, fold_positions
+
+UNKNOWN = "unknown_province"
 
 
 class _AppBatch:
@@ -50,12 +53,18 @@ class _AppBatch:
         self.partials = partials
         self.spread_to = spread_to
 
+    def describe(self, spark: SparkSession) -> None:
+        """Store the types of both tables, so that an app that has no batch yet has empty results."""
+        rows = self.rows(spark.createDataFrame([], "value string"))
+        for name, df in (("_schema", self.partials(C.good(rows))), ("_quarantine_schema", C.quarantined(rows))):
+            if not storage.exists(spark, f"{self.root}/{name}"):
+                storage.write_text(spark, f"{self.root}/{name}", df.schema.json())
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.describe(batch.sparkSession)
         rows = self.rows(spread(batch, self.spread_to)).persist()
         try:
             part = self.partials(C.good(rows))
-            if not storage.exists(batch.sparkSession, f"{self.root}/_schema"):
-                storage.write_text(batch.sparkSession, f"{self.root}/_schema", part.schema.json())
             _overwrite_batch(part, f"{self.root}/partials", batch_id)
             _overwrite_batch(C.quarantined(rows), f"{self.root}/quarantine", batch_id)
         finally:
@@ -68,13 +77,16 @@ class _AppBatch:
 # folded/upto=U/batches        the folded rows with their batch_id, in few files
 # folded/upto=U/totals         sums over all batches <= U
 # folded/_done/U               marker, written last; what has none does not count
+# redriven/run=R/partials      sums of quarantined messages that found their province, with their batch_id
+# redriven/run=R/codes         the provinces that run R knew
+# redriven/_done/R             marker, written last: the newest batch that run R looked at
 
-def _schema(spark: SparkSession, root: str) -> StructType:
-    return StructType.fromJson(json.loads(storage.read_text(spark, f"{root}/_schema")))
+def _schema(spark: SparkSession, root: str, name: str = "_schema") -> StructType:
+    return StructType.fromJson(json.loads(storage.read_text(spark, f"{root}/{name}")))
 
 
-def _folded(spark: SparkSession, root: str) -> list[int]:
-    return sorted(int(n) for n in storage.children(spark, f"{root}/folded/_done"))
+def _done(spark: SparkSession, root: str, kind: str = "folded") -> list[int]:
+    return sorted(int(n) for n in storage.children(spark, f"{root}/{kind}/_done"))
 
 
 def _table(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:
@@ -82,10 +94,13 @@ def _table(spark: SparkSession, paths: list[str], schema: StructType) -> DataFra
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
+def _with_batch(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(BATCH_COL, LongType())])
+
+
 def _live(spark: SparkSession, root: str, after: int) -> DataFrame:
-    """Partials of the batches that no published compaction has folded."""
-    schema = StructType([*_schema(spark, root).fields, StructField(BATCH_COL, LongType())])
-    return _table(spark, [f"{root}/partials"], schema).where(F.col(BATCH_COL) > after)
+    """Partials of the batches that count and that no published compaction has folded."""
+    return counted(_table(spark, [f"{root}/partials"], _with_batch(_schema(spark, root))), root, after)
 
 
 def _sums(rows: DataFrame) -> DataFrame:
@@ -94,16 +109,17 @@ def _sums(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*grain).agg(*[F.sum(m).cast(rows.schema[m].dataType).alias(m) for m in measures])
 
 
-def compact(spark: SparkSession, root: str, upto: int) -> int:
-    """Fold batches ``<= upto`` into running sums and one table of their per-batch rows.
+def compact(spark: SparkSession, root: str, upto: int | None = None) -> int:
+    """Fold committed batches (not beyond ``upto``, if given) into running sums and one table of their per-batch rows.
 
-    ``upto`` must be a committed batch.  Nothing counts before its marker is written, and what
+    Spark's commit log in the checkpoint that owns ``root`` says which batches are final; a batch beyond the newest
+    committed one is never folded, whatever ``upto``.  Nothing counts before its marker is written, and what
     a marker covers is never read from ``partials`` again, so a compaction that dies half-way
-    changes no result; running it again completes it.  Folded partials are then removed, and
-    sums older than the last but one.  Returns the newest folded batch.
+    changes no result; running it again completes it.  What it folds is removed by the next call, so results
+    that were built before it still find their files.  Returns the newest folded batch, -1 if none.
     """
     root = root.rstrip("/")
-    done = _folded(spark, root)
+    done, upto = _done(spark, root), foldable(spark, root, upto)
     low = done[-1] if done else -1
     if upto > low:
         schema = _schema(spark, root)
@@ -115,33 +131,81 @@ def compact(spark: SparkSession, root: str, upto: int) -> int:
         storage.write_text(spark, f"{root}/folded/_done/{upto}", str(low))
         done.append(upto)
     for name in storage.children(spark, f"{root}/partials"):
-        if name.startswith(f"{BATCH_COL}=") and int(name.split("=")[1]) <= done[-1]:
+        if name.startswith(f"{BATCH_COL}=") and int(name.split("=")[1]) <= low:
             storage.delete(spark, f"{root}/partials/{name}")
     for old in done[:-2]:
         storage.delete(spark, f"{root}/folded/upto={old}/totals")
-    fold_positions(spark, root, done[-1])
-    return done[-1]
+    if done:
+        fold_positions(spark, root, done[-1])
+    return done[-1] if done else -1
+
+
+def _redriven(spark: SparkSession, root: str) -> DataFrame:
+    """Sums of re-driven messages, under the batch that brought them."""
+    paths = [f"{root}/redriven/run={r}/partials" for r in _done(spark, root, "redriven")]
+    return counted(_table(spark, paths, _with_batch(_schema(spark, root))), root)
 
 
 def read_partials(spark: SparkSession, root: str) -> DataFrame:
-    """Rows whose sums are the running totals: the newest folded sums plus live partials."""
+    """Rows whose sums are the running totals: the newest folded sums, live partials and re-driven messages."""
     root = root.rstrip("/")
-    done = _folded(spark, root)
-    live = _live(spark, root, done[-1] if done else -1).drop(BATCH_COL)
+    done = _done(spark, root)
+    live = _live(spark, root, done[-1] if done else -1).unionByName(_redriven(spark, root)).drop(BATCH_COL)
     return live if not done else _table(spark, [f"{root}/folded/upto={done[-1]}/totals"], _schema(spark, root)).unionByName(live)
 
 
 def read_batch_partials(spark: SparkSession, root: str) -> DataFrame:
     """The partials of every batch, folded or not, with their ``batch_id``."""
     root = root.rstrip("/")
-    done = _folded(spark, root)
-    live = _live(spark, root, done[-1] if done else -1)
+    done = _done(spark, root)
+    live = _live(spark, root, done[-1] if done else -1).unionByName(_redriven(spark, root))
     return _table(spark, [f"{root}/folded/upto={u}/batches" for u in done], live.schema).unionByName(live)
 
 
+# ------------------------------------------------------------- quarantine --
+
+def _driven_codes(spark: SparkSession, root: str) -> DataFrame:
+    """``(_code, _upto)``: for each province that a run knew, the newest batch whose messages it took."""
+    known = spark.createDataFrame([], "_code string, _upto bigint")
+    for r in _done(spark, root, "redriven"):
+        upto = int(storage.read_text(spark, f"{root}/redriven/_done/{r}"))
+        codes = spark.read.schema("provinceCode string").parquet(f"{root}/redriven/run={r}/codes")
+        known = known.unionByName(codes.select(F.col("provinceCode").alias("_code"), F.lit(upto).cast("bigint").alias("_upto")))
+    return known.groupBy("_code").agg(F.max("_upto").alias("_upto"))
+
+
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """Messages still in quarantine, of the batches that count, with ``reason`` and ``batch_id``."""
+    root = root.rstrip("/")
+    rows = counted(_table(spark, [f"{root}/quarantine"], _with_batch(_schema(spark, root, "_quarantine_schema"))), root)
+    if "province_code" not in rows.columns:
+        return rows
+    driven = _driven_codes(spark, root)
+    gone = (rows["reason"] == UNKNOWN) & (rows["province_code"] == driven["_code"]) & (rows[BATCH_COL] <= driven["_upto"])
+    return rows.join(driven, gone, "left_anti")
+
+
+def _redrive(spark: SparkSession, root: str, dim: DataFrame, rows: Callable[[DataFrame], DataFrame],
+             partials: Callable[[DataFrame], DataFrame]) -> int:
+    root = root.rstrip("/")
+    upto = newest_published(spark, root)
+    codes = C.province_lookup(dim).select("provinceCode")
+    parked = read_quarantine(spark, root).where((F.col("reason") == UNKNOWN) & (F.col(BATCH_COL) <= upto))
+    todo = parked.join(codes, parked["province_code"] == codes["provinceCode"], "left_semi").select("value", BATCH_COL)
+    run = max(_done(spark, root, "redriven"), default=-1) + 1
+    at = f"{root}/redriven/run={run}"
+    partials(C.good(rows(todo))).write.mode("overwrite").parquet(f"{at}/partials")
+    n = spark.read.parquet(f"{at}/partials").agg(F.sum("orders")).first()[0] or 0
+    if n:
+        codes.write.mode("overwrite").parquet(f"{at}/codes")
+        storage.write_text(spark, f"{root}/redriven/_done/{run}", str(upto))
+    return int(n)
+
+
 def _start(log_stream: DataFrame, body: _AppBatch, checkpoint: str,
            trigger: str | None) -> StreamingQuery:
     claim_output(log_stream.sparkSession, body.root, checkpoint)
+    body.describe(log_stream.sparkSession)
     w = log_stream.writeStream.foreachBatch(Recorded(body, body.root, checkpoint)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger in (None, "availableNow") \
         else w.trigger(processingTime=trigger)
@@ -150,8 +214,8 @@ def _start(log_stream: DataFrame, body: _AppBatch, checkpoint: str,
 
 # ----------------------------------------------------------------- notify --
 
-def notify_partials(clean: DataFrame) -> DataFrame:
-    return N.notify_base(clean).drop("hour", "day")
+def notify_partials(clean: DataFrame, more=()) -> DataFrame:
+    return rollup(clean, ["province", "minute", *more], ["money", "success", "costtime"])
 
 
 def notify_app(log_stream: DataFrame, dim: DataFrame, root: str, checkpoint: str,
@@ -166,6 +230,18 @@ def notify_app(log_stream: DataFrame, dim: DataFrame, root: str, checkpoint: str
     return _start(log_stream, body, checkpoint, trigger)
 
 
+def redrive_notify(spark: SparkSession, root: str, dim: DataFrame, gate: str = "interface") -> int:
+    """Run the quarantined messages of unknown provinces again, those whose code ``dim`` has now.
+
+    Each such message is added once to the results, under the batch that brought it, and leaves the quarantine; the run
+    counts once its marker is written.  A second run with the same dimension finds nothing.  Returns their number.
+    One run at a time.  A message whose code is still unknown stays.
+    """
+    side = C.province_lookup(dim)
+    return _redrive(spark, root, dim, lambda rows: C.notify_rows(rows, side, gate, carry=(BATCH_COL,)),
+                    lambda clean: notify_partials(clean, (BATCH_COL,)))
+
+
 def _with_times(p: DataFrame) -> DataFrame:
     return p.withColumns({"hour": F.substring("minute", 1, 10), "day": F.substring("minute", 1, 8)})
 
@@ -197,8 +273,15 @@ def notify_results(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 # ---------------------------------------------------------------- request --
 
-def request_partials(clean: DataFrame) -> DataFrame:
-    return R.request_base(clean).drop("hour")
+def request_partials(clean: DataFrame, more=()) -> DataFrame:
+    return rollup(clean, ["province", "minute", *more], ["money", "success"])
+
+
+def redrive_request(spark: SparkSession, root: str, dim: DataFrame) -> int:
+    """As :func:`redrive_notify`, for the request app."""
+    side = C.province_lookup(dim)
+    return _redrive(spark, root, dim, lambda rows: C.request_rows(rows, side, carry=(BATCH_COL,)),
+                    lambda clean: request_partials(clean, (BATCH_COL,)))
 
 
 def request_app(log_stream: DataFrame, dim: DataFrame, root: str, checkpoint: str,

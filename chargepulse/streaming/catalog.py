@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chargepulse.operators import clean as C
 from chargepulse.plans import notify as N, topup as T
-from chargepulse.plans.catalog import _NAME, _RID, ORACLE, dim, rlog, tlog
+from chargepulse.plans.catalog import _NAME, _REASON, _RID, ORACLE, dim, rlog, tlog
 from chargepulse.session import parallelism, use_utc, work_dir
 from chargepulse.sources.files import read_lines_stream, stage_in_batches, stage_lines
 from chargepulse.sources.fixtures import load_table, recharge_log
 from chargepulse.streaming import apps as A
-from chargepulse.streaming.jobs import per_batch, raw_to_files, run_to_end, running_totals
-from chargepulse.streaming.sinks import read_batches, read_current
+from chargepulse.streaming.jobs import (
+    late_rows, per_batch, raw_to_files, read_totals, run_to_end, running_totals, watermarked_totals,
+)
+from chargepulse.streaming.sinks import read_batches, read_current, snapshot
 
 TIMEOUT = 1800
 
@@ -160,7 +162,74 @@ def _compacted(pick):
     return q
 
 
+def q_stream_compact_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compactions that ask for batches to come fold the committed ones only; the next batch still counts."""
+    root = work_dir(spark, "compact-idle")
+
+    def idle(b: int) -> None:
+        q = A.notify_app(read_lines_stream(spark, f"{root}/source/*"), dim(spark, sf_dir), f"{root}/out", f"{root}/checkpoint", trigger=None)
+        run_to_end(q, TIMEOUT)
+        A.compact(spark, f"{root}/out", b + 50)
+    return _batch_by_batch(spark, sf_dir, root, _parts(spark, sf_dir), idle)["batch_hourly_totals"]
+
+
+def q_stream_snapshot_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running totals whose changelog is folded into a snapshot after every part but the last."""
+    root = work_dir(spark, "snapshot")
+    schema = None
+    for b, lines in enumerate(_parts(spark, sf_dir)):
+        stage_lines(lines, f"{root}/source/part{b}")
+        stream = _notify_stream(spark, sf_dir, f"{root}/source/*", None)
+        schema = N.daily_totals(stream).schema
+        run_to_end(running_totals(stream, N.daily_totals, f"{root}/totals", f"{root}/checkpoint",
+                                  state_partitions=_state_partitions(spark)), TIMEOUT)
+        if b < PARTS - 1:
+            snapshot(spark, f"{root}/totals", ["day"])
+    return read_current(spark, f"{root}/totals", ["day"], schema)
+
+
+LATE, LATE_DAYS = "event_id % 10 = 3", 2
+
+
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: a tenth of the log comes after the rest; what is then more than two days behind is late."""
+    use_utc(spark)
+    root, events = work_dir(spark, "late"), load_table(spark, sf_dir, "events")
+    for b, some in enumerate((f"not ({LATE})", LATE)):
+        stage_lines(recharge_log(events.where(some)), f"{root}/source/part{b}")
+        stream = _notify_stream(spark, sf_dir, f"{root}/source/*", None)
+        run_to_end(watermarked_totals(stream, N.daily_totals, f"{root}/out", f"{root}/checkpoint",
+                                      ("day", "yyyyMMdd", f"{LATE_DAYS} days")), TIMEOUT)
+    late = late_rows(spark, f"{root}/out").groupBy("day").agg(F.count("*").alias("late"))
+    both = read_totals(spark, f"{root}/out", ["day"]).join(late, "day", "full")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    return both.select("day", zero("total"), zero("late"))
+
+
+NEW_CODE = 25
+
+
+def q_quarantine_redrive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The odd log's messages of one unknown province run again, once, when the dimension has it."""
+    use_utc(spark)
+    root = work_dir(spark, "redrive")
+    stage_lines(recharge_log(load_table(spark, sf_dir, "events"), odd=True), f"{root}/source/a")
+    run_to_end(A.notify_app(read_lines_stream(spark, f"{root}/source/*"), dim(spark, sf_dir), f"{root}/out",
+                            f"{root}/checkpoint", trigger=None), TIMEOUT)
+    grown = dim(spark, sf_dir).unionByName(spark.createDataFrame([(str(NEW_CODE), "ADDED LATER")], "province_code string, province string"))
+    A.redrive_notify(spark, f"{root}/out", grown)
+    A.redrive_notify(spark, f"{root}/out", grown)
+    done = A.notify_results(spark, f"{root}/out")["province_hour_failures"]
+    left = (A.read_quarantine(spark, f"{root}/out").groupBy("reason").agg(F.count("*").cast("bigint").alias("failures"))
+            .select(F.col("reason").alias("province"), F.lit("quarantine").alias("hour"), "failures"))
+    return done.unionByName(left)
+
+
 STREAM_QUERIES = {
+    "stream_compact_idle": q_stream_compact_idle,
+    "stream_snapshot_totals": q_stream_snapshot_totals,
+    "stream_late_rows": q_stream_late_rows,
+    "quarantine_redrive": q_quarantine_redrive,
     "stream_batch_top10": _per_batch("batch_top10_province"),
     "stream_batch_hour_failures": _per_batch("batch_province_hour_failures"),
     "stream_compact_totals": _compacted("daily_totals"),
@@ -185,6 +254,27 @@ _BATCHED = f"""c AS (
   WHERE e.event_type IN ('purchase','error') AND e.event_id % 11 <> 0)"""
 
 STREAM_ORACLE = {
+    "stream_compact_idle": f"""WITH {_BATCHED}
+SELECT batch_id, strftime(ts, '%Y%m%d%H') AS hour, count(*) AS orders,
+       CAST(sum(CASE WHEN ok THEN fee ELSE 0 END) AS DECIMAL(18,2)) AS money FROM c GROUP BY 1, 2""",
+    "stream_snapshot_totals": ORACLE["daily_totals"],
+    "stream_late_rows": f"""WITH c AS (
+  SELECT date_trunc('day', ts) AS d, {LATE} AS second FROM events
+  WHERE event_type IN ('purchase','error') AND event_id % 11 <> 0),
+w AS (SELECT *, (SELECT max(d) FROM c WHERE NOT second) - INTERVAL {LATE_DAYS} DAY AS mark FROM c)
+SELECT strftime(d, '%Y%m%d') AS day, count(*) FILTER (NOT second OR d > mark) AS total,
+       count(*) FILTER (second AND d <= mark) AS late FROM w GROUP BY 1""",
+    "quarantine_redrive": f"""WITH e AS (
+  SELECT e.ts, e.event_type, e.event_id, {_REASON} AS reason,
+         CASE WHEN e.user_id % 27 = {NEW_CODE} THEN 'ADDED LATER' ELSE n.n_name END AS province,
+         e.user_id % 27 AS code, (e.event_type <> 'error' AND e.event_id % 5 <> 0) AS ok
+  FROM events e LEFT JOIN nation n ON n.n_nationkey = e.user_id % 27)
+SELECT province, strftime(ts, '%Y%m%d%H') AS hour, CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) AS BIGINT) AS failures
+FROM e WHERE event_type IN ('purchase','error') AND event_id % 11 <> 0
+  AND (reason IS NULL OR (reason = 'unknown_province' AND code = {NEW_CODE})) GROUP BY 1, 2
+UNION ALL
+SELECT reason, 'quarantine', count(*) FROM e
+WHERE reason IS NOT NULL AND NOT (reason = 'unknown_province' AND code = {NEW_CODE}) GROUP BY 1""",
     "stream_read_log": f"SELECT {_RID} AS request_id, {_NAME} AS service_name FROM events e",
     "stream_daily_totals": ORACLE["daily_totals"],
     "stream_minute_orders": ORACLE["minute_orders"],

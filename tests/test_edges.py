@@ -94,9 +94,9 @@ def test_32_digit_request_id(spark, dim):
 
 
 def test_topup_missing_money_is_zero(spark):
-    log = lines(spark, json.dumps({"phoneNum": "1", "date": "2018-09-13T02:15:16.054Z"}),
-                json.dumps({"phoneNum": "1", "money": 7, "date": "2018-09-13T02:15:16.054Z"}),
-                json.dumps({"phoneNum": "1", "money": "x", "date": "2018-09-13T02:15:16.054Z"}),
+    log = lines(spark, json.dumps({"phoneNum": "1", "date": "2024-03-05T08:01:00.000Z"}),
+                json.dumps({"phoneNum": "1", "money": 7, "date": "2024-03-05T08:01:00.000Z"}),
+                json.dumps({"phoneNum": "1", "money": "x", "date": "2024-03-05T08:01:00.000Z"}),
                 json.dumps({"phoneNum": "1", "money": "1", "date": "2018-13-13T02:15:16.054Z"}))
     rows = C.topup_rows(log)
     assert sorted(r.money for r in C.good(rows).collect()) == [0, 7]
