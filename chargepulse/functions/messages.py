@@ -45,3 +45,30 @@ def parse_json(log: DataFrame, fields, value_col: str = "value", keep_value: boo
     out = log.select(*keep, blank.alias("_blank"), F.inline(F.array(msg)))
     bad = F.col("_blank") | F.col(CORRUPT).isNotNull()
     return out.select(*keep, *[F.col(f) for f in fields], bad.alias("bad_json"))
+
+
+# ---- fields that no schema names ----------------------------------------------------
+
+def message_variant(value_col: str = "value") -> Column:
+    """The whole message as one VARIANT, whatever its fields; NULL for text that is no JSON."""
+    return F.try_parse_json(F.col(value_col))
+
+
+def variant_field(message: Column | str, name: str, kind: str = "string") -> Column:
+    """Field ``name`` of a VARIANT message as ``kind``; NULL if it is missing or does not convert."""
+    quote = "'" if '"' in name else '"'
+    if quote in name:
+        raise ValueError(f"no path can name {name!r}: it holds both kinds of quotes")
+    return F.try_variant_get(F.col(message) if isinstance(message, str) else message, f"$[{quote}{name}{quote}]", kind)
+
+
+def field_census(log: DataFrame, value_col: str = "value") -> DataFrame:
+    """``field, kind, n``: which top-level fields the messages have, of which JSON kind, and how often.
+
+    Text that is no JSON object has no field.  One row per field and task is shuffled.
+    """
+    spark = log.sparkSession
+    messages = log.select(message_variant(value_col).alias("message"))
+    fields = messages.lateralJoin(spark.tvf.variant_explode(F.col("message").outer()))
+    return (fields.where("key is not null").groupBy(F.col("key").alias("field"), F.schema_of_variant("value").alias("kind"))
+            .agg(F.count(F.lit(1)).alias("n")))

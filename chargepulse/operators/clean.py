@@ -134,9 +134,13 @@ def ods_detail(log: DataFrame, dim: DataFrame, mode: str = "quarantine") -> Data
 
     ``success``, ``fee`` and ``ms`` are zeroed when the business result fails.
     """
-    rows = enforce(notify_rows(log, dim, gate="ods"), mode)
+    return ods_columns(good(enforce(notify_rows(log, dim, gate="ods"), mode)))
+
+
+def ods_columns(clean: DataFrame) -> DataFrame:
+    """The ODS detail columns of clean notify rows."""
     ok = F.col("success") == 1
-    return good(rows).select(
+    return clean.select(
         "request_id",
         prefix("request_id", 8).alias("date"),
         middle("request_id", 8, 10).alias("hour"),

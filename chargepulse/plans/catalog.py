@@ -205,6 +205,38 @@ def q_detail_table_daily_totals(spark, sf_dir):
     return N.daily_totals(read_detail(spark, path))
 
 
+def q_parse_variant(spark, sf_dir):
+    """The detail table keeps the whole message; two fields that the notify schema does not name, read from it."""
+    from chargepulse.functions.messages import message_variant, variant_field
+    from chargepulse.plans.detail import read_detail, write_detail
+    from chargepulse.session import work_dir
+    log = rlog(spark, sf_dir).withColumn("message", message_variant())
+    clean = C.good(C.notify_rows(log, dim(spark, sf_dir), carry=("message",)))
+    kept = read_detail(spark, write_detail(clean, work_dir(spark, "variant") + "/notify"))
+    return kept.select("request_id", variant_field("message", "endReqTime").alias("end_time"),
+                       variant_field("message", "shouldfee", "decimal(18,2)").alias("should_fee"))
+
+
+def q_message_fields(spark, sf_dir):
+    """The fields of the odd log's messages."""
+    from chargepulse.functions.messages import field_census
+    return field_census(odd_log(spark, sf_dir))
+
+
+def _phone_store(kpi):
+    """The top-ups' sums put into a bucketed store in three goes, the last one a repetition; a KPI from the store."""
+    def q(spark, sf_dir):
+        from chargepulse.plans.phone_store import PhoneStore
+        from chargepulse.session import work_dir
+        sums = T.topup_base(topup_clean(spark, sf_dir))
+        store = PhoneStore(spark, work_dir(spark, "phone-store"))
+        early = F.col("day") < "1995-06-15"
+        for some in (early, ~early, F.col("day").startswith("1995-06")):
+            store.put(sums.where(some))
+        return kpi(store.read())
+    return q
+
+
 # ----------------------------------------------------------------- KPIs ----
 
 def _kpi(plan, clean):
@@ -246,6 +278,10 @@ QUERIES: dict[str, Query] = {
     "month_span": q_month_span,
     "offset_ledger_json": q_offset_ledger_json,
     "detail_table_daily_totals": q_detail_table_daily_totals,
+    "parse_variant": q_parse_variant,
+    "message_fields": q_message_fields,
+    "phone_store_month_avg": _phone_store(T.month_phone_avg),
+    "phone_store_mean_monthly": _phone_store(T.phone_mean_monthly),
     # the notify app's gate as written (business success required: no failures reach the KPIs)
     "daily_totals_business": lambda spark, sf_dir: N.daily_totals(notify_clean(spark, sf_dir, "business")),
     "minute_orders_business": lambda spark, sf_dir: N.minute_orders(notify_clean(spark, sf_dir, "business")),
@@ -443,4 +479,15 @@ tp AS (SELECT topic, count(*) AS np,
 SELECT 'kpi-consumers' AS group_id, CAST(sum(np) AS BIGINT) AS partitions,
        '{' || string_agg('"' || topic || '":' || pj, ',' ORDER BY topic) || '}' AS starting_offsets
 FROM tp""",
+    "parse_variant": f"""SELECT {_RID} AS request_id,
+       strftime(e.ts + to_milliseconds(e.event_id * 37 % 60000), '%Y%m%d%H%M%S%g') AS end_time,
+       CAST(e.value AS DECIMAL(18,2)) AS should_fee
+FROM events e JOIN nation n ON n.n_nationkey = e.user_id % 25
+WHERE e.event_type IN ('purchase','error') AND e.event_id % 11 <> 0""",
+    "message_fields": """WITH f AS (
+  SELECT unnest(['interFacRst', 'bussinessRst', 'provinceCode', 'chargefee', 'shouldfee', 'requestId', 'receiveNotifyTime',
+                 'startReqTime', 'endReqTime', 'serviceName']) AS field, event_id FROM events WHERE event_id % 23 <> 1)
+SELECT field, 'STRING' AS kind, count(*) AS n FROM f WHERE field <> 'serviceName' OR event_id % 17 <> 1 GROUP BY 1""",
 }
+ORACLE["phone_store_month_avg"] = ORACLE["month_phone_avg"]
+ORACLE["phone_store_mean_monthly"] = ORACLE["phone_mean_monthly"]

@@ -6,9 +6,9 @@ columns it uses and only the days it asks for (partition pruning), and cuts
 the lineage back to the raw messages (a written table in the shared folder
 survives lost executors).
 
-The write deals rows by ``(day, salt)``, the salt being a hash of the request id modulo a
-parameter: a day, an hour or a minute holding a third of all rows is spread over that many
-tasks, with one shuffle and no sampling pass.  A day makes at most ``salts`` files.
+How many tasks write a day follows from the day's bytes: the rows are rebalanced by day, which splits a
+day that is larger than ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and joins small ones, from the
+sizes that the shuffle has measured.  A day, an hour or a minute holding a third of all rows is so many times that size.
 """
 
 from __future__ import annotations
@@ -18,16 +18,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 PARTITION_COL = "day"
 
 
+def by_bytes(rows: DataFrame, day: str = PARTITION_COL) -> DataFrame:
+    """Deal rows for writing by ``day``: tasks of about the advisory partition size, by measured bytes (needs AQE)."""
+    return rows.hint("rebalance", F.col(day))
+
+
 def write_detail(clean: DataFrame, path: str, files: int | None = None, salts: int = 64) -> str:
-    """Write clean rows (with ``day`` and ``request_id``) under ``path/day=<yyyyMMdd>/``.
+    """Write clean rows (with ``day`` and ``request_id``, whatever else) under ``path/day=<yyyyMMdd>/``.
 
-    ``files`` is the number of writer tasks (default: the session's shuffle partitions);
-    ``salts`` how many of them a single day may be spread over.
+    By default the number of writers of a day follows from its bytes.  ``files`` fixes the number of
+    writer tasks instead, over ``salts`` of which a single day is then spread.
     """
-    n = files or int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64("request_id"), F.lit(min(salts, n)))
-    (clean.withColumn("_salt", salt).repartition(n, PARTITION_COL, "_salt").drop("_salt")
-          .write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path))
+    if files is None:
+        dealt = by_bytes(clean)
+    else:
+        salt = F.pmod(F.xxhash64("request_id"), F.lit(min(salts, files)))
+        dealt = clean.withColumn("_salt", salt).repartition(files, PARTITION_COL, "_salt").drop("_salt")
+    dealt.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path)
     return path
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +61,23 @@ def get_session(master: str | None = None, app: str = "chargepulse",
     return spark
 
 
+@contextmanager
+def setting(spark: SparkSession, conf: dict[str, str]):
+    """Session settings for a while, e.g. while a query starts: it copies them then, and a stateful query
+    keeps its partition count and state store in its checkpoint from then on."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def use_utc(spark: SparkSession) -> None:
     """Message times are UTC text; keep every conversion in UTC."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":

@@ -1,7 +1,7 @@
 """Structured Streaming: the three apps, running totals, per-batch results, resume."""
 
 from chargepulse.streaming.apps import (
-    compact, notify_app, notify_results, read_batch_partials, read_partials, read_quarantine, redrive_notify, redrive_request,
+    compact, notify_app, notify_results, ods_app, read_ods, read_batch_partials, read_partials, read_quarantine, redrive_notify, redrive_request,
     request_app, request_results, topup_app, topup_results,
 )
 from chargepulse.streaming.control import ask_to_stop, run_until_stopped, stop_cleanly
@@ -15,7 +15,7 @@ from chargepulse.streaming.sinks import (
 )
 
 __all__ = [
-    "compact", "notify_app", "notify_results", "read_partials", "read_batch_partials", "read_quarantine", "redrive_notify",
+    "compact", "notify_app", "notify_results", "read_partials", "read_batch_partials", "read_quarantine", "ods_app", "read_ods", "redrive_notify",
     "redrive_request", "ask_to_stop", "run_until_stopped", "stop_cleanly", "snapshot", "late_rows", "read_totals", "watermarked_totals", "request_app", "request_results",
     "topup_app", "topup_results", "console", "per_batch", "progress_ledger", "raw_to_files",
     "resume_positions", "run_to_end", "running_totals", "ChangelogUpsert", "PerBatchWriter",

@@ -32,7 +32,9 @@ from chargepulse import storage
 from chargepulse.operators import clean as C
 from chargepulse.operators.spread import spread
 from chargepulse.plans import notify as N, request as R, topup as T
+from chargepulse.plans.detail import by_bytes
 from chargepulse.plans.rollup import rollup
+from chargepulse.session import setting
 from chargepulse.streaming.published import claim_output, foldable, newest_published
 from chargepulse.streaming.sinks import BATCH_COL, Recorded, _overwrite_batch, counted, fold_positions
 
@@ -271,6 +273,56 @@ def notify_results(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     }
 
 
+# -------------------------------------------------------------------- ods --
+
+class _DetailBatch:
+    """``foreachBatch`` body: ODS detail rows by date, and quarantine."""
+
+    def __init__(self, root: str, dim: DataFrame, mode: str, spread_to: int | None):
+        self.root, self.side, self.mode, self.spread_to = root.rstrip("/"), C.province_lookup(dim), mode, spread_to
+
+    def rows(self, lines: DataFrame) -> DataFrame:
+        return C.enforce(C.notify_rows(lines, self.side, "ods"), self.mode)
+
+    def describe(self, spark: SparkSession) -> None:
+        rows = self.rows(spark.createDataFrame([], "value string"))
+        for name, df in (("_schema", C.ods_columns(C.good(rows))), ("_quarantine_schema", C.quarantined(rows))):
+            if not storage.exists(spark, f"{self.root}/{name}"):
+                storage.write_text(spark, f"{self.root}/{name}", df.schema.json())
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        self.describe(spark)
+        rows = self.rows(spread(batch, self.spread_to)).persist()
+        try:
+            # A stream's own session has AQE off, for its state; this write has none and needs the measured sizes.
+            with setting(spark, {"spark.sql.adaptive.enabled": "true"}):
+                detail = by_bytes(C.ods_columns(C.good(rows)), "date").withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+                (detail.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("date", BATCH_COL).parquet(f"{self.root}/detail"))
+                _overwrite_batch(C.quarantined(rows), f"{self.root}/quarantine", batch_id)
+        finally:
+            rows.unpersist()
+
+
+def ods_app(log_stream: DataFrame, dim: DataFrame, root: str, checkpoint: str, trigger: str | None = "2 seconds",
+            mode: str = "quarantine", spread_to: int | None = None) -> StreamingQuery:
+    """P5 as a stream: notify messages -> ``root/detail`` (ODS rows by date and batch) + ``root/quarantine``.
+
+    A date's files are sized by its bytes in the batch, so a hot date is written by as many tasks as it needs.
+    """
+    return _start(log_stream, _DetailBatch(root, dim, mode, spread_to), checkpoint, trigger)
+
+
+def read_ods(spark: SparkSession, root: str, first_date: str | None = None, last_date: str | None = None) -> DataFrame:
+    """The detail rows of the batches that count, with their ``batch_id``; dates outside the bounds are not read."""
+    root = root.rstrip("/")
+    rows = counted(_table(spark, [f"{root}/detail"], _with_batch(_schema(spark, root))), root)
+    if first_date:
+        rows = rows.where(F.col("date") >= first_date)
+    return rows.where(F.col("date") <= last_date) if last_date else rows
+
+
 # ---------------------------------------------------------------- request --
 
 def request_partials(clean: DataFrame, more=()) -> DataFrame:

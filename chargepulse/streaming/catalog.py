@@ -225,7 +225,17 @@ def q_quarantine_redrive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.unionByName(left)
 
 
+def q_stream_ods_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: the ODS detail, written by a stream of three batches."""
+    root = work_dir(spark, "ods")
+    per_trigger = stage_in_batches(spark, rlog(spark, sf_dir), f"{root}/source", 3)
+    stream = read_lines_stream(spark, f"{root}/source", per_trigger)
+    run_to_end(A.ods_app(stream, dim(spark, sf_dir), f"{root}/out", f"{root}/checkpoint", trigger=None), TIMEOUT)
+    return A.read_ods(spark, f"{root}/out").drop("batch_id")
+
+
 STREAM_QUERIES = {
+    "stream_ods_detail": q_stream_ods_detail,
     "stream_compact_idle": q_stream_compact_idle,
     "stream_snapshot_totals": q_stream_snapshot_totals,
     "stream_late_rows": q_stream_late_rows,
@@ -254,6 +264,7 @@ _BATCHED = f"""c AS (
   WHERE e.event_type IN ('purchase','error') AND e.event_id % 11 <> 0)"""
 
 STREAM_ORACLE = {
+    "stream_ods_detail": ORACLE["ods_detail"],
     "stream_compact_idle": f"""WITH {_BATCHED}
 SELECT batch_id, strftime(ts, '%Y%m%d%H') AS hour, count(*) AS orders,
        CAST(sum(CASE WHEN ok THEN fee ELSE 0 END) AS DECIMAL(18,2)) AS money FROM c GROUP BY 1, 2""",

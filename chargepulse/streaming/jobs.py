@@ -14,13 +14,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chargepulse import storage
 from chargepulse.plans.rollup import EVENT_BUCKET, with_event_bucket
+from chargepulse.session import setting
 from chargepulse.streaming.sinks import (
     BATCH_COL, ChangelogUpsert, PerBatchWriter, Recorded, _overwrite_batch, claim_output, read_batches, read_positions,
 )
@@ -29,24 +29,6 @@ from chargepulse.streaming.sinks import (
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-@contextmanager
-def _query_conf(spark, conf: dict[str, str]):
-    """Session settings for one query: a query copies the session's settings
-    when it starts, and a stateful query keeps its partition count and state
-    store in its checkpoint from then on."""
-    old = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
 def _trigger(writer, trigger: str | None):
     if trigger is None or trigger == "availableNow":
         return writer.trigger(availableNow=True)
@@ -88,7 +70,7 @@ def running_totals(clean_stream: DataFrame, kpi: Callable[[DataFrame], DataFrame
         conf["spark.sql.shuffle.partitions"] = str(state_partitions)
     if state_store:
         conf["spark.sql.streaming.stateStore.providerClass"] = state_store
-    with _query_conf(clean_stream.sparkSession, conf):
+    with setting(clean_stream.sparkSession, conf):
         return _trigger(w, trigger).start()
 
 
