@@ -14,6 +14,8 @@ about as long as it.  Windows that meet a line or text that matches by itself ar
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -103,6 +105,28 @@ def scan_licenses(docs: DataFrame, templates: DataFrame, dice: float = 0.8) -> D
                     F.col("hit.line").alias("line")))
 
 
+def _may_hold(docs: DataFrame, forms: DataFrame, dice: float) -> DataFrame:
+    """``doc_id, whole, text`` of the texts that hold as many bigrams of some template as a window of it needs.
+
+    Decided in the text's own row: few texts hold so many, and no others are written or moved.  The templates are a
+    small table; their bigrams are a constant of the plan.
+    """
+    once = lambda x: F.explode(F.array(x))
+    parts = forms.groupBy("form", "b").agg(F.collect_set("bigram").alias("bigrams")).collect()
+    # 2 n >= dice (n + b)
+    needs = [(math.ceil(r["b"] * dice / (2 - dice) - 1e-9), sorted(r["bigrams"])) for r in parts]
+    every = sorted({g for _, grams in needs for g in grams})
+    enough = F.lit(False)
+    for need, grams in needs:
+        enough = enough | (F.size(F.array_intersect("held", F.lit(grams))) >= need)
+    rows = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("whole"), "text")
+    if not every:
+        return rows.where("false")
+    held = F.array_intersect(bigrams(F.col("ws")), F.lit(every))
+    return (rows.withColumn("ws", once(words(F.col("text")))).withColumn("held", once(held))
+            .where(F.size("held") >= min(n for n, _ in needs)).where(enough).select("doc_id", "whole", "text"))
+
+
 def _windows(docs: DataFrame, forms: DataFrame, units: DataFrame, dice: float) -> DataFrame:
     """``doc_id, line, score, license`` of the windows that match and meet no matching unit nor a better window.
 
@@ -111,7 +135,7 @@ def _windows(docs: DataFrame, forms: DataFrame, units: DataFrame, dice: float) -
     once = lambda x: F.explode(F.array(x))
     n = F.greatest(F.size("ws") - 1, F.lit(0))
     pairs = F.zip_with(F.slice("ws", F.lit(1), n), F.slice("ws", F.lit(2), n), lambda x, y: F.concat(x, F.lit(" "), y))
-    texts = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("whole"), "text")
+    texts = staged(_may_hold(docs, forms, dice), "license-texts")
     # Windows begin and end at bigrams of their template; templates of one word have none, lines hold them.
     hits = (texts.select("doc_id", "whole", once(words(F.col("text"))).alias("ws"))
             .select("doc_id", "whole", F.posexplode(pairs).alias("start", "bigram")).join(forms, "bigram")
@@ -137,12 +161,8 @@ def _windows(docs: DataFrame, forms: DataFrame, units: DataFrame, dice: float) -
             .dropDuplicates(["doc_id", "whole"]).join(matched, F.col("doc_id").eqNullSafe(F.col("id_m")), "left")
             .withColumn("ws", once(words(F.col("text")))).withColumn("grams", once(pairs))
             .withColumn("lines", once(F.split(F.col("text"), "\n")))
-            .withColumn("sizes", once(F.transform("lines", lambda x: F.size(words(x))))))
-
-    def line_of(word):
-        none = F.struct(F.lit(0).alias("words"), F.lit(0).alias("line"))
-        return F.aggregate("sizes", none, lambda at, size: F.when(at["words"] > word, at).otherwise(
-            F.struct((at["words"] + size).alias("words"), (at["line"] + 1).alias("line"))), lambda at: at["line"])
+            .withColumn("of_word", once(F.flatten(F.transform("lines", lambda x, i: F.array_repeat(i + 1, F.size(words(x))))))))
+    line_of = lambda word: F.element_at("of_word", word + 1)
     distinct = lambda w: F.size(F.array_distinct(F.slice("grams", w["start"] + 1, w["end"] - w["start"] + 1)))
     seen = F.transform("windows", lambda w: F.struct(
         *[w[c].alias(c) for c in ("form", "license", "long", "start", "end")],
