@@ -41,6 +41,15 @@ from chargepulse.streaming.sinks import BATCH_COL, Recorded, _overwrite_batch, c
 UNKNOWN = "unknown_province"
 
 
+def _describe(spark: SparkSession, root: str, rows: Callable[[DataFrame], DataFrame],
+              results: Callable[[DataFrame], DataFrame]) -> None:
+    if storage.exists(spark, f"{root}/_quarantine_schema"):   # the second of the two
+        return
+    empty = rows(spark.createDataFrame([], "value string"))
+    storage.write_text(spark, f"{root}/_schema", results(C.good(empty)).schema.json())
+    storage.write_text(spark, f"{root}/_quarantine_schema", C.quarantined(empty).schema.json())
+
+
 class _AppBatch:
     """``foreachBatch`` body: rows-with-reason -> partials + quarantine.
 
@@ -57,10 +66,7 @@ class _AppBatch:
 
     def describe(self, spark: SparkSession) -> None:
         """Store the types of both tables, so that an app that has no batch yet has empty results."""
-        rows = self.rows(spark.createDataFrame([], "value string"))
-        for name, df in (("_schema", self.partials(C.good(rows))), ("_quarantine_schema", C.quarantined(rows))):
-            if not storage.exists(spark, f"{self.root}/{name}"):
-                storage.write_text(spark, f"{self.root}/{name}", df.schema.json())
+        _describe(spark, self.root, self.rows, self.partials)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         self.describe(batch.sparkSession)
@@ -285,10 +291,7 @@ class _DetailBatch:
         return C.enforce(C.notify_rows(lines, self.side, "ods"), self.mode)
 
     def describe(self, spark: SparkSession) -> None:
-        rows = self.rows(spark.createDataFrame([], "value string"))
-        for name, df in (("_schema", C.ods_columns(C.good(rows))), ("_quarantine_schema", C.quarantined(rows))):
-            if not storage.exists(spark, f"{self.root}/{name}"):
-                storage.write_text(spark, f"{self.root}/{name}", df.schema.json())
+        _describe(spark, self.root, self.rows, C.ods_columns)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
