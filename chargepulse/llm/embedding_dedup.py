@@ -8,9 +8,10 @@ slice.  Pairs that fall into all windows of the table are counted over all ``m``
 projections; those with at least ``least`` window collisions are verified with the
 exact cosine in double precision.
 
-``g``, the number of tables and ``least`` follow from the wanted recall and the
-number of vectors (:func:`calibrate`), never from a cap: ``g`` grows with the
-logarithm of the input, so cells stay about the same size.  Oversized cells (a hot
+Windows, ``g``, the number of tables and ``least`` follow from the wanted recall, the
+length of the vectors and the number of vectors of that length (:func:`calibrate`), never
+from a cap: ``g`` grows with the logarithm of the input, so cells stay about the same size.
+Every length has a calibration of its own.  Oversized cells (a hot
 group of near copies) are cut into tiles of ``block`` stored rows by ``block``
 queries, each its own task.  A tile returns link counts and a spanning forest, not
 pairs.  Equal vectors are one class from the start.
@@ -19,6 +20,7 @@ pairs.  Equal vectors are one class from the start.
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -34,6 +36,7 @@ PER_CELL = 3000       # vectors a cell holds on average
 LANES = 24            # projections that collisions are counted on
 
 
+@lru_cache(maxsize=64)
 def calibrate(n: int, dim: int, cosine: float, recall: float) -> dict:
     """Window, projections per table, tables and the least collision count.
 
@@ -55,6 +58,7 @@ def calibrate(n: int, dim: int, cosine: float, recall: float) -> dict:
             "lanes": lanes, "least": least, "cosine": cosine}
 
 
+@lru_cache(maxsize=8)
 def directions(dim: int, lanes: int, seed: int = 17) -> np.ndarray:
     """``dim x lanes`` unit columns, orthonormal in runs of ``dim``."""
     rng, out = np.random.default_rng(seed + dim), []
@@ -68,10 +72,15 @@ def unit_rows(vectors: list, dim: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def is_usable(col: str = "embedding"):
+    """Whether the vector has only finite components, at least one of them not zero; never null."""
+    bad = F.exists(col, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return ~F.coalesce(bad, F.lit(True)) & F.coalesce(F.exists(col, lambda x: x != 0), F.lit(False))
+
+
 def usable(df: DataFrame, col: str = "embedding") -> DataFrame:
     """Rows whose vector has only finite components, at least one of them not zero."""
-    bad = F.exists(col, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return df.where(F.col(col).isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists(col, lambda x: x != 0))
+    return df.where(is_usable(col))
 
 
 def _probes(lanes: np.ndarray, p: dict, stored_only: bool):
@@ -89,22 +98,22 @@ def _probes(lanes: np.ndarray, p: dict, stored_only: bool):
             yield np.flatnonzero(ok), r, np.where(pick, high, low)[ok], False
 
 
-def _dealer(p: dict, stored_only: bool):
+def _dealer(cosine: float, recall: float, stored_only: bool):
     def deal(frames):
         for f in frames:
-            for dim, part in f.groupby("dim"):
-                dim = int(dim)
+            for (dim, peers), part in f.groupby(["dim", "peers"]):
+                dim, p = int(dim), calibrate(int(peers), int(dim), cosine, recall)
                 lanes = unit_rows(list(part["embedding"]), dim) @ directions(dim, p["lanes"])
                 for rows, r, cell, stored in _probes(lanes, p, stored_only):
                     names = np.full(len(rows), dim, np.uint64)
                     for c in cell.T:  # two cells with one name only cost some tests
                         names = (names ^ c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
                         names ^= names >> np.uint64(31)
-                    out = {"tab": np.full(len(rows), r, dtype=np.int32), "cell": names.view(np.int64)}
+                    out = {"dim": np.full(len(rows), dim, dtype=np.int32), "tab": np.int32(r), "cell": names.view(np.int64)}
                     if not stored_only:
                         some = part.iloc[rows]
-                        out |= {"stored": stored, "rep": some["rep"].to_numpy(), "n": some["n"].to_numpy(),
-                                "dim": dim, "embedding": some["embedding"].to_numpy()}
+                        out |= {"peers": peers, "stored": stored, "rep": some["rep"].to_numpy(), "n": some["n"].to_numpy(),
+                                "embedding": some["embedding"].to_numpy()}
                     yield pd.DataFrame(out)
     return deal
 
@@ -126,11 +135,11 @@ def _enough(lanes: np.ndarray, u: np.ndarray, v: np.ndarray, p: dict, r: int):
     return u, v
 
 
-def _counter(p: dict):
-    g, t = p["g"], p["t"]
-
+def _counter(cosine: float, recall: float):
     def count(key, f):
         dim, r = int(f["dim"].iloc[0]), int(f["tab"].iloc[0])
+        p = calibrate(int(f["peers"].iloc[0]), dim, cosine, recall)
+        g, t = p["g"], p["t"]
         stored = f["stored"].to_numpy(dtype=bool)
         unit = unit_rows(list(f["embedding"]), dim)
         lanes = np.ascontiguousarray((unit @ directions(dim, p["lanes"])).T)
@@ -191,31 +200,35 @@ def embedding_near_dedup(vectors: DataFrame, cosine: float = 0.95, recall: float
     reps = staged(keyed.withColumnRenamed("_id", "rep").join(classes, ["fp_a", "fp_b", "rep"])
                   .dropDuplicates(["fp_a", "fp_b"])
                   .select("rep", "n", F.size("embedding").alias("dim"), "embedding"), "vec-reps")
-    sizes = reps.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n")).first()
-    p = calibrate(sizes["n"] if sizes else 1, sizes["dim"] if sizes else 1, cosine, recall)
+    # One row per vector length; its rows know how many they are, from which tasks calibrate.
+    sizes = staged(reps.groupBy("dim").agg(F.count("*").alias("peers")), "vec-lengths")
+    reps = reps.join(sizes, "dim")
 
-    cells = reps.mapInPandas(_dealer(p, True), "tab int, cell long").groupBy("tab", "cell").count()
+    cells = (reps.select("dim", "peers", "embedding").mapInPandas(_dealer(cosine, recall, True), "dim int, tab int, cell long")
+             .groupBy("dim", "tab", "cell").count())
     large = staged(cells.where(F.col("count") > block)
-                   .select("tab", "cell", F.ceil(F.col("count") / block).cast("int").alias("cuts")), "vec-cells")
+                   .select("dim", "tab", "cell", F.ceil(F.col("count") / block).cast("int").alias("cuts")), "vec-cells")
     kind = reps.schema["embedding"].dataType.simpleString()
-    dealt = (reps.mapInPandas(_dealer(p, False), "tab int, cell long, stored boolean, rep long, n long, "
-                                                 f"dim int, embedding {kind}")
-             .join(large, ["tab", "cell"], "left").withColumn("cuts", F.coalesce("cuts", F.lit(1))))
+    dealt = (reps.mapInPandas(_dealer(cosine, recall, False), "dim int, tab int, cell long, peers long, stored boolean, "
+                                                              f"rep long, n long, embedding {kind}")
+             .join(large, ["dim", "tab", "cell"], "left").withColumn("cuts", F.coalesce("cuts", F.lit(1))))
     cut = F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int")
     all_cuts = F.sequence(F.lit(0), F.col("cuts") - 1)
     # Stored rows meet every block of queries, queries every block of stored rows.
     tiles = (dealt.withColumn("other", F.explode(all_cuts))
              .withColumn("q_cut", F.when(F.col("stored"), F.col("other")).otherwise(cut))
              .withColumn("d_cut", F.when(F.col("stored"), cut).otherwise(F.col("other"))))
-    found = staged(tiles.select("tab", "cell", "q_cut", "d_cut", "stored", "rep", "n", "dim", "embedding")
-                   .groupBy("tab", "cell", "q_cut", "d_cut")
-                   .applyInPandas(_counter(p), "a long, b long, links long"), "vec-links")
+    found = staged(tiles.select("dim", "tab", "cell", "q_cut", "d_cut", "peers", "stored", "rep", "n", "embedding")
+                   .groupBy("dim", "tab", "cell", "q_cut", "d_cut")
+                   .applyInPandas(_counter(cosine, recall), "a long, b long, links long"), "vec-links")
     links = found.where("links > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     comp = components(found.where("a <> b").select("a", "b")).withColumnRenamed("node", "rep")
     known = (classes.join(links, "rep", "left").join(comp, "rep", "left")
              .select("fp_a", "fp_b", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
                      F.coalesce("component", "rep").alias("component_id")))
-    out = (rows.select("_id", F.col("embedding").isNotNull().alias("some"), *fingerprint("embedding"))
+    # Vectors that take no part have no class; by their ids they spread over the tasks of the join.
+    took = rows.select("_id", is_usable("embedding").alias("some"), *fingerprint("embedding"))
+    out = (took.withColumns({fp: F.when(F.col("some"), F.col(fp)).otherwise(F.xxhash64(F.lit(5), "_id")) for fp in ("fp_a", "fp_b")})
            .join(known, ["fp_a", "fp_b"], "left"))
     linked = F.col("_id").isNotNull() & F.col("some")
     return out.select(

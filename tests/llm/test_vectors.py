@@ -53,6 +53,20 @@ def test_near_dedup_matches_brute_force(spark):
         assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
 
 
+def test_near_dedup_of_rare_lengths(spark):
+    # 900 vectors of 64 components, 160 of 8 whose pairs lie at the threshold: each length needs windows of its own.
+    rng = np.random.default_rng(5)
+    long = [(i, v) for i, v in enumerate(rng.standard_normal((900, 64)).tolist())]
+    a, b = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in rng.standard_normal((2, 80, 8)))
+    b -= (a * b).sum(1, keepdims=True) * a
+    near = 0.952 * a + math.sqrt(1 - 0.952 ** 2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    short = [(10_000 + 2 * i + k, v) for i, pair in enumerate(zip(a.tolist(), near.tolist())) for k, v in enumerate(pair)]
+    got = embedding_near_dedup(_frame(spark, long + short)).collect()
+    want = _brute_links(long) | _brute_links(short)
+    assert sum(n for n, _ in want.values()) >= 160
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == want
+
+
 def test_near_dedup_empty_null_and_repeated(spark):
     assert embedding_near_dedup(_frame(spark, [(1, [1.0])]).limit(0)).count() == 0
     got = embedding_near_dedup(_frame(spark, [(None, [1.0, 0.0]), (5, [1.0, 0.0]), (5, [1.0, 0.0]), (4, None)])).collect()
