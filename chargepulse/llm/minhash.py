@@ -9,8 +9,9 @@ share a band are candidates, and candidates are confirmed on their full shingle
 Documents with equal sets are one class from the start.  In every band bucket each member
 is checked against the bucket's hub, the member with most neighbours (linear in the bucket);
 members that are connected by confirmed links need no further check.  Only where a hub
-still has members of several components, all pairs across them are checked, in tiles that
-return a spanning forest and not pairs.  No candidate is capped.
+still has members of several components, all pairs across them are checked, in tiles of
+bounded rows and bytes that return a spanning forest and not pairs.  No candidate is capped.
+A hub's checks, and the copies of one set, are dealt to several tasks.
 """
 
 from __future__ import annotations
@@ -26,7 +27,10 @@ from chargepulse.llm.components import components, local_labels
 BANDS, ROWS = 32, 6        # a pair at 0.8 shares a band with probability over 0.9999
 SLOTS = BANDS * ROWS
 SLICE_CHARS = 500_000      # text signed together in a task
-STRAYS, BLOCK = 256, 512   # a tile compares so many strays with so many members
+STRAYS, BLOCK = 256, 512   # a tile compares so many strays with so many members, on average at most
+STRAY_BYTES, BLOCK_BYTES = 4 << 20, 8 << 20   # and so many bytes of their texts; a longer text is whole all the same
+HUB_CHECKS = 256           # checks of one document that a task makes, on average
+COPY_DEALS = 16            # tasks that copies of one set are dealt to
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -161,11 +165,20 @@ def _verifier(k: int, percent: int):
     return verify
 
 
+def _with_text(pairs: DataFrame, ids: DataFrame, texts: DataFrame, side: str, other: str) -> DataFrame:
+    """``pairs`` with the text of ``side``; a document of many ``ids`` pairs has copies, one for each deal of them."""
+    busy = staged(ids.groupBy(side).count().where(F.col("count") > HUB_CHECKS)
+                  .select(side, F.ceil(F.col("count") / HUB_CHECKS).cast("int").alias("deals")), "busy")
+    deals = F.coalesce("deals", F.lit(1))
+    dealt = pairs.join(busy, side, "left").withColumn("deal", F.pmod(F.xxhash64(other), deals).cast("int")).drop("deals")
+    copies = (texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")).join(busy, side, "left")
+              .withColumn("deal", F.explode(F.sequence(F.lit(0), deals - 1))).drop("deals"))
+    return dealt.join(copies.hint("merge"), [side, "deal"]).drop("deal")
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int, name: str) -> DataFrame:
     """``(a, b)`` pairs -> staged ``a, b, ok``; the later text travels once per pair, the earlier joins it."""
-    rows = (pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
-            .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
-            .select("a", "b", "text_a", "text_b"))
+    rows = _with_text(_with_text(pairs, pairs, texts, "b", "a"), pairs, texts, "a", "b").select("a", "b", "text_a", "text_b")
     return staged(rows.mapInArrow(trimmed(_verifier(k, percent)), "a long, b long, ok boolean"), name)
 
 
@@ -205,11 +218,16 @@ def _links_across(near: DataFrame, texts: DataFrame, k: int, percent: int) -> Da
     component: those strays, in blocks, meet all members, in blocks; a tile is one task's work.
     """
     per = near.groupBy("hub", "component").count()
-    main = (per.groupBy("hub").agg(F.max(F.struct("count", "component")).alias("m"), F.sum("count").alias("n"),
-                                   F.count("*").alias("comps")).where("comps > 1")
-            .select("hub", F.col("m.component").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
-                    F.ceil((F.col("n") - F.col("m.count")) / STRAYS).cast("int").alias("cuts")))
-    rows = staged(near.join(main.hint("merge"), "hub"), "rest").join(texts.hint("merge"), "doc_id")
+    main = (per.groupBy("hub").agg(F.max(F.struct("count", "component")).alias("m"), F.count("*").alias("comps"))
+            .where("comps > 1").select("hub", F.col("m.component").alias("main")))
+    sizes = texts.groupBy("doc_id").agg(F.sum("bytes").alias("bytes"))
+    rest = staged(near.join(main.hint("merge"), "hub").join(sizes.hint("merge"), "doc_id"), "rest")
+    stray = F.col("component") != F.col("main")
+    parts = lambda rows, most, size, bytes_: F.ceil(F.greatest(rows / most, size / bytes_)).cast("int")
+    cuts = rest.groupBy("hub").agg(
+        parts(F.count("*"), BLOCK, F.sum("bytes"), BLOCK_BYTES).alias("blocks"),
+        parts(F.count_if(stray), STRAYS, F.sum(F.when(stray, F.col("bytes"))), STRAY_BYTES).alias("cuts"))
+    rows = rest.join(cuts.hint("merge"), "hub").join(texts.select("doc_id", "text").hint("merge"), "doc_id")
     cut = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     strays = rows.where("component <> main").withColumn("i", cut("cuts")).withColumn("j", every("blocks"))
@@ -233,7 +251,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sigs = staged(texts.mapInArrow(trimmed(_signer(k)), "doc_id long, n_shingles long, fp_a long, fp_b long, bands array<long>"), "sigs")
     full = sigs.where("doc_id is not null and n_shingles > 0")
-    classes = staged(full.groupBy("fp_a", "fp_b", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = staged(full.groupBy("fp_a", "fp_b", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size")), "classes")
     reps = (full.join(classes.select(F.col("rep").alias("doc_id"), "fp_a", "fp_b"), ["doc_id", "fp_a", "fp_b"])
             .dropDuplicates(["doc_id", "fp_a", "fp_b"]))
     banded = reps.select("doc_id", F.explode("bands").alias("key"))
@@ -242,7 +260,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     # The texts of documents in shared buckets, moved once; their ids grow with the input, so they are never broadcast.
     involved = members.select("doc_id").distinct().hint("merge")
     one_text = staged(texts.where("doc_id is not null").join(involved, "doc_id", "left_semi")
-                      .dropDuplicates(["doc_id", "text"]), "texts")
+                      .dropDuplicates(["doc_id", "text"]).withColumn("bytes", F.octet_length("text")), "texts")
 
     # Each member against its buckets' hubs: the member with most neighbours is the likeliest to be near all others.
     weight = members.groupBy("doc_id").agg(F.sum("size").alias("weight"))
@@ -260,7 +278,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             .join(comp.hint("merge"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")))
     second = _links_across(near, one_text, k, percent)
     # Copies join their representative; rows of one document link its texts, so its classes meet here too.
-    own = full.join(classes, ["fp_a", "fp_b", "n_shingles"]).select("doc_id", "rep").where("doc_id <> rep")
+    several = classes.where("size > 1").withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(COPY_DEALS - 1))))
+    own = (full.withColumn("deal", F.pmod(F.xxhash64("doc_id"), F.lit(COPY_DEALS)).cast("int"))
+           .join(several, ["fp_a", "fp_b", "n_shingles", "deal"]).select("doc_id", "rep").where("doc_id <> rep"))
     place = components(comp.where("doc_id <> component").union(second).union(own).toDF("a", "b"))
     out = sigs.select("doc_id", "n_shingles").join(place.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     found = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))

@@ -62,17 +62,18 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most
 
 
 def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST,
-                slots: int = SLOTS) -> DataFrame:
+                slots: int = SLOTS, row: str | None = None) -> DataFrame:
     """``doc_id, source, text`` rows -> ``doc_id, size, source_size, target, taken``, one row per input row.
 
     ``size`` counts words between ASCII white space (null text: 0); a null source is a
     source.  ``taken`` counts words with repeats and is at most ``most`` times the size.
     Rows with equal ids take places by their size, repeated rows one after another.  Empty
-    tables and tables without words take nothing.
+    tables and tables without words take nothing.  ``row`` names a column of ``docs`` that numbers its rows;
+    the result then holds it too, as ``row``.
     """
     # The row number only tells equal rows apart; it is written once and then read.
-    sized = staged(docs.select("doc_id", "source", word_count().alias("size"))
-                   .withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    sized = staged(docs.select("doc_id", "source", word_count().alias("size"), number.alias("row")), "mix-sizes")
     targets = staged(source_targets(sized, weights, share, most), "mix-targets")
     total = targets.agg(F.sum("target")).first()[0] or 0.0
 
@@ -143,7 +144,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: fl
              + F.col("words_further") * F.coalesce("further", F.lit(0)))
     got = (pieces.join(taken, [*of, "block_no"], "left")
            .groupBy("row", "doc_id", *of, "size", "source_size", "target").agg(F.sum(words).alias("taken")))
-    return got.select("doc_id", F.when(~F.col("s_null"), F.col("s")).alias("source"), "size", "source_size",
+    return got.select(*["row"] * bool(row), "doc_id", F.when(~F.col("s_null"), F.col("s")).alias("source"), "size", "source_size",
                       F.col("target").cast("double").alias("target"), F.col("taken").cast("long").alias("taken"))
 
 

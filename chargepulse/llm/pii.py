@@ -12,6 +12,8 @@ the votes; added spans that touch one are left out.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +34,11 @@ IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 LOOSE = {
-    "name": re.compile(r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sra?)\.? ([A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]{1,30}(?: [A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]{1,30})?)"),
+    "name": re.compile(r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sra?)\.? ([A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]+(?: [A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]+)?)"),
     "local_phone": re.compile(r"(\(?[0-9]{3}\)?[-. ][0-9]{3}[-. ][0-9]{4})(?![0-9])"),
     "national_id": re.compile(r"([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])"),
     "bank_account": re.compile(r"([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"),
-    "secret": re.compile(r"[=:] ?[\"']?([0-9A-Za-z_-]{20,100})(?![0-9A-Za-z_-])"),
+    "secret": re.compile(r"[=:] ?[\"']?([0-9A-Za-z_-]{20,})"),
 }
 #: Words that announce a kind, before the span.
 CUES = {
@@ -132,10 +134,11 @@ def candidate_spans(text: str, base: list) -> list[tuple[str, int, int]]:
                 continue
             found.append((kind, a, b))
     found.sort(key=lambda s: (s[1], KINDS.index(s[0])))
-    taken = sorted((a, b) for _, a, b in base)
+    # Of the base spans that begin before ``b``, the one that ends last tells whether any is touched.
+    starts, ends = [a for _, a, _ in base], [0, *accumulate((b for _, _, b in base), max)]
     out, end = [], 0
     for kind, a, b in found:
-        if a >= end and not any(x < b and a < y for x, y in taken):
+        if a >= end and ends[bisect_left(starts, b)] <= a:
             out.append((kind, a, b))
             end = b
     return out
@@ -228,8 +231,10 @@ def find_pii(docs: DataFrame, id_cols: list[str]) -> DataFrame:
 
     ``base`` holds the base kinds' spans, ``spans`` those and the added ones, by start, then kind.
     Null and empty texts have none; repeated rows and null ids stay rows of their own;
-    texts are read whole; an empty table gives no rows.
+    texts are read whole; an empty table gives no rows.  ``id_cols`` may not be named ``base`` or ``spans``.
     """
+    if {"base", "spans"} & set(id_cols):
+        raise ValueError("base and spans are columns of the result")
     model = fit_pii(docs)
     kinds = T.StructType([*(docs.schema[c] for c in id_cols), T.StructField("base", SPANS), T.StructField("spans", SPANS)])
     return docs.select(*id_cols, "text").mapInArrow(trimmed(_finder(model, False)), kinds)
