@@ -11,22 +11,29 @@ from pyspark.sql import functions as F
 
 from chargepulse.llm import bpe, minhash, mixing, pii, toxicity
 from chargepulse.llm.common import staged, table
+from chargepulse.operators.rank import ranked
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic."""
-    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), name="_toxicity")
-    return scored.where("_toxicity < 0.5").select(docs.columns)
+    name = "_toxicity"
+    while name in docs.columns:
+        name += "_"
+    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), name=name)
+    return scored.where(F.col(name) < 0.5).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group (five-word shingles, similarity 0.8).
 
-    Of several rows with that id one stays; rows without an id all stay.
+    Rows are told apart by their place by id (null ids last) and content, so rows that share an id, or
+    have none, are documents of their own: a different text stays, of equal or linked ones the first.
+    Rows without words all stay.
     """
-    kept = minhash.near_duplicates(docs.select("doc_id", "text"), k=5).where("kept and doc_id is not null").select("doc_id")
-    named = docs.join(kept.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    placed = ranked(docs.select(F.struct(*docs.columns).alias("doc")),
+                    [F.col("doc.doc_id").asc_nulls_last(), F.xxhash64("doc").asc()], name="place")
+    kept = minhash.near_duplicates(placed.select(F.col("place").alias("doc_id"), "doc.text"), k=5).where("kept")
+    return placed.join(kept.select(F.col("doc_id").alias("place")), "place", "left_semi").select("doc.*")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,17 +45,15 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, to the nearest whole copy.
+    """Each row as often as the mix takes it, to the nearest whole copy.
 
     Blocks are taken whole, so a source has few documents that are taken in part.  Rows that
-    share an id are taken alike; documents without words are not taken.
+    share an id, or have none, are taken each by its own source; documents without words are not taken.
     """
-    taken = (mixing.mix_sources(docs.select("doc_id", "source", "text")).groupBy("doc_id")
-             .agg(F.sum("size").alias("size"), F.sum("taken").alias("taken")).where("size > 0")
-             .select(F.col("doc_id").alias("_doc_id"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_copies"))
-             .where("_copies > 0"))
-    both = docs.join(taken, docs["doc_id"].eqNullSafe(taken["_doc_id"]))
-    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
+    rows = staged(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row")), "mix-rows")
+    taken = (mixing.mix_sources(rows.select("doc.doc_id", "doc.source", "doc.text", "row"), row="row").where("size > 0")
+             .select("row", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("copies")).where("copies > 0"))
+    return (rows.join(taken, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
