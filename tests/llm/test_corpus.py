@@ -1,6 +1,7 @@
 """Mixing, toxicity and the pipeline."""
 
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,6 +52,36 @@ def test_mixing(spark):
     assert sorted(map(tuple, again), key=str) == sorted(map(tuple, got), key=str)
 
 
+def _brute_taken(rows):
+    """Words taken of each ``(doc_id, source, size)``: all of its source by whole passes, and the first words of one further pass."""
+    import struct
+
+    import xxhash
+
+    def key(i):
+        seed = xxhash.xxh64_intdigest(struct.pack("<i", 41), 42)
+        return seed if i is None else xxhash.xxh64_intdigest(struct.pack("<q", i), seed)
+
+    sizes, out = {}, []
+    for _, s, n in rows:
+        sizes[s] = sizes.get(s, 0) + n
+    for s, target in _targets(sizes).items():
+        goal, at = math.floor(target + 0.5), 0
+        passes, rest = divmod(goal, sizes[s]) if sizes[s] else (0, 0)
+        for i, n in sorted(((i, n) for i, x, n in rows if x == s), key=lambda r: (key(r[0]), r[0] is not None, r[0] or 0, r[1])):
+            out.append((i, s, n, passes * n + max(0, min(at + n, rest) - at)))
+            at += n
+    return sorted(out, key=str)
+
+
+def test_mixing_takes_what_brute_force_takes(spark):
+    rows = [(i, ["a", "b", None, "é", "", "hot", "hot", "hot"][i % 8], 1 + i * 7 % 90) for i in range(400)]
+    rows += [(None, "a", 3), (5000, "b", 20_000), (5001, "a", 0), (7, "a", 11), (5002, "tiny", 1)]
+    docs = spark.createDataFrame([(i, s, "w " * n) for i, s, n in rows], "doc_id long, source string, text string")
+    got = mixing.mix_sources(docs).select("doc_id", "source", "size", "taken").collect()
+    assert sorted(map(tuple, got), key=str) == _brute_taken(rows)
+
+
 def test_mixing_small_sources_of_a_large_table(spark):
     # 60 million words in few rows: a block of all would be larger than some sources.
     big = spark.range(600).select("id", F.repeat(F.lit("w "), 100_000).alias("text"), F.lit("hot").alias("source"))
@@ -128,6 +159,61 @@ def test_pipeline(spark):
     assert last.columns == ["doc_id", "lang", "source", "n_tokens", "input_ids"] and last.count() > 0
 
 
+def _planted():
+    """Rows of ``documents`` and what the pipeline must do with each: (row, text after masking or None if it goes)."""
+    import random
+    rng, rows = random.Random(3), []
+    sentence = lambda n: " ".join(f"{rng.choice('bcdfglmnprst')}{rng.choice('aeiou')}{rng.choice('lmnrst')}{rng.randrange(9)}" for _ in range(n))
+    for i in range(60):
+        clean = sentence(30 + i)
+        source = ["a", "b", None, "hot", "hot"][i % 5]
+        rows.append(((10 * i, source, clean), clean))
+        if i % 6 == 0:   # a copy, a near copy (over 0.8) and a far one (under 0.8)
+            words = clean.split()
+            rows += [((10 * i + 1, "b", clean.upper()), None), ((10 * i + 2, "hot", " ".join([*words[:-1], "end"])), None)]
+            far = " ".join(words[:len(words) // 2]) + " " + sentence(25)
+            rows.append(((10 * i + 3, "a", far), far))
+        if i % 7 == 0:
+            rows.append(((10 * i + 4, "b", f"write {clean[:60]} to q{i}@w.org or 10.0.0.{i} {sentence(9)}"), "mask"))
+        if i % 4 == 0:
+            rows.append(((10 * i + 5, "hot", f"you idiot, worthless idiot {sentence(8)}"), None))
+    other = sentence(40)
+    rows += [((0, "a", other), other), ((None, "b", sentence(33)), "mask"), ((None, "a", sentence(20)), "mask"), ((9000, "a", None), "mask")]
+    return rows
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    from collections import Counter
+
+    from chargepulse.llm import bpe
+    rows = _planted()
+    docs = spark.createDataFrame([(*r, "en", len(r[2] or ""), "kept", 1) for r, _ in rows],
+                                 "doc_id long, source string, text string, lang string, n_chars long, doc string, place long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    toxic = [(r[0], int("idiot" in (r[2] or ""))) for r, _ in rows if r[0]]
+    spark.createDataFrame(toxic, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    mask = lambda t: re.sub(r"10\.0\.0\.[0-9]+", "[IP]", re.sub(r"q[0-9]+@w\.org", "[EMAIL]", t)) if t else t
+    left = [(i, s, mask(t)) for (i, s, t), want in rows if want is not None]
+
+    now = docs
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        now = stage(spark, now, str(tmp_path)).cache()
+    got = now.select("doc_id", "source", "text", "n_chars", "place").collect()
+    assert Counter(map(tuple, got)) == Counter((*r, len(r[2]) if r[2] is not None else None, 1) for r in left)
+
+    size = lambda t: len((t or "").split())
+    taken = _brute_taken([(i, s, size(t)) for i, s, t in left])
+    copies = {(i, s, n): math.floor(took / n + 0.5) for i, s, n, took in taken if n}
+    assert len(copies) == len(left) - 1   # sources, ids and sizes tell the rows apart, but for the empty text
+    tok, want = bpe.load_tokenizer(bpe.default_tokenizer()), Counter()
+    for i, s, t in left:
+        ids = tok.encode(t or "", add_special_tokens=False).ids
+        want[(i, s, len(ids), tuple(ids), tok.decode(ids, skip_special_tokens=False))] += copies.get((i, s, size(t)), 0)
+    final = corpus_pipeline.run_whole(spark, str(tmp_path)).select("doc_id", "source", "n_tokens", "input_ids", "decoded").collect()
+    assert Counter((r[0], r[1], r[2], tuple(r[3]), r[4]) for r in final) == +want
+    assert len(set(copies.values())) > 1
+
+
 def test_pipeline_encodes_and_decodes(spark):
     from chargepulse.llm import bpe
     from chargepulse.llm.catalog import LLM_QUERIES

@@ -65,6 +65,16 @@ def test_near_duplicates_match_brute_force(spark, k):
     assert got == _brute_components(list(enumerate(texts)), k)
 
 
+def test_near_duplicates_do_not_depend_on_deals_and_tiles(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    hot = _text(rng, 120)
+    texts = [_near(rng, hot, p) for p in (0.01, 0.02, 0.04, 0.06) for _ in range(25)] + [hot] * 20 + [_text(rng, 50) for _ in range(10)]
+    for name, value in {"STRAYS": 7, "BLOCK": 9, "STRAY_BYTES": 900, "BLOCK_BYTES": 2000, "HUB_CHECKS": 3, "COPY_DEALS": 2}.items():
+        monkeypatch.setattr(minhash, name, value)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(_docs(spark, texts), k=4).collect()}
+    assert got == _brute_components(list(enumerate(texts)), 4)
+
+
 def test_near_duplicates_empty_null_and_repeated(spark):
     assert minhash.near_duplicates(_docs(spark, ["a"]).limit(0)).count() == 0
     got = minhash.near_duplicates(_docs(spark, ["a b c", "a b c", "a b c", "other", "q"], [3, 3, None, 3, 1])).collect()
@@ -128,6 +138,25 @@ def test_pii_spans_masks_and_odd_rows(spark):
     assert pii.mask_pii(docs).columns == docs.columns and pii.find_pii(docs.limit(0), ["doc_id"]).count() == 0
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["key=", "a" * 30, "1.2.3.4", "x@y.org", " ", "+1 555 123 4567", "Mr. Bob", "123-45-6789", "B" * 300 + "7"]), max_size=14))
+def test_added_spans_touch_no_base_span(parts):
+    text = "".join(parts)
+    base = pii.base_spans(text)
+    added = pii.candidate_spans(text, base)
+    loose = {(k, *m.span(1)) for k, p in pii.LOOSE.items() for m in p.finditer(text)}
+    free = lambda s: not any(a < s[2] and s[1] < b for _, a, b in base)
+    assert set(added) <= loose and all(map(free, added))
+    assert all(x[2] <= y[1] for x, y in zip(added, added[1:]))
+
+
+def test_pii_secrets_have_no_longest_length():
+    text = "key=" + "aB3_" * 5000 + " end"
+    assert pii.candidate_spans(text, []) == [("secret", 4, 20_004)]
+    with pytest.raises(ValueError):
+        pii.find_pii(None, ["doc_id", "spans"])
+
+
 HARD = ["End. Of, it!! a.b, c;) x. (y?), é. ß, İ. Q\u0307. A.", "A<|STARTOFTEXT|>. B", "Hello   world!", None, "", "  ", "é\u0301 e\u0301 İ ǅ ΑΣ Σ", "<|startoftext|>a<|endoftext|> <|endoftext|>", "it's we'll x'S", "a\x1cb\x85c\u00a0d\u2003e",
         "123 4.5 ７", "日本語 テスト 🎉🎉", "\x00 \u200b\ufeff", "word " * 50_000, "a" * 3000, "tab\tnew\nline\r\x0b\x0c end"]
 
