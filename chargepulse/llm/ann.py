@@ -4,8 +4,10 @@ Centroids come from balanced bisection of a bounded sample; every vector is then
 posted to its nearest centroid and, near a boundary, to further ones whose distance
 is within ``1 + replica_slack`` of the nearest.  Centroids are searched through an
 in-memory neighbour graph.  A query reads the lists whose centroid distance is within
-a ratio of its nearest one; the ratio is calibrated on the sample for the wanted
-recall.  The broadcast (centroids and graph) is bounded by ``max_lists``.
+a ratio of its nearest one.  The ratio depends on that nearest distance: a query close to its
+centroid has all others far off in proportion, one between clusters has many at nearly the same
+distance.  It is calibrated on the sample, for the wanted recall, at several nearest distances.
+Lists grow with the table, up to ``max_lists``, which bounds the broadcast (centroids and graph).
 
 Equal vectors are stored once with their ``k + 1`` smallest ids, so a hot vector costs
 one posting.  Long lists and many queries of one list are cut into tiles of ``block``
@@ -26,6 +28,10 @@ ENTRIES = 8       # entry nodes of a graph search
 DEGREE = 16       # neighbours of a centroid in the graph
 LEAST = 8         # lists that every query reads
 BEAM = 12         # nodes expanded whatever their distance
+ASKED = 1000      # sample rows that calibrate the ratio
+LEVELS = 8        # nearest distances that have a ratio of their own, at most
+BOUND_ROWS = 20_000  # sample rows that bound a query's distance
+CELLS = 2_000_000    # distances to centroids held at a time
 
 
 def balanced_centroids(x: np.ndarray, lists: int, rounds: int = 3) -> np.ndarray:
@@ -59,18 +65,26 @@ def _blocks(x: np.ndarray, rows: int = 1000):
 
 def neighbour_graph(c: np.ndarray) -> np.ndarray:
     """Each centroid's nearest centroids, plus its neighbours on a ring so that all can be reached."""
-    k = len(c)
-    d = ((c ** 2).sum(1)[:, None] + (c ** 2).sum(1)[None, :] - 2 * c @ c.T)
-    np.fill_diagonal(d, np.inf)
-    near = np.argsort(d, axis=1, kind="stable")[:, :max(1, min(DEGREE, k - 1))]
+    k, sq, near = len(c), (c ** 2).sum(1), []
+    for at in range(0, k, 1000):
+        part = c[at:at + 1000]
+        d = sq[None, :] - 2 * part @ c.T
+        d[np.arange(len(part)), at + np.arange(len(part))] = np.inf
+        near.append(np.argsort(d, axis=1, kind="stable")[:, :max(1, min(DEGREE, k - 1))])
+    near = np.concatenate(near)
     ring = (np.arange(k)[:, None] + np.array([1, k - 1])) % k
     return np.concatenate([near, ring], axis=1)
 
 
-def graph_search(x: np.ndarray, c: np.ndarray, graph: np.ndarray, ratio: float) -> np.ndarray:
+def ratio_at(ratio: tuple, nearest: np.ndarray) -> np.ndarray:
+    """The pruning ratio of queries whose nearest centroid is at these distances."""
+    return np.interp(nearest, *ratio)
+
+
+def graph_search(x: np.ndarray, c: np.ndarray, graph: np.ndarray, ratio: tuple) -> np.ndarray:
     """Distances ``rows x lists``; infinite for centroids that the search did not visit.
 
-    Expands the ``BEAM`` nearest known nodes and every node within ``ratio`` of the nearest.
+    Expands the ``BEAM`` nearest known nodes and every node within the ratio of the nearest.
     """
     n, k = len(x), len(c)
     dist = np.full((n, k), np.inf)
@@ -82,7 +96,8 @@ def graph_search(x: np.ndarray, c: np.ndarray, graph: np.ndarray, ratio: float)
             r, v = row[at:at + 200_000], node[at:at + 200_000]
             dist[r, v] = np.sqrt(((x[r] - c[v]) ** 2).sum(1))
         beam = np.partition(dist, min(BEAM, k) - 1, axis=1)[:, min(BEAM, k) - 1]
-        edge = np.maximum(ratio * dist.min(1), beam)
+        first = dist.min(1)
+        edge = np.maximum(ratio_at(ratio, first) * first, beam)
         go = (dist <= edge[:, None]) & ~expanded & np.isfinite(dist)
         expanded |= go
         r, v = np.nonzero(go)
@@ -92,42 +107,53 @@ def graph_search(x: np.ndarray, c: np.ndarray, graph: np.ndarray, ratio: float)
     return dist
 
 
-def postings_of(x: np.ndarray, c: np.ndarray, graph: np.ndarray, slack: float, replicas: int):
-    """(row, list): the nearest centroid, and further ones within the slack, nearest first."""
-    dist = graph_search(x, c, graph, 1 + slack)
-    best = np.argsort(dist, axis=1, kind="stable")[:, :replicas]
-    d = np.take_along_axis(dist, best, axis=1)
-    row, col = np.nonzero(d <= (1 + slack) * d[:, :1])
-    return row, best[row, col]
+def postings_of(x: np.ndarray, c: np.ndarray, graph: np.ndarray, slack: float, replicas: int) -> np.ndarray:
+    """``rows x replicas`` lists: the nearest centroid, and further ones within the slack, nearest first (-1: none)."""
+    out = np.full((len(x), replicas), -1, dtype=np.int32)
+    step = rows_at_once(len(c))
+    for at in range(0, len(x), step):
+        dist = graph_search(x[at:at + step], c, graph, ([0.0], [1 + slack]))
+        best = np.argsort(dist, axis=1, kind="stable")[:, :replicas]
+        d = np.take_along_axis(dist, best, axis=1)
+        out[at:at + step, :best.shape[1]] = np.where(d <= (1 + slack) * d[:, :1], best, -1)
+    return out
+
+
+def rows_at_once(lists: int) -> int:
+    return max(50, min(2000, CELLS // lists))
+
+
+def calibrated(nearest: np.ndarray, need: np.ndarray, recall: float) -> tuple:
+    """Nearest distances and their ratios: at each level the quantile of what its neighbours needed."""
+    levels = max(1, min(LEVELS, len(nearest) // 64))
+    order = np.array_split(np.argsort(nearest, kind="stable"), levels)
+    return [float(np.median(nearest[o])) for o in order], [float(np.quantile(need[o], recall, method="higher")) for o in order]
 
 
 def fit_index(sample: np.ndarray, lists: int, k: int, recall: float, slack: float, replicas: int) -> dict:
-    """Centroids, graph and the pruning ratio that finds ``recall`` of the sample's own neighbours."""
+    """Centroids, graph and the pruning ratios that find ``recall`` of the sample's own neighbours."""
     lists = min(lists, max(1, len(sample) // 8))
     c = balanced_centroids(sample, lists) if len(sample) else np.zeros((1, 1))
     graph = neighbour_graph(c)
-    ratio = 1.0
-    held = np.ones((len(sample), len(c)), dtype=bool)
+    ratio = ([0.0], [1.0])
+    kept = np.zeros((len(sample), 1), dtype=np.int32)
     if len(c) > 1:
-        held[:] = False
-        for at in range(0, len(sample), 1000):
-            row, lst = postings_of(sample[at:at + 1000], c, graph, slack, replicas)
-            held[at + row, lst] = True
-        ask = np.random.default_rng(3).permutation(len(sample))[:500]
-        sq = (sample ** 2).sum(1)
-        top, near = min(k, len(sample) - 1), []
+        kept = postings_of(sample, c, graph, slack, replicas)
+        ask = np.random.default_rng(3).permutation(len(sample))[:ASKED]
+        sq, top, nearest, need = (sample ** 2).sum(1), min(k, len(sample) - 1), [], []
         for some in _blocks(ask, 50):
             d2 = sq[None, :] - 2 * sample[some] @ sample.T
             d2[np.arange(len(some)), some] = np.inf
-            near.append(np.argpartition(d2, top - 1, axis=1)[:, :top])
-        near = np.concatenate(near)
-        to_c = np.sqrt(np.maximum((sample[ask] ** 2).sum(1)[:, None] + (c ** 2).sum(1)[None, :]
-                                  - 2 * sample[ask] @ c.T, 0))
-        rel = to_c / np.maximum(to_c.min(1, keepdims=True), 1e-12)
-        need = np.where(held[near], rel[:, None, :], np.inf).min(2)
-        ratio = float(np.quantile(need, recall))
+            near = np.argpartition(d2, top - 1, axis=1)[:, :top]
+            to_c = np.sqrt(np.maximum(sq[some][:, None] + (c ** 2).sum(1)[None, :] - 2 * sample[some] @ c.T, 0))
+            first, lst = np.maximum(to_c.min(1), 1e-12), kept[near]
+            far = to_c[np.arange(len(some))[:, None, None], lst] / first[:, None, None]
+            nearest.append(first)
+            need.append(np.where(lst >= 0, far, np.inf).min(2))
+        ratio = calibrated(np.concatenate(nearest), np.concatenate(need), recall)
+    some = np.random.default_rng(4).permutation(len(sample))[:BOUND_ROWS]
     return {"c": c, "graph": graph, "ratio": ratio, "slack": slack, "replicas": replicas,
-            "sample": sample.astype(np.float32), "held": held}
+            "sample": sample[some].astype(np.float32), "kept": kept[some]}
 
 
 def farthest(x: np.ndarray, read: np.ndarray, m: dict, k: int) -> np.ndarray:
@@ -138,12 +164,23 @@ def farthest(x: np.ndarray, read: np.ndarray, m: dict, k: int) -> np.ndarray:
     """
     if len(m["sample"]) <= k:
         return np.full(len(x), np.inf)
-    seen = read.astype(np.float32) @ m["held"].T.astype(np.float32) > 0
+    seen = np.zeros((len(x), len(m["sample"])), dtype=bool)
+    for lst in m["kept"].T:
+        seen |= read[:, lst] & (lst >= 0)[None, :]
     d2 = (x ** 2).sum(1)[:, None] + (m["sample"] ** 2).sum(1)[None, :] - 2 * x.astype(np.float32) @ m["sample"].T
     d2 = np.partition(np.where(seen, d2, np.inf), k, axis=1)[:, k]
     return np.sqrt(np.maximum(d2 + 1e-4 * (1 + np.abs(np.where(np.isfinite(d2), d2, 0)) + (x ** 2).sum(1)), 0))
 
 
+def lists_read(x: np.ndarray, m: dict) -> np.ndarray:
+    """``rows x lists``: the lists within a row's ratio, and its ``LEAST`` nearest."""
+    dist = graph_search(x, m["c"], m["graph"], m["ratio"])
+    first = dist.min(1)
+    read = dist <= (ratio_at(m["ratio"], first) * first)[:, None]
+    read[np.arange(len(x))[:, None], np.argsort(dist, axis=1)[:, :LEAST]] = True
+    return read & np.isfinite(dist)
+
+
 def _poster(model):
     def post(frames):
         m = model.value
@@ -151,8 +188,9 @@ def _poster(model):
             for at in range(0, len(f), 2000):
                 part = f.iloc[at:at + 2000]
                 x = np.stack(part["embedding"].to_list()).astype(np.float64)
-                row, lst = postings_of(x, m["c"], m["graph"], m["slack"], m["replicas"])
-                yield part.iloc[row].assign(lst=lst.astype(np.int32))
+                lists = postings_of(x, m["c"], m["graph"], m["slack"], m["replicas"])
+                row, col = np.nonzero(lists >= 0)
+                yield part.iloc[row].assign(lst=lists[row, col])
     return post
 
 
@@ -160,12 +198,11 @@ def _asker(model, k: int):
     def ask(frames):
         m = model.value
         for f in frames:
-            for at in range(0, len(f), 500):
-                part = f.iloc[at:at + 500]
+            step = min(500, rows_at_once(len(m["c"])))
+            for at in range(0, len(f), step):
+                part = f.iloc[at:at + step]
                 x = np.stack(part["embedding"].to_list()).astype(np.float64)
-                dist = graph_search(x, m["c"], m["graph"], m["ratio"])
-                read = dist <= m["ratio"] * dist.min(1, keepdims=True)
-                read[np.arange(len(x))[:, None], np.argsort(dist, axis=1)[:, :LEAST]] = True
+                read = lists_read(x, m)
                 bound = farthest(x, read, m, k)
                 row, lst = np.nonzero(read)
                 yield part.iloc[row].assign(lst=lst.astype(np.int32), bound=bound[row])
@@ -213,34 +250,50 @@ def _cut(df: DataFrame, name: str, block: int) -> DataFrame:
                   .select("lst", F.ceil(F.col("count") / block).cast("int").alias(name)), f"ann-{name}")
 
 
-def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, recall: float = 0.985,
-                       fit_rows: int = 20_000, per_list: int = 100, max_lists: int = 2048,
+def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, recall: float = 0.95,
+                       fit_rows: int = 65_536, per_list: int = 25, max_lists: int = 8192,
                        replica_slack: float = 0.05, replicas: int = 4, block: int = 4096) -> DataFrame:
-    """``(vec_id, embedding)`` candidates and queries -> ``query_id, rank, vec_id, score`` (Euclidean).
-
-    Only the index is fitted on a sample (at most ``fit_rows`` distinct vectors and
-    ``max_lists`` lists); every usable row is posted.  Null, zero and non-finite vectors
-    and rows without an id take no part, nor do vectors whose length is not the most
-    common one.  A candidate with the query's id is the query itself.  Of several rows
-    with one query id the one with the smallest vector hash asks; equal rows answer once.
+    """``(vec_id, embedding)`` candidates and queries -> ``query_id, rank, vec_id, score`` (Euclidean), and what
+    the query read: ``lists_read``, ``rows_read`` (postings, replicas counted).
+
+    Only the index is fitted on a sample (20,000 distinct vectors, or 8 a list if that is more, at most
+    ``fit_rows``); every usable row is posted.  Null, zero and non-finite vectors and rows without an id take no
+    part.  Vectors of different lengths have no distance: each length has an index of its own, and a query
+    without candidates of its length has no rows.  A candidate with the query's id is the query itself.  Of
+    several rows with one query id the one with the smallest vector hash asks; equal rows answer once.
     Ties go to the smaller id.  No candidates: no rows.
     """
-    spark = vectors.sparkSession
     keyed = usable(vectors.where("vec_id is not null")).select(
         "vec_id", "embedding", F.size("embedding").alias("dim"), *fingerprint("embedding"))
-    main = keyed.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
-    dim = main["dim"] if main else 1
-    keyed = keyed.where(F.col("dim") == dim)
+    asking = usable(queries.where("vec_id is not null")).select(
+        F.col("vec_id").alias("query_id"), "embedding", F.size("embedding").alias("dim"), *fingerprint("embedding"))
+    one = (asking.groupBy("query_id").agg(F.min(F.struct("fp_a", "fp_b", "dim", "embedding")).alias("q"))
+           .select("query_id", "q.embedding", "q.dim"))
+    found = None
+    for dim in [r["dim"] for r in keyed.select("dim").distinct().orderBy("dim").collect()]:
+        some = _nearest_of_length(keyed.where(F.col("dim") == dim).drop("dim"), one.where(F.col("dim") == dim).drop("dim"),
+                                  dim, k, recall, fit_rows, per_list, max_lists, replica_slack, replicas, block)
+        found = some if found is None else found.unionByName(some)
+    if found is None:
+        return vectors.sparkSession.createDataFrame(
+            [], "query_id long, rank int, vec_id long, score double, lists_read long, rows_read long")
+    return found
+
+
+def _nearest_of_length(keyed: DataFrame, one: DataFrame, dim: int, k: int, recall: float, fit_rows: int, per_list: int,
+                       max_lists: int, replica_slack: float, replicas: int, block: int) -> DataFrame:
+    spark = keyed.sparkSession
     classes = staged(keyed.groupBy("fp_a", "fp_b").agg(F.min("vec_id").alias("vec_id")), "ann-classes")
     reps = staged(keyed.join(classes, ["fp_a", "fp_b", "vec_id"]).dropDuplicates(["fp_a", "fp_b"])
                   .join(_smallest_ids(keyed, k + 1), ["fp_a", "fp_b"]).select("vec_id", "embedding", "ids"), "ann-reps")
     n = reps.count()
-    share = min(1.0, 1.2 * fit_rows / max(n, 1))
-    sample = (reps.where(F.pmod(F.xxhash64(F.lit(7), "vec_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-              .select("embedding").limit(fit_rows).toPandas()["embedding"].to_list())
     lists = 1
     while lists * 2 <= min(max_lists, max(1, n // per_list)):
         lists *= 2
+    rows = min(fit_rows, max(20_000, 8 * lists))
+    share = min(1.0, 1.2 * rows / max(n, 1))
+    sample = (reps.where(F.pmod(F.xxhash64(F.lit(7), "vec_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+              .select("embedding").limit(rows).toPandas()["embedding"].to_list())
     x = np.stack(sample).astype(np.float64) if sample else np.zeros((0, dim))
     model = spark.sparkContext.broadcast(fit_index(x, lists, k, recall, replica_slack, replicas))
     del sample, x
@@ -249,10 +302,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, reca
     kind = reps.schema["embedding"].dataType.simpleString()
     posts = staged(reps.mapInPandas(_poster(model), f"vec_id long, embedding {kind}, ids array<long>, lst int"),
                    "ann-posts")
-    asking = (usable(queries.where("vec_id is not null")).where(F.size("embedding") == dim)
-              .select(F.col("vec_id").alias("query_id"), "embedding", *fingerprint("embedding")))
-    one = asking.groupBy("query_id").agg(F.min(F.struct("fp_a", "fp_b", "embedding")).alias("q"))
-    asks = staged(one.select("query_id", "q.embedding").mapInPandas(
+    asks = staged(one.mapInPandas(
         _asker(model, k), f"query_id long, embedding {kind}, lst int, bound double"), "ann-asks")
     p_cuts, q_cuts = _cut(posts, "p_cuts", block), _cut(asks, "q_cuts", block)
 
@@ -266,9 +316,11 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, reca
             .cogroup(tiled(asks, "query_id", "q_cut", "p_cut").groupBy(*tile))
             .applyInPandas(_searcher(k), "query_id long, vec_id long, score double"))
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    read = (asks.join(posts.groupBy("lst").agg(F.count("*").alias("size")), "lst", "left").groupBy("query_id")
+            .agg(F.count("*").alias("lists_read"), F.coalesce(F.sum("size"), F.lit(0)).alias("rows_read")))
     return (hits.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
             .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .join(read, "query_id").select("query_id", "rank", "vec_id", "score", "lists_read", "rows_read"))
 
 
 def op3_ann(spark, sf_dir):

@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 
-from chargepulse.llm.ann import nearest_neighbours
+from chargepulse.llm.ann import calibrated, nearest_neighbours, ratio_at
 from chargepulse.llm.components import components, local_labels
 from chargepulse.llm.embedding_dedup import calibrate, embedding_near_dedup
 
@@ -129,3 +129,34 @@ def test_neighbours_empty_and_few(spark):
     assert nearest_neighbours(df.limit(0), df).count() == 0
     got = nearest_neighbours(df, df.where("vec_id = 0")).orderBy("rank").collect()
     assert [(r["rank"], r["vec_id"]) for r in got] == [(1, 2), (2, 1)]
+
+
+def test_few_lists_are_read_where_vectors_cluster(spark):
+    # 120 clusters of unequal spread: reading by a ratio must leave most of the table alone.
+    rng = np.random.default_rng(6)
+    centre = rng.standard_normal((120, 32))
+    rows = [(i, (centre[i % 120] + (0.1 + 0.3 * (i % 3)) * rng.standard_normal(32)).tolist()) for i in range(6000)]
+    df = _frame(spark, rows)
+    got = nearest_neighbours(df, df.where("vec_id % 100 = 0")).collect()
+    hits = sum(len({r["vec_id"] for r in got if r["query_id"] == q} & {i for i, _ in _brute_nearest(rows, q)})
+               for q in range(0, 6000, 100))
+    share = {r["query_id"]: r["rows_read"] / 6000 for r in got}
+    assert len(got) == 600 and hits >= 0.9 * 600
+    assert sum(share.values()) / len(share) < 0.2
+
+
+def test_ratio_follows_the_nearest_distance():
+    nearest = np.repeat([1.0, 2.0, 3.0, 4.0], 64)
+    need = np.where(nearest[:, None] < 2.5, 1.5, 1.1) * np.ones((256, 10))
+    ratio = calibrated(nearest, need, 0.95)
+    assert np.allclose(ratio_at(ratio, np.array([0.5, 1, 2, 2.5, 3, 9])), [1.5, 1.5, 1.5, 1.3, 1.1, 1.1])
+
+
+def test_every_length_has_its_neighbours(spark):
+    rng = np.random.default_rng(8)
+    long, short = ([(at + i, v) for i, v in enumerate(rng.standard_normal((n, d)).tolist())] for at, n, d in ((0, 400, 16), (1000, 60, 4)))
+    df = _frame(spark, long + short)
+    got = nearest_neighbours(df, df.where("vec_id % 100 = 0")).orderBy("query_id", "rank").collect()
+    for q, rows in ((100, long), (1000, short)):
+        assert [r["vec_id"] for r in got if r["query_id"] == q] == [i for i, _ in _brute_nearest(rows, q)]
+    assert {r["query_id"] for r in got} == {0, 100, 200, 300, 1000}
