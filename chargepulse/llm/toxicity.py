@@ -1,10 +1,12 @@
 """Toxicity by weak supervision.
 
-Many voters look at a text: a small fixed lexicon, patterns, and words and word stems mined
-from the training labels (candidates whose association with label 1 outlasts the number of
-candidates tried).  A generative label model estimates the voters' reliabilities and
-correlations, where the given label is a fallible prior; a linear classifier
-trained on its posteriors scores every whole text.  Only labels of rows whose
+Many voters look at a text.  For toxic vote a small fixed lexicon, patterns, and words and word
+stems mined from the training labels (candidates whose association with label 1 outlasts the
+number of candidates tried); against it vote courteous words, words mined for label 0, and a
+text in which nothing else was found.  The given label is one more voter; how often it is wrong is
+estimated where the other voters are sure.  A generative label model estimates the accuracies of the
+voters and the correlations between them; a linear classifier trained on its posteriors scores every
+whole text, without the label's vote.  Only labels of rows whose
 ``crc32(doc_id as text) mod 5`` is not 0 are read, of at most ``fit_rows`` rows.
 """
 
@@ -26,12 +28,14 @@ from chargepulse.llm.label_model import label_model, logistic
 LEXICON = ["bastard", "clown", "crap", "damn", "disgusting", "dumb", "dumbass", "fool", "freak", "garbage", "hate",
            "idiot", "idiota", "imbecile", "jerk", "kill", "loser", "moron", "pathetic", "scum", "shut", "stupid",
            "trash", "ugly", "vermin", "worthless"]
+COURTEOUS = ["appreciate", "congratulations", "danke", "gracias", "grateful", "kindly", "merci", "please", "thank", "thanks",
+             "welcome"]
 PATTERNS = [re.compile(r"!{2,}|[?!]{3,}"), re.compile(r"[A-Z]{4,}(?:[ \t]+[A-Z]{4,}){2}"),
             re.compile(r"1d[i1]0t|m0r[o0]n|stup1d|l0s[e3]r|tr4sh")]
 WORD = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5, 6, 7)       # lengths of word beginnings that may vote
-MOST_VOTERS = 400          # mined voters, at most
-LABEL_TRUST = 0.9          # how often a given label is taken to be right, before the voters
+MOST_VOTERS = 400          # mined voters for each label, at most
+SURE = 999.0               # odds at which the other voters are sure that a text is toxic; toxic texts are few
 FIT_ROWS = 20_000          # labelled rows that the model is fitted on, at most
 FLUSH = 150_000
 
@@ -65,12 +69,12 @@ def _mine(batches):
         yield rows()
 
 
-def mined_voters(train: DataFrame, most: int = MOST_VOTERS) -> list[str]:
-    """Words and stems (``stem*``) whose G statistic for label 1 beats the number of candidates tried."""
+def mined_voters(train: DataFrame, most: int = MOST_VOTERS) -> tuple[list[str], list[str]]:
+    """Words and stems (``stem*``) for label 1, and for label 0, whose G statistic beats the number of candidates tried."""
     sums = train.groupBy("toxic").count().collect()
     n1, n0 = (sum(r["count"] for r in sums if r["toxic"] == y) for y in (1, 0))
     if not n1 or not n0:
-        return []
+        return [], []
     counts = staged(train.select("text", "toxic").mapInArrow(trimmed(_mine), "voter string, toxic int, n long").groupBy("voter")
                     .agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
                          F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b")), "tox-voters")
@@ -80,34 +84,43 @@ def mined_voters(train: DataFrame, most: int = MOST_VOTERS) -> list[str]:
     both, total = a + b, float(n0 + n1)
     g = (term(a, both * n1 / total) + term(b, both * n0 / total)
          + term(n1 - a, (total - both) * n1 / total) + term(n0 - b, (total - both) * n0 / total))
-    good = counts.withColumn("g", g).where((a / n1 > 3 * b / n0) & (F.col("g") > float(np.log(max(tried, 1)) + 2)))
-    return [r["voter"] for r in good.orderBy(F.desc("g"), "voter").limit(most).collect()]
+    good = counts.withColumn("g", g).where(F.col("g") > float(np.log(max(tried, 1)) + 2))
+    return tuple([r["voter"] for r in good.where(more).orderBy(F.desc("g"), "voter").limit(most).collect()]
+                 for more in (a / n1 > 3 * b / n0, b / n0 > 3 * a / n1))
 
 
-def _voter_index(mined: list[str]) -> dict[str, int]:
-    names = [*LEXICON, *(m for m in mined if m not in LEXICON)]
-    return {n: i for i, n in enumerate(names)}
+def voter_index(toxic: list[str], clean: list[str]) -> tuple[dict[str, int], np.ndarray]:
+    """The place of each word and stem, and what each place votes: 1 or -1.
+
+    Behind the words stand the patterns and, last, the vote of a text in which no voter for toxic fires.
+    """
+    up = [*LEXICON, *(m for m in toxic if m not in LEXICON)]
+    down = [m for m in dict.fromkeys([*COURTEOUS, *clean]) if m not in up]
+    signs = np.concatenate([np.ones(len(up)), -np.ones(len(down)), np.ones(len(PATTERNS)), [-1]]).astype(np.int8)
+    return {n: i for i, n in enumerate(up + down)}, signs
 
 
-def _features(text: str | None, index: dict[str, int]) -> tuple[list[int], list[float]]:
-    """Voters that fire, and the shares of words hit."""
+def _features(text: str | None, index: dict[str, int], signs: np.ndarray) -> tuple[list[int], list[float]]:
+    """Voters that fire, and the shares of words hit by voters for toxic."""
     text = text or ""
     words = words_of(text)
     fired, hits, total = set(), 0, 0
     for w, n in words.items():
         total += n
         own = [index[c] for c in (w, *(f"{w[:s]}*" for s in STEMS)) if c in index]
-        if own:
-            fired.update(own)
-            hits += n
-    fired.update(len(index) + i for i, p in enumerate(PATTERNS) if p.search(text))
+        fired.update(own)
+        hits += n * any(signs[i] > 0 for i in own)
+    patterns = [len(index) + i for i, p in enumerate(PATTERNS) if p.search(text)]
+    fired.update(patterns)
+    if not hits and not patterns:
+        fired.add(len(signs) - 1)
     return sorted(fired), [float(np.log1p(hits)), 10.0 * hits / (total + 10.0)]
 
 
-def _sampler(index):
+def _sampler(index, signs):
     def sample(batches):
         for b in (part for whole in batches for part in slices(whole)):
-            made = [_features(t, index) for t in b.column("text").to_pylist()]
+            made = [_features(t, index, signs) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array([m[0] for m in made], pa.list_(pa.int32())),
                                               pa.array([m[1] for m in made], pa.list_(pa.float64()))],
                                              ["toxic", "fired", "extra"])
@@ -123,16 +136,16 @@ def _matrix(fired: list, extra: list, voters: int) -> np.ndarray:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
-    """Voter names and the classifier's coefficients."""
+    """Voter names, what they vote, and the classifier's coefficients."""
     known = (labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out())
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
     n = known.count()
     share = min(1.0, fit_rows / max(n, 1))
     some = known.where(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     train = staged(docs.select("doc_id", "text").join(some, "doc_id").select("text", "toxic"), "tox-train")
-    index = _voter_index(mined_voters(train))
-    voters = len(index) + len(PATTERNS)
-    rows = train.mapInArrow(trimmed(_sampler(index)), "toxic int, fired array<int>, extra array<double>")
+    index, signs = voter_index(*mined_voters(train))
+    voters = len(signs)
+    rows = train.mapInArrow(trimmed(_sampler(index, signs)), "toxic int, fired array<int>, extra array<double>")
     # Texts with the same votes, shares and label are one weighted row; most have no votes at all.
     seen = Counter((r["toxic"], tuple(r["fired"]), tuple(r["extra"])) for r in rows.toLocalIterator())
     rows = sorted(seen)
@@ -141,28 +154,53 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -
     weight = np.array([seen[r] for r in rows], dtype=np.float64)
     if not rows:  # nothing to learn from: the lexicon alone
         weights = np.concatenate([np.full(len(LEXICON), 3.0), np.zeros(voters - len(LEXICON) + 2), [-2.0]])
-        return {"index": index, "weights": weights}
-    votes = x[:, :voters].astype(np.int8)
-    # What the given label says of a row, before any voter: the base rate, moved by the label's reliability.
-    base = np.clip((weight * gold).sum() / weight.sum(), 0.01, 0.99)
-    odds = np.log(base / (1 - base)) + np.where(gold > 0, 1, -1) * np.log(LABEL_TRUST / (1 - LABEL_TRUST))
-    start = 1 / (1 + np.exp(-odds))
-    post = label_model(votes, weight, start, prior=start)
+        return {"index": index, "signs": signs, "weights": weights}
+    post = posteriors(x[:, :voters].astype(np.int8) * signs, gold, weight)
     weights = logistic(x, post, weight)
-    del x, votes
+    del x
     give_back()
-    return {"index": index, "weights": weights}
+    return {"index": index, "signs": signs, "weights": weights}
+
+
+def label_errors(sure_toxic: np.ndarray, sure_clean: np.ndarray, gold: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """How often a clean text is labelled 1 and a toxic one 0, among rows that the other voters are sure of.
+
+    Smoothed by ten rows of a label that is right nine times in ten.
+    """
+    wrong = [(weight[rows & (gold == y)].sum() + 1) / (weight[rows].sum() + 10) for rows, y in ((sure_clean, 1), (sure_toxic, 0))]
+    return tuple(float(np.clip(e, 0.002, 0.45)) for e in wrong)
+
+
+def posteriors(votes: np.ndarray, gold: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Posterior of each row from the votes (-1, 0, 1) and the given label, which is a voter as well.
+
+    The label's own accuracy is estimated from where the other voters are sure: first by the sum of their
+    votes, then by what the label model says without the label.  (A label estimated inside the
+    expectation-maximisation would agree with itself on all texts of which the others say little.)
+    """
+    net = votes.sum(1, dtype=np.int64)
+    sure = net >= 2, net < 0
+    share = (weight * gold).sum() / weight.sum()
+    for _ in range(3):
+        e0, e1 = label_errors(*sure, gold, weight)
+        base = np.clip((share - e0) / (1 - e0 - e1), 0.01, 0.99)
+        odds = np.log(base / (1 - base)) + np.where(gold > 0, np.log((1 - e1) / e0), np.log(e1 / (1 - e0)))
+        start = 1 / (1 + np.exp(-odds))
+        post = np.clip(label_model(votes, weight, start, prior=start), 1e-9, 1 - 1e-9)
+        others = np.log(post / (1 - post)) - odds
+        sure = others > np.log(SURE), others < 0
+    return post
 
 
 def _scorer(model: dict, name: str):
-    index, weights = model["index"], model["weights"]
-    voters = len(index) + len(PATTERNS)
+    index, signs, weights = model["index"], model["signs"], model["weights"]
+    voters = len(signs)
 
     def score(batches):
         for b in (part for whole in batches for part in slices(whole)):
             out = []
             for t in b.column("text").to_pylist():
-                fired, extra = _features(t, index)
+                fired, extra = _features(t, index, signs)
                 z = weights[-1] + weights[fired].sum() + weights[voters] * extra[0] + weights[voters + 1] * extra[1]
                 out.append(float(1 / (1 + np.exp(-np.clip(z, -30, 30)))))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.float64())], [*b.schema.names, name])

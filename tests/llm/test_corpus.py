@@ -135,6 +135,37 @@ def test_toxicity_odd_rows(spark):
         toxicity.score_toxicity(docs, labels, name="predicted")
 
 
+def test_posterior_beats_wrong_labels():
+    import numpy as np
+    rng = np.random.default_rng(4)
+    y = rng.random(5000) < 0.15
+    fires = lambda p1, p0: (rng.random(5000) < np.where(y, p1, p0)).astype(np.int8)
+    toxic = [fires(0.35, 0.004) for _ in range(8)] + [fires(0.1, 0.1)]
+    toxic += [toxic[0].copy(), toxic[0].copy()]  # one voter thrice
+    clean = [-fires(0.02, 0.3), -((np.stack(toxic).sum(0) == 0).astype(np.int8))]
+    votes = np.stack(toxic + clean, axis=1)
+    for wrong in (0.0, 0.2):
+        gold = np.where(rng.random(5000) < wrong, ~y, y).astype(float)
+        right = lambda guess: (guess == y).mean()
+        post = toxicity.posteriors(votes, gold, np.ones(5000))
+        assert right(post > 0.5) >= (0.97 if wrong else 0.99)
+        assert right(post > 0.5) >= right(gold > 0.5) - 0.01
+    e0, e1 = toxicity.label_errors(y, ~y, np.where(y, 0.0, 1.0), np.ones(5000))
+    assert (e0, e1) == (0.45, 0.45)
+
+
+def test_voters_for_and_against():
+    import numpy as np
+    index, signs = toxicity.voter_index(["idiot", "zoz*"], ["calm", "idiot"])
+    look = lambda t: {n for n, i in index.items() if i in toxicity._features(t, index, signs)[0]}
+    assert look("Idiot, please stay calm") == {"idiot", "please", "calm"}
+    assert [int(signs[index[n]]) for n in ("idiot", "zoz*", "please", "calm")] == [1, 1, -1, -1]
+    quiet = len(signs) - 1
+    assert signs[quiet] == -1 and toxicity._features("thanks", index, signs)[0] == sorted([index["thanks"], quiet])
+    assert quiet not in toxicity._features("!!!", index, signs)[0] and toxicity._features(None, index, signs)[0] == [quiet]
+    assert np.all(np.abs(signs) == 1)
+
+
 def test_label_model_tells_good_from_bad_voters():
     import numpy as np
     rng = np.random.default_rng(0)
